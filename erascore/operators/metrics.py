@@ -184,14 +184,14 @@ def decile_histogram(df: DataFrame, pred: str = "prediction") -> DataFrame:
 
 
 def loss_metrics(df: DataFrame, y: str, p: str, input_loss: Column | None = None,
-                 epsilon: float = 0.0) -> DataFrame:
-    """MAE, MSE and the weighted loss ``1.0 * target_loss + epsilon * input_loss``."""
+                 epsilon: float = 0.0, group_cols: Sequence[str] = ()) -> DataFrame:
+    """MAE, MSE and the weighted loss ``1.0 * target_loss + epsilon * input_loss`` (MAE based)."""
     mae = F.avg(F.abs(F.col(y) - F.col(p)))
     mse = F.avg(F.pow(F.col(y) - F.col(p), 2))
     aggs = [mae.alias("mae"), mse.alias("mse")]
     if input_loss is not None:
         aggs.append((mae + F.lit(epsilon) * F.avg(input_loss)).alias("weighted_loss"))
-    return df.agg(*aggs)
+    return df.groupBy(*group_cols).agg(*aggs)
 
 
 def class_accuracy(df: DataFrame, y_class: str, scores: str) -> DataFrame:
@@ -200,11 +200,32 @@ def class_accuracy(df: DataFrame, y_class: str, scores: str) -> DataFrame:
     return df.agg(F.avg((argmax == F.col(y_class)).cast("int")).alias("accuracy"))
 
 
-def describe_predictions(df: DataFrame, pred: str = "prediction") -> DataFrame:
-    """Count, mean, sample std, min, quartiles, max of the predictions."""
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], tiebreak: Sequence[str] = (),
+                    **kw) -> DataFrame:
+    """Exact quantiles with linear interpolation (pandas / ``quantile_cont``) without collecting a
+    group: the values get a distributed global rank, only the rows at the two neighbouring ranks
+    of each requested position are kept (at most 2 per quantile), then interpolated."""
+    ranked = ranking.group_row_number(df.select(value, *tiebreak).where(F.col(value).isNotNull()),
+                                      [], value, list(tiebreak), out="_q", **kw)
+    spark = df.sparkSession
+    wanted = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "qi int, q double")
+    pos = F.col("q") * (F.col("_q_n") - 1)
+    cand = (ranked.crossJoin(F.broadcast(wanted))  # fixed, tiny list of requested quantiles
+                  .where((F.col("_q") - 1 == F.floor(pos)) | (F.col("_q") - 1 == F.ceil(pos))))
+    lo = F.min(F.struct(F.col("_q"), F.col(value).alias("v")))
+    hi = F.max(F.struct(F.col("_q"), F.col(value).alias("v")))
+    agg = cand.groupBy("qi", "q").agg(lo.alias("lo"), hi.alias("hi"), F.first(pos).alias("pos"))
+    frac = F.col("pos") - F.floor(F.col("pos"))
+    return agg.select("qi", "q", (F.col("lo.v") + (F.col("hi.v") - F.col("lo.v")) * frac).alias("value"))
+
+
+def describe_predictions(df: DataFrame, pred: str = "prediction", tiebreak: Sequence[str] = (),
+                         **kw) -> DataFrame:
+    """Count, mean, sample std, min, quartiles (exact, interpolated), max of the predictions."""
     c = F.col(pred)
-    return df.agg(
-        F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-        F.min(c).alias("min"),
-        F.percentile(c, 0.25).alias("p25"), F.percentile(c, 0.5).alias("p50"),
-        F.percentile(c, 0.75).alias("p75"), F.max(c).alias("max"))
+    basic = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                   F.min(c).alias("min"), F.max(c).alias("max"))
+    q = exact_quantiles(df, pred, [0.25, 0.5, 0.75], tiebreak, **kw)
+    wide = q.groupBy().pivot("qi", [0, 1, 2]).agg(F.first("value"))
+    wide = wide.select(F.col("0").alias("p25"), F.col("1").alias("p50"), F.col("2").alias("p75"))
+    return basic.crossJoin(wide).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
