@@ -76,4 +76,4 @@ SELECT era, {sql_corr_strict('r', target)} AS corr FROM (
 ) GROUP BY era"""
 
 
-from . import suite_etl, suite_queries, suite_registry, suite_vectors  # noqa: E402,F401  (registers the queries)
+from . import suite_etl, suite_models, suite_queries, suite_registry, suite_vectors  # noqa: E402,F401  (registers the queries)
