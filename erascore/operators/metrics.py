@@ -108,9 +108,17 @@ def max_feature_exposure(df: DataFrame, features: Sequence[str], pred: str = "pr
     return per_era.agg(F.avg("max_exposure").alias("max_feature_exposure"))
 
 
+def with_strategy(df: DataFrame, groups: Sequence[str], kw: dict) -> dict:
+    """Decide the rank plan once for an operator that ranks several times over the same groups."""
+    if kw.get("strategy", "auto") == "auto":
+        kw = dict(kw, strategy=ranking.choose_strategy(df, groups))
+    return kw
+
+
 def unif_pair(df: DataFrame, pred: str, example: str, era: str, tiebreak, **kw) -> DataFrame:
     """Both uniform scores (W2) per era: ``u`` for the prediction and ``v`` for the example."""
     tb = _tb(tiebreak)
+    kw = with_strategy(df, [era], kw)
     u = ranking.unif(df, pred, [era], tb, out="u", **kw)
     return ranking.unif(u, example, [era], tb, out="v", **kw)
 

@@ -7,9 +7,10 @@ an era into one process, the normal equations are accumulated as distributed sum
 * ``G = E^T E`` and ``b = E^T s`` per era -- plain aggregate columns for up to ``SMALL_K``
   neutralizers (codegen'd, map-side partial aggregation), or per-partition NumPy partial sums
   (``mapInPandas``) reduced with a shuffle for wide feature sets;
-* ``beta = pinv(G) b`` per era, on the tiny per-era table (``pinv(E^T E) E^T = pinv(E)``);
-* residuals per row through a broadcast join of ``beta`` (eras x k values -- bounded by the era count
-  times the neutralizer count, both schema-level constants), then a per-era std for the rescale.
+* ``beta = pinv(G) b`` per era, on the tiny per-era table (``pinv(E^T E) E^T = pinv(E)``), and the
+  residual std from the same sums (no second pass over the rows);
+* residuals per row through a broadcast join of ``(beta, std)`` (eras x k values -- bounded by the
+  era count times the neutralizer count, both schema-level constants).
 """
 
 from __future__ import annotations
@@ -27,35 +28,45 @@ from . import ranking
 SMALL_K = 64
 
 
-def _solve_rows(g_flat: pd.Series, b: pd.Series) -> pd.Series:
-    out = []
-    for g, rhs in zip(g_flat, b):
+def _solve_rows(g_flat: pd.Series, b: pd.Series, se: pd.Series, n: pd.Series, ss: pd.Series,
+                ss2: pd.Series, prop: pd.Series) -> pd.DataFrame:
+    """Per era: beta = pinv(G) b and the population std of the residual ``s - prop * E beta`` from
+    the same sums: sum r = sum s - prop beta.sum_e; sum r^2 = sum s^2 - 2 prop beta.b + prop^2 beta'G beta."""
+    betas, stds = [], []
+    for g, rhs, sum_e, cnt, s1, s2, p in zip(g_flat, b, se, n, ss, ss2, prop):
         k = len(rhs)
         gm = np.asarray(g, dtype=np.float64).reshape(k, k)
-        out.append(np.linalg.pinv(gm) @ np.asarray(rhs, dtype=np.float64))
-    return pd.Series(out)
+        rhs = np.asarray(rhs, dtype=np.float64)
+        beta = np.linalg.pinv(gm) @ rhs
+        r1 = s1 - p * float(beta @ np.asarray(sum_e, dtype=np.float64))
+        r2 = s2 - 2.0 * p * float(beta @ rhs) + p * p * float(beta @ gm @ beta)
+        var = max(r2 / cnt - (r1 / cnt) ** 2, 0.0) if cnt else float("nan")
+        betas.append(beta)
+        stds.append(float(np.sqrt(var)))
+    return pd.DataFrame({"beta": betas, "std": stds})
 
 
-_solve = F.pandas_udf(_solve_rows, T.ArrayType(T.DoubleType()))
+_solve = F.pandas_udf(_solve_rows, T.StructType([T.StructField("beta", T.ArrayType(T.DoubleType())),
+                                                 T.StructField("std", T.DoubleType())]))
 
 
-def _gram_small(scored: DataFrame, era: str, score: str, neutralizers: Sequence[str]) -> DataFrame:
+def _sums_small(scored: DataFrame, era: str, score: str, neutralizers: Sequence[str]) -> DataFrame:
     k = len(neutralizers)
-    aggs = []
-    for i in range(k):
-        for j in range(k):
-            a, b = sorted((i, j))
-            aggs.append((a, b))
-    uniq = sorted(set(aggs))
-    exprs = [F.sum(F.col(neutralizers[a]) * F.col(neutralizers[b])).alias(f"_g{a}_{b}") for a, b in uniq]
-    exprs += [F.sum(F.col(neutralizers[i]) * F.col(score)).alias(f"_b{i}") for i in range(k)]
+    e = [F.col(c).cast("double") for c in neutralizers]
+    sc = F.col(score)
+    pairs = sorted({(min(i, j), max(i, j)) for i in range(k) for j in range(k)})
+    exprs = [F.sum(e[a] * e[b]).alias(f"_g{a}_{b}") for a, b in pairs]
+    exprs += [F.sum(e[i] * sc).alias(f"_b{i}") for i in range(k)]
+    exprs += [F.sum(e[i]).alias(f"_e{i}") for i in range(k)]
+    exprs += [F.count(F.lit(1)).alias("n"), F.sum(sc).alias("ss"), F.sum(sc * sc).alias("ss2")]
     sums = scored.groupBy(era).agg(*exprs)
     g_flat = F.array(*[F.col(f"_g{min(i, j)}_{max(i, j)}") for i in range(k) for j in range(k)])
-    return sums.select(era, g_flat.alias("g"), F.array(*[F.col(f"_b{i}") for i in range(k)]).alias("b"))
+    return sums.select(era, g_flat.alias("g"), F.array(*[F.col(f"_b{i}") for i in range(k)]).alias("b"),
+                       F.array(*[F.col(f"_e{i}") for i in range(k)]).alias("se"), "n", "ss", "ss2")
 
 
-def _gram_wide(scored: DataFrame, era: str, score: str, neutralizers: Sequence[str]) -> DataFrame:
-    """Per-partition NumPy partial sums of E^T [E | s], reduced per (era, row of G)."""
+def _sums_wide(scored: DataFrame, era: str, score: str, neutralizers: Sequence[str]) -> DataFrame:
+    """Per-partition NumPy partial sums of [E | s | 1]^T [E | s], reduced per (era, row)."""
     k = len(neutralizers)
     era_type = scored.schema[era].dataType
     part_schema = T.StructType([T.StructField(era, era_type), T.StructField("i", T.IntegerType()),
@@ -67,12 +78,13 @@ def _gram_wide(scored: DataFrame, era: str, score: str, neutralizers: Sequence[s
         acc: dict = {}
         for pdf in batches:
             for key, grp in pdf.groupby(era, sort=False, dropna=False):
-                e = np.stack(grp["_e"].to_numpy()) if len(grp) else np.zeros((0, k))
-                aug = np.concatenate([e, grp["_s"].to_numpy().reshape(-1, 1)], axis=1)
-                m = e.T @ aug
+                e = np.stack(grp["_e"].to_numpy())
+                sv = grp["_s"].to_numpy().reshape(-1, 1)
+                left = np.concatenate([e, sv, np.ones_like(sv)], axis=1)   # rows 0..k-1: E, k: s, k+1: 1
+                m = left.T @ np.concatenate([e, sv], axis=1)               # (k+2) x (k+1)
                 acc[key] = acc[key] + m if key in acc else m
         for key, m in acc.items():
-            yield pd.DataFrame({era: [key] * k, "i": np.arange(k, dtype=np.int32), "row": list(m)})
+            yield pd.DataFrame({era: [key] * (k + 2), "i": np.arange(k + 2, dtype=np.int32), "row": list(m)})
 
     parts = packed.mapInPandas(partial, part_schema)
 
@@ -80,22 +92,35 @@ def _gram_wide(scored: DataFrame, era: str, score: str, neutralizers: Sequence[s
         total = np.sum(np.stack(pdf["row"].to_numpy()), axis=0)
         return pd.DataFrame({era: [pdf[era].iloc[0]], "i": [pdf["i"].iloc[0]], "row": [total]})
 
-    rows = parts.groupBy(era, "i").applyInPandas(reduce_rows, part_schema)
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("i"), F.col("row"))))
+    rows = parts.groupBy(era, "i").applyInPandas(reduce_rows, part_schema)  # groups: partitions x 1 row
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("i"), F.col("row"))))  # k + 2 rows per era
     g = rows.groupBy(era).agg(ordered.alias("_rows"))
+    body = F.slice("_rows", 1, k)
+    srow = F.element_at("_rows", k + 1)["row"]
+    orow = F.element_at("_rows", k + 2)["row"]
     return g.select(
         era,
-        F.flatten(F.transform("_rows", lambda r: F.slice(r["row"], 1, k))).alias("g"),
-        F.transform("_rows", lambda r: F.element_at(r["row"], k + 1)).alias("b"))
+        F.flatten(F.transform(body, lambda r: F.slice(r["row"], 1, k))).alias("g"),
+        F.transform(body, lambda r: F.element_at(r["row"], k + 1)).alias("b"),
+        F.slice(orow, 1, k).alias("se"),
+        F.element_at(orow, k + 1).alias("_sum_s_dup"),
+        F.element_at(srow, k + 1).alias("ss2"))
 
 
 def era_coefficients(scored: DataFrame, score: str, neutralizers: Sequence[str], era: str = "era",
-                     method: str = "auto") -> DataFrame:
-    """beta per era with ``E beta ~= s`` (minimum-norm least squares)."""
+                     method: str = "auto", proportion: float = 1.0) -> DataFrame:
+    """Per era: ``beta`` (minimum-norm least squares of ``E beta ~= s``) and ``std`` of the residual
+    ``s - proportion * E beta``, from one pass of sums."""
     if method == "auto":
         method = "small" if len(neutralizers) <= SMALL_K else "wide"
-    gram = (_gram_small if method == "small" else _gram_wide)(scored, era, score, neutralizers)
-    return gram.select(era, _solve("g", "b").alias("beta"))
+    if method == "small":
+        sums = _sums_small(scored, era, score, neutralizers)
+    else:
+        counts = scored.groupBy(era).agg(F.count(F.lit(1)).alias("n"), F.sum(score).alias("ss"))
+        sums = _sums_wide(scored, era, score, neutralizers).join(counts, era).drop("_sum_s_dup")
+    solved = sums.select(era, _solve("g", "b", "se", F.col("n").cast("double"), "ss", "ss2",
+                                     F.lit(float(proportion))).alias("_sol"))
+    return solved.select(era, F.col("_sol.beta").alias("beta"), F.col("_sol.std").alias("std"))
 
 
 def neutralize(df: DataFrame, column: str, neutralizers: Sequence[str], era: str = "era",
@@ -104,6 +129,9 @@ def neutralize(df: DataFrame, column: str, neutralizers: Sequence[str], era: str
     """``df`` plus ``out`` (default: ``column`` replaced) holding the neutralized score.
 
     normalize: the score is first replaced by ``(rank_first - 0.5) / n`` per era.
+    Plan: the scored rows are read twice -- one aggregation for the per-era sums, one broadcast
+    join of the per-era ``(beta, std)`` table -- and keep their era partitioning, so a following
+    per-era rank needs no new exchange.
     """
     out = out or column
     neutralizers = list(neutralizers)
@@ -112,17 +140,15 @@ def neutralize(df: DataFrame, column: str, neutralizers: Sequence[str], era: str
         base = ranking.unif(base, column, [era], list(tiebreak), out="_score", **kw)
     else:
         base = base.withColumn("_score", F.col(column).cast("double"))
-    beta = era_coefficients(base, "_score", neutralizers, era, method)
+    coef = era_coefficients(base, "_score", neutralizers, era, method, proportion)
     fitted = F.aggregate(
         F.zip_with(F.array(*[F.col(c).cast("double") for c in neutralizers]), F.col("_beta"),
                    lambda e, b: e * b),
         F.lit(0.0), lambda acc, v: acc + v)
-    resid = (base.join(F.broadcast(beta.withColumnRenamed("beta", "_beta")), era, "left")
-                 .withColumn("_resid", F.col("_score") - F.lit(proportion) * fitted)
-                 .drop("_beta"))
-    std = resid.groupBy(era).agg(F.stddev_pop("_resid").alias("_std"))
-    res = (resid.join(F.broadcast(std), era, "left")
-                .withColumn("_neutral", F.col("_resid") / F.nullif(F.col("_std"), F.lit(0.0))))
+    coef = coef.select(era, F.col("beta").alias("_beta"), F.col("std").alias("_std"))
+    res = (base.join(F.broadcast(coef), era, "left")
+               .withColumn("_neutral", (F.col("_score") - F.lit(proportion) * fitted)
+                           / F.nullif(F.col("_std"), F.lit(0.0))))
     cols = [c for c in df.columns if c != out]
     return res.select(*cols, F.col("_neutral").alias(out))
 
@@ -149,9 +175,10 @@ def feature_neutral_mean(df: DataFrame, features: Sequence[str], pred: str = "pr
                          method: str = "auto", **kw) -> DataFrame:
     """Neutralize the prediction against all features per era, then mean of the per-era
     rank correlation of the result with the target."""
-    from .metrics import era_corr
+    from .metrics import era_corr, with_strategy
 
     cols = list(dict.fromkeys([era, pred, target, *features, *tiebreak]))
+    kw = with_strategy(df.select(era), [era], kw)
     neutral = neutralize(df.select(*cols), pred, features, era, tiebreak, out="neutral_sub",
                          method=method, **kw)
     per_era = era_corr(neutral, "neutral_sub", target, era, tiebreak, **kw)

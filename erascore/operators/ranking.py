@@ -5,7 +5,11 @@ position, so every rank takes explicit tie-break columns that together with the
 unique.
 
 Skew: an era may hold a third of all rows, so a ``Window.partitionBy(era)`` (one task per era) is
-not the default. ``group_row_number`` range-partitions on ``(group, value, tiebreak)`` which splits a
+only used when a size check proves every group small. ``strategy="auto"`` (the default) first runs
+one column-pruned aggregation (row count per group, map-side combined, one number returned) and
+takes the window plan -- one exchange on the group keys plus a sort, shared by every rank over the
+same groups -- when the largest group is at most ``spark.erascore.rank.maxGroupRows`` rows
+(default 2,000,000). Otherwise ``group_row_number`` range-partitions on ``(group, value, tiebreak)`` which splits a
 hot era over many tasks, numbers rows inside each partition with ``monotonically_increasing_id``
 (partition index in the high bits, position in the low 33 bits) and adds per-(partition, group)
 offsets taken from a small count table. That table has at most ``partitions + groups`` rows,
@@ -29,6 +33,8 @@ from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
 
+MAX_GROUP_ROWS_CONF = "spark.erascore.rank.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
@@ -42,9 +48,22 @@ def _orders(group_cols: Sequence[str], value_cols: Sequence[str], tiebreak: Sequ
     return out
 
 
+def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
+    """Row count of the largest group (a partial aggregation over the group columns only)."""
+    if not group_cols:
+        return df.count()
+    row = df.groupBy(*group_cols).count().agg(F.max("count")).first()
+    return int(row[0] or 0)
+
+
+def choose_strategy(df: DataFrame, group_cols: Sequence[str]) -> str:
+    limit = int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+    return "window" if largest_group(df, group_cols) <= limit else "range"
+
+
 def group_row_number(df: DataFrame, group_cols: Sequence[str], value_col: str, tiebreak: Sequence[str],
                      out: str = "rn", descending: bool = False, num_partitions: int | None = None,
-                     strategy: str = "range", materialize: str = "persist") -> DataFrame:
+                     strategy: str = "auto", materialize: str = "persist") -> DataFrame:
     """1-based row number of ``value_col`` (NULLs last, ties by ``tiebreak``) within each group.
 
     Also adds ``<out>_n`` (rows in the group) and ``<out>_nvalid`` (non-NULL ``value_col`` in the group).
@@ -54,6 +73,8 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], value_col: str, t
     group_cols, tiebreak = list(group_cols), list(tiebreak)
     orders = _orders(group_cols, [value_col], tiebreak, descending)
     n_col, nv_col = f"{out}_n", f"{out}_nvalid"
+    if strategy == "auto":
+        strategy = choose_strategy(df, group_cols)
     if strategy == "window":
         w_order = Window.partitionBy(*group_cols).orderBy(*orders[len(group_cols):])
         w_all = Window.partitionBy(*group_cols)

@@ -25,8 +25,9 @@ def _valid(spark, sf):
 SELECT id, era, cast({sql_rank_pct('prediction')} AS DOUBLE) AS rank_pct FROM tourney""", "tourney"))
 def q_rank_pct_first(spark, sf):
     t = tourney(spark, sf).select("id", "era", "prediction", "row_idx")
-    # exact integer ratios: identical doubles in both engines, no rounding needed
-    return ranking.rank_pct_first(t, "prediction", ["era"], ["row_idx"]).select("id", "era", "rank_pct")
+    # exact integer ratios: identical doubles in both engines, no rounding needed.
+    # Forced onto the skew-safe range plan (the size check would pick the window plan here).
+    return ranking.rank_pct_first(t, "prediction", ["era"], ["row_idx"], strategy="range").select("id", "era", "rank_pct")
 
 
 @register("unif", with_views(f"""
@@ -48,7 +49,7 @@ SELECT id, cast(row_number() OVER (ORDER BY prediction ASC NULLS LAST, row_idx)
 FROM tourney""", "tourney"))
 def q_global_rank(spark, sf):
     t = tourney(spark, sf).select("id", "prediction", "row_idx")
-    return ranking.global_rank(t, "prediction", ["row_idx"]).select("id", "rank")
+    return ranking.global_rank(t, "prediction", ["row_idx"], strategy="range").select("id", "rank")
 
 
 _CUM_SQL = f"""
@@ -102,6 +103,12 @@ def q_era_corr(spark, sf):
     return rounded(metrics.era_corr(tourney(spark, sf)))
 
 
+@register("era_corr_range", with_views(f"SELECT era, {r6('corr')} AS corr FROM ({_era_corr_sql('tourney')})", "tourney"))
+def q_era_corr_range(spark, sf):
+    """A3 on the skew-safe range plan (what the size check picks when one era is too large)."""
+    return rounded(metrics.era_corr(tourney(spark, sf), strategy="range"))
+
+
 @register("era_corr_missing", with_views(
     f"SELECT era, {r6('corr')} AS corr FROM ({_era_corr_sql('tourney_missing')})", "tourney_missing"))
 def q_era_corr_missing(spark, sf):
