@@ -39,6 +39,19 @@ def union_train_valid(train: DataFrame, valid_part: DataFrame) -> DataFrame:
     return train.unionByName(valid_part, allowMissingColumns=True)
 
 
+def attach_predictions(frame: DataFrame, preds: DataFrame, id_col: str = "id", check: bool = True) -> DataFrame:
+    """Predictions joined back to their rows by id (the reference pairs them by batch position).
+
+    ``check``: every row must receive exactly one prediction (an anti join and a duplicate count,
+    each stopping at the first offending id)."""
+    if check:
+        dup = preds.groupBy(id_col).count().where(F.col("count") > 1).limit(1).count()
+        missing = frame.select(id_col).join(preds.select(id_col), id_col, "left_anti").limit(1).count()
+        if dup or missing:
+            raise MissingIdsError("rows without exactly one prediction")
+    return frame.join(preds, id_col, "left")
+
+
 def ensemble_wide(long_scores: DataFrame, id_col: str = "id", trial_col: str = "trial",
                   dim_col: str = "dim", value_col: str = "prediction", tag: str = "",
                   trials: Sequence[int] = (), dims: int = 1) -> DataFrame:

@@ -9,8 +9,8 @@ an era into one process, the normal equations are accumulated as distributed sum
   (``mapInPandas``) reduced with a shuffle for wide feature sets;
 * ``beta = pinv(G) b`` per era, on the tiny per-era table (``pinv(E^T E) E^T = pinv(E)``), and the
   residual std from the same sums (no second pass over the rows);
-* residuals per row through a broadcast join of ``(beta, std)`` (eras x k values -- bounded by the
-  era count times the neutralizer count, both schema-level constants).
+* residuals per row through a join of ``(beta, std)`` (eras x k values), broadcast after a row-count
+  check (``sizing.bounded_broadcast``).
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import ranking
+from .sizing import bounded_broadcast
 
 SMALL_K = 64
 
@@ -145,8 +146,8 @@ def neutralize(df: DataFrame, column: str, neutralizers: Sequence[str], era: str
         F.zip_with(F.array(*[F.col(c).cast("double") for c in neutralizers]), F.col("_beta"),
                    lambda e, b: e * b),
         F.lit(0.0), lambda acc, v: acc + v)
-    coef = coef.select(era, F.col("beta").alias("_beta"), F.col("std").alias("_std"))
-    res = (base.join(F.broadcast(coef), era, "left")
+    coef = bounded_broadcast(coef.select(era, F.col("beta").alias("_beta"), F.col("std").alias("_std")))
+    res = (base.join(coef, era, "left")
                .withColumn("_neutral", (F.col("_score") - F.lit(proportion) * fitted)
                            / F.nullif(F.col("_std"), F.lit(0.0))))
     cols = [c for c in df.columns if c != out]
@@ -161,8 +162,8 @@ def neutralize_series(df: DataFrame, series: str, by: str, proportion: float = 1
     agg = [F.regr_slope(F.col(series), F.col(by)).alias("_b"),
            F.regr_intercept(F.col(series), F.col(by)).alias("_a")]
     if group_cols:
-        coef = df.groupBy(*group_cols).agg(*agg)
-        joined = df.join(F.broadcast(coef), group_cols, "left")
+        coef = bounded_broadcast(df.groupBy(*group_cols).agg(*agg))
+        joined = df.join(coef, group_cols, "left")
     else:
         coef = df.agg(*agg)
         joined = df.crossJoin(F.broadcast(coef))  # one-row frame: a scalar attached to every row

@@ -12,8 +12,8 @@ same groups -- when the largest group is at most ``spark.erascore.rank.maxGroupR
 (default 2,000,000). Otherwise ``group_row_number`` range-partitions on ``(group, value, tiebreak)`` which splits a
 hot era over many tasks, numbers rows inside each partition with ``monotonically_increasing_id``
 (partition index in the high bits, position in the low 33 bits) and adds per-(partition, group)
-offsets taken from a small count table. That table has at most ``partitions + groups`` rows,
-which is the proven bound that makes broadcasting it safe.
+offsets taken from a small count table. That table has at most ``partitions + groups`` rows; it is
+counted before it is broadcast (``sizing.bounded_broadcast``), with a shuffled join beyond the limit.
 
 The numbered frame is read twice (for the counts and for the join), so it is materialized once:
 two separate range shuffles would each draw their own sample (the sample seed depends on the RDD
@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
+from .sizing import bounded_broadcast
 
 MAX_GROUP_ROWS_CONF = "spark.erascore.rank.maxGroupRows"
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
@@ -56,9 +57,19 @@ def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
     return int(row[0] or 0)
 
 
+_DECISIONS: dict = {}
+
+
 def choose_strategy(df: DataFrame, group_cols: Sequence[str]) -> str:
+    """``window`` when the largest group fits one task, else ``range``.
+
+    The decision is remembered per (input plan, groups, limit): both plans return the same rows, so a
+    stale decision after the data changed can only cost speed, never correctness."""
     limit = int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    return "window" if largest_group(df, group_cols) <= limit else "range"
+    key = (df.select(*group_cols).semanticHash() if group_cols else df.semanticHash(), tuple(group_cols), limit)
+    if key not in _DECISIONS:
+        _DECISIONS[key] = "window" if largest_group(df, group_cols) <= limit else "range"
+    return _DECISIONS[key]
 
 
 def group_row_number(df: DataFrame, group_cols: Sequence[str], value_col: str, tiebreak: Sequence[str],
@@ -108,7 +119,8 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], value_col: str, t
     cond = F.col("s._pid") == F.col("o._pid")
     for g in group_cols:
         cond = cond & F.col(f"s.{g}").eqNullSafe(F.col(f"o.{g}"))
-    joined = staged.alias("s").join(F.broadcast(offsets.alias("o")), cond, "inner")
+    # at most partitions + groups rows; broadcast after a size check (a shuffled join beyond it)
+    joined = staged.alias("s").join(bounded_broadcast(offsets).alias("o"), cond, "inner")
     keep = [F.col(f"s.{c}") for c in df.columns]
     return joined.select(
         *keep,

@@ -28,15 +28,17 @@ def validation_report(valid: DataFrame, features: Sequence[str], pred: str = "pr
     """Corr mean/std, Sharpe, payout, max drawdown, max feature exposure, feature neutral mean,
     MMC mean, corr+MMC Sharpe and its difference to the Sharpe, correlation with the example."""
     kw = metrics.with_strategy(valid.select(era), [era], kw)
-    per_era = metrics.era_corr(valid, pred, target, era, tiebreak, **kw).checkpoint()
+    # One rank pass serves every per-era number: the correlation of unif(pred) with the target equals
+    # the correlation of rank_pct(pred) (same order, affine scores), so corr, MMC and the correlation
+    # with the example come out of the same aggregation.
+    per_era = metrics.mmc_per_era(valid, pred, example, target, era, tiebreak, **kw).checkpoint()
     summary = metrics.corr_summary(per_era)
     pay = metrics.payout(per_era)
     dd = metrics.max_drawdown(per_era, era=era)
     fe = metrics.max_feature_exposure(valid, features, pred, era)
     fnm = neutralize.feature_neutral_mean(valid, features, pred, target, era, tiebreak, **kw)
-    mmc_era = metrics.mmc_per_era(valid, pred, example, target, era, tiebreak, **kw).checkpoint()
-    mmc = metrics.mmc_summary(mmc_era).select("mmc_mean", "corr_plus_mmc_sharpe")
-    cwe = metrics.corr_with_example(mmc_era)
+    mmc = metrics.mmc_summary(per_era).select("mmc_mean", "corr_plus_mmc_sharpe")
+    cwe = metrics.corr_with_example(per_era)
     row = _one_row(summary, pay, dd, fe, fnm, mmc, cwe)
     return row.select(
         "corr_mean", "corr_std", "sharpe", "payout", "max_drawdown", "max_feature_exposure",

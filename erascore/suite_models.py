@@ -52,6 +52,17 @@ def q_batch_score(spark, sf):
     return rounded(models.batch_score(m, live, FEATURES, "NR"))
 
 
+@register("attach_predictions", with_views(f"""WITH {_OLS_FIT}
+SELECT id, era, {r6(f'CASE WHEN p < 0 THEN 0 WHEN p > 1 THEN 1 ELSE p END')} AS prediction
+FROM (SELECT id, era, {_OLS_PRED} AS p FROM tourney, beta WHERE dataset = 'live')""", "tourney"))
+def q_attach_predictions(spark, sf):
+    """Scored ids joined back to the live rows (era kept from the rows, not from the scorer)."""
+    m = models.regressor_fit(_train(spark, sf), FEATURES)
+    live = tourney(spark, sf).where(F.col("dataset") == "live")
+    preds = models.batch_score(m, live, FEATURES, "NR")
+    return rounded(joins.attach_predictions(live.select("id", "era"), preds))
+
+
 @register("gbt_fit")
 def q_gbt_fit(spark, sf):
     m = models.gbt_fit(_train(spark, sf), FEATURES, n_trees=20)
