@@ -79,15 +79,25 @@ def _stack(features: Sequence[str], name_col: str = "feature", value_col: str =
                               for f in features])).alias("_kv")
 
 
-def long_features(df: DataFrame, keep: Sequence[str], features: Sequence[str]) -> DataFrame:
+def long_features(df: DataFrame, keep: Sequence[str], features: Sequence[str] | str) -> DataFrame:
+    """``(keep..., feature, fvalue)`` rows. ``features`` is a list of columns, or the name of one
+    ``array`` column holding the whole feature vector (wide data: the feature is its position)."""
+    if isinstance(features, str):
+        return (df.select(*keep, F.posexplode(features).alias("_pos", "_v"))
+                  .select(*keep, F.format_string("%s[%d]", F.lit(features), F.col("_pos")).alias("feature"),
+                          F.col("_v").cast("double").alias("fvalue")))
     return (df.select(*keep, _stack(features))
               .select(*keep, F.col("_kv.feature").alias("feature"), F.col("_kv.fvalue").alias("fvalue")))
 
 
+def _feature_cols(features: Sequence[str] | str) -> list[str]:
+    return [features] if isinstance(features, str) else list(features)
+
+
 def feature_exposure(df: DataFrame, features: Sequence[str], pred: str = "prediction",
                      tiebreak: Sequence[str] | str = ("row_idx",), **kw) -> DataFrame:
     """Per feature, Pearson(global rank_pct(pred), feature) over the whole set."""
-    cols = [pred, *features] + _tb(tiebreak)
+    cols = [pred, *_feature_cols(features)] + _tb(tiebreak)
     r = ranked_for_corr(df.select(*dict.fromkeys(cols)), pred, None, tiebreak, out="_r", **kw)
     return (long_features(r, ["_r"], features)
             .groupBy("feature").agg(corr_strict("_r", "fvalue").alias("exposure")))
@@ -96,7 +106,7 @@ def feature_exposure(df: DataFrame, features: Sequence[str], pred: str = "predic
 def era_feature_exposure(df: DataFrame, features: Sequence[str], pred: str = "prediction",
                          era: str = "era") -> DataFrame:
     """Per (era, feature): |Pearson(feature, raw pred)| with pairwise missing-value drop."""
-    return (long_features(df.select(era, pred, *features), [era, pred], features)
+    return (long_features(df.select(era, pred, *_feature_cols(features)), [era, pred], features)
             .groupBy(era, "feature").agg(F.abs(corr_pairwise("fvalue", pred)).alias("abs_exposure")))
 
 

@@ -8,7 +8,7 @@ from .functions import sqlgen
 from .functions.decode import clamp01
 from .operators import joins, metrics, neutralize, ranking
 from .plans import evaluation
-from .sources.fixtures import FEATURES, tourney, tourney_missing, with_views
+from .sources.fixtures import FEATURES, tourney, tourney_missing, vec, with_views
 from .suite import (_era_corr_sql, r6, register, rounded, sql_corr_pairwise, sql_corr_strict,
                     sql_rank_pct, sql_unif)
 
@@ -351,3 +351,14 @@ def q_side_by_side(spark, sf):
     example = t.where(F.col("era") % 2 == 0).select("id", "example_preds")
     valid = t.where(F.col("dataset") == "valid").select("id", "era", "prediction")
     return rounded(joins.side_by_side(example, valid))
+
+
+@register("max_feature_exposure_wide", with_views(f"""
+WITH l AS (SELECT era, cast(y[1] AS DOUBLE) AS p, unnest(range(len(x))) AS pos, cast(unnest(x) AS DOUBLE) AS v FROM vec),
+pe AS (SELECT era, pos, abs({sql_corr_pairwise('v', 'p')}) AS a FROM l GROUP BY era, pos),
+m AS (SELECT era, max(a) AS mx FROM pe GROUP BY era)
+SELECT {r6('avg(mx)')} AS max_feature_exposure FROM m""", "vec"))
+def q_max_feature_exposure_wide(spark, sf):
+    """A8 over a feature vector column (64 embedding values per row), the wide-data layout."""
+    v = vec(spark, sf).select("era", F.element_at("y", 1).cast("double").alias("prediction"), "x")
+    return rounded(metrics.max_feature_exposure(v, "x"))

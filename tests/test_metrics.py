@@ -119,3 +119,21 @@ def test_quantiles_exact(spark):
     s = pd.Series(vals)
     assert np.isclose(d.p25, s.quantile(0.25)) and np.isclose(d.p50, s.median()) and np.isclose(d.p75, s.quantile(0.75))
     assert d["count"] == 101 and np.isclose(d["std"], s.std())
+
+
+def test_array_features_equal_columns(frame):
+    df, _ = frame
+    arr = df.withColumn("x", F.array("f1", "f2", "f3"))
+    a = metrics.max_feature_exposure(arr, "x").first()[0]
+    b = metrics.max_feature_exposure(df, ["f1", "f2", "f3"]).first()[0]
+    assert np.isclose(a, b)
+    ea = sorted(r.exposure for r in metrics.feature_exposure(arr, "x").collect())
+    eb = sorted(r.exposure for r in metrics.feature_exposure(df, ["f1", "f2", "f3"]).collect())
+    assert np.allclose(ea, eb)
+
+
+def test_file_position(spark, sf_dir):
+    from erascore.sources.tables import read_table, with_file_position
+    ev = with_file_position(read_table(spark, sf_dir, "events")).select("event_id", "_file", "_row")
+    rows = ev.orderBy("_row").limit(3).collect()
+    assert [r._row for r in rows] == [0, 1, 2]
