@@ -163,3 +163,38 @@ def q_stream_score(spark, sf):
 
     out = _run_stream(spark, sf, score, gate=True)
     return rounded(out.select(F.col("round").cast("int").alias("round"), "id", "prediction"))
+
+
+# ----------------------------------------------------------------------------- lifecycle plans
+
+@register("training_etl", with_views("""
+SELECT dataset, count(*) AS n_rows, count(DISTINCT era) AS n_eras FROM (
+  SELECT era, CASE WHEN row_number() OVER (ORDER BY md5(id || '5'), id) <= floor(count(*) OVER () * 0.2e0)
+                   THEN 'valid' ELSE 'train' END AS dataset
+  FROM tourney WHERE dataset <> 'live')
+GROUP BY dataset""", "tourney"))
+def q_training_etl(spark, sf):
+    """The ETL path: examples with an exact 20 % holdout written as shards, read back and counted."""
+    from .plans import pipelines
+    rows = tourney(spark, sf).where(F.col("dataset") != "live").drop("dataset")
+    out = scratch_path(spark, "etl")
+    pipelines.training_etl(rows, out, FEATURES, ["target"], split=0.2, seed=5, shard_rows=1000)
+    back = spark.read.parquet(out)
+    return back.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("era").alias("n_eras"))
+
+
+@register("live_scoring", with_views(f"""WITH {_OLS_FIT},
+p AS (SELECT CASE WHEN p < 0 THEN 0 WHEN p > 1 THEN 1 ELSE p END AS p
+      FROM (SELECT {_OLS_PRED} AS p FROM tourney, beta WHERE dataset = 'live')),
+c AS (SELECT cast(least(floor(p * 10), 10) AS INTEGER) AS bucket, count(*) AS n FROM p GROUP BY 1),
+b AS (SELECT cast(range AS INTEGER) AS bucket FROM range(0, 11))
+SELECT b.bucket, CASE WHEN b.bucket = 10 THEN '100' ELSE cast(b.bucket AS VARCHAR) || '0' END AS label,
+       cast(coalesce(c.n, 0) AS BIGINT) AS n
+FROM b LEFT JOIN c USING (bucket)""", "tourney"))
+def q_live_scoring(spark, sf):
+    """The predict path: live rows scored, written as a submission; the decile histogram of the file."""
+    from .plans import pipelines
+    model = models.regressor_fit(_train(spark, sf), FEATURES)
+    live = tourney(spark, sf).where(F.col("dataset") == "live")
+    _, hist = pipelines.live_scoring(live, model, FEATURES, scratch_path(spark, "live"), "lr", 1, 30)
+    return hist
