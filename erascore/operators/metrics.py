@@ -48,6 +48,14 @@ def rank_corr(df: DataFrame, pred: str = "prediction", target: str = "target",
     return r.agg(corr_strict("_r", target).alias(out))
 
 
+def corr_report(per_era: DataFrame, corr: str = "corr", bound: float = PAYOUT_CLIP) -> DataFrame:
+    """A4 + A5 in one aggregation: corr_mean, corr_std, sharpe, payout."""
+    c = F.col(corr)
+    return per_era.agg(F.avg(c).alias("corr_mean"), F.stddev_pop(c).alias("corr_std"),
+                       safe_ratio(F.avg(c), F.stddev_pop(c)).alias("sharpe"),
+                       F.avg(clip_payout(c, bound)).alias("payout"))
+
+
 def corr_summary(per_era: DataFrame, corr: str = "corr", prefix: str = "corr") -> DataFrame:
     """A4: mean, population std and Sharpe over eras; missing eras skipped."""
     return per_era.agg(
@@ -155,19 +163,19 @@ def mmc_per_era(df: DataFrame, pred: str = "prediction", example: str = "example
         corr_strict("u", "v").alias("corr_example"))
 
 
-def mmc_summary(per_era: DataFrame, corr_sharpe: Column | None = None) -> DataFrame:
-    """A10-A12 summary: NumPy mean/std (missing values propagate) of mmc and corr + mmc."""
+def mmc_summary(per_era: DataFrame) -> DataFrame:
+    """A10-A12 summary from the per-era frame of ``mmc_per_era``: NumPy mean/std (missing values
+    propagate) of mmc and corr + mmc, and the difference of the corr + mmc Sharpe to the correlation
+    Sharpe (which skips missing eras, like pandas)."""
     cpm = F.col("corr") + F.col("mmc")
-    aggs = [
+    cps = safe_ratio(mean_strict(cpm), std_pop_strict(cpm))
+    sharpe = safe_ratio(F.avg("corr"), F.stddev_pop("corr"))
+    return per_era.agg(
         mean_strict("mmc").alias("mmc_mean"),
         safe_ratio(mean_strict("mmc"), std_pop_strict("mmc")).alias("mmc_sharpe"),
         mean_strict(cpm).alias("corr_plus_mmc_mean"),
-        safe_ratio(mean_strict(cpm), std_pop_strict(cpm)).alias("corr_plus_mmc_sharpe"),
-    ]
-    out = per_era.agg(*aggs)
-    if corr_sharpe is not None:
-        out = out.withColumn("corr_plus_mmc_diff", F.col("corr_plus_mmc_sharpe") - corr_sharpe)
-    return out
+        cps.alias("corr_plus_mmc_sharpe"),
+        (cps - sharpe).alias("corr_plus_mmc_diff"))
 
 
 def corr_with_example(per_era: DataFrame) -> DataFrame:
@@ -219,31 +227,35 @@ def class_accuracy(df: DataFrame, y_class: str, scores: str) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], tiebreak: Sequence[str] = (),
-                    **kw) -> DataFrame:
+                    extra_aggs: Sequence[Column] = (), **kw) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``quantile_cont``) without collecting a
-    group: the values get a distributed global rank, only the rows at the two neighbouring ranks
-    of each requested position are kept (at most 2 per quantile), then interpolated."""
+    group: the non-missing values get a distributed global rank, and one aggregation picks the values
+    at the two neighbouring ranks of each requested position (conditional aggregates) and
+    interpolates. Columns ``q0, q1, ...`` in the order of ``probs`` plus ``extra_aggs``."""
     ranked = ranking.group_row_number(df.select(value, *tiebreak).where(F.col(value).isNotNull()),
                                       [], value, list(tiebreak), out="_q", **kw)
-    spark = df.sparkSession
-    wanted = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "qi int, q double")
-    pos = F.col("q") * (F.col("_q_n") - 1)
-    cand = (ranked.crossJoin(F.broadcast(wanted))  # fixed, tiny list of requested quantiles
-                  .where((F.col("_q") - 1 == F.floor(pos)) | (F.col("_q") - 1 == F.ceil(pos))))
-    lo = F.min(F.struct(F.col("_q"), F.col(value).alias("v")))
-    hi = F.max(F.struct(F.col("_q"), F.col(value).alias("v")))
-    agg = cand.groupBy("qi", "q").agg(lo.alias("lo"), hi.alias("hi"), F.first(pos).alias("pos"))
-    frac = F.col("pos") - F.floor(F.col("pos"))
-    return agg.select("qi", "q", (F.col("lo.v") + (F.col("hi.v") - F.col("lo.v")) * frac).alias("value"))
+    pos0 = F.col("_q") - 1
+    n1 = F.col("_q_n") - 1
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * n1
+        lo, hi = F.floor(pos), F.ceil(pos)
+        aggs += [F.max(F.when(pos0 == lo, F.col(value))).alias(f"_lo{i}"),
+                 F.max(F.when(pos0 == hi, F.col(value))).alias(f"_hi{i}"),
+                 F.max(F.when(pos0 == lo, pos - lo)).alias(f"_fr{i}")]
+    out = ranked.agg(*aggs, *extra_aggs)
+    qs = [(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}")).alias(f"q{i}")
+          for i in range(len(probs))]
+    return out.select(*qs, *[F.col(c) for c in out.columns if not c.startswith("_")])
 
 
 def describe_predictions(df: DataFrame, pred: str = "prediction", tiebreak: Sequence[str] = (),
                          **kw) -> DataFrame:
-    """Count, mean, sample std, min, quartiles (exact, interpolated), max of the predictions."""
+    """Count, mean, sample std, min, quartiles (exact, interpolated), max of the predictions --
+    one rank pass and one aggregation (missing predictions are not counted, as in pandas)."""
     c = F.col(pred)
-    basic = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                   F.min(c).alias("min"), F.max(c).alias("max"))
-    q = exact_quantiles(df, pred, [0.25, 0.5, 0.75], tiebreak, **kw)
-    wide = q.groupBy().pivot("qi", [0, 1, 2]).agg(F.first("value"))
-    wide = wide.select(F.col("0").alias("p25"), F.col("1").alias("p50"), F.col("2").alias("p75"))
-    return basic.crossJoin(wide).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    extra = [F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+             F.min(c).alias("min"), F.max(c).alias("max")]
+    q = exact_quantiles(df, pred, [0.25, 0.5, 0.75], tiebreak, extra_aggs=extra, **kw)
+    return q.select("count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
+                    F.col("q2").alias("p75"), "max")

@@ -165,8 +165,8 @@ def neutralize_series(df: DataFrame, series: str, by: str, proportion: float = 1
         coef = bounded_broadcast(df.groupBy(*group_cols).agg(*agg))
         joined = df.join(coef, group_cols, "left")
     else:
-        coef = df.agg(*agg)
-        joined = df.crossJoin(F.broadcast(coef))  # one-row frame: a scalar attached to every row
+        fit = df.agg(*agg).first()  # one row: slope and intercept of the whole frame
+        joined = df.select("*", F.lit(fit["_b"]).cast("double").alias("_b"), F.lit(fit["_a"]).cast("double").alias("_a"))
     return (joined.withColumn(out, F.col(series) - F.lit(proportion) * (F.col("_a") + F.col("_b") * F.col(by)))
                   .drop("_a", "_b"))
 

@@ -11,15 +11,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import metrics, neutralize
 
 
 def _one_row(*frames: DataFrame) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.crossJoin(F.broadcast(f))  # every frame has exactly one row
-    return out
+    """Side by side values of one-row aggregates: each is computed (one row to the driver) and the
+    report row is built from them."""
+    values, fields = [], []
+    for f in frames:
+        row = f.first()
+        values += list(row)
+        fields += [T.StructField(x.name, x.dataType, True) for x in f.schema.fields]
+    return frames[0].sparkSession.createDataFrame([tuple(values)], T.StructType(fields))
 
 
 def validation_report(valid: DataFrame, features: Sequence[str], pred: str = "prediction",
@@ -32,14 +37,13 @@ def validation_report(valid: DataFrame, features: Sequence[str], pred: str = "pr
     # the correlation of rank_pct(pred) (same order, affine scores), so corr, MMC and the correlation
     # with the example come out of the same aggregation.
     per_era = metrics.mmc_per_era(valid, pred, example, target, era, tiebreak, **kw).checkpoint()
-    summary = metrics.corr_summary(per_era)
-    pay = metrics.payout(per_era)
+    summary = metrics.corr_report(per_era)
     dd = metrics.max_drawdown(per_era, era=era)
     fe = metrics.max_feature_exposure(valid, features, pred, era)
     fnm = neutralize.feature_neutral_mean(valid, features, pred, target, era, tiebreak, **kw)
     mmc = metrics.mmc_summary(per_era).select("mmc_mean", "corr_plus_mmc_sharpe")
     cwe = metrics.corr_with_example(per_era)
-    row = _one_row(summary, pay, dd, fe, fnm, mmc, cwe)
+    row = _one_row(summary, dd, fe, fnm, mmc, cwe)
     return row.select(
         "corr_mean", "corr_std", "sharpe", "payout", "max_drawdown", "max_feature_exposure",
         "feature_neutral_mean", "mmc_mean", "corr_plus_mmc_sharpe",

@@ -249,12 +249,8 @@ SELECT {r6('m')} AS corr_plus_mmc_mean, {r6('m / nullif(s, 0)')} AS corr_plus_mm
        {r6('m / nullif(s, 0) - sharpe')} AS corr_plus_mmc_diff
 FROM cm, vs""", "tourney"))
 def q_corr_plus_mmc(spark, sf):
-    v = _valid(spark, sf)
-    sharpe = metrics.corr_summary(metrics.era_corr(v)).select("sharpe")
-    s = metrics.mmc_summary(metrics.mmc_per_era(v))
-    out = s.crossJoin(F.broadcast(sharpe))  # two one-row aggregates side by side
-    return rounded(out.select("corr_plus_mmc_mean", "corr_plus_mmc_sharpe",
-                              (F.col("corr_plus_mmc_sharpe") - F.col("sharpe")).alias("corr_plus_mmc_diff")))
+    s = metrics.mmc_summary(metrics.mmc_per_era(_valid(spark, sf)))
+    return rounded(s.select("corr_plus_mmc_mean", "corr_plus_mmc_sharpe", "corr_plus_mmc_diff"))
 
 
 @register("corr_with_example", with_views(f"""WITH {_MMC_ERA_SQL}
