@@ -9,7 +9,12 @@ from .operators import joins, metrics, registry
 from .sources import tournament as src
 from .sources.fixtures import class_scores, tourney, with_views
 from .sources.tables import read_table
+from .functions.stats import round6
 from .suite import r6, register, rounded
+
+
+def r6_col(name: str):
+    return round6(F.col(name)).alias(name)
 from .suite_etl import _CONFIG_SQL, _config_lines
 
 T = "tourney"
@@ -131,12 +136,23 @@ def q_model_run_plan(spark, sf):
     return joins.model_run_plan(models, config).select("run_model", "model", "version", "rev", "epoch")
 
 
+def _sql_quantile(q: float) -> str:
+    pos = f"{q!r}e0 * (n - 1)"
+    lo = f"max(CASE WHEN pos0 = floor({pos}) THEN v END)"
+    hi = f"max(CASE WHEN pos0 = ceil({pos}) THEN v END)"
+    fr = f"max(CASE WHEN pos0 = floor({pos}) THEN {pos} - floor({pos}) END)"
+    return f"{lo} + ({hi} - {lo}) * {fr}"
+
+
 @register("describe_predictions", with_views(f"""
-SELECT count(prediction) AS count, {r6('avg(prediction)')} AS mean, {r6('stddev_samp(prediction)')} AS std,
-       {r6('min(prediction)')} AS min, {r6('quantile_cont(prediction, 0.25)')} AS p25,
-       {r6('quantile_cont(prediction, 0.5)')} AS p50, {r6('quantile_cont(prediction, 0.75)')} AS p75,
-       {r6('max(prediction)')} AS max
-FROM tourney WHERE dataset = 'live'""", T))
+WITH r AS (SELECT prediction AS v, row_number() OVER (ORDER BY prediction, row_idx) - 1 AS pos0,
+                  count(*) OVER () AS n FROM tourney WHERE dataset = 'live' AND prediction IS NOT NULL)
+SELECT count(v) AS count, {r6('avg(v)')} AS mean, {r6('stddev_samp(v)')} AS std, min(v) AS min,
+       {_sql_quantile(0.25)} AS p25, {_sql_quantile(0.5)} AS p50, {_sql_quantile(0.75)} AS p75, max(v) AS max
+FROM r""", T))
 def q_describe_predictions(spark, sf):
+    """Quartiles are interpolated with the same formula in both engines and compared unrounded
+    (they are exact decimals whose 6-digit rounding would hit ties); mean and std are rounded."""
     live = tourney(spark, sf).where(F.col("dataset") == "live").select("prediction", "row_idx")
-    return rounded(metrics.describe_predictions(live, tiebreak=["row_idx"]))
+    d = metrics.describe_predictions(live, tiebreak=["row_idx"])
+    return d.select("count", r6_col("mean"), r6_col("std"), "min", "p25", "p50", "p75", "max")
