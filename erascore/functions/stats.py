@@ -21,10 +21,18 @@ def safe_ratio(num: Column, den: Column) -> Column:
     return num / F.nullif(den, F.lit(0.0))
 
 
+def present(x) -> Column:
+    """Not NULL and not NaN: the reference's notion of a present value."""
+    x = _c(x)
+    return x.isNotNull() & ~F.isnan(x)
+
+
 def corr_strict(a, b) -> Column:
-    """Pearson correlation; NULL if any value of either side is missing, or on zero variance."""
+    """Pearson correlation; NULL if any value of either side is missing (NULL or NaN), or on zero
+    variance."""
     a, b = _c(a), _c(b)
-    complete = (F.count(F.lit(1)) == F.count(a)) & (F.count(F.lit(1)) == F.count(b))
+    n = F.count(F.lit(1))
+    complete = (n == F.count(F.when(present(a), 1))) & (n == F.count(F.when(present(b), 1)))
     value = safe_ratio(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
     return F.when(complete, value)
 
@@ -32,7 +40,7 @@ def corr_strict(a, b) -> Column:
 def corr_pairwise(a, b) -> Column:
     """Pearson correlation over rows where both sides are present (pandas ``corrwith``)."""
     a, b = _c(a), _c(b)
-    both = a.isNotNull() & b.isNotNull()
+    both = present(a) & present(b)
     a2 = F.when(both, a)
     b2 = F.when(both, b)
     return safe_ratio(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))
@@ -45,14 +53,14 @@ def nan_to_null(col) -> Column:
 
 
 def mean_strict(x) -> Column:
-    """np.mean: NULL if any input is NULL (unlike ``avg`` which skips)."""
+    """np.mean: NULL if any input is missing (unlike ``avg`` which skips)."""
     x = _c(x)
-    return F.when(F.count(F.lit(1)) == F.count(x), F.avg(x))
+    return F.when(F.count(F.lit(1)) == F.count(F.when(present(x), 1)), F.avg(x))
 
 
 def std_pop_strict(x) -> Column:
     x = _c(x)
-    return F.when(F.count(F.lit(1)) == F.count(x), F.stddev_pop(x))
+    return F.when(F.count(F.lit(1)) == F.count(F.when(present(x), 1)), F.stddev_pop(x))
 
 
 def round6(col) -> Column:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import corr_pairwise, corr_strict, mean_strict, safe_ratio, std_pop_strict
+from ..functions.stats import corr_pairwise, corr_strict, mean_strict, present, safe_ratio, std_pop_strict
 from . import ranking
 
 # Fixed values from the reference's metric definitions.
@@ -59,7 +59,7 @@ def corr_report(per_era: DataFrame, corr: str = "corr", bound: float = PAYOUT_CL
 def corr_summary(per_era: DataFrame, corr: str = "corr", prefix: str = "corr") -> DataFrame:
     """A4: mean, population std and Sharpe over eras; missing eras skipped."""
     return per_era.agg(
-        F.avg(corr).alias(f"{prefix}_mean"),
+        F.avg(corr).alias(f"{prefix}_mean"),  # per-era values are NULL (never NaN) when missing
         F.stddev_pop(corr).alias(f"{prefix}_std"),
         safe_ratio(F.avg(corr), F.stddev_pop(corr)).alias("sharpe"))
 
@@ -155,8 +155,8 @@ def mmc_per_era(df: DataFrame, pred: str = "prediction", example: str = "example
     uv = unif_pair(df.select(*dict.fromkeys(cols)), pred, example, era, tiebreak, **kw)
     slope = safe_ratio(F.covar_pop("u", "v"), F.var_pop("v"))
     mmc = (F.covar_samp("u", target) - slope * F.covar_samp("v", target)) / F.lit(MMC_SCALE)
-    complete = (F.count(F.lit(1)) == F.count("u")) & (F.count(F.lit(1)) == F.count("v")) \
-        & (F.count(F.lit(1)) == F.count(target))
+    n = F.count(F.lit(1))
+    complete = (n == F.count("u")) & (n == F.count("v")) & (n == F.count(F.when(present(target), 1)))
     return uv.groupBy(era).agg(
         F.when(complete, mmc).alias("mmc"),
         corr_strict("u", target).alias("corr"),

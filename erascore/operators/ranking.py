@@ -30,6 +30,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import shuffle_partitions
 from .sizing import bounded_broadcast
@@ -82,6 +83,9 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], value_col: str, t
     callers that know their groups are small.
     """
     group_cols, tiebreak = list(group_cols), list(tiebreak)
+    if isinstance(df.schema[value_col].dataType, (T.FloatType, T.DoubleType)):
+        # NaN is a missing value (pandas), not the largest number (Spark): rank it as NULL
+        df = df.withColumn(value_col, F.when(~F.isnan(value_col), F.col(value_col)))
     orders = _orders(group_cols, [value_col], tiebreak, descending)
     n_col, nv_col = f"{out}_n", f"{out}_nvalid"
     if strategy == "auto":

@@ -137,3 +137,18 @@ def test_file_position(spark, sf_dir):
     ev = with_file_position(read_table(spark, sf_dir, "events")).select("event_id", "_file", "_row")
     rows = ev.orderBy("_row").limit(3).collect()
     assert [r._row for r in rows] == [0, 1, 2]
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    rows = [(1, 0.1, 0.0, 0), (1, nan, 1.0, 1), (1, 0.9, 1.0, 2), (1, 0.5, 0.0, 3),
+            (2, 0.2, 0.0, 4), (2, 0.4, nan, 5), (2, 0.3, 1.0, 6)]
+    df = spark.createDataFrame(rows, "era int, prediction double, target double, row_idx int")
+    from erascore.operators import ranking
+    r = {x.row_idx: x.rank_pct for x in ranking.rank_pct_first(df, "prediction", ["era"], ["row_idx"]).collect()}
+    pdf = pd.DataFrame(rows, columns=["era", "p", "t", "i"])
+    exp = pdf.groupby("era")["p"].rank(pct=True, method="first")
+    for i, v in exp.items():
+        assert (r[i] is None and np.isnan(v)) or np.isclose(r[i], v)
+    per = {x.era: x.corr for x in metrics.era_corr(df).collect()}
+    assert per[1] is None and per[2] is None  # any missing prediction or target -> no correlation
