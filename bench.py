@@ -35,6 +35,11 @@ def q_era_corr_big(spark, sf):
     return metrics.corr_summary(metrics.era_corr(_big(spark, sf), tiebreak=BIG_TIEBREAK))
 
 
+def q_era_corr_big_range(spark, sf):
+    """The skew-safe plan forced (what the size check picks when one era exceeds a task)."""
+    return metrics.corr_summary(metrics.era_corr(_big(spark, sf), tiebreak=BIG_TIEBREAK, strategy="range"))
+
+
 def q_mmc_big(spark, sf):
     return metrics.mmc_summary(metrics.mmc_per_era(_big(spark, sf), tiebreak=BIG_TIEBREAK))
 
@@ -81,6 +86,7 @@ def q_write_shards_by_era_big(spark, sf):
 
 QUERIES = {
     "era_corr_big": q_era_corr_big,
+    "era_corr_big_range": q_era_corr_big_range,
     "mmc_big": q_mmc_big,
     "feature_exposure_big": q_feature_exposure_big,
     "feature_neutral_mean_big": q_feature_neutral_mean_big,

@@ -24,10 +24,13 @@ def write_shards_by_era(df: DataFrame, path: str, shard_rows: int = DEFAULT_SHAR
                         dataset: str = "dataset", era: str = "era", mode: str = "overwrite") -> None:
     """A file series per (role, era).
 
-    The rows are clustered by (role, era) with a range shuffle (not a hash on era alone) so a hot
-    era is spread over several writer tasks, each producing its own files of at most ``shard_rows``
-    rows, while small eras still end up in few files."""
-    (df.repartitionByRange(dataset, era)
+    The rows are clustered with a range shuffle on (role, era, row hash): range partitioning cannot
+    split one key value, so the deterministic hash of the whole row is the last sort key -- a hot era
+    then spans several writer tasks (each writing its own files of at most ``shard_rows`` rows),
+    while small eras still land in one or two tasks. The hash is a pure function of the row, so a
+    recomputed task writes the same rows."""
+    split = F.xxhash64(*[F.col(c) for c in df.columns])
+    (df.repartitionByRange(F.col(dataset), F.col(era), split)
        .write.mode(mode).option("maxRecordsPerFile", shard_rows)
        .partitionBy(dataset, era).parquet(path))
 
