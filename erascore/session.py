@@ -26,10 +26,43 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    prepare_session(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``erascore`` importable in the Python workers (pandas UDFs, ``mapInPandas``).
+
+    Zips the package once per application and registers it with ``addPyFile`` -- what
+    ``--py-files`` does at submit time; Spark distributes the file to every executor."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    target = os.path.join(tempfile.mkdtemp(prefix="erascore-pyfiles-"), "erascore.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
+def prepare_session(spark: SparkSession) -> str:
+    """Library set-up for a session the caller created: package shipped to the workers and a
+    checkpoint folder (the cluster's own when configured)."""
+    ship_package(spark)
+    return ensure_checkpoint_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder; only when none is configured
     (a local test session) create a private one under the system temp folder."""
