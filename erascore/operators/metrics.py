@@ -48,12 +48,15 @@ def rank_corr(df: DataFrame, pred: str = "prediction", target: str = "target",
     return r.agg(corr_strict("_r", target).alias(out))
 
 
+def corr_report_aggs(corr: str = "corr", bound: float = PAYOUT_CLIP) -> list[Column]:
+    c = F.col(corr)
+    return [F.avg(c).alias("corr_mean"), F.stddev_pop(c).alias("corr_std"),
+            safe_ratio(F.avg(c), F.stddev_pop(c)).alias("sharpe"), F.avg(clip_payout(c, bound)).alias("payout")]
+
+
 def corr_report(per_era: DataFrame, corr: str = "corr", bound: float = PAYOUT_CLIP) -> DataFrame:
     """A4 + A5 in one aggregation: corr_mean, corr_std, sharpe, payout."""
-    c = F.col(corr)
-    return per_era.agg(F.avg(c).alias("corr_mean"), F.stddev_pop(c).alias("corr_std"),
-                       safe_ratio(F.avg(c), F.stddev_pop(c)).alias("sharpe"),
-                       F.avg(clip_payout(c, bound)).alias("payout"))
+    return per_era.agg(*corr_report_aggs(corr, bound))
 
 
 def corr_summary(per_era: DataFrame, corr: str = "corr", prefix: str = "corr") -> DataFrame:
@@ -167,15 +170,18 @@ def mmc_summary(per_era: DataFrame) -> DataFrame:
     """A10-A12 summary from the per-era frame of ``mmc_per_era``: NumPy mean/std (missing values
     propagate) of mmc and corr + mmc, and the difference of the corr + mmc Sharpe to the correlation
     Sharpe (which skips missing eras, like pandas)."""
+    return per_era.agg(*mmc_summary_aggs())
+
+
+def mmc_summary_aggs() -> list[Column]:
     cpm = F.col("corr") + F.col("mmc")
     cps = safe_ratio(mean_strict(cpm), std_pop_strict(cpm))
     sharpe = safe_ratio(F.avg("corr"), F.stddev_pop("corr"))
-    return per_era.agg(
-        mean_strict("mmc").alias("mmc_mean"),
-        safe_ratio(mean_strict("mmc"), std_pop_strict("mmc")).alias("mmc_sharpe"),
-        mean_strict(cpm).alias("corr_plus_mmc_mean"),
-        cps.alias("corr_plus_mmc_sharpe"),
-        (cps - sharpe).alias("corr_plus_mmc_diff"))
+    return [mean_strict("mmc").alias("mmc_mean"),
+            safe_ratio(mean_strict("mmc"), std_pop_strict("mmc")).alias("mmc_sharpe"),
+            mean_strict(cpm).alias("corr_plus_mmc_mean"),
+            cps.alias("corr_plus_mmc_sharpe"),
+            (cps - sharpe).alias("corr_plus_mmc_diff")]
 
 
 def corr_with_example(per_era: DataFrame) -> DataFrame:

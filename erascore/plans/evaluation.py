@@ -37,13 +37,13 @@ def validation_report(valid: DataFrame, features: Sequence[str], pred: str = "pr
     # the correlation of rank_pct(pred) (same order, affine scores), so corr, MMC and the correlation
     # with the example come out of the same aggregation.
     per_era = metrics.mmc_per_era(valid, pred, example, target, era, tiebreak, **kw).checkpoint()
-    summary = metrics.corr_report(per_era)
+    # corr mean/std/Sharpe/payout, MMC summary and the example correlation: one aggregation
+    summary = per_era.agg(*metrics.corr_report_aggs(), *metrics.mmc_summary_aggs(),
+                          F.avg("corr_example").alias("corr_with_example"))
     dd = metrics.max_drawdown(per_era, era=era)
     fe = metrics.max_feature_exposure(valid, features, pred, era)
     fnm = neutralize.feature_neutral_mean(valid, features, pred, target, era, tiebreak, **kw)
-    mmc = metrics.mmc_summary(per_era).select("mmc_mean", "corr_plus_mmc_sharpe")
-    cwe = metrics.corr_with_example(per_era)
-    row = _one_row(summary, dd, fe, fnm, mmc, cwe)
+    row = _one_row(summary, dd, fe, fnm)
     return row.select(
         "corr_mean", "corr_std", "sharpe", "payout", "max_drawdown", "max_feature_exposure",
         "feature_neutral_mean", "mmc_mean", "corr_plus_mmc_sharpe",
