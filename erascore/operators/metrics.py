@@ -10,8 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.stats import corr_pairwise, corr_strict, mean_strict, present, safe_ratio, std_pop_strict
 from . import ranking
@@ -114,17 +117,90 @@ def feature_exposure(df: DataFrame, features: Sequence[str], pred: str = "predic
             .groupBy("feature").agg(corr_strict("_r", "fvalue").alias("exposure")))
 
 
-def era_feature_exposure(df: DataFrame, features: Sequence[str], pred: str = "prediction",
-                         era: str = "era") -> DataFrame:
-    """Per (era, feature): |Pearson(feature, raw pred)| with pairwise missing-value drop."""
-    return (long_features(df.select(era, pred, *_feature_cols(features)), [era, pred], features)
-            .groupBy(era, "feature").agg(F.abs(corr_pairwise("fvalue", pred)).alias("abs_exposure")))
-
-
-def max_feature_exposure(df: DataFrame, features: Sequence[str], pred: str = "prediction",
-                         era: str = "era") -> DataFrame:
+WIDE_FEATURES = 32
+
+
+def _feature_moments_arrow(df: DataFrame, features: Sequence[str] | str, pred: str, era: str) -> DataFrame:
+    """Per (era, feature) pairwise moments ``n, sx, sxx, sp, spp, sxp`` over rows where both the
+    feature and the prediction are present. Each Arrow batch (``mapInArrow``; a fixed-width vector
+    column becomes one NumPy matrix without a Python loop) is reduced to one moment vector per era
+    present in it (``k`` rows per era and batch), and Spark sums the moment rows per (era, feature)
+    with a partial aggregation -- the k-fold row expansion never materializes."""
+    names = [features] if isinstance(features, str) else list(features)
+    x = F.col(features).cast("array<double>") if isinstance(features, str) else \
+        F.array(*[F.col(c).cast("double") for c in names])
+    packed = df.select(F.col(era).alias("_era"), F.col(pred).cast("double").alias("_p"), x.alias("_x"))
+    era_type = df.schema[era].dataType
+    schema = T.StructType([T.StructField("_era", era_type), T.StructField("j", T.IntegerType())] +
+                          [T.StructField(m, T.DoubleType()) for m in ("n", "sx", "sxx", "sp", "spp", "sxp")])
+
+    def matrix(lst, n: int) -> np.ndarray:
+        import pyarrow.compute as pc
+        lens = pc.list_value_length(lst).to_numpy(zero_copy_only=False)
+        width = int(np.nanmax(lens)) if n else 0
+        if lst.null_count == 0 and n and (lens == width).all():
+            return lst.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, width)
+        mat = np.full((n, width), np.nan)  # ragged or missing vectors: pad with NaN (= missing)
+        for i, v in enumerate(lst.to_pylist()):
+            if v is not None:
+                mat[i, :len(v)] = [np.nan if e is None else e for e in v]
+        return mat
+
+    def moments(batches):
+        import pyarrow as pa
+        for rb in batches:
+            n = rb.num_rows
+            if n == 0:
+                continue
+            eras = rb.column(0)
+            p = rb.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
+            mat = matrix(rb.column(2), n)
+            width = mat.shape[1]
+            valid = ~np.isnan(mat) & ~np.isnan(p)[:, None]
+            x0 = np.where(valid, mat, 0.0)
+            p0 = np.where(valid, p[:, None], 0.0)
+            keys, inv = np.unique(np.asarray(eras.to_pylist(), dtype=object), return_inverse=True) \
+                if eras.null_count else np.unique(eras.to_numpy(zero_copy_only=False), return_inverse=True)
+            for g, key in enumerate(keys):
+                rows = inv == g
+                xs, ps, vs = x0[rows], p0[rows], valid[rows]
+                cols = {"_era": pa.array([key] * width, type=eras.type), "j": pa.array(np.arange(width, dtype=np.int32)),
+                        "n": vs.sum(0).astype(np.float64), "sx": xs.sum(0), "sxx": (xs * xs).sum(0),
+                        "sp": ps.sum(0), "spp": (ps * ps).sum(0), "sxp": (xs * ps).sum(0)}
+                yield pa.RecordBatch.from_pydict(cols)
+
+    parts = packed.mapInArrow(moments, schema)
+    return parts.groupBy("_era", "j").agg(*[F.sum(m).alias(m) for m in ("n", "sx", "sxx", "sp", "spp", "sxp")])
+
+
+def era_feature_exposure(df: DataFrame, features: Sequence[str] | str, pred: str = "prediction",
+                         era: str = "era", method: str = "auto") -> DataFrame:
+    """Per (era, feature): |Pearson(feature, raw pred)| with pairwise missing-value drop.
+
+    ``method``: ``explode`` stacks (feature, value) pairs into the aggregation pipeline (JVM,
+    codegen'd); ``arrow`` reduces Arrow batches to moment vectors with NumPy (wide feature sets:
+    array columns or more than ``WIDE_FEATURES`` columns); ``auto`` chooses by width."""
+    if method == "auto":
+        method = "arrow" if isinstance(features, str) or len(features) > WIDE_FEATURES else "explode"
+    if method == "explode":
+        return (long_features(df.select(era, pred, *_feature_cols(features)), [era, pred], features)
+                .groupBy(era, "feature").agg(F.abs(corr_pairwise("fvalue", pred)).alias("abs_exposure")))
+    m = _feature_moments_arrow(df, features, pred, era)
+    cov = F.col("sxp") / F.col("n") - (F.col("sx") / F.col("n")) * (F.col("sp") / F.col("n"))
+    vx = F.col("sxx") / F.col("n") - F.pow(F.col("sx") / F.col("n"), 2)
+    vp = F.col("spp") / F.col("n") - F.pow(F.col("sp") / F.col("n"), 2)
+    den = F.sqrt(F.greatest(vx, F.lit(0.0)) * F.greatest(vp, F.lit(0.0)))
+    names = None if isinstance(features, str) else list(features)
+    feature = (F.format_string("%s[%d]", F.lit(features), F.col("j")) if names is None
+               else F.element_at(F.array(*[F.lit(n) for n in names]), F.col("j") + 1))
+    corr = F.when(F.col("n") > 0, F.abs(safe_ratio(cov, den)))
+    return m.select(F.col("_era").alias(era), feature.alias("feature"), corr.alias("abs_exposure"))
+
+
+def max_feature_exposure(df: DataFrame, features: Sequence[str] | str, pred: str = "prediction",
+                         era: str = "era", method: str = "auto") -> DataFrame:
     """Mean over eras of the max over features of |corr(feature, pred)|."""
-    per = era_feature_exposure(df, features, pred, era)
+    per = era_feature_exposure(df, features, pred, era, method)
     per_era = per.groupBy(era).agg(F.max("abs_exposure").alias("max_exposure"))
     return per_era.agg(F.avg("max_exposure").alias("max_feature_exposure"))
 

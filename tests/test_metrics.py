@@ -152,3 +152,23 @@ def test_nan_is_missing(spark):
         assert (r[i] is None and np.isnan(v)) or np.isclose(r[i], v)
     per = {x.era: x.corr for x in metrics.era_corr(df).collect()}
     assert per[1] is None and per[2] is None  # any missing prediction or target -> no correlation
+
+
+def test_exposure_arrow_equals_explode(spark):
+    rng = np.random.default_rng(11)
+    n, k = 600, 40
+    x = rng.random((n, k))
+    x[rng.random((n, k)) < 0.05] = np.nan
+    p = rng.random(n)
+    p[rng.random(n) < 0.03] = np.nan
+    cols = [f"f{i}" for i in range(k)]
+    pdf = pd.DataFrame(x, columns=cols)
+    pdf["prediction"], pdf["era"] = p, rng.integers(1, 5, n)
+    df = spark.createDataFrame(pdf)
+    a = metrics.era_feature_exposure(df, cols, method="arrow").toPandas().set_index(["era", "feature"]).sort_index()
+    b = metrics.era_feature_exposure(df, cols, method="explode").toPandas().set_index(["era", "feature"]).sort_index()
+    assert np.allclose(a["abs_exposure"].astype(float), b["abs_exposure"].astype(float), atol=1e-10)
+    for era, g in pdf.groupby("era"):
+        exp = g[cols].corrwith(g["prediction"]).abs().max()
+        got = a.loc[era, "abs_exposure"].astype(float).max()
+        assert np.isclose(got, exp)
