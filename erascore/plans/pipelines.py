@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors
 from ..operators import metrics, models, projections, splits
 from ..sources import sinks
-from ..sources.tournament import normalize_missing
+from ..sources.readers import normalize_missing
 
 
 def training_examples(df: DataFrame, features: Sequence[str], targets: Sequence[str], split: float = 0.2,

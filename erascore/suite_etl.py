@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .operators import projections, splits
 from .session import scratch_path
 from .sources import sinks
-from .sources import tournament as src
+from .sources import readers as src
 from .sources.fixtures import FEATURES, tourney, tourney_missing, vec, with_views
 from .sources.tables import read_table
 from .suite import register, rounded
@@ -106,7 +106,7 @@ SELECT id, 'valid' AS dataset FROM (
   SELECT id, row_number() OVER (ORDER BY row_idx) AS rn, count(*) OVER () AS n FROM tourney WHERE dataset = 'valid')
 WHERE rn <= floor(n * 0.5e0)""", T))
 def q_union_train_valid(spark, sf):
-    """Train plus the head half of validation (the reference's ``MergeData``)."""
+    """Train plus the head half of validation."""
     from .operators import joins
     t = _t(spark, sf)
     train = t.where(F.col("dataset") == "train").select("id", "dataset")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators import joins, metrics, registry
-from .sources import tournament as src
+from .sources import readers as src
 from .sources.fixtures import class_scores, tourney, with_views
 from .sources.tables import read_table
 from .functions.stats import round6

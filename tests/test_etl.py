@@ -8,7 +8,7 @@ from erascore.functions import decode, vectors
 from erascore.operators import models, projections, registry, splits
 from erascore.session import scratch_path
 from erascore.sources import sinks
-from erascore.sources import tournament as src
+from erascore.sources import readers as src
 
 
 def test_exact_split_sizes(spark):
