@@ -9,8 +9,8 @@ an era into one process, the normal equations are accumulated as distributed sum
   (``mapInPandas``) reduced with a shuffle for wide feature sets;
 * ``beta = pinv(G) b`` per era, on the tiny per-era table (``pinv(E^T E) E^T = pinv(E)``), and the
   residual std from the same sums (no second pass over the rows);
-* residuals per row through a join of ``(beta, std)`` (eras x k values), broadcast after a row-count
-  check (``sizing.bounded_broadcast``).
+* residuals per row through a join of ``(beta, std)`` (one row per era), broadcast when the era
+  count (known from the size check of the input) is under the broadcast limit.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import ranking
-from .sizing import bounded_broadcast
+from .sizing import bounded_broadcast, broadcast_if_at_most
 
 SMALL_K = 64
 
@@ -146,7 +146,9 @@ def neutralize(df: DataFrame, column: str, neutralizers: Sequence[str], era: str
         F.zip_with(F.array(*[F.col(c).cast("double") for c in neutralizers]), F.col("_beta"),
                    lambda e, b: e * b),
         F.lit(0.0), lambda acc, v: acc + v)
-    coef = bounded_broadcast(coef.select(era, F.col("beta").alias("_beta"), F.col("std").alias("_std")))
+    # one row per era: the era count (from the group statistics of the input) bounds the broadcast
+    n_eras = ranking.group_stats(df, [era])[1]
+    coef = broadcast_if_at_most(coef.select(era, F.col("beta").alias("_beta"), F.col("std").alias("_std")), n_eras)
     res = (base.join(coef, era, "left")
                .withColumn("_neutral", (F.col("_score") - F.lit(proportion) * fitted)
                            / F.nullif(F.col("_std"), F.lit(0.0))))

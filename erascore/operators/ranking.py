@@ -50,27 +50,31 @@ def _orders(group_cols: Sequence[str], value_cols: Sequence[str], tiebreak: Sequ
     return out
 
 
-def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
-    """Row count of the largest group (a partial aggregation over the group columns only)."""
-    if not group_cols:
-        return df.count()
-    row = df.groupBy(*group_cols).count().agg(F.max("count")).first()
-    return int(row[0] or 0)
+_GROUP_STATS: dict = {}
 
 
-_DECISIONS: dict = {}
+def group_stats(df: DataFrame, group_cols: Sequence[str]) -> tuple[int, int]:
+    """(rows of the largest group, number of groups): one partial aggregation over the group columns
+    only. Remembered per input plan -- the values steer plan choices (window or range plan, broadcast
+    or shuffle), never results, so a stale entry after the data changed only costs speed."""
+    key = (df.select(*group_cols).semanticHash() if group_cols else df.semanticHash(), tuple(group_cols))
+    if key not in _GROUP_STATS:
+        if not group_cols:
+            _GROUP_STATS[key] = (df.count(), 1)
+        else:
+            row = df.groupBy(*group_cols).count().agg(F.max("count"), F.count(F.lit(1))).first()
+            _GROUP_STATS[key] = (int(row[0] or 0), int(row[1] or 0))
+    return _GROUP_STATS[key]
 
 
-def choose_strategy(df: DataFrame, group_cols: Sequence[str]) -> str:
-    """``window`` when the largest group fits one task, else ``range``.
+def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
+    return group_stats(df, group_cols)[0]
 
-    The decision is remembered per (input plan, groups, limit): both plans return the same rows, so a
-    stale decision after the data changed can only cost speed, never correctness."""
+
+def choose_strategy(df: DataFrame, group_cols: Sequence[str]) -> str:
+    """``window`` when the largest group fits one task, else ``range``."""
     limit = int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    key = (df.select(*group_cols).semanticHash() if group_cols else df.semanticHash(), tuple(group_cols), limit)
-    if key not in _DECISIONS:
-        _DECISIONS[key] = "window" if largest_group(df, group_cols) <= limit else "range"
-    return _DECISIONS[key]
+    return "window" if largest_group(df, group_cols) <= limit else "range"
 
 
 def group_row_number(df: DataFrame, group_cols: Sequence[str], value_col: str, tiebreak: Sequence[str],

@@ -22,3 +22,10 @@ def bounded_broadcast(small: DataFrame, max_rows: int | None = None) -> DataFram
     kept = small.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.count()
     return F.broadcast(kept) if n <= limit else kept
+
+
+def broadcast_if_at_most(small: DataFrame, rows: int, max_rows: int | None = None) -> DataFrame:
+    """Broadcast hint for a table whose row count is already known (e.g. one row per era, with the
+    era count from ``ranking.group_stats``); no extra job."""
+    limit = max_rows or int(small.sparkSession.conf.get(MAX_BROADCAST_ROWS_CONF, str(DEFAULT_MAX_BROADCAST_ROWS)))
+    return F.broadcast(small) if rows <= limit else small
