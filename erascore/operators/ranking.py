@@ -67,6 +67,10 @@ def group_stats(df: DataFrame, group_cols: Sequence[str]) -> tuple[int, int]:
     return _GROUP_STATS[key]
 
 
+def clear_group_stats() -> None:
+    _GROUP_STATS.clear()
+
+
 def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
     return group_stats(df, group_cols)[0]
 

@@ -2,7 +2,8 @@
 
 Plan shape: the per-era aggregates (correlation, MMC, feature exposure, feature-neutral
 correlation) are each one distributed rank + one partial aggregation keyed by era. Their outputs
-have one row per era, so they are checkpointed (tiny) and combined with one-row aggregates.
+have one row per era (persisted, tiny) and are reduced to one-row aggregates, which are assembled
+into the report row.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ def validation_report(valid: DataFrame, features: Sequence[str], pred: str = "pr
     # One rank pass serves every per-era number: the correlation of unif(pred) with the target equals
     # the correlation of rank_pct(pred) (same order, affine scores), so corr, MMC and the correlation
     # with the example come out of the same aggregation.
-    per_era = metrics.mmc_per_era(valid, pred, example, target, era, tiebreak, **kw).checkpoint()
+    # one row per era, read by three consumers: keep it in memory (recomputable, deterministic)
+    per_era = metrics.mmc_per_era(valid, pred, example, target, era, tiebreak, **kw).persist()
     # corr mean/std/Sharpe/payout, MMC summary and the example correlation: one aggregation
     summary = per_era.agg(*metrics.corr_report_aggs(), *metrics.mmc_summary_aggs(),
                           F.avg("corr_example").alias("corr_with_example"))
