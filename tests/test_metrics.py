@@ -172,3 +172,32 @@ def test_exposure_arrow_equals_explode(spark):
         exp = g[cols].corrwith(g["prediction"]).abs().max()
         got = a.loc[era, "abs_exposure"].astype(float).max()
         assert np.isclose(got, exp)
+
+
+def test_range_plan_matches_window_plan_in_composites(frame):
+    df, _ = frame
+    for fn in (lambda s: metrics.mmc_per_era(df, strategy=s),
+               lambda s: neutralize.neutralize(df, "prediction", ["f1", "f2"], out="n", strategy=s)
+               .select("row_idx", "n")):
+        a = fn("range").toPandas()
+        b = fn("window").toPandas()
+        key = a.columns[0]
+        a, b = a.sort_values(key).reset_index(drop=True), b.sort_values(key).reset_index(drop=True)
+        assert np.allclose(a.values.astype(float), b.values.astype(float), atol=1e-12)
+
+
+def test_neutralize_twice_is_once_up_to_scale(frame):
+    df, _ = frame
+    feats = ["f1", "f2", "f3"]
+    once = neutralize.neutralize(df, "prediction", feats, out="n1", normalize=False)
+    twice = neutralize.neutralize(once, "n1", feats, out="n2", normalize=False)
+    pdf = twice.select("era", "n1", "n2").toPandas()
+    for _, g in pdf.groupby("era"):
+        assert np.allclose(g["n1"], g["n2"] * (g["n1"].std(ddof=0) / g["n2"].std(ddof=0)), atol=1e-9)
+
+
+def test_unif_mean_is_half(frame):
+    from erascore.operators import ranking
+    df, _ = frame
+    m = ranking.unif(df, "prediction", ["era"], ["row_idx"]).groupBy("era").agg(F.avg("unif").alias("m")).toPandas()
+    assert np.allclose(m["m"], 0.5)
