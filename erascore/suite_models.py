@@ -16,7 +16,7 @@ from .session import scratch_path
 from .sources.fixtures import FEATURES, tourney, with_views
 from .sources.tables import read_table
 from .streaming import rounds
-from .suite import r6, register, rounded
+from .suite import r6, register, rounded, sql_corr_strict, sql_rank_pct
 
 TR = "dataset = 'train'"
 
@@ -82,10 +82,23 @@ def q_mlp_score(spark, sf):
     return models.batch_score(layers, _valid(spark, sf), FEATURES, "MLP")
 
 
-@register("walk_forward_fit")
+_WF_SQL = with_views(f"""
+WITH tr AS (SELECT *, cast(floor(era / 14) AS INTEGER) AS step FROM tourney),
+g AS (SELECT step, count(*) AS n_train, {sqlgen.gram_sums(_OLS_COLS, 'target')} FROM tr GROUP BY step),
+beta AS (SELECT step, n_train, {sqlgen.cramer_solution(len(_OLS_COLS))} FROM g),
+va AS (SELECT *, cast(floor(era / 14) AS INTEGER) - 1 AS step FROM tourney),
+sc AS (SELECT va.step, va.era, va.row_idx, va.target, {_OLS_PRED} AS score FROM va JOIN beta USING (step)),
+pe AS (SELECT step, era, count(*) AS n, {sql_corr_strict('r', 'target')} AS corr FROM (
+         SELECT step, era, target, {sql_rank_pct('score', 'step, era')} AS r FROM sc) GROUP BY step, era)
+SELECT pe.step, beta.n_train, sum(pe.n) AS n_valid, {r6('avg(pe.corr)')} AS valid_corr_mean
+FROM pe JOIN beta USING (step) WHERE pe.step BETWEEN 0 AND 40 GROUP BY pe.step, beta.n_train""", "tourney")
+
+
+@register("walk_forward_fit", _WF_SQL)
 def q_walk_forward_fit(spark, sf):
+    """M6 with least-squares fits: exact oracle (per-step normal equations in SQL)."""
     t = tourney(spark, sf).select("id", "row_idx", "era", "target", *FEATURES)
-    return models.walk_forward_fit(t, FEATURES)
+    return rounded(models.walk_forward_fit(t, FEATURES))
 
 
 @register("ensemble_score")
