@@ -101,13 +101,29 @@ def q_walk_forward_fit(spark, sf):
     return rounded(models.walk_forward_fit(t, FEATURES))
 
 
-@register("ensemble_score")
+_SUBSETS = [FEATURES[:2], FEATURES[1:3], FEATURES[2:]]
+
+
+def _ensemble_sql() -> str:
+    ctes, cols = [], []
+    for t, fs in enumerate(_SUBSETS):
+        c = fs + ["1e0"]
+        ctes.append(f"g{t} AS (SELECT {sqlgen.gram_sums(c, 'target')} FROM tourney WHERE {TR})")
+        sol = sqlgen.cramer_solution(len(c)).replace(" AS beta", f" AS b{t}_")
+        ctes.append(f"s{t} AS (SELECT {sol} FROM g{t})")
+        pred = " + ".join(f"b{t}_{j} * {f}" for j, f in enumerate(fs)) + f" + b{t}_{len(fs)}"
+        cols.append(f"{r6(f'CASE WHEN ({pred}) < 0 THEN 0 WHEN ({pred}) > 1 THEN 1 ELSE ({pred}) END')} AS trial_lr{t}")
+    return with_views("WITH " + ",\n".join(ctes) + f"""
+SELECT id, {', '.join(cols)} FROM tourney, s0, s1, s2 WHERE dataset = 'valid'""", "tourney")
+
+
+@register("ensemble_score", _ensemble_sql())
 def q_ensemble_score(spark, sf):
+    """M7 + J5: three least-squares trial models scored and pivoted to one column per trial."""
     train, valid = _train(spark, sf), _valid(spark, sf)
-    subsets = [FEATURES[:2], FEATURES[1:3], FEATURES[2:]]
-    fitted = [models.regressor_fit(train, fs) for fs in subsets]
-    long = models.ensemble_score(fitted, valid, subsets, "NR")
-    return joins.ensemble_wide(long, tag="lr", trials=[0, 1, 2], dims=1)
+    fitted = [models.regressor_fit(train, fs) for fs in _SUBSETS]
+    long = models.ensemble_score(fitted, valid, _SUBSETS, "NR")
+    return rounded(joins.ensemble_wide(long, tag="lr", trials=[0, 1, 2], dims=1))
 
 
 # ----------------------------------------------------------------------------- streaming
