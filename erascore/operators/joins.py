@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sizing import bounded_broadcast
+
 
 class MissingIdsError(ValueError):
     pass
@@ -69,7 +71,8 @@ def model_run_plan(models: DataFrame, config: DataFrame, model_col: str = "model
                    config_model_col: str = "model") -> DataFrame:
     """One run per (model in the list, config row whose model name starts with it).
 
-    The model list is a handful of names (fixed by the caller), so it is broadcast."""
+    The model list is a handful of names; it is broadcast after a row-count check (a prefix
+    condition has no equi-key, so beyond the limit the planner falls back to a nested-loop join)."""
     cond = F.col(f"c.{config_model_col}").startswith(F.col(f"m.{model_col}"))
-    return (config.alias("c").join(F.broadcast(models.alias("m")), cond, "inner")
+    return (config.alias("c").join(bounded_broadcast(models).alias("m"), cond, "inner")
                   .select(F.col(f"m.{model_col}").alias("run_model"), "c.*"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.naming import epoch_from_key
+from .sizing import bounded_broadcast
 
 N_STEPS = 41  # fixed value: number of walk-forward steps / trials in a best-epoch table
 
@@ -49,7 +50,7 @@ def best_epoch_table(models: DataFrame, own: DataFrame, fallback: DataFrame, n_t
     has_own = own.select(model).distinct().withColumn("_has_own", F.lit(True))
     out = (grid.join(has_own, model, "left")
                .join(own.withColumnRenamed("epoch", "_own"), [model, "trial"], "left")
-               .join(F.broadcast(fallback.withColumnRenamed("epoch", "_fb")), "trial", "left"))
+               .join(bounded_broadcast(fallback.withColumnRenamed("epoch", "_fb")), "trial", "left"))
     has_fb = fallback.limit(1).count() > 0  # one-row probe of a metadata-sized table
     epoch = F.when(F.col("_has_own"), F.col("_own"))
     src = F.when(F.col("_has_own"), F.lit("own"))
