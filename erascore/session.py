@@ -38,7 +38,11 @@ def ship_package(spark: SparkSession) -> None:
 
     Zips the package once per application and registers it with ``addPyFile`` -- what
     ``--py-files`` does at submit time; Spark distributes the file to every executor."""
-    app = spark.sparkContext.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc, app = None, f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
     import zipfile
@@ -52,7 +56,10 @@ def ship_package(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     zf.write(full, os.path.relpath(full, root))
-    spark.sparkContext.addPyFile(target)
+    if sc is not None:
+        sc.addPyFile(target)
+    else:
+        spark.addArtifacts(target, pyfile=True)
     _SHIPPED.add(app)
 
 
@@ -66,19 +73,23 @@ def prepare_session(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder; only when none is configured
     (a local test session) create a private one under the system temp folder."""
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
+    current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="erascore-ckpt-")
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables, inside the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
+    base = ensure_checkpoint_dir(spark) or tempfile.mkdtemp(prefix="erascore-scratch-")
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "erascore-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
