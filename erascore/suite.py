@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.stats import round6
-from .sources.fixtures import FEATURES, tourney, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

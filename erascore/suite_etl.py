@@ -16,7 +16,7 @@ from .sources import sinks
 from .sources import readers as src
 from .sources.fixtures import FEATURES, tourney, tourney_missing, vec, with_views
 from .sources.tables import read_table
-from .suite import register, rounded
+from .suite import register
 from .suite_vectors import explode1
 
 T = "tourney"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .functions import decode, naming, vectors
 from .sources.fixtures import class_scores, tourney, vec, with_views
 from .sources.tables import read_table
-from .suite import r6, register, rounded
+from .suite import register
 
 
 def explode1(df: DataFrame, arr: Column) -> DataFrame:
