@@ -62,3 +62,18 @@ def example_vectors(shards: DataFrame, spec: str, training: bool = True) -> Data
     """Shard rows with the transform chain applied to ``x`` (and ``y`` when training)."""
     x, y = vectors.apply_chain(F.col("x"), F.col("y"), spec, training=training)
     return shards.select("id", "era", x.alias("x"), y.alias("y"))
+
+
+def load_tournament(spark, base: str, feature_prefix: str = "feature", target: str = "target",
+                    fill: float = 0.5) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The evaluation load step: train, validation and live role files (``read_role``) with missing
+    features filled with ``fill`` in every role and missing validation targets filled too."""
+    from ..sources.readers import read_role
+
+    train = read_role(spark, base, "train")
+    valid = read_role(spark, base, "validation", dataset="valid")
+    live = read_role(spark, base, "live")
+    feats = projections.columns_by_prefix(train, feature_prefix)
+    return (projections.fill_missing_const(train, feats, fill),
+            projections.fill_missing_const(valid, feats + [target], fill),
+            projections.fill_missing_const(live, feats, fill))

@@ -384,3 +384,20 @@ def q_write_if_absent(spark, sf):
     sinks.write_if_absent(t.where(F.col("era") <= 10), path)
     sinks.write_if_absent(t.where(F.col("era") > 10), path)  # present: skipped
     return spark.read.parquet(path)
+
+
+@register("load_data", with_views("""
+SELECT id, dataset, coalesce(feature_user, 0.5) AS feature_user,
+       CASE WHEN dataset = 'valid' THEN coalesce(target, 0.5) ELSE target END AS target
+FROM tourney_missing""", "tourney_missing"))
+def q_load_data(spark, sf):
+    """S1 + P9 as the evaluation load step: role files of the missing-value view read back, features
+    filled in every role, targets filled in validation only."""
+    from .plans import pipelines
+    base = scratch_path(spark, "roles_missing")
+    t = tourney_missing(spark, sf)
+    for role, file in (("train", "train"), ("valid", "validation"), ("live", "live")):
+        t.where(F.col("dataset") == role).drop("dataset").write.mode("overwrite").parquet(f"{base}/{file}.parquet")
+    train, valid, live = pipelines.load_tournament(spark, base)
+    cols = ["id", "dataset", "feature_user", "target"]
+    return train.select(*cols).unionByName(valid.select(*cols)).unionByName(live.select(*cols))
