@@ -22,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from erascore.operators import metrics, models, neutralize, ranking, splits  # noqa: E402
 from erascore.plans import evaluation  # noqa: E402
-from erascore.session import local_session, scratch_path  # noqa: E402
+from erascore.session import local_session, release_cached, scratch_path  # noqa: E402
 from erascore.functions import vectors  # noqa: E402
 from erascore.sources import sinks  # noqa: E402
 from erascore.sources.fixtures import BIG_FEATURES, BIG_TIEBREAK, FEATURES, tourney, tourney_big, vec  # noqa: E402
@@ -104,6 +104,7 @@ def _run(fn, spark, sf_dir):
     df = fn(spark, sf_dir)
     if df is not None:
         df.write.format("noop").mode("overwrite").save()
+    release_cached()
     spark.catalog.clearCache()
     ranking.clear_group_stats()
 

@@ -27,13 +27,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import shuffle_partitions
-from .sizing import bounded_broadcast
+from .sizing import bounded_broadcast, keep
 
 MAX_GROUP_ROWS_CONF = "spark.erascore.rank.maxGroupRows"
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
@@ -116,7 +115,7 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], value_col: str, t
     if materialize == "checkpoint":
         staged = staged.checkpoint(eager=True)
     else:
-        staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
+        staged = keep(staged)
     counts = staged.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_cnt"),
         F.count(F.col(value_col)).alias("_cntv"),
@@ -133,9 +132,9 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], value_col: str, t
         cond = cond & F.col(f"s.{g}").eqNullSafe(F.col(f"o.{g}"))
     # at most partitions + groups rows; broadcast after a size check (a shuffled join beyond it)
     joined = staged.alias("s").join(bounded_broadcast(offsets).alias("o"), cond, "inner")
-    keep = [F.col(f"s.{c}") for c in df.columns]
+    carried = [F.col(f"s.{c}") for c in df.columns]
     return joined.select(
-        *keep,
+        *carried,
         (F.col("o._off") + F.col("s._pos") - F.col("o._first") + 1).alias(out),
         F.col(f"o.{n_col}").alias(n_col),
         F.col(f"o.{nv_col}").alias(nv_col))

@@ -17,9 +17,28 @@ MAX_BROADCAST_ROWS_CONF = "spark.erascore.broadcast.maxRows"
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
+_PERSISTED: list = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Persist (memory and disk) an intermediate the library reads more than once, and remember it
+    so ``release_cached`` can free it when the caller is done with the results."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(kept)
+    return kept
+
+
+def release_cached() -> int:
+    """Unpersist every intermediate kept by the library; returns how many were released."""
+    n = len(_PERSISTED)
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+    return n
+
+
 def bounded_broadcast(small: DataFrame, max_rows: int | None = None) -> DataFrame:
     limit = max_rows or int(small.sparkSession.conf.get(MAX_BROADCAST_ROWS_CONF, str(DEFAULT_MAX_BROADCAST_ROWS)))
-    kept = small.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = keep(small)
     n = kept.count()
     return F.broadcast(kept) if n <= limit else kept
 

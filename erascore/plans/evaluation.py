@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import metrics, neutralize
+from ..operators.sizing import keep
 
 
 def _one_row(*frames: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def validation_report(valid: DataFrame, features: Sequence[str], pred: str = "pr
     # the correlation of rank_pct(pred) (same order, affine scores), so corr, MMC and the correlation
     # with the example come out of the same aggregation.
     # one row per era, read by three consumers: keep it in memory (recomputable, deterministic)
-    per_era = metrics.mmc_per_era(valid, pred, example, target, era, tiebreak, **kw).persist()
+    per_era = keep(metrics.mmc_per_era(valid, pred, example, target, era, tiebreak, **kw))
     # corr mean/std/Sharpe/payout, MMC summary and the example correlation: one aggregation
     summary = per_era.agg(*metrics.corr_report_aggs(), *metrics.mmc_summary_aggs(),
                           F.avg("corr_example").alias("corr_with_example"))

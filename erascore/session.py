@@ -97,3 +97,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def release_cached() -> int:
+    """Free the intermediates the library persisted (range-numbered frames, counted broadcast
+    tables, report tables) once their results have been consumed."""
+    from .operators.sizing import release_cached as _release
+
+    return _release()

@@ -63,3 +63,11 @@ def test_cumulative_and_rolling(spark):
     roll = cum.rolling(3, min_periods=1).max()
     assert np.allclose(out["cum_value"].astype(float).fillna(-9), cum.fillna(-9))
     assert np.allclose(out["rolling_max"].astype(float), roll)
+
+
+def test_release_cached(spark):
+    from erascore.session import release_cached
+    df, _ = _skewed(spark, 500)
+    ranking.group_row_number(df, ["era"], "p", ["idx"], strategy="range").count()
+    assert release_cached() >= 1
+    assert release_cached() == 0
