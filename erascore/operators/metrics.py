@@ -282,7 +282,7 @@ def decile_histogram(df: DataFrame, pred: str = "prediction") -> DataFrame:
     The bucket list is an 11-row literal range joined by broadcast (fixed size)."""
     spark = df.sparkSession
     bucket = F.least(F.floor(F.col(pred) * F.lit(10.0)), F.lit(10)).cast("int")
-    counts = (df.where(F.col(pred).isNotNull())
+    counts = (df.where(present(F.col(pred)))
                 .groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
     buckets = spark.range(0, 11).select(F.col("id").cast("int").alias("bucket"))
     label = F.when(F.col("bucket") == 10, F.lit("100")).otherwise(F.concat(F.col("bucket").cast("string"), F.lit("0")))

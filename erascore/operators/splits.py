@@ -26,6 +26,7 @@ def balance_keep(era: Column, y0: Column, low: float = 0.25, high: float = 0.75,
     0 keep all; 1 drop ``y0 == 0.5`` (a missing value is kept); 2 and 3 keep ``y0 < 0.25 or y0 > 0.75``
     (a missing value is dropped)."""
     r = era % 4
+    y0 = F.when(~F.isnan(y0), y0)  # NaN is missing (Spark orders NaN above 0.75)
     return (F.when(r == 0, F.lit(True))
              .when(r == 1, F.coalesce(y0 != F.lit(mid), F.lit(True)))
              .otherwise(F.coalesce((y0 < F.lit(low)) | (y0 > F.lit(high)), F.lit(False))))

@@ -110,3 +110,14 @@ def test_mlp_forward_matches_mllib(spark):
     from pyspark.ml.functions import vector_to_array
     ref = m.transform(df).select("id", vector_to_array("_probability").alias("p")).toPandas().set_index("id")
     assert np.allclose(np.stack(ours.loc[ref.index, "scores"].values), np.stack(ref["p"].values), atol=1e-9)
+
+
+def test_nan_rules_in_filters_and_histogram(spark):
+    from erascore.operators import metrics
+    nan = float("nan")
+    df = spark.createDataFrame([(5, nan), (6, nan), (7, 0.9)], "era int, target double")
+    kept = sorted(r.era for r in splits.balance_filter(df).collect())
+    assert kept == [5, 7]  # NaN kept where the rule is "not 0.5", dropped where it is "< 0.25 or > 0.75"
+    p = spark.createDataFrame([(0.05,), (nan,), (1.0,), (None,)], "prediction double")
+    h = {r.label: r.n for r in metrics.decile_histogram(p).collect()}
+    assert h["00"] == 1 and h["100"] == 1 and sum(h.values()) == 2
