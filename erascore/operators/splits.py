@@ -1,8 +1,8 @@
 """Filters, samples and splits.
 
-Exact-size splits need a global order. It comes from the distributed row number
-(``ranking.group_row_number`` without groups): range partitioning plus per-partition offsets, never
-an unpartitioned window. The reference's random choice is unseeded; here the order is a hash of
+Exact-size splits need a global order. It comes from ``ranking.group_row_number`` without groups:
+a single-task window only when the size check shows the whole input fits one task, otherwise range
+partitioning plus per-partition offsets. The reference's random choice is unseeded; here the order is a hash of
 ``(id, seed)`` so a split is reproducible and a lost task recomputes the same rows.
 """
 
