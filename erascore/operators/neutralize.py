@@ -126,7 +126,7 @@ def era_coefficients(scored: DataFrame, score: str, neutralizers: Sequence[str],
 
 def neutralize(df: DataFrame, column: str, neutralizers: Sequence[str], era: str = "era",
                tiebreak: Sequence[str] = ("row_idx",), proportion: float = 1.0, normalize: bool = True,
-               out: str | None = None, method: str = "auto", **kw) -> DataFrame:
+               out: str | None = None, method: str = "auto", n_eras: int | None = None, **kw) -> DataFrame:
     """``df`` plus ``out`` (default: ``column`` replaced) holding the neutralized score.
 
     normalize: the score is first replaced by ``(rank_first - 0.5) / n`` per era.
@@ -147,7 +147,8 @@ def neutralize(df: DataFrame, column: str, neutralizers: Sequence[str], era: str
                    lambda e, b: e * b),
         F.lit(0.0), lambda acc, v: acc + v)
     # one row per era: the era count (from the group statistics of the input) bounds the broadcast
-    n_eras = ranking.group_stats(df, [era])[1]
+    if n_eras is None:
+        n_eras = ranking.group_stats(df, [era])[1]
     coef = broadcast_if_at_most(coef.select(era, F.col("beta").alias("_beta"), F.col("std").alias("_std")), n_eras)
     res = (base.join(coef, era, "left")
                .withColumn("_neutral", (F.col("_score") - F.lit(proportion) * fitted)
@@ -181,8 +182,9 @@ def feature_neutral_mean(df: DataFrame, features: Sequence[str], pred: str = "pr
     from .metrics import era_corr, with_strategy
 
     cols = list(dict.fromkeys([era, pred, target, *features, *tiebreak]))
-    kw = with_strategy(df.select(era), [era], kw)
+    kw = with_strategy(df, [era], kw)
+    n_eras = ranking.group_stats(df, [era])[1]  # cached by the size check above
     neutral = neutralize(df.select(*cols), pred, features, era, tiebreak, out="neutral_sub",
-                         method=method, **kw)
+                         method=method, n_eras=n_eras, **kw)
     per_era = era_corr(neutral, "neutral_sub", target, era, tiebreak, **kw)
     return per_era.agg(F.avg("corr").alias("feature_neutral_mean"))

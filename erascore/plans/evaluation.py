@@ -34,7 +34,7 @@ def validation_report(valid: DataFrame, features: Sequence[str], pred: str = "pr
                       tiebreak: Sequence[str] = ("row_idx",), **kw) -> DataFrame:
     """Corr mean/std, Sharpe, payout, max drawdown, max feature exposure, feature neutral mean,
     MMC mean, corr+MMC Sharpe and its difference to the Sharpe, correlation with the example."""
-    kw = metrics.with_strategy(valid.select(era), [era], kw)
+    kw = metrics.with_strategy(valid, [era], kw)
     # One rank pass serves every per-era number: the correlation of unif(pred) with the target equals
     # the correlation of rank_pct(pred) (same order, affine scores), so corr, MMC and the correlation
     # with the example come out of the same aggregation.
@@ -57,7 +57,7 @@ def validation_report(valid: DataFrame, features: Sequence[str], pred: str = "pr
 def train_report(train: DataFrame, pred: str = "prediction", target: str = "target", era: str = "era",
                  tiebreak: Sequence[str] = ("row_idx",), **kw) -> DataFrame:
     """In-sample correlation mean, std and payout."""
-    kw = metrics.with_strategy(train.select(era), [era], kw)
+    kw = metrics.with_strategy(train, [era], kw)
     per_era = metrics.era_corr(train, pred, target, era, tiebreak, **kw)
     s = per_era.agg(F.avg("corr").alias("corr_mean"), F.stddev_pop("corr").alias("corr_std"),
                     F.avg(metrics.clip_payout(F.col("corr"))).alias("payout"))
