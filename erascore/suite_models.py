@@ -94,6 +94,44 @@ SELECT pe.step, beta.n_train, sum(pe.n) AS n_valid, {r6('avg(pe.corr)')} AS vali
 FROM pe JOIN beta USING (step) WHERE pe.step BETWEEN 0 AND 40 GROUP BY pe.step, beta.n_train""", "tourney")
 
 
+# A fixed network for the forward-pass check: weights follow a rule (not a fit), so the same pass
+# can be written in SQL. 4 inputs -> 6 ReLU units -> 5 softmax classes -> arg-max / 4.
+_HIDDEN, _CLASSES = 6, 5
+
+
+def _rule_weights():
+    import math
+    w1 = [[round(math.sin(3 * i + 7 * j + 1), 3) for j in range(_HIDDEN)] for i in range(len(FEATURES))]
+    b1 = [round(math.cos(j + 1) / 4, 3) for j in range(_HIDDEN)]
+    w2 = [[round(math.sin(5 * j + 2 * k + 3), 3) for k in range(_CLASSES)] for j in range(_HIDDEN)]
+    b2 = [round(math.cos(2 * k + 1) / 4, 3) for k in range(_CLASSES)]
+    return w1, b1, w2, b2
+
+
+def _rule_layers():
+    import numpy as np
+    w1, b1, w2, b2 = _rule_weights()
+    return [models.DenseLayer(np.array(w1), np.array(b1), "relu"),
+            models.DenseLayer(np.array(w2), np.array(b2), "softmax")]
+
+
+def _forward_sql() -> str:
+    w1, b1, w2, b2 = _rule_weights()
+    hidden = [f"greatest({' + '.join(f'({w1[i][j]!r}e0) * {f}' for i, f in enumerate(FEATURES))} + ({b1[j]!r}e0), 0) AS h{j}"
+              for j in range(_HIDDEN)]
+    logits = [" + ".join(f"({w2[j][k]!r}e0) * h{j}" for j in range(_HIDDEN)) + f" + ({b2[k]!r}e0)" for k in range(_CLASSES)]
+    arr = "[" + ", ".join(logits) + "]"
+    return with_views(f"""
+SELECT id, (list_position({arr}, list_max({arr})) - 1) / 4e0 AS prediction
+FROM (SELECT id, {', '.join(hidden)} FROM tourney WHERE dataset = 'valid')""", "tourney")
+
+
+@register("mlp_forward", _forward_sql())
+def q_mlp_forward(spark, sf):
+    """M4 with a rule-defined network: the Arrow-batch forward pass and its arg-max decode."""
+    return models.batch_score(_rule_layers(), _valid(spark, sf), FEATURES, "MLP")
+
+
 @register("walk_forward_fit", _WF_SQL)
 def q_walk_forward_fit(spark, sf):
     """M6 with least-squares fits: exact oracle (per-step normal equations in SQL)."""
