@@ -31,18 +31,25 @@ SMALL_K = 64
 
 def _solve_rows(g_flat: pd.Series, b: pd.Series, se: pd.Series, n: pd.Series, ss: pd.Series,
                 ss2: pd.Series, prop: pd.Series) -> pd.DataFrame:
-    """Per era: beta = pinv(G) b and the population std of the residual ``s - prop * E beta`` from
-    the same sums: sum r = sum s - prop beta.sum_e; sum r^2 = sum s^2 - 2 prop beta.b + prop^2 beta'G beta."""
+    """Per era, for m score columns at once: ``beta = pinv(G) B`` (k x m) and the population std of
+    the whole residual matrix ``S - prop * E beta`` from the same sums, per column c:
+    sum r_c = sum s_c - prop beta_c.sum_e ; sum r_c^2 = sum s_c^2 - 2 prop beta_c.B_c + prop^2 beta_c'G beta_c.
+    ``beta`` is returned column after column (m blocks of k)."""
     betas, stds = [], []
     for g, rhs, sum_e, cnt, s1, s2, p in zip(g_flat, b, se, n, ss, ss2, prop):
-        k = len(rhs)
+        s1 = np.asarray(s1, dtype=np.float64)
+        m = len(s1)
+        k = len(sum_e)
         gm = np.asarray(g, dtype=np.float64).reshape(k, k)
-        rhs = np.asarray(rhs, dtype=np.float64)
-        beta = np.linalg.pinv(gm) @ rhs
-        r1 = s1 - p * float(beta @ np.asarray(sum_e, dtype=np.float64))
-        r2 = s2 - 2.0 * p * float(beta @ rhs) + p * p * float(beta @ gm @ beta)
-        var = max(r2 / cnt - (r1 / cnt) ** 2, 0.0) if cnt else float("nan")
-        betas.append(beta)
+        bm = np.asarray(rhs, dtype=np.float64).reshape(k, m)
+        beta = np.linalg.pinv(gm) @ bm
+        se_v = np.asarray(sum_e, dtype=np.float64)
+        r1 = s1 - p * (beta.T @ se_v)
+        r2 = (np.asarray(s2, dtype=np.float64) - 2.0 * p * np.einsum("km,km->m", beta, bm)
+              + p * p * np.einsum("km,kl,lm->m", beta, gm, beta))
+        cells = cnt * m
+        var = max(r2.sum() / cells - (r1.sum() / cells) ** 2, 0.0) if cells else float("nan")
+        betas.append(beta.T.ravel())
         stds.append(float(np.sqrt(var)))
     return pd.DataFrame({"beta": betas, "std": stds})
 
@@ -51,28 +58,34 @@ _solve = F.pandas_udf(_solve_rows, T.StructType([T.StructField("beta", T.ArrayTy
                                                  T.StructField("std", T.DoubleType())]))
 
 
-def _sums_small(scored: DataFrame, era: str, score: str, neutralizers: Sequence[str]) -> DataFrame:
-    k = len(neutralizers)
+def _sums_small(scored: DataFrame, era: str, scores: Sequence[str], neutralizers: Sequence[str]) -> DataFrame:
+    k, m = len(neutralizers), len(scores)
     e = [F.col(c).cast("double") for c in neutralizers]
-    sc = F.col(score)
+    sc = [F.col(c) for c in scores]
     pairs = sorted({(min(i, j), max(i, j)) for i in range(k) for j in range(k)})
     exprs = [F.sum(e[a] * e[b]).alias(f"_g{a}_{b}") for a, b in pairs]
-    exprs += [F.sum(e[i] * sc).alias(f"_b{i}") for i in range(k)]
+    exprs += [F.sum(e[i] * sc[c]).alias(f"_b{i}_{c}") for i in range(k) for c in range(m)]
     exprs += [F.sum(e[i]).alias(f"_e{i}") for i in range(k)]
-    exprs += [F.count(F.lit(1)).alias("n"), F.sum(sc).alias("ss"), F.sum(sc * sc).alias("ss2")]
+    exprs += [F.sum(sc[c]).alias(f"_s{c}") for c in range(m)]
+    exprs += [F.sum(sc[c] * sc[c]).alias(f"_q{c}") for c in range(m)]
+    exprs += [F.count(F.lit(1)).alias("n")]
     sums = scored.groupBy(era).agg(*exprs)
     g_flat = F.array(*[F.col(f"_g{min(i, j)}_{max(i, j)}") for i in range(k) for j in range(k)])
-    return sums.select(era, g_flat.alias("g"), F.array(*[F.col(f"_b{i}") for i in range(k)]).alias("b"),
-                       F.array(*[F.col(f"_e{i}") for i in range(k)]).alias("se"), "n", "ss", "ss2")
+    return sums.select(
+        era, g_flat.alias("g"),
+        F.array(*[F.col(f"_b{i}_{c}") for i in range(k) for c in range(m)]).alias("b"),
+        F.array(*[F.col(f"_e{i}") for i in range(k)]).alias("se"), "n",
+        F.array(*[F.col(f"_s{c}") for c in range(m)]).alias("ss"),
+        F.array(*[F.col(f"_q{c}") for c in range(m)]).alias("ss2"))
 
 
-def _sums_wide(scored: DataFrame, era: str, score: str, neutralizers: Sequence[str]) -> DataFrame:
-    """Per-partition NumPy partial sums of [E | s | 1]^T [E | s], reduced per (era, row)."""
-    k = len(neutralizers)
+def _sums_wide(scored: DataFrame, era: str, scores: Sequence[str], neutralizers: Sequence[str]) -> DataFrame:
+    """Per-partition NumPy partial sums of [E | S | 1]^T [E | S], reduced per (era, row)."""
+    k, m = len(neutralizers), len(scores)
     era_type = scored.schema[era].dataType
     part_schema = T.StructType([T.StructField(era, era_type), T.StructField("i", T.IntegerType()),
                                 T.StructField("row", T.ArrayType(T.DoubleType()))])
-    packed = scored.select(era, F.col(score).cast("double").alias("_s"),
+    packed = scored.select(era, F.array(*[F.col(c).cast("double") for c in scores]).alias("_s"),
                            F.array(*[F.col(c).cast("double") for c in neutralizers]).alias("_e"))
 
     def partial(batches):
@@ -80,12 +93,14 @@ def _sums_wide(scored: DataFrame, era: str, score: str, neutralizers: Sequence[s
         for pdf in batches:
             for key, grp in pdf.groupby(era, sort=False, dropna=False):
                 e = np.stack(grp["_e"].to_numpy())
-                sv = grp["_s"].to_numpy().reshape(-1, 1)
-                left = np.concatenate([e, sv, np.ones_like(sv)], axis=1)   # rows 0..k-1: E, k: s, k+1: 1
-                m = left.T @ np.concatenate([e, sv], axis=1)               # (k+2) x (k+1)
-                acc[key] = acc[key] + m if key in acc else m
-        for key, m in acc.items():
-            yield pd.DataFrame({era: [key] * (k + 2), "i": np.arange(k + 2, dtype=np.int32), "row": list(m)})
+                sv = np.stack(grp["_s"].to_numpy())
+                right = np.concatenate([e, sv], axis=1)                       # n x (k + m)
+                left = np.concatenate([right, np.ones((len(grp), 1))], axis=1)  # n x (k + m + 1)
+                mat = left.T @ right
+                acc[key] = acc[key] + mat if key in acc else mat
+        for key, mat in acc.items():
+            yield pd.DataFrame({era: [key] * (k + m + 1), "i": np.arange(k + m + 1, dtype=np.int32),
+                                "row": list(mat)})
 
     parts = packed.mapInPandas(partial, part_schema)
 
@@ -93,68 +108,78 @@ def _sums_wide(scored: DataFrame, era: str, score: str, neutralizers: Sequence[s
         total = np.sum(np.stack(pdf["row"].to_numpy()), axis=0)
         return pd.DataFrame({era: [pdf[era].iloc[0]], "i": [pdf["i"].iloc[0]], "row": [total]})
 
-    rows = parts.groupBy(era, "i").applyInPandas(reduce_rows, part_schema)  # groups: partitions x 1 row
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("i"), F.col("row"))))  # k + 2 rows per era
+    rows = parts.groupBy(era, "i").applyInPandas(reduce_rows, part_schema)  # groups: one row per partition
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("i"), F.col("row"))))  # k + m + 1 rows per era
     g = rows.groupBy(era).agg(ordered.alias("_rows"))
     body = F.slice("_rows", 1, k)
-    srow = F.element_at("_rows", k + 1)["row"]
-    orow = F.element_at("_rows", k + 2)["row"]
-    return g.select(
+    ones = F.element_at("_rows", k + m + 1)["row"]
+    counts = scored.groupBy(era).agg(F.count(F.lit(1)).alias("n"))
+    out = g.select(
         era,
         F.flatten(F.transform(body, lambda r: F.slice(r["row"], 1, k))).alias("g"),
-        F.transform(body, lambda r: F.element_at(r["row"], k + 1)).alias("b"),
-        F.slice(orow, 1, k).alias("se"),
-        F.element_at(orow, k + 1).alias("_sum_s_dup"),
-        F.element_at(srow, k + 1).alias("ss2"))
-
-
-def era_coefficients(scored: DataFrame, score: str, neutralizers: Sequence[str], era: str = "era",
-                     method: str = "auto", proportion: float = 1.0) -> DataFrame:
-    """Per era: ``beta`` (minimum-norm least squares of ``E beta ~= s``) and ``std`` of the residual
-    ``s - proportion * E beta``, from one pass of sums."""
+        F.flatten(F.transform(body, lambda r: F.slice(r["row"], k + 1, m))).alias("b"),
+        F.slice(ones, 1, k).alias("se"),
+        F.slice(ones, k + 1, m).alias("ss"),
+        F.transform(F.sequence(F.lit(0), F.lit(m - 1)),
+                    lambda c: F.element_at(F.element_at("_rows", c + k + 1)["row"], c + k + 1)).alias("ss2"))
+    return out.join(counts, era)
+
+
+def era_coefficients(scored: DataFrame, scores: Sequence[str] | str, neutralizers: Sequence[str],
+                     era: str = "era", method: str = "auto", proportion: float = 1.0) -> DataFrame:
+    """Per era: ``beta`` (minimum-norm least squares of ``E beta ~= s`` for every score column, m
+    blocks of k values) and ``std`` of the whole residual matrix, from one pass of sums."""
+    scores = [scores] if isinstance(scores, str) else list(scores)
     if method == "auto":
         method = "small" if len(neutralizers) <= SMALL_K else "wide"
-    if method == "small":
-        sums = _sums_small(scored, era, score, neutralizers)
-    else:
-        counts = scored.groupBy(era).agg(F.count(F.lit(1)).alias("n"), F.sum(score).alias("ss"))
-        sums = _sums_wide(scored, era, score, neutralizers).join(counts, era).drop("_sum_s_dup")
+    sums = (_sums_small if method == "small" else _sums_wide)(scored, era, scores, neutralizers)
     solved = sums.select(era, _solve("g", "b", "se", F.col("n").cast("double"), "ss", "ss2",
                                      F.lit(float(proportion))).alias("_sol"))
     return solved.select(era, F.col("_sol.beta").alias("beta"), F.col("_sol.std").alias("std"))
 
 
-def neutralize(df: DataFrame, column: str, neutralizers: Sequence[str], era: str = "era",
+def neutralize(df: DataFrame, columns: str | Sequence[str], neutralizers: Sequence[str], era: str = "era",
                tiebreak: Sequence[str] = ("row_idx",), proportion: float = 1.0, normalize: bool = True,
-               out: str | None = None, method: str = "auto", n_eras: int | None = None, **kw) -> DataFrame:
-    """``df`` plus ``out`` (default: ``column`` replaced) holding the neutralized score.
-
-    normalize: the score is first replaced by ``(rank_first - 0.5) / n`` per era.
-    Plan: the scored rows are read twice -- one aggregation for the per-era sums, one broadcast
-    join of the per-era ``(beta, std)`` table -- and keep their era partitioning, so a following
-    per-era rank needs no new exchange.
+               out: str | Sequence[str] | None = None, method: str = "auto", n_eras: int | None = None,
+               **kw) -> DataFrame:
+    """``df`` plus the neutralized score columns (``out``; by default the inputs are replaced).
+
+    Per era, each score column (as ``(rank_first - 0.5) / n`` when ``normalize``) loses its
+    least-squares projection on the neutralizers (no intercept) times ``proportion``; the result is
+    divided by the population std of the whole score matrix of that era, as in the reference.
+    Plan: the scored rows are read twice -- one aggregation for the per-era sums, one broadcast join
+    of the per-era ``(beta, std)`` table -- and keep their era partitioning, so a following per-era
+    rank needs no new exchange.
     """
-    out = out or column
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    outs = columns if out is None else ([out] if isinstance(out, str) else list(out))
     neutralizers = list(neutralizers)
+    k = len(neutralizers)
     base = df
+    scores = [f"_score{c}" for c in range(len(columns))]
     if normalize:
-        base = ranking.unif(base, column, [era], list(tiebreak), out="_score", **kw)
+        kw = dict(kw)
+        if len(columns) > 1 and kw.get("strategy", "auto") == "auto":
+            kw["strategy"] = ranking.choose_strategy(df, [era])
+        for col, sc in zip(columns, scores):
+            base = ranking.unif(base, col, [era], list(tiebreak), out=sc, **kw)
     else:
-        base = base.withColumn("_score", F.col(column).cast("double"))
-    coef = era_coefficients(base, "_score", neutralizers, era, method, proportion)
-    fitted = F.aggregate(
-        F.zip_with(F.array(*[F.col(c).cast("double") for c in neutralizers]), F.col("_beta"),
-                   lambda e, b: e * b),
-        F.lit(0.0), lambda acc, v: acc + v)
-    # one row per era: the era count (from the group statistics of the input) bounds the broadcast
+        for col, sc in zip(columns, scores):
+            base = base.withColumn(sc, F.col(col).cast("double"))
+    coef = era_coefficients(base, scores, neutralizers, era, method, proportion)
     if n_eras is None:
         n_eras = ranking.group_stats(df, [era])[1]
+    # one row per era: the era count (from the group statistics of the input) bounds the broadcast
     coef = broadcast_if_at_most(coef.select(era, F.col("beta").alias("_beta"), F.col("std").alias("_std")), n_eras)
-    res = (base.join(coef, era, "left")
-               .withColumn("_neutral", (F.col("_score") - F.lit(proportion) * fitted)
-                           / F.nullif(F.col("_std"), F.lit(0.0))))
-    cols = [c for c in df.columns if c != out]
-    return res.select(*cols, F.col("_neutral").alias(out))
+    res = base.join(coef, era, "left")
+    e_arr = F.array(*[F.col(c).cast("double") for c in neutralizers])
+    outputs = []
+    for ci, (sc, name) in enumerate(zip(scores, outs)):
+        fitted = F.aggregate(F.zip_with(e_arr, F.slice("_beta", ci * k + 1, k), lambda e, b: e * b),
+                             F.lit(0.0), lambda acc, v: acc + v)
+        outputs.append(((F.col(sc) - F.lit(proportion) * fitted) / F.nullif(F.col("_std"), F.lit(0.0))).alias(name))
+    cols = [c for c in df.columns if c not in outs]
+    return res.select(*cols, *outputs)
 
 
 def neutralize_series(df: DataFrame, series: str, by: str, proportion: float = 1.0,

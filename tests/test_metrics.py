@@ -201,3 +201,17 @@ def test_unif_mean_is_half(frame):
     df, _ = frame
     m = ranking.unif(df, "prediction", ["era"], ["row_idx"]).groupBy("era").agg(F.avg("unif").alias("m")).toPandas()
     assert np.allclose(m["m"], 0.5)
+
+
+def test_neutralize_two_columns_matches_matrix_form(frame):
+    df, pdf = frame
+    feats = ["f1", "f2", "f3"]
+    for method in ("small", "wide"):
+        got = neutralize.neutralize(df, ["prediction", "example_preds"], feats, out=["n1", "n2"],
+                                    method=method).toPandas().set_index("row_idx")
+        for era, x in pdf.groupby("era"):
+            s = np.column_stack([_unif(x["prediction"]).values, _unif(x["example_preds"]).values])
+            e = x[feats].values
+            s = s - e.dot(np.linalg.pinv(e).dot(s))
+            s = s / s.std(ddof=0)
+            assert np.allclose(got.loc[x["row_idx"], ["n1", "n2"]].values, s, atol=1e-9)
