@@ -358,3 +358,30 @@ def q_max_feature_exposure_wide(spark, sf):
     """A8 over a feature vector column (64 embedding values per row), the wide-data layout."""
     v = vec(spark, sf).select("era", F.element_at("y", 1).cast("double").alias("prediction"), "x")
     return rounded(metrics.max_feature_exposure(v, "x"))
+
+
+def _neutral2_sql() -> str:
+    k = len(FEATURES)
+    parts = []
+    for c, col in enumerate(["prediction", "example_preds"]):
+        parts.append(f"g{c} AS (SELECT era, {sqlgen.gram_sums(FEATURES, 'sc' + str(c))} FROM s GROUP BY era)")
+        sol = sqlgen.cramer_solution(k).replace(" AS beta", f" AS b{c}_")
+        parts.append(f"beta{c} AS (SELECT era, {sol} FROM g{c})")
+    fitted = [" + ".join(f"b{c}_{j} * {FEATURES[j]}" for j in range(k)) for c in range(2)]
+    return with_views(f"""
+WITH s AS (SELECT id, era, {', '.join(FEATURES)}, {sql_unif('prediction')} AS sc0, {sql_unif('example_preds')} AS sc1
+           FROM tourney WHERE {VALID}),
+{', '.join(parts)},
+r AS (SELECT s.id, s.era, sc0 - ({fitted[0]}) AS r0, sc1 - ({fitted[1]}) AS r1
+      FROM s JOIN beta0 USING (era) JOIN beta1 USING (era)),
+sd AS (SELECT era, stddev_pop(v) AS sd FROM (SELECT era, r0 AS v FROM r UNION ALL SELECT era, r1 AS v FROM r) GROUP BY era)
+SELECT id, era, {r6('r0 / nullif(sd, 0)')} AS n_pred, {r6('r1 / nullif(sd, 0)')} AS n_example
+FROM r JOIN sd USING (era)""", "tourney")
+
+
+@register("neutralize_columns", _neutral2_sql())
+def q_neutralize_columns(spark, sf):
+    """N1 with two score columns: each neutralized, both divided by the std of the era's whole matrix."""
+    t = _valid(spark, sf)
+    n = neutralize.neutralize(t, ["prediction", "example_preds"], FEATURES, out=["n_pred", "n_example"])
+    return rounded(n.select("id", "era", "n_pred", "n_example"))
