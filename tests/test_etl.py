@@ -121,3 +121,16 @@ def test_nan_rules_in_filters_and_histogram(spark):
     p = spark.createDataFrame([(0.05,), (nan,), (1.0,), (None,)], "prediction double")
     h = {r.label: r.n for r in metrics.decile_histogram(p).collect()}
     assert h["00"] == 1 and h["100"] == 1 and sum(h.values()) == 2
+
+
+def test_era_filter_prunes_shard_partitions(spark, capsys):
+    df = spark.range(0, 600).select(F.col("id").cast("string").alias("id"), (F.col("id") % 6).alias("era"),
+                                    F.lit("train").alias("dataset"), F.rand(1).alias("v"))
+    path = scratch_path(spark, "t_prune")
+    sinks.write_shards_by_era(df, path, shard_rows=1000)
+    q = src.read_shards(spark, f"{path}/dataset=*").where(F.col("era") == 3).select("id", "v")
+    q.explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(era" in plan and "(era" in plan
+    assert "ReadSchema: struct<id:string,v:double>" in plan
+    assert q.count() == 100
