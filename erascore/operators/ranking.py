@@ -20,7 +20,8 @@ two separate range shuffles would each draw their own sample (the sample seed de
 id) and split rows differently. By default it is persisted (memory and disk); recomputing a lost
 block reuses the same range partitioner and the unique sort key, so the numbering is identical.
 ``materialize="checkpoint"`` writes it to the shared checkpoint folder instead, which also cuts
-the lineage.
+the lineage and does not depend on the cache: use it when the session's cache may be cleared
+between building the result and running it (both branches must read the same numbered rows).
 """
 
 from __future__ import annotations
