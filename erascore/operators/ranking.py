@@ -91,13 +91,13 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], value_col: str, t
     callers that know their groups are small.
     """
     group_cols, tiebreak = list(group_cols), list(tiebreak)
+    if strategy == "auto":  # on the caller's plan, so the cached group statistics are found
+        strategy = choose_strategy(df, group_cols)
     if isinstance(df.schema[value_col].dataType, (T.FloatType, T.DoubleType)):
         # NaN is a missing value (pandas), not the largest number (Spark): rank it as NULL
         df = df.withColumn(value_col, F.when(~F.isnan(value_col), F.col(value_col)))
     orders = _orders(group_cols, [value_col], tiebreak, descending)
     n_col, nv_col = f"{out}_n", f"{out}_nvalid"
-    if strategy == "auto":
-        strategy = choose_strategy(df, group_cols)
     if strategy == "window":
         w_order = Window.partitionBy(*group_cols).orderBy(*orders[len(group_cols):])
         w_all = Window.partitionBy(*group_cols)
