@@ -37,6 +37,7 @@ def ranked_for_corr(df: DataFrame, pred: str = "prediction", era: str | None = "
 def era_corr(df: DataFrame, pred: str = "prediction", target: str = "target", era: str = "era",
              tiebreak: Sequence[str] | str = ("row_idx",), out: str = "corr", **kw) -> DataFrame:
     """A3 (A1 per era): Pearson(rank_pct_first(pred), target); any missing value -> NULL."""
+    kw = with_strategy(df, [era], kw)
     cols = [era, pred, target] + _tb(tiebreak)
     r = ranked_for_corr(df.select(*dict.fromkeys(cols)), pred, era, tiebreak, out="_r", **kw)
     return r.groupBy(era).agg(corr_strict("_r", target).alias(out))
@@ -45,6 +46,7 @@ def era_corr(df: DataFrame, pred: str = "prediction", target: str = "target", er
 def rank_corr(df: DataFrame, pred: str = "prediction", target: str = "target",
               tiebreak: Sequence[str] | str = ("row_idx",), out: str = "corr", **kw) -> DataFrame:
     """A1/A2: the same correlation over all rows (global distributed rank), one row."""
+    kw = with_strategy(df, [], kw)
     cols = [pred, target] + _tb(tiebreak)
     r = ranked_for_corr(df.select(*dict.fromkeys(cols)), pred, None, tiebreak, out="_r", **kw)
     return r.agg(corr_strict("_r", target).alias(out))
@@ -110,6 +112,7 @@ def _feature_cols(features: Sequence[str] | str) -> list[str]:
 def feature_exposure(df: DataFrame, features: Sequence[str], pred: str = "prediction",
                      tiebreak: Sequence[str] | str = ("row_idx",), **kw) -> DataFrame:
     """Per feature, Pearson(global rank_pct(pred), feature) over the whole set."""
+    kw = with_strategy(df, [], kw)
     cols = [pred, *_feature_cols(features)] + _tb(tiebreak)
     r = ranked_for_corr(df.select(*dict.fromkeys(cols)), pred, None, tiebreak, out="_r", **kw)
     return (long_features(r, ["_r"], features)
@@ -229,6 +232,7 @@ def mmc_per_era(df: DataFrame, pred: str = "prediction", example: str = "example
     corr: Pearson(rank_pct(unif(pred)), target) -- the same order as the raw prediction.
     corr_example: Pearson of the two uniform scores.
     """
+    kw = with_strategy(df, [era], kw)
     cols = [era, pred, example, target] + _tb(tiebreak)
     uv = unif_pair(df.select(*dict.fromkeys(cols)), pred, example, era, tiebreak, **kw)
     slope = safe_ratio(F.covar_pop("u", "v"), F.var_pop("v"))
