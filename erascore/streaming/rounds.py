@@ -39,23 +39,24 @@ def idempotent_sink(folder: str, score: Callable[[DataFrame], DataFrame], partit
     """foreachBatch writer: score the batch, write it under ``batch=<id>`` (overwrite on replay)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         out = score(batch)
-        (out.write.mode("overwrite").partitionBy(*partition_by)
-            .option("header", True).parquet(f"{folder.rstrip('/')}/batch={batch_id}"))
+        out.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{folder.rstrip('/')}/batch={batch_id}")
     return write
 
 
 def stream_score(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str,
                  score: Callable[[DataFrame], DataFrame], available_now: bool = True,
-                 delay: str = "1 day") -> None:
+                 delay: str = "1 day", poll_seconds: int = POLL_SECONDS):
     """Rounds -> gate -> score -> submission files. ``available_now`` processes what has arrived
-    and stops (a scheduled run); otherwise it polls every ``POLL_SECONDS``."""
+    and stops (a scheduled run); otherwise it polls every ``poll_seconds`` and the running
+    ``StreamingQuery`` is returned (``stop()`` it to end)."""
     gated = round_gate(read_rounds(spark, source, schema), delay=delay)
     writer = (gated.writeStream.foreachBatch(idempotent_sink(sink, score))
                     .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:
-        writer = writer.trigger(processingTime=f"{POLL_SECONDS} seconds")
+        writer = writer.trigger(processingTime=f"{poll_seconds} seconds")
     q = writer.start()
     if available_now:
         q.awaitTermination()
+    return q

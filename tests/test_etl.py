@@ -134,3 +134,24 @@ def test_era_filter_prunes_shard_partitions(spark, capsys):
     assert "PartitionFilters: [isnotnull(era" in plan and "(era" in plan
     assert "ReadSchema: struct<id:string,v:double>" in plan
     assert q.count() == 100
+
+
+def test_round_stream_polling_mode(spark):
+    from pyspark.sql import types as T
+    from erascore.streaming import rounds
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("arrival", T.TimestampType()),
+                           T.StructField("v", T.DoubleType()), T.StructField("round", T.IntegerType())])
+    src_dir, sink, ckpt = (scratch_path(spark, n) for n in ("t_rounds", "t_sink", "t_ckpt"))
+    rows = spark.range(0, 300).select(F.col("id").cast("string").alias("id"),
+                                      F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("arrival"),
+                                      (F.col("id") / 300.0).alias("v"), (F.col("id") % 3).cast("int").alias("round"))
+    rows.write.partitionBy("round").parquet(src_dir)
+    rows.where(F.col("round") == 2).write.mode("append").partitionBy("round").parquet(src_dir)  # re-delivery
+    q = rounds.stream_score(spark, src_dir, schema, sink, ckpt, lambda b: b.select("round", "id", "v"),
+                            available_now=False, poll_seconds=1)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    out = spark.read.parquet(sink)
+    assert out.count() == 300 and out.select("id").distinct().count() == 300
