@@ -80,7 +80,9 @@ def _sums_small(scored: DataFrame, era: str, scores: Sequence[str], neutralizers
 
 
 def _sums_wide(scored: DataFrame, era: str, scores: Sequence[str], neutralizers: Sequence[str]) -> DataFrame:
-    """Per-partition NumPy partial sums of [E | S | 1]^T [E | S], reduced per (era, row)."""
+    """Per-partition partial sums of [E | S | 1]^T [E | S] (``mapInArrow``: fixed-width vectors
+    become NumPy matrices without a Python loop; one matrix product per era and batch), reduced per
+    (era, row)."""
     k, m = len(neutralizers), len(scores)
     era_type = scored.schema[era].dataType
     part_schema = T.StructType([T.StructField(era, era_type), T.StructField("i", T.IntegerType()),
@@ -88,21 +90,38 @@ def _sums_wide(scored: DataFrame, era: str, scores: Sequence[str], neutralizers:
     packed = scored.select(era, F.array(*[F.col(c).cast("double") for c in scores]).alias("_s"),
                            F.array(*[F.col(c).cast("double") for c in neutralizers]).alias("_e"))
 
+    def as_matrix(lst, n: int, width: int) -> np.ndarray:
+        if lst.null_count == 0 and len(lst.flatten()) == n * width:
+            return lst.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, width)
+        return np.array([[np.nan if v is None else v for v in (row or [None] * width)]
+                         for row in lst.to_pylist()], dtype=np.float64).reshape(n, width)
+
     def partial(batches):
+        import pyarrow as pa
         acc: dict = {}
-        for pdf in batches:
-            for key, grp in pdf.groupby(era, sort=False, dropna=False):
-                e = np.stack(grp["_e"].to_numpy())
-                sv = np.stack(grp["_s"].to_numpy())
-                right = np.concatenate([e, sv], axis=1)                       # n x (k + m)
-                left = np.concatenate([right, np.ones((len(grp), 1))], axis=1)  # n x (k + m + 1)
-                mat = left.T @ right
+        for rb in batches:
+            n = rb.num_rows
+            if n == 0:
+                continue
+            eras = rb.column(0).to_pylist()
+            sv = as_matrix(rb.column(1), n, m)
+            e = as_matrix(rb.column(2), n, k)
+            right = np.concatenate([e, sv], axis=1)               # n x (k + m)
+            left = np.concatenate([right, np.ones((n, 1))], axis=1)  # n x (k + m + 1)
+            keys, inv = np.unique(np.asarray(eras, dtype=object), return_inverse=True)
+            for g, key in enumerate(keys):
+                rows = inv == g
+                mat = left[rows].T @ right[rows]
                 acc[key] = acc[key] + mat if key in acc else mat
         for key, mat in acc.items():
-            yield pd.DataFrame({era: [key] * (k + m + 1), "i": np.arange(k + m + 1, dtype=np.int32),
-                                "row": list(mat)})
+            yield pa.RecordBatch.from_pydict({
+                era: pa.array([key] * (k + m + 1), type=era_arrow),
+                "i": pa.array(np.arange(k + m + 1, dtype=np.int32)),
+                "row": pa.array(list(mat), type=pa.list_(pa.float64()))})
 
-    parts = packed.mapInPandas(partial, part_schema)
+    from pyspark.sql.pandas.types import to_arrow_type
+    era_arrow = to_arrow_type(era_type)
+    parts = packed.mapInArrow(partial, part_schema)
 
     def reduce_rows(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.sum(np.stack(pdf["row"].to_numpy()), axis=0)
@@ -147,6 +166,8 @@ def neutralize(df: DataFrame, columns: str | Sequence[str], neutralizers: Sequen
     Per era, each score column (as ``(rank_first - 0.5) / n`` when ``normalize``) loses its
     least-squares projection on the neutralizers (no intercept) times ``proportion``; the result is
     divided by the population std of the whole score matrix of that era, as in the reference.
+    Neutralizer values must be present: fill missing features first (``projections.fill_missing_const``,
+    as the load step does), as a least-squares fit has no meaning for missing exposures.
     Plan: the scored rows are read twice -- one aggregation for the per-era sums, one broadcast join
     of the per-era ``(beta, std)`` table -- and keep their era partitioning, so a following per-era
     rank needs no new exchange.
