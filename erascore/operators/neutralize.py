@@ -4,7 +4,7 @@ N1 removes from a score its least-squares projection on a set of neutralizer col
 without intercept, then divides by the population std of the result in that era. Instead of moving
 an era into one process, the normal equations are accumulated as distributed sums:
 
-* ``G = E^T E`` and ``b = E^T s`` per era -- plain aggregate columns for up to ``SMALL_K``
+* ``G = E^T E`` and ``b = E^T s`` per era -- plain aggregate columns for up to ``SMALL_K`` (16)
   neutralizers (codegen'd, map-side partial aggregation), or per-partition NumPy partial sums
   (``mapInPandas``) reduced with a shuffle for wide feature sets;
 * ``beta = pinv(G) b`` per era, on the tiny per-era table (``pinv(E^T E) E^T = pinv(E)``), and the
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from . import ranking
 from .sizing import bounded_broadcast, broadcast_if_at_most
 
-SMALL_K = 64
+SMALL_K = 16  # k(k+1)/2 aggregate columns stay within whole-stage code generation; wider sets use Arrow batches
 
 
 def _solve_rows(g_flat: pd.Series, b: pd.Series, se: pd.Series, n: pd.Series, ss: pd.Series,
@@ -144,6 +144,13 @@ def _sums_wide(scored: DataFrame, era: str, scores: Sequence[str], neutralizers:
     return out.join(counts, era)
 
 
+def _balanced_sum(terms: list):
+    """Sum as a balanced expression tree (depth log2(k)): stays in generated code, no per-row lambda."""
+    while len(terms) > 1:
+        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
 def era_coefficients(scored: DataFrame, scores: Sequence[str] | str, neutralizers: Sequence[str],
                      era: str = "era", method: str = "auto", proportion: float = 1.0) -> DataFrame:
     """Per era: ``beta`` (minimum-norm least squares of ``E beta ~= s`` for every score column, m
@@ -193,11 +200,10 @@ def neutralize(df: DataFrame, columns: str | Sequence[str], neutralizers: Sequen
     # one row per era: the era count (from the group statistics of the input) bounds the broadcast
     coef = broadcast_if_at_most(coef.select(era, F.col("beta").alias("_beta"), F.col("std").alias("_std")), n_eras)
     res = base.join(coef, era, "left")
-    e_arr = F.array(*[F.col(c).cast("double") for c in neutralizers])
     outputs = []
     for ci, (sc, name) in enumerate(zip(scores, outs)):
-        fitted = F.aggregate(F.zip_with(e_arr, F.slice("_beta", ci * k + 1, k), lambda e, b: e * b),
-                             F.lit(0.0), lambda acc, v: acc + v)
+        fitted = _balanced_sum([F.col(c).cast("double") * F.element_at("_beta", ci * k + j + 1)
+                                for j, c in enumerate(neutralizers)])
         outputs.append(((F.col(sc) - F.lit(proportion) * fitted) / F.nullif(F.col("_std"), F.lit(0.0))).alias(name))
     cols = [c for c in df.columns if c not in outs]
     return res.select(*cols, *outputs)
