@@ -215,3 +215,27 @@ def test_neutralize_two_columns_matches_matrix_form(frame):
             s = s - e.dot(np.linalg.pinv(e).dot(s))
             s = s / s.std(ddof=0)
             assert np.allclose(got.loc[x["row_idx"], ["n1", "n2"]].values, s, atol=1e-9)
+
+
+def test_single_row_and_constant_eras(spark):
+    rows = [(1, 0.3, 1.0, 0),                                   # one row: no correlation
+            (2, 0.5, 0.0, 1), (2, 0.5, 1.0, 2), (2, 0.5, 0.5, 3),  # constant prediction still ranks by position
+            (3, 0.2, 0.5, 4), (3, 0.7, 0.5, 5)]                 # constant target: zero variance
+    df = spark.createDataFrame(rows, "era int, prediction double, target double, row_idx int")
+    per = {r.era: r.corr for r in metrics.era_corr(df).collect()}
+    assert per[1] is None and per[3] is None
+    exp = np.corrcoef([1 / 3, 2 / 3, 1.0], [0.0, 1.0, 0.5])[0, 1]
+    assert np.isclose(per[2], exp)
+    mm = {r.era: r.mmc for r in metrics.mmc_per_era(
+        df.withColumn("example_preds", F.col("row_idx") * 0.1)).collect()}
+    assert mm[1] is None  # covariance of one row is undefined
+
+
+def test_missing_example_id_raises(spark):
+    from erascore.operators import joins
+    valid = spark.createDataFrame([("a", 1, 0.1), ("b", 1, 0.2)], "id string, era int, prediction double")
+    example = spark.createDataFrame([("a", 0.5)], "id string, example_preds double")
+    with pytest.raises(joins.MissingIdsError):
+        joins.align_example_preds(valid, example)
+    ok = joins.align_example_preds(valid.where(F.col("id") == "a"), example)
+    assert ok.count() == 1
