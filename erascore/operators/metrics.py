@@ -109,14 +109,22 @@ def _feature_cols(features: Sequence[str] | str) -> list[str]:
     return [features] if isinstance(features, str) else list(features)
 
 
-def feature_exposure(df: DataFrame, features: Sequence[str], pred: str = "prediction",
-                     tiebreak: Sequence[str] | str = ("row_idx",), **kw) -> DataFrame:
-    """Per feature, Pearson(global rank_pct(pred), feature) over the whole set."""
+def feature_exposure(df: DataFrame, features: Sequence[str] | str, pred: str = "prediction",
+                     tiebreak: Sequence[str] | str = ("row_idx",), method: str = "auto", **kw) -> DataFrame:
+    """Per feature, Pearson(global rank_pct(pred), feature) over the whole set; any missing
+    value of the feature or the prediction -> no exposure. Wide inputs (vectors, more than
+    ``WIDE_FEATURES`` columns) use the Arrow moment path."""
     kw = with_strategy(df, [], kw)
     cols = [pred, *_feature_cols(features)] + _tb(tiebreak)
     r = ranked_for_corr(df.select(*dict.fromkeys(cols)), pred, None, tiebreak, out="_r", **kw)
-    return (long_features(r, ["_r"], features)
-            .groupBy("feature").agg(corr_strict("_r", "fvalue").alias("exposure")))
+    if method == "auto":
+        method = "arrow" if isinstance(features, str) or len(features) > WIDE_FEATURES else "explode"
+    if method == "explode":
+        return (long_features(r, ["_r"], features)
+                .groupBy("feature").agg(corr_strict("_r", "fvalue").alias("exposure")))
+    m = _feature_moments_arrow(r.withColumn("_all", F.lit(0)), features, "_r", "_all")
+    strict = F.when((F.col("n") == F.col("rows")) & (F.col("n") > 0), _moment_corr())
+    return m.select(_feature_name(features).alias("feature"), strict.alias("exposure"))
 
 
 WIDE_FEATURES = 32
@@ -134,7 +142,7 @@ def _feature_moments_arrow(df: DataFrame, features: Sequence[str] | str, pred: s
     packed = df.select(F.col(era).alias("_era"), F.col(pred).cast("double").alias("_p"), x.alias("_x"))
     era_type = df.schema[era].dataType
     schema = T.StructType([T.StructField("_era", era_type), T.StructField("j", T.IntegerType())] +
-                          [T.StructField(m, T.DoubleType()) for m in ("n", "sx", "sxx", "sp", "spp", "sxp")])
+                          [T.StructField(m, T.DoubleType()) for m in ("rows", "n", "sx", "sxx", "sp", "spp", "sxp")])
 
     def matrix(lst, n: int) -> np.ndarray:
         import pyarrow.compute as pc
@@ -167,12 +175,13 @@ def _feature_moments_arrow(df: DataFrame, features: Sequence[str] | str, pred: s
                 rows = inv == g
                 xs, ps, vs = x0[rows], p0[rows], valid[rows]
                 cols = {"_era": pa.array([key] * width, type=eras.type), "j": pa.array(np.arange(width, dtype=np.int32)),
+                        "rows": np.full(width, float(rows.sum())),
                         "n": vs.sum(0).astype(np.float64), "sx": xs.sum(0), "sxx": (xs * xs).sum(0),
                         "sp": ps.sum(0), "spp": (ps * ps).sum(0), "sxp": (xs * ps).sum(0)}
                 yield pa.RecordBatch.from_pydict(cols)
 
     parts = packed.mapInArrow(moments, schema)
-    return parts.groupBy("_era", "j").agg(*[F.sum(m).alias(m) for m in ("n", "sx", "sxx", "sp", "spp", "sxp")])
+    return parts.groupBy("_era", "j").agg(*[F.sum(m).alias(m) for m in ("rows", "n", "sx", "sxx", "sp", "spp", "sxp")])
 
 
 def era_feature_exposure(df: DataFrame, features: Sequence[str] | str, pred: str = "prediction",
@@ -188,15 +197,22 @@ def era_feature_exposure(df: DataFrame, features: Sequence[str] | str, pred: str
         return (long_features(df.select(era, pred, *_feature_cols(features)), [era, pred], features)
                 .groupBy(era, "feature").agg(F.abs(corr_pairwise("fvalue", pred)).alias("abs_exposure")))
     m = _feature_moments_arrow(df, features, pred, era)
+    corr = F.when(F.col("n") > 0, F.abs(_moment_corr()))
+    return m.select(F.col("_era").alias(era), _feature_name(features).alias("feature"), corr.alias("abs_exposure"))
+
+
+def _moment_corr() -> Column:
+    """Pearson correlation from the summed moments of ``_feature_moments_arrow``."""
     cov = F.col("sxp") / F.col("n") - (F.col("sx") / F.col("n")) * (F.col("sp") / F.col("n"))
     vx = F.col("sxx") / F.col("n") - F.pow(F.col("sx") / F.col("n"), 2)
     vp = F.col("spp") / F.col("n") - F.pow(F.col("sp") / F.col("n"), 2)
-    den = F.sqrt(F.greatest(vx, F.lit(0.0)) * F.greatest(vp, F.lit(0.0)))
-    names = None if isinstance(features, str) else list(features)
-    feature = (F.format_string("%s[%d]", F.lit(features), F.col("j")) if names is None
-               else F.element_at(F.array(*[F.lit(n) for n in names]), F.col("j") + 1))
-    corr = F.when(F.col("n") > 0, F.abs(safe_ratio(cov, den)))
-    return m.select(F.col("_era").alias(era), feature.alias("feature"), corr.alias("abs_exposure"))
+    return safe_ratio(cov, F.sqrt(F.greatest(vx, F.lit(0.0)) * F.greatest(vp, F.lit(0.0))))
+
+
+def _feature_name(features: Sequence[str] | str) -> Column:
+    if isinstance(features, str):
+        return F.format_string("%s[%d]", F.lit(features), F.col("j"))
+    return F.element_at(F.array(*[F.lit(n) for n in features]), F.col("j") + 1)
 
 
 def max_feature_exposure(df: DataFrame, features: Sequence[str] | str, pred: str = "prediction",

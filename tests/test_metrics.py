@@ -239,3 +239,18 @@ def test_missing_example_id_raises(spark):
         joins.align_example_preds(valid, example)
     ok = joins.align_example_preds(valid.where(F.col("id") == "a"), example)
     assert ok.count() == 1
+
+
+def test_feature_exposure_arrow_equals_explode(spark):
+    rng = np.random.default_rng(5)
+    n, k = 400, 36
+    x = rng.random((n, k))
+    x[rng.random((n, k)) < 0.002] = np.nan  # a few features get a missing value -> no exposure
+    cols = [f"f{i}" for i in range(k)]
+    pdf = pd.DataFrame(x, columns=cols)
+    pdf["prediction"], pdf["row_idx"] = np.round(rng.random(n), 2), np.arange(n)
+    df = spark.createDataFrame(pdf)
+    a = metrics.feature_exposure(df, cols, method="arrow").toPandas().set_index("feature").sort_index()
+    b = metrics.feature_exposure(df, cols, method="explode").toPandas().set_index("feature").sort_index()
+    assert a["exposure"].isna().equals(b["exposure"].isna())
+    assert np.allclose(a["exposure"].dropna().astype(float), b["exposure"].dropna().astype(float), atol=1e-10)
