@@ -385,3 +385,13 @@ def q_neutralize_columns(spark, sf):
     t = _valid(spark, sf)
     n = neutralize.neutralize(t, ["prediction", "example_preds"], FEATURES, out=["n_pred", "n_example"])
     return rounded(n.select("id", "era", "n_pred", "n_example"))
+
+
+@register("feature_exposure_wide", with_views(f"""
+WITH r AS (SELECT id, x, {sql_rank_pct('p', '', 'id')} AS rk FROM (SELECT id, x, cast(y[1] AS DOUBLE) AS p FROM vec)),
+l AS (SELECT rk, unnest(range(len(x))) AS pos, cast(unnest(x) AS DOUBLE) AS v FROM r)
+SELECT printf('x[%d]', pos) AS feature, {r6(sql_corr_strict('rk', 'v'))} AS exposure FROM l GROUP BY pos""", "vec"))
+def q_feature_exposure_wide(spark, sf):
+    """A7 over a feature vector column (64 embedding values), the wide-data layout."""
+    v = vec(spark, sf).select("id", F.element_at("y", 1).cast("double").alias("prediction"), "x")
+    return rounded(metrics.feature_exposure(v, "x", tiebreak=["id"]))
