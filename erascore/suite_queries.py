@@ -395,3 +395,16 @@ def q_feature_exposure_wide(spark, sf):
     """A7 over a feature vector column (64 embedding values), the wide-data layout."""
     v = vec(spark, sf).select("id", F.element_at("y", 1).cast("double").alias("prediction"), "x")
     return rounded(metrics.feature_exposure(v, "x", tiebreak=["id"]))
+
+
+_BIG_TB = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+
+
+@register("era_corr_lineitem", with_views(f"""
+SELECT era, {r6(sql_corr_strict('r', 'target'))} AS corr FROM (
+  SELECT era, target, {sql_rank_pct('prediction', 'era', _BIG_TB)} AS r FROM tourney_big
+) GROUP BY era""", "tourney_big"))
+def q_era_corr_lineitem(spark, sf):
+    """A3 over the lineitem view: one era per ship month, a four-column tie-break."""
+    from .sources.fixtures import BIG_TIEBREAK, tourney_big
+    return rounded(metrics.era_corr(tourney_big(spark, sf), tiebreak=BIG_TIEBREAK))
