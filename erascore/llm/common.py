@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare_session
@@ -29,6 +29,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_with(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``staged``, and aggregates of the rows written, observed in the same job."""
+    seen = Observation()
+    watched = df.observe(seen, *[c.alias(n) for n, c in metrics.items()])
+    out = staged(watched, name)
+    return out, seen.get
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a table that this library wrote into the shared folder and needs no more."""
     jvm = spark._jvm
@@ -51,14 +59,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Nulls are no nodes; loops name a node alone; an empty table gives an empty result. Raises when
     ``max_rounds`` do not suffice (the rounds needed grow with the square of the logarithm)."""
-    spark = edges.sparkSession
     named = edges.select(F.col("a"), F.col("b")).where("a IS NOT NULL AND b IS NOT NULL")
     nodes = named.select(F.col("a").alias("node")).union(named.select("b")).distinct()
     cur = named.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    cur = cur.checkpoint()
-    state = _signature(cur)
+    cur, state = staged_with(cur, "edges", **_signature())
     for _ in range(max_rounds):
-        if state[0] == 0:
+        if state["n"] == 0:
             break
         both = cur.union(cur.select(F.col("b"), F.col("a"))).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
@@ -68,8 +74,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         joined = large.join(small_min, "a")
         small = (joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(joined.select(F.col("a"), F.col("m"))).where("a <> b").distinct())
-        cur = small.checkpoint()
-        new = _signature(cur)
+        cur, new = staged_with(small, "edges", **_signature())
         if new == state:
             break
         state = new
@@ -79,9 +84,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return nodes.join(found, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
 
 
-def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-    return row["n"], row["s"]
+def _signature() -> dict[str, Column]:
+    """What tells one round's edges from another's; counted while they are written."""
+    return {"n": F.count(F.lit(1)), "s": F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), "t": F.bit_xor(F.xxhash64("b", "a"))}
 
 
 def components_by_label(labels: DataFrame, edges: DataFrame) -> DataFrame:

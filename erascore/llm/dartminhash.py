@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components_by_label, staged, text_or_empty
+from .common import components_by_label, staged, staged_with, text_or_empty
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band with probability (1 - 0.8**5)**25 = 5e-5.
@@ -213,8 +213,8 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         at = live.join(labels, "node")
         spread = at.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), *_leaders(step))
         mixed = spread.where("low <> high").select("bucket", F.explode(F.array_distinct(F.array(*[f"lead_{i}" for i in range(_width(step))]))).alias("lead"))
-        mixed = staged(mixed.select("bucket", F.col("lead.node").alias("a"), F.col("lead.label").alias("label_a")), "near-leaders")
-        if mixed.isEmpty():
+        mixed, found = staged_with(mixed.select("bucket", F.col("lead.node").alias("a"), F.col("lead.label").alias("label_a")), "near-leaders", n=F.count(F.lit(1)))
+        if not found["n"]:
             break
         pairs = at.join(mixed, "bucket").where("label <> label_a").select(
             F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
@@ -225,8 +225,8 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         links = _similar(pairs, texts, threshold)
         named = links.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a").join(
             labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
-        named = staged(named, "near-links")
-        if not named.isEmpty():
+        named, found = staged_with(named, "near-links", n=F.count(F.lit(1)))
+        if found["n"]:
             labels = staged(components_by_label(labels, named), "near-labels")
         # a leader was compared with all of its bucket: it needs no further round there
         still = live.join(mixed.select("bucket").distinct(), "bucket", "left_semi")
