@@ -85,6 +85,28 @@ def q_write_shards_by_era_big(spark, sf):
     return None
 
 
+def q_neutral_mean_vector(spark, sf):
+    """Feature-neutral mean against a vector of 64 features."""
+    v = vec(spark, sf).select("id", (F.col("id") % 4).alias("era"), F.element_at("y", 1).cast("double").alias("prediction"),
+                              ((F.col("id") * 7919 % 1009) / F.lit(1008.0)).alias("target"), "x")
+    return neutralize.feature_neutral_mean(v, "x", tiebreak=["id"])
+
+
+def q_exposure_vector(spark, sf):
+    v = vec(spark, sf).select("id", "era", F.element_at("y", 1).cast("double").alias("prediction"), "x")
+    return metrics.max_feature_exposure(v, "x")
+
+
+def q_ensemble_big(spark, sf):
+    b = _big(spark, sf)
+    sets = [BIG_FEATURES[:1], BIG_FEATURES[1:], BIG_FEATURES]
+    return models.ensemble_wide_score([models.regressor_fit(b, fs) for fs in sets], b, sets, "NR", id_col="l_orderkey")
+
+
+def q_walk_forward_big(spark, sf):
+    return models.walk_forward_fit(_big(spark, sf), BIG_FEATURES, tiebreak=BIG_TIEBREAK)
+
+
 QUERIES = {
     "era_corr_big": q_era_corr_big,
     "era_corr_big_range": q_era_corr_big_range,
@@ -96,6 +118,10 @@ QUERIES = {
     "describe_big": q_describe_big,
     "vector_chain": q_vector_chain,
     "regressor_fit_big": q_regressor_fit_big,
+    "neutral_mean_vector": q_neutral_mean_vector,
+    "exposure_vector": q_exposure_vector,
+    "ensemble_big": q_ensemble_big,
+    "walk_forward_big": q_walk_forward_big,
     "write_shards_by_era_big": q_write_shards_by_era_big,
 }
 

@@ -27,6 +27,12 @@ def present(x) -> Column:
     return x.isNotNull() & ~F.isnan(x)
 
 
+def varies(x: Column) -> Column:
+    """Whether a group's present values differ. Merged partial moments leave rounding noise on a constant,
+    so zero variance is told by ``min = max``, not by a computed variance."""
+    return F.min(x) < F.max(x)
+
+
 def corr_strict(a, b) -> Column:
     """Pearson correlation; NULL if any value of either side is missing (NULL or NaN), or on zero
     variance."""
@@ -34,7 +40,7 @@ def corr_strict(a, b) -> Column:
     n = F.count(F.lit(1))
     complete = (n == F.count(F.when(present(a), 1))) & (n == F.count(F.when(present(b), 1)))
     value = safe_ratio(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-    return F.when(complete, value)
+    return F.when(complete & varies(a) & varies(b), value)
 
 
 def corr_pairwise(a, b) -> Column:
@@ -43,7 +49,7 @@ def corr_pairwise(a, b) -> Column:
     both = present(a) & present(b)
     a2 = F.when(both, a)
     b2 = F.when(both, b)
-    return safe_ratio(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))
+    return F.when(varies(a2) & varies(b2), safe_ratio(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2)))
 
 
 def nan_to_null(col) -> Column:

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import bounded_broadcast
+
+MAX_RUN_MODELS = 10_000
 
 
 class MissingIdsError(ValueError):
@@ -44,12 +45,13 @@ def union_train_valid(train: DataFrame, valid_part: DataFrame) -> DataFrame:
 def attach_predictions(frame: DataFrame, preds: DataFrame, id_col: str = "id", check: bool = True) -> DataFrame:
     """Predictions joined back to their rows by id (the reference pairs them by batch position).
 
-    ``check``: every row must receive exactly one prediction (an anti join and a duplicate count,
-    each stopping at the first offending id)."""
+    ``check``: every row must receive exactly one prediction. Rows and predictions are counted per id in one
+    aggregation over the ids alone, which reads the predictions once more."""
     if check:
-        dup = preds.groupBy(id_col).count().where(F.col("count") > 1).limit(1).count()
-        missing = frame.select(id_col).join(preds.select(id_col), id_col, "left_anti").limit(1).count()
-        if dup or missing:
+        both = frame.select(F.col(id_col), F.lit(0).alias("p")).unionByName(preds.select(F.col(id_col), F.lit(1).alias("p")))
+        per_id = both.groupBy(id_col).agg(F.sum("p").alias("n"), F.sum(1 - F.col("p")).alias("rows"))
+        bad = per_id.where((F.col("n") > 1) | ((F.col("rows") > 0) & (F.col("n") == 0)))
+        if not bad.isEmpty():
             raise MissingIdsError("rows without exactly one prediction")
     return frame.join(preds, id_col, "left")
 
@@ -71,8 +73,11 @@ def model_run_plan(models: DataFrame, config: DataFrame, model_col: str = "model
                    config_model_col: str = "model") -> DataFrame:
     """One run per (model in the list, config row whose model name starts with it).
 
-    The model list is a handful of names; it is broadcast after a row-count check (a prefix
-    condition has no equi-key, so beyond the limit the planner falls back to a nested-loop join)."""
+    The model list is a handful of names, counted before it is broadcast. A prefix condition has no equi-key, so
+    a list beyond ``MAX_RUN_MODELS`` names is refused rather than joined as a cartesian product."""
+    n = models.count()
+    if n > MAX_RUN_MODELS:
+        raise ValueError(f"a run plan takes at most {MAX_RUN_MODELS} model names, not {n}")
     cond = F.col(f"c.{config_model_col}").startswith(F.col(f"m.{model_col}"))
-    return (config.alias("c").join(bounded_broadcast(models).alias("m"), cond, "inner")
+    return (config.alias("c").join(F.broadcast(models).alias("m"), cond, "inner")
                   .select(F.col(f"m.{model_col}").alias("run_model"), "c.*"))

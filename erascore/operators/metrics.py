@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,31 +123,35 @@ def feature_exposure(df: DataFrame, features: Sequence[str] | str, pred: str = "
         return (long_features(r, ["_r"], features)
                 .groupBy("feature").agg(corr_strict("_r", "fvalue").alias("exposure")))
     m = _feature_moments_arrow(r.withColumn("_all", F.lit(0)), features, "_r", "_all")
-    strict = F.when((F.col("n") == F.col("rows")) & (F.col("n") > 0), _moment_corr())
+    strict = F.when((F.col("n") == F.col("rows")) & (F.col("n") > 0), F.col("corr"))
     return m.select(_feature_name(features).alias("feature"), strict.alias("exposure"))
 
 
-WIDE_FEATURES = 32
+WIDE_FEATURES = 32  # above it Arrow batches are faster than exploded rows; both give the same values
+_HELD_VALUES = 4_000_000  # numbers that a task holds before it hands its partial moments on
+_MOMENTS = ("rows", "n", "mx", "mp", "cxx", "cpp", "cxp", "lx", "hx", "lp", "hp")
 
 
 def _feature_moments_arrow(df: DataFrame, features: Sequence[str] | str, pred: str, era: str) -> DataFrame:
-    """Per (era, feature) pairwise moments ``n, sx, sxx, sp, spp, sxp`` over rows where both the
-    feature and the prediction are present. Each Arrow batch (``mapInArrow``; a fixed-width vector
-    column becomes one NumPy matrix without a Python loop) is reduced to one moment vector per era
-    present in it (``k`` rows per era and batch), and Spark sums the moment rows per (era, feature)
-    with a partial aggregation -- the k-fold row expansion never materializes."""
+    """Per (era, feature) ``rows``, ``n`` and ``corr`` over rows where both the feature and the prediction
+    are present (``_era``, ``j``: the feature's place).
+
+    Each Arrow batch is reduced to centred moments (means, sums of squares about them, smallest and largest
+    values) of each era in it, merged within the task by the pairwise formula and handed on when the task holds
+    too many. Spark then merges the tasks' moments about their common mean, so an offset of any size costs no
+    digits; a constant is told by smallest = largest."""
     names = [features] if isinstance(features, str) else list(features)
     x = F.col(features).cast("array<double>") if isinstance(features, str) else \
         F.array(*[F.col(c).cast("double") for c in names])
     packed = df.select(F.col(era).alias("_era"), F.col(pred).cast("double").alias("_p"), x.alias("_x"))
     era_type = df.schema[era].dataType
     schema = T.StructType([T.StructField("_era", era_type), T.StructField("j", T.IntegerType())] +
-                          [T.StructField(m, T.DoubleType()) for m in ("rows", "n", "sx", "sxx", "sp", "spp", "sxp")])
+                          [T.StructField(m, T.DoubleType()) for m in _MOMENTS])
 
     def matrix(lst, n: int) -> np.ndarray:
         import pyarrow.compute as pc
         lens = pc.list_value_length(lst).to_numpy(zero_copy_only=False)
-        width = int(np.nanmax(lens)) if n else 0
+        width = max(1, int(np.nanmax(lens))) if n and lst.null_count < n else 1
         if lst.null_count == 0 and n and (lens == width).all():
             return lst.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, width)
         mat = np.full((n, width), np.nan)  # ragged or missing vectors: pad with NaN (= missing)
@@ -156,32 +160,82 @@ def _feature_moments_arrow(df: DataFrame, features: Sequence[str] | str, pred: s
                 mat[i, :len(v)] = [np.nan if e is None else e for e in v]
         return mat
 
+    def of_rows(mat: np.ndarray, p: np.ndarray) -> dict:
+        ok = ~np.isnan(mat) & ~np.isnan(p)[:, None]
+        n = ok.sum(0).astype(np.float64)
+        div = np.maximum(n, 1.0)
+        both = np.broadcast_to(p[:, None], mat.shape)
+        mx = np.where(ok, mat, 0.0).sum(0) / div
+        mp = np.where(ok, both, 0.0).sum(0) / div
+        dx, dp = np.where(ok, mat - mx, 0.0), np.where(ok, both - mp, 0.0)
+        return {"rows": np.full(mat.shape[1], float(len(mat))), "n": n, "mx": mx, "mp": mp,
+                "cxx": (dx * dx).sum(0), "cpp": (dp * dp).sum(0), "cxp": (dx * dp).sum(0),
+                "lx": np.where(ok, mat, np.inf).min(0, initial=np.inf), "hx": np.where(ok, mat, -np.inf).max(0, initial=-np.inf),
+                "lp": np.where(ok, both, np.inf).min(0, initial=np.inf), "hp": np.where(ok, both, -np.inf).max(0, initial=-np.inf)}
+
+    def widened(m: dict, width: int) -> dict:
+        fill = {"lx": np.inf, "lp": np.inf, "hx": -np.inf, "hp": -np.inf}
+        more = width - len(m["n"])
+        return m if not more else {k: np.concatenate([v, np.full(more, m["rows"][:1].sum() if k == "rows" else fill.get(k, 0.0))])
+                                   for k, v in m.items()}
+
+    def merged(a: dict, b: dict) -> dict:
+        width = max(len(a["n"]), len(b["n"]))
+        a, b = widened(a, width), widened(b, width)
+        n = a["n"] + b["n"]
+        share = b["n"] / np.maximum(n, 1.0)
+        dx, dp = b["mx"] - a["mx"], b["mp"] - a["mp"]
+        w = a["n"] * share
+        return {"rows": a["rows"] + b["rows"], "n": n, "mx": a["mx"] + dx * share, "mp": a["mp"] + dp * share,
+                "cxx": a["cxx"] + b["cxx"] + dx * dx * w, "cpp": a["cpp"] + b["cpp"] + dp * dp * w, "cxp": a["cxp"] + b["cxp"] + dx * dp * w,
+                "lx": np.minimum(a["lx"], b["lx"]), "hx": np.maximum(a["hx"], b["hx"]),
+                "lp": np.minimum(a["lp"], b["lp"]), "hp": np.maximum(a["hp"], b["hp"])}
+
     def moments(batches):
         import pyarrow as pa
+        held: dict = {}
+
+        def out(kind):
+            for key, m in held.items():
+                width = len(m["n"])
+                yield pa.RecordBatch.from_pydict({"_era": pa.array([key] * width, type=kind),
+                                                  "j": pa.array(np.arange(width, dtype=np.int32)), **{k: m[k] for k in _MOMENTS}})
+
+        kind = None
         for rb in batches:
             n = rb.num_rows
             if n == 0:
                 continue
-            eras = rb.column(0)
+            kind = rb.column(0).type
             p = rb.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
             mat = matrix(rb.column(2), n)
-            width = mat.shape[1]
-            valid = ~np.isnan(mat) & ~np.isnan(p)[:, None]
-            x0 = np.where(valid, mat, 0.0)
-            p0 = np.where(valid, p[:, None], 0.0)
-            keys, inv = np.unique(np.asarray(eras.to_pylist(), dtype=object), return_inverse=True) \
-                if eras.null_count else np.unique(eras.to_numpy(zero_copy_only=False), return_inverse=True)
-            for g, key in enumerate(keys):
-                rows = inv == g
-                xs, ps, vs = x0[rows], p0[rows], valid[rows]
-                cols = {"_era": pa.array([key] * width, type=eras.type), "j": pa.array(np.arange(width, dtype=np.int32)),
-                        "rows": np.full(width, float(rows.sum())),
-                        "n": vs.sum(0).astype(np.float64), "sx": xs.sum(0), "sxx": (xs * xs).sum(0),
-                        "sp": ps.sum(0), "spp": (ps * ps).sum(0), "sxp": (xs * ps).sum(0)}
-                yield pa.RecordBatch.from_pydict(cols)
+            places: dict = {}
+            for i, key in enumerate(rb.column(0).to_pylist()):
+                places.setdefault(key, []).append(i)
+            for key, rows in places.items():
+                m = of_rows(mat[rows], p[rows])
+                held[key] = merged(held[key], m) if key in held else m
+            if sum(len(m["n"]) for m in held.values()) * len(_MOMENTS) > _HELD_VALUES:
+                yield from out(kind)
+                held = {}
+        if held:
+            yield from out(kind)
 
     parts = packed.mapInArrow(moments, schema)
-    return parts.groupBy("_era", "j").agg(*[F.sum(m).alias(m) for m in ("rows", "n", "sx", "sxx", "sp", "spp", "sxp")])
+    # merged about the mean of all parts: the window and the aggregation share one exchange on (era, feature)
+    own = Window.partitionBy("_era", "j")
+    total = F.greatest(F.sum("n").over(own), F.lit(1.0))
+    parts = parts.withColumn("_mx", F.sum(F.col("n") * F.col("mx")).over(own) / total) \
+                 .withColumn("_mp", F.sum(F.col("n") * F.col("mp")).over(own) / total)
+    dx, dp = F.col("mx") - F.col("_mx"), F.col("mp") - F.col("_mp")
+    sums = parts.groupBy("_era", "j").agg(
+        F.sum("rows").alias("rows"), F.sum("n").alias("n"), F.sum(F.col("cxx") + F.col("n") * dx * dx).alias("cxx"),
+        F.sum(F.col("cpp") + F.col("n") * dp * dp).alias("cpp"), F.sum(F.col("cxp") + F.col("n") * dx * dp).alias("cxp"),
+        F.min("lx").alias("lx"), F.max("hx").alias("hx"), F.min("lp").alias("lp"), F.max("hp").alias("hp"))
+    differ = (F.col("lx") < F.col("hx")) & (F.col("lp") < F.col("hp"))
+    # a vector that is missing or short lacks the feature: the era's rows are those of any feature
+    return sums.select("_era", "j", F.max("rows").over(Window.partitionBy("_era")).alias("rows"), "n",
+                       F.when(differ, safe_ratio(F.col("cxp"), F.sqrt(F.col("cxx")) * F.sqrt(F.col("cpp")))).alias("corr"))
 
 
 def era_feature_exposure(df: DataFrame, features: Sequence[str] | str, pred: str = "prediction",
@@ -197,18 +251,10 @@ def era_feature_exposure(df: DataFrame, features: Sequence[str] | str, pred: str
         return (long_features(df.select(era, pred, *_feature_cols(features)), [era, pred], features)
                 .groupBy(era, "feature").agg(F.abs(corr_pairwise("fvalue", pred)).alias("abs_exposure")))
     m = _feature_moments_arrow(df, features, pred, era)
-    corr = F.when(F.col("n") > 0, F.abs(_moment_corr()))
+    corr = F.abs(F.col("corr"))
     return m.select(F.col("_era").alias(era), _feature_name(features).alias("feature"), corr.alias("abs_exposure"))
 
 
-def _moment_corr() -> Column:
-    """Pearson correlation from the summed moments of ``_feature_moments_arrow``."""
-    cov = F.col("sxp") / F.col("n") - (F.col("sx") / F.col("n")) * (F.col("sp") / F.col("n"))
-    vx = F.col("sxx") / F.col("n") - F.pow(F.col("sx") / F.col("n"), 2)
-    vp = F.col("spp") / F.col("n") - F.pow(F.col("sp") / F.col("n"), 2)
-    return safe_ratio(cov, F.sqrt(F.greatest(vx, F.lit(0.0)) * F.greatest(vp, F.lit(0.0))))
-
-
 def _feature_name(features: Sequence[str] | str) -> Column:
     if isinstance(features, str):
         return F.format_string("%s[%d]", F.lit(features), F.col("j"))
@@ -297,15 +343,18 @@ def dataset_counts(df: DataFrame, dataset: str = "dataset", era: str = "era",
 
 
 def decile_histogram(df: DataFrame, pred: str = "prediction") -> DataFrame:
-    """Count of predictions per 0.d bucket (d = 0..9) plus the 1.0 bucket; empty buckets show 0.
+    """Count of predictions per 0.d bucket (d = 0..9) plus the 1.0 bucket, and one bucket each for values
+    below 0 (-1) and missing ones (11), so the counts add up to the rows; empty buckets show 0.
 
-    The bucket list is an 11-row literal range joined by broadcast (fixed size)."""
+    The bucket list is a 13-row literal range joined by broadcast (fixed size)."""
     spark = df.sparkSession
-    bucket = F.least(F.floor(F.col(pred) * F.lit(10.0)), F.lit(10)).cast("int")
-    counts = (df.where(present(F.col(pred)))
-                .groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
-    buckets = spark.range(0, 11).select(F.col("id").cast("int").alias("bucket"))
-    label = F.when(F.col("bucket") == 10, F.lit("100")).otherwise(F.concat(F.col("bucket").cast("string"), F.lit("0")))
+    p = F.col(pred)
+    bucket = (F.when(~present(p), F.lit(11)).when(p < 0, F.lit(-1))
+               .otherwise(F.least(F.floor(p * F.lit(10.0)), F.lit(10))).cast("int"))
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    buckets = spark.range(-1, 12).select(F.col("id").cast("int").alias("bucket"))
+    label = (F.when(F.col("bucket") == 11, F.lit("missing")).when(F.col("bucket") == -1, F.lit("below"))
+              .when(F.col("bucket") == 10, F.lit("100")).otherwise(F.concat(F.col("bucket").cast("string"), F.lit("0"))))
     return (F.broadcast(buckets).join(counts, "bucket", "left")
             .select("bucket", label.alias("label"), F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
@@ -333,7 +382,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], tiebreak:
     group: the non-missing values get a distributed global rank, and one aggregation picks the values
     at the two neighbouring ranks of each requested position (conditional aggregates) and
     interpolates. Columns ``q0, q1, ...`` in the order of ``probs`` plus ``extra_aggs``."""
-    ranked = ranking.group_row_number(df.select(value, *tiebreak).where(F.col(value).isNotNull()),
+    ranked = ranking.group_row_number(df.select(value, *tiebreak).where(present(value)),
                                       [], value, list(tiebreak), out="_q", **kw)
     pos0 = F.col("_q") - 1
     n1 = F.col("_q_n") - 1

@@ -18,30 +18,30 @@ from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.decode import argmax_decode, clamp01
+from ..functions.decode import argmax_decode, autoencoder_output, clamp01, first_output, threshold_decode
 
-# The boosted-tree settings of the reference's loaded models (tree count is a parameter).
+# The boosted-tree settings of the reference's loaded models.
+GBT_TREES = 6000
 GBT_DEPTH = 8
 GBT_RATE = 0.007
 GBT_COLUMN_SAMPLE = "0.1"
 N_CLASSES = 5
-SCORE_BATCH = 8192
 SCORE = "score"  # output column of the fitted stages (inputs may already carry a ``prediction``)
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
 
 
-def gbt_fit(train: DataFrame, features: Sequence[str], target: str = "target", n_trees: int = 50,
-            seed: int = 0) -> PipelineModel:
-    """M1: boosted regression trees (depth 8, rate 0.007, 10% of the columns per tree)."""
-    gbt = GBTRegressor(featuresCol="features", labelCol=target, predictionCol=SCORE, maxDepth=GBT_DEPTH, stepSize=GBT_RATE,
-                       maxIter=n_trees, featureSubsetStrategy=GBT_COLUMN_SAMPLE, seed=seed)
+def gbt_fit(train: DataFrame, features: Sequence[str], target: str = "target", n_trees: int = GBT_TREES,
+            seed: int = 0, depth: int = GBT_DEPTH, rate: float = GBT_RATE, column_sample: str = GBT_COLUMN_SAMPLE) -> PipelineModel:
+    """M1: boosted regression trees (6,000 trees of depth 8, rate 0.007, 10% of the columns per tree)."""
+    gbt = GBTRegressor(featuresCol="features", labelCol=target, predictionCol=SCORE, maxDepth=depth, stepSize=rate,
+                       maxIter=n_trees, featureSubsetStrategy=column_sample, seed=seed)
     return Pipeline(stages=[_assembler(features), gbt]).fit(train)
 
 
@@ -73,6 +73,16 @@ class DenseLayer:
     activation: str      # relu | sigmoid | softmax | linear
 
 
+@dataclass
+class BatchNormLayer:
+    """A trained batch normalization: ``gamma * (x - mean) / sqrt(var + epsilon) + beta``."""
+    gamma: np.ndarray
+    beta: np.ndarray
+    mean: np.ndarray
+    var: np.ndarray
+    epsilon: float = 1e-3
+
+
 def _activate(z: np.ndarray, act: str) -> np.ndarray:
     if act == "relu":
         return np.maximum(z, 0.0)
@@ -86,9 +96,12 @@ def _activate(z: np.ndarray, act: str) -> np.ndarray:
     raise ValueError(f"unknown activation {act!r}")
 
 
-def forward(x: np.ndarray, layers: Sequence[DenseLayer]) -> np.ndarray:
+def forward(x: np.ndarray, layers: Sequence[DenseLayer | BatchNormLayer]) -> np.ndarray:
     h = x
     for layer in layers:
+        if isinstance(layer, BatchNormLayer):
+            h = layer.gamma * (h - layer.mean) / np.sqrt(layer.var + layer.epsilon) + layer.beta
+            continue
         h = _activate(h @ layer.weights + layer.bias, layer.activation)
     return h
 
@@ -110,14 +123,14 @@ def mllib_mlp_layers(model: PipelineModel) -> list[DenseLayer]:
     return layers
 
 
-def mlp_score(df: DataFrame, x_col: str, layers: Sequence[DenseLayer], id_col: str = "id",
-              out: str = "scores") -> DataFrame:
+def mlp_score(df: DataFrame, x_col: str, layers: Sequence[DenseLayer | BatchNormLayer], id_col: str = "id",
+              out: str = "scores", keep: Sequence[str] = ()) -> DataFrame:
     """M4: forward pass per Arrow batch; ``x_col`` is an ``array<float|double>``. The layer list is
-    broadcast once (its size is the model size)."""
+    broadcast once (its size is the model size). Columns in ``keep`` come through beside the id."""
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(list(layers))
-    id_type = df.schema[id_col].dataType
-    schema = T.StructType([T.StructField(id_col, id_type), T.StructField(out, T.ArrayType(T.DoubleType()))])
+    kept = [id_col, *[c for c in keep if c != id_col]]
+    schema = T.StructType([*[df.schema[c] for c in kept], T.StructField(out, T.ArrayType(T.DoubleType()))])
 
     def run(batches):
         net = bc.value
@@ -126,71 +139,126 @@ def mlp_score(df: DataFrame, x_col: str, layers: Sequence[DenseLayer], id_col: s
                 continue
             x = np.stack(pdf[x_col].to_numpy()).astype(np.float64)
             y = forward(x, net)
-            yield pd.DataFrame({id_col: pdf[id_col], out: list(y)})
+            yield pdf[kept].assign(**{out: list(y)})
 
-    return df.select(id_col, x_col).mapInPandas(run, schema)
+    return df.select(*kept, x_col).mapInPandas(run, schema)
 
 
 # ------------------------------------------------------------------------------------ M5-M7
 
-def batch_score(model, df: DataFrame, features: Sequence[str], arch: str, id_col: str = "id",
-                out: str = "prediction") -> DataFrame:
-    """M5: score by architecture and keep the id.
-
-    NR: the regression output; NC/CC: arg-max class / 4; then clamped to [0, 1]."""
-    if arch in ("NR", "GBT", "LR"):
-        scored = model.transform(df).select(id_col, F.col(SCORE).alias("_p"))
-    elif arch in ("NC", "CC"):
-        scored = (model.transform(df)
-                  .select(id_col, argmax_decode(vector_to_array("_probability")).alias("_p")))
-    elif arch == "MLP":
-        scored = mlp_score(df.select(id_col, F.array(*[F.col(c).cast("double") for c in features]).alias("_x")),
-                           "_x", model, id_col, "_s").select(id_col, argmax_decode("_s").alias("_p"))
+TREES = ("NR", "GBT", "LR", "XGB", "LGB")
+CLASSES = ("NC", "CC")
+
+
+def _decoded(scores: Column, decode: str) -> Column:
+    if decode == "argmax":
+        return argmax_decode(scores)
+    if decode == "threshold":
+        return threshold_decode(scores)
+    if decode == "first":
+        return first_output(scores)
+    raise ValueError(f"unknown decoding {decode!r}")
+
+
+def batch_score(model, df: DataFrame, features: Sequence[str] | str, arch: str, id_col: str = "id",
+                out: str = "prediction", keep: Sequence[str] = (), decode: str | None = None) -> DataFrame:
+    """M5: score by architecture and keep the id, and the columns in ``keep``.
+
+    NR, GBT, LR, XGB, LGB: the output of a fitted regression stage; NC, CC: its class scores. MLP: a layer list over
+    ``features`` (columns, or one vector column); AE: two layer lists (reconstruction, target head), of which the second
+    is the prediction. Class scores are decoded by ``decode`` (arg-max / 4 where None), other outputs by their
+    first value; then clamped to [0, 1]."""
+    kept = [id_col, *[c for c in keep if c != id_col]]
+    if arch in TREES:
+        value = F.col(SCORE)
+        scored = model.transform(df)
+    elif arch in CLASSES:
+        scored = model.transform(df)
+        value = _decoded(vector_to_array("_probability"), decode or "argmax")
+    elif arch in ("MLP", "AE"):
+        x = F.col(features) if isinstance(features, str) else F.array(*[F.col(c).cast("double") for c in features])
+        if arch == "AE":
+            heads = F.struct(F.lit(None).cast("array<double>").alias("input"), F.col("_s").alias("target"))
+            scored = mlp_score(df.select(*kept, x.alias("_x")), "_x", model[1], id_col, "_s", kept)
+            value = _decoded(autoencoder_output(heads), decode or "first")
+        else:
+            scored = mlp_score(df.select(*kept, x.alias("_x")), "_x", model, id_col, "_s", kept)
+            value = _decoded(F.col("_s"), decode or "argmax")
     else:
         raise ValueError(f"unknown architecture {arch!r}")
-    return scored.select(id_col, clamp01("_p").alias(out))
+    return scored.select(*kept, clamp01(value).alias(out))
 
 
-def ensemble_score(models: Sequence, df: DataFrame, features, arch: str,
-                   id_col: str = "id") -> DataFrame:
-    """M7: score every trial model; long ``(id, trial, dim, prediction)`` (pivot with J5).
+def ensemble_wide_score(models: Sequence, df: DataFrame, features, arch: str, id_col: str = "id", tag: str = "") -> DataFrame:
+    """M7 in one pass: every trial model adds its column ``trial_<tag><trial>`` to the same rows, without a shuffle.
 
-    ``features`` is one column list for all models or one list per model. The union of per-model
-    scans reads the (pruned) input once per model; each scan is a map-only stage."""
+    ``features`` is one column list for all models or one list per model (fitted regression or class models)."""
     per_model = features if features and not isinstance(features[0], str) else [features] * len(models)
-    parts = []
-    for trial, (m, fs) in enumerate(zip(models, per_model)):
-        s = batch_score(m, df, fs, arch, id_col)
-        parts.append(s.select(id_col, F.lit(trial).alias("trial"), F.lit(0).alias("dim"), "prediction"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    names = [f"trial_{tag}{t}" for t in range(len(models))]
+    inputs = list(dict.fromkeys(c for fs in per_model for c in fs))
+    rows = df.select(id_col, *[c for c in inputs if c != id_col])
+    for t, (m, name) in enumerate(zip(models, names)):
+        if arch in TREES:
+            scored, value = m.transform(rows), F.col(SCORE)
+        elif arch in CLASSES:
+            scored = m.transform(rows)
+            value = argmax_decode(vector_to_array("_probability"))
+        else:
+            raise ValueError(f"unknown architecture {arch!r}")
+        rows = scored.select(*rows.columns, clamp01(value).alias(name))
+    return rows.select(id_col, *names)
+
+
+def ensemble_score(models: Sequence, df: DataFrame, features, arch: str,
+                   id_col: str = "id") -> DataFrame:
+    """M7: score every trial model; long ``(id, trial, dim, prediction)`` (pivot with J5). One scan: the models'
+    columns are unfolded row by row."""
+    wide = ensemble_wide_score(models, df, features, arch, id_col)
+    each = F.array(*[F.struct(F.lit(t).alias("trial"), F.col(f"trial_{t}").alias("prediction")) for t in range(len(models))])
+    return wide.select(id_col, F.explode(each).alias("_t")).select(
+        id_col, F.col("_t.trial").alias("trial"), F.lit(0).alias("dim"), F.col("_t.prediction").alias("prediction"))
 
 
 def walk_forward_fit(df: DataFrame, features: Sequence[str], target: str = "target", era: str = "era",
-                     block: int = 14, steps: int = 41, fit=None, tiebreak: Sequence[str] = ("row_idx",)) -> DataFrame:
-    """M6: for each step, fit on the step's training eras and evaluate on the next block.
+                     block: int = 14, steps: int | None = None, fit=None, tiebreak: Sequence[str] = ("row_idx",),
+                     epochs: int = 1, parallel: int = 4) -> DataFrame:
+    """M6: for each step, fit on the step's training eras, evaluate on the next block, keep the best epoch.
 
-    A driver loop over at most ``steps`` windows; each fit and each evaluation is a distributed job
-    over era-filtered rows (partition pruning when the data is stored by era). Steps without
-    training or validation rows are skipped. Returns ``(step, n_train, n_valid, valid_corr_mean)``."""
-    from .metrics import era_corr
+    The steps come from the data's own eras (``steps`` keeps the first so many). ``fit(train, epoch)`` -- or
+    ``fit(train)`` where there is one epoch -- is called anew for every epoch number 1..epochs with the step's training rows; the
+    epoch with the highest mean correlation wins, the earliest on ties. Up to ``parallel`` steps are fitted at a time, each a
+    distributed job over era-filtered rows; one grouped evaluation then ranks and correlates the scores of all of them.
+    Steps without training or validation rows are skipped. Returns ``(step, n_train, n_valid, epoch, valid_corr_mean)``."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ..functions.stats import corr_strict
+    from . import ranking, splits
 
     spark = df.sparkSession
     fit = fit or (lambda tr: regressor_fit(tr, features, target))
-    eras = sorted(r[0] for r in df.select(era).distinct().collect())  # one row per era
-    rows = []
-    for s in range(steps):
-        tr_eras = [e for e in eras if block * s <= e < block * (s + 1)]
-        va_eras = [e for e in eras if block * (s + 1) <= e < block * (s + 2)]
-        if not tr_eras or not va_eras:
-            continue
-        train = df.where(F.col(era).isin(tr_eras))
-        valid = df.where(F.col(era).isin(va_eras))
-        model = fit(train)
-        scored = model.transform(valid).select(era, *tiebreak, target, SCORE)
-        per_era = era_corr(scored, SCORE, target, era, tiebreak)
-        stats = per_era.agg(F.avg("corr").alias("m")).collect()[0]
-        rows.append((s, train.count(), valid.count(), stats["m"]))
-    return spark.createDataFrame(rows, "step int, n_train long, n_valid long, valid_corr_mean double")
+    sides = splits.era_walk_forward(df.select(era), era, block, steps).groupBy("step", "role").agg(
+        F.count(F.lit(1)).alias("n")).collect()  # two rows per step
+    count = {(r["step"], r["role"]): r["n"] for r in sides}
+    todo = sorted(s for s, role in count if role == "train" and (s, "valid") in count)
+    if not todo:
+        return spark.createDataFrame([], "step int, n_train long, n_valid long, epoch int, valid_corr_mean double")
+
+    def scored(job: tuple[int, int]) -> DataFrame:
+        s, epoch = job
+        train = df.where((F.col(era) >= block * s) & (F.col(era) < block * (s + 1)))
+        valid = df.where((F.col(era) >= block * (s + 1)) & (F.col(era) < block * (s + 2)))
+        model = fit(train) if epochs == 1 else fit(train, epoch)
+        return model.transform(valid).select(F.lit(s).alias("step"), F.lit(epoch).alias("epoch"), era, *tiebreak, target, SCORE)
+
+    jobs = [(s, e) for s in todo for e in range(1, epochs + 1)]
+    with ThreadPoolExecutor(parallel) as pool:
+        parts = list(pool.map(scored, jobs))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    ranked = ranking.rank_pct_first(every, SCORE, ["step", "epoch", era], list(tiebreak), out="_r")
+    per_era = ranked.groupBy("step", "epoch", era).agg(corr_strict("_r", target).alias("corr"))
+    per_epoch = per_era.groupBy("step", "epoch").agg(F.avg("corr").alias("m"))
+    best = per_epoch.groupBy("step").agg(F.min(F.struct((-F.col("m")).isNull().alias("none"), (-F.col("m")).alias("v"), F.col("epoch"))).alias("b"))
+    counts = spark.createDataFrame([(s, count[s, "train"], count[s, "valid"]) for s in todo], "step int, n_train long, n_valid long")
+    return counts.join(best, "step", "left").select("step", "n_train", "n_valid", F.col("b.epoch").alias("epoch"), (-F.col("b.v")).alias("valid_corr_mean"))

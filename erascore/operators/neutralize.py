@@ -19,14 +19,16 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.stats import present
 from . import ranking
 from .sizing import bounded_broadcast, broadcast_if_at_most
 
 SMALL_K = 16  # k(k+1)/2 aggregate columns stay within whole-stage code generation; wider sets use Arrow batches
+_SALTS = 64
 
 
 def _solve_rows(g_flat: pd.Series, b: pd.Series, se: pd.Series, n: pd.Series, ss: pd.Series,
@@ -79,55 +81,81 @@ def _sums_small(scored: DataFrame, era: str, scores: Sequence[str], neutralizers
         F.array(*[F.col(f"_q{c}") for c in range(m)]).alias("ss2"))
 
 
-def _sums_wide(scored: DataFrame, era: str, scores: Sequence[str], neutralizers: Sequence[str]) -> DataFrame:
-    """Per-partition partial sums of [E | S | 1]^T [E | S] (``mapInArrow``: fixed-width vectors
-    become NumPy matrices without a Python loop; one matrix product per era and batch), reduced per
-    (era, row)."""
-    k, m = len(neutralizers), len(scores)
+_HELD_VALUES = 16_000_000  # numbers (128 MB) that a task holds before it hands its partial sums on
+
+
+def _vector(neutralizers: Sequence[str] | str) -> Column:
+    return (F.col(neutralizers).cast("array<double>") if isinstance(neutralizers, str)
+            else F.array(*[F.col(c).cast("double") for c in neutralizers]))
+
+
+def _complete(scores: Sequence[str], neutralizers: Sequence[str] | str, k: int) -> Column:
+    """Whether a row takes part: every score and every neutralizer present (not NULL, not NaN)."""
+    ok = F.lit(True)
+    for c in scores:
+        ok = ok & present(F.col(c))
+    if isinstance(neutralizers, str):
+        x = F.col(neutralizers)
+        return ok & F.coalesce((F.size(x) == k) & ~F.exists(x, lambda v: v.isNull() | F.isnan(v)), F.lit(False))
+    for c in neutralizers:
+        ok = ok & present(F.col(c).cast("double"))
+    return ok
+
+
+def _sums_wide(scored: DataFrame, era: str, scores: Sequence[str], neutralizers: Sequence[str] | str, k: int) -> DataFrame:
+    """Partial sums of [E | S | 1]^T [E | S] per era (``mapInArrow``: fixed-width vectors become NumPy
+    matrices without a Python loop; one matrix product per era and batch), accumulated within a task and handed
+    on when it holds too many, then reduced per (era, row) in two steps: by a salt of the producing task first, so
+    a group never stacks one row from every task."""
+    m = len(scores)
     era_type = scored.schema[era].dataType
-    part_schema = T.StructType([T.StructField(era, era_type), T.StructField("i", T.IntegerType()),
+    part_schema = T.StructType([T.StructField(era, era_type), T.StructField("i", T.IntegerType()), T.StructField("salt", T.IntegerType()),
                                 T.StructField("row", T.ArrayType(T.DoubleType()))])
-    packed = scored.select(era, F.array(*[F.col(c).cast("double") for c in scores]).alias("_s"),
-                           F.array(*[F.col(c).cast("double") for c in neutralizers]).alias("_e"))
-
-    def as_matrix(lst, n: int, width: int) -> np.ndarray:
-        if lst.null_count == 0 and len(lst.flatten()) == n * width:
-            return lst.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, width)
-        return np.array([[np.nan if v is None else v for v in (row or [None] * width)]
-                         for row in lst.to_pylist()], dtype=np.float64).reshape(n, width)
+    packed = scored.select(era, F.array(*[F.col(c).cast("double") for c in scores]).alias("_s"), _vector(neutralizers).alias("_e"))
 
     def partial(batches):
         import pyarrow as pa
-        acc: dict = {}
+        from pyspark import TaskContext
+        salt = TaskContext.get().partitionId() % _SALTS
+        held: dict = {}
+
+        def out(kind):
+            for key, mat in held.items():
+                yield pa.RecordBatch.from_pydict({
+                    era: pa.array([key] * (k + m + 1), type=kind),
+                    "i": pa.array(np.arange(k + m + 1, dtype=np.int32)), "salt": pa.array(np.full(k + m + 1, salt, np.int32)),
+                    "row": pa.array(list(mat), type=pa.list_(pa.float64()))})
+
+        kind = None
         for rb in batches:
             n = rb.num_rows
             if n == 0:
                 continue
-            eras = rb.column(0).to_pylist()
-            sv = as_matrix(rb.column(1), n, m)
-            e = as_matrix(rb.column(2), n, k)
+            kind = rb.column(0).type
+            sv = rb.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, m)
+            e = rb.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, k)
             right = np.concatenate([e, sv], axis=1)               # n x (k + m)
             left = np.concatenate([right, np.ones((n, 1))], axis=1)  # n x (k + m + 1)
-            keys, inv = np.unique(np.asarray(eras, dtype=object), return_inverse=True)
-            for g, key in enumerate(keys):
-                rows = inv == g
+            places: dict = {}
+            for i, key in enumerate(rb.column(0).to_pylist()):
+                places.setdefault(key, []).append(i)
+            for key, rows in places.items():
                 mat = left[rows].T @ right[rows]
-                acc[key] = acc[key] + mat if key in acc else mat
-        for key, mat in acc.items():
-            yield pa.RecordBatch.from_pydict({
-                era: pa.array([key] * (k + m + 1), type=era_arrow),
-                "i": pa.array(np.arange(k + m + 1, dtype=np.int32)),
-                "row": pa.array(list(mat), type=pa.list_(pa.float64()))})
-
-    from pyspark.sql.pandas.types import to_arrow_type
-    era_arrow = to_arrow_type(era_type)
+                held[key] = held[key] + mat if key in held else mat
+                if len(held) * (k + m + 1) * (k + m) > _HELD_VALUES:
+                    yield from out(kind)
+                    held = {}
+        if held:
+            yield from out(kind)
+
     parts = packed.mapInArrow(partial, part_schema)
 
     def reduce_rows(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.sum(np.stack(pdf["row"].to_numpy()), axis=0)
-        return pd.DataFrame({era: [pdf[era].iloc[0]], "i": [pdf["i"].iloc[0]], "row": [total]})
+        return pd.DataFrame({era: [pdf[era].iloc[0]], "i": [pdf["i"].iloc[0]], "salt": [0], "row": [total]})
 
-    rows = parts.groupBy(era, "i").applyInPandas(reduce_rows, part_schema)  # groups: one row per partition
+    rows = parts.groupBy(era, "i", "salt").applyInPandas(reduce_rows, part_schema)
+    rows = rows.groupBy(era, "i").applyInPandas(reduce_rows, part_schema)
     ordered = F.array_sort(F.collect_list(F.struct(F.col("i"), F.col("row"))))  # k + m + 1 rows per era
     g = rows.groupBy(era).agg(ordered.alias("_rows"))
     body = F.slice("_rows", 1, k)
@@ -151,38 +179,54 @@ def _balanced_sum(terms: list):
     return terms[0]
 
 
-def era_coefficients(scored: DataFrame, scores: Sequence[str] | str, neutralizers: Sequence[str],
-                     era: str = "era", method: str = "auto", proportion: float = 1.0) -> DataFrame:
+def _width(df: DataFrame, neutralizers: Sequence[str] | str) -> int:
+    """How many neutralizers there are; of a vector column, its longest length (one aggregation)."""
+    if not isinstance(neutralizers, str):
+        return len(neutralizers)
+    return int(df.agg(F.max(F.size(neutralizers)).alias("k")).first()["k"] or 0)
+
+
+def era_coefficients(scored: DataFrame, scores: Sequence[str] | str, neutralizers: Sequence[str] | str,
+                     era: str = "era", method: str = "auto", proportion: float = 1.0, width: int | None = None) -> DataFrame:
     """Per era: ``beta`` (minimum-norm least squares of ``E beta ~= s`` for every score column, m
-    blocks of k values) and ``std`` of the whole residual matrix, from one pass of sums."""
+    blocks of k values) and ``std`` of the whole residual matrix, from one pass of sums over the complete rows.
+
+    ``method``: ``small`` (aggregate columns) or ``wide`` (Arrow batches); ``auto`` takes the faster by width, the
+    values do not depend on it."""
     scores = [scores] if isinstance(scores, str) else list(scores)
+    k = _width(scored, neutralizers) if width is None else width
     if method == "auto":
-        method = "small" if len(neutralizers) <= SMALL_K else "wide"
-    sums = (_sums_small if method == "small" else _sums_wide)(scored, era, scores, neutralizers)
+        method = "small" if k <= SMALL_K and not isinstance(neutralizers, str) else "wide"
+    complete = scored.where(_complete(scores, neutralizers, k))
+    sums = _sums_small(complete, era, scores, neutralizers) if method == "small" else _sums_wide(complete, era, scores, neutralizers, k)
     solved = sums.select(era, _solve("g", "b", "se", F.col("n").cast("double"), "ss", "ss2",
                                      F.lit(float(proportion))).alias("_sol"))
     return solved.select(era, F.col("_sol.beta").alias("beta"), F.col("_sol.std").alias("std"))
 
 
-def neutralize(df: DataFrame, columns: str | Sequence[str], neutralizers: Sequence[str], era: str = "era",
+def neutralize(df: DataFrame, columns: str | Sequence[str], neutralizers: Sequence[str] | str, era: str = "era",
                tiebreak: Sequence[str] = ("row_idx",), proportion: float = 1.0, normalize: bool = True,
                out: str | Sequence[str] | None = None, method: str = "auto", n_eras: int | None = None,
                **kw) -> DataFrame:
     """``df`` plus the neutralized score columns (``out``; by default the inputs are replaced).
 
-    Per era, each score column (as ``(rank_first - 0.5) / n`` when ``normalize``) loses its
-    least-squares projection on the neutralizers (no intercept) times ``proportion``; the result is
-    divided by the population std of the whole score matrix of that era, as in the reference.
-    Neutralizer values must be present: fill missing features first (``projections.fill_missing_const``,
-    as the load step does), as a least-squares fit has no meaning for missing exposures.
-    Plan: the scored rows are read twice -- one aggregation for the per-era sums, one broadcast join
-    of the per-era ``(beta, std)`` table -- and keep their era partitioning, so a following per-era
+    ``neutralizers`` is a list of columns or the name of one ``array`` column with a vector per row. Per era, each
+    score column (as ``(rank_first - 0.5) / n`` when ``normalize``) loses its least-squares projection on the
+    neutralizers (no intercept) times ``proportion``; the result is divided by the population std of the whole score
+    matrix of that era, as in the reference.
+
+    Missing values, at any width: a row with a missing score or neutralizer (NULL, NaN, or a vector of another length
+    than the longest) takes no part in the fit, the count or the std, and its result is NULL; the other rows of
+    its era are neutralized among themselves. (Fill missing features first, as the load step does, to keep such rows.)
+
+    Plan: the scored rows are read twice -- one aggregation for the per-era sums, one join with the per-era
+    ``(beta, std)`` table, broadcast where its bytes are few -- and keep their era partitioning, so a following per-era
     rank needs no new exchange.
     """
     columns = [columns] if isinstance(columns, str) else list(columns)
     outs = columns if out is None else ([out] if isinstance(out, str) else list(out))
-    neutralizers = list(neutralizers)
-    k = len(neutralizers)
+    neutralizers = neutralizers if isinstance(neutralizers, str) else list(neutralizers)
+    k = _width(df, neutralizers)
     base = df
     scores = [f"_score{c}" for c in range(len(columns))]
     if normalize:
@@ -194,17 +238,24 @@ def neutralize(df: DataFrame, columns: str | Sequence[str], neutralizers: Sequen
     else:
         for col, sc in zip(columns, scores):
             base = base.withColumn(sc, F.col(col).cast("double"))
-    coef = era_coefficients(base, scores, neutralizers, era, method, proportion)
+    coef = era_coefficients(base, scores, neutralizers, era, method, proportion, k)
     if n_eras is None:
         n_eras = ranking.group_stats(df, [era])[1]
-    # one row per era: the era count (from the group statistics of the input) bounds the broadcast
-    coef = broadcast_if_at_most(coef.select(era, F.col("beta").alias("_beta"), F.col("std").alias("_std")), n_eras)
-    res = base.join(coef, era, "left")
+    # one row per era of k * m coefficients: the era count (from the input's group statistics) bounds the bytes
+    coef = broadcast_if_at_most(coef.select(F.col(era).alias("_coef_era"), F.col("beta").alias("_beta"), F.col("std").alias("_std")),
+                                n_eras, 64 + 8 * k * len(columns))
+    res = base.join(coef, F.col(era) == F.col("_coef_era"), "left")
+    ok = _complete(scores, neutralizers, k)
     outputs = []
     for ci, (sc, name) in enumerate(zip(scores, outs)):
-        fitted = _balanced_sum([F.col(c).cast("double") * F.element_at("_beta", ci * k + j + 1)
-                                for j, c in enumerate(neutralizers)])
-        outputs.append(((F.col(sc) - F.lit(proportion) * fitted) / F.nullif(F.col("_std"), F.lit(0.0))).alias(name))
+        if isinstance(neutralizers, list) and k <= SMALL_K:
+            fitted = _balanced_sum([F.col(c).cast("double") * F.element_at("_beta", ci * k + j + 1)
+                                    for j, c in enumerate(neutralizers)])
+        else:  # one loop over the row's vector, not k generated terms
+            own = F.slice("_beta", ci * k + 1, k)
+            fitted = F.aggregate(F.zip_with(_vector(neutralizers), own, lambda x, b: x * b), F.lit(0.0), lambda acc, v: acc + v)
+        value = (F.col(sc) - F.lit(proportion) * fitted) / F.nullif(F.col("_std"), F.lit(0.0))
+        outputs.append(F.when(ok, value).alias(name))
     cols = [c for c in df.columns if c not in outs]
     return res.select(*cols, *outputs)
 
@@ -226,14 +277,15 @@ def neutralize_series(df: DataFrame, series: str, by: str, proportion: float = 1
                   .drop("_a", "_b"))
 
 
-def feature_neutral_mean(df: DataFrame, features: Sequence[str], pred: str = "prediction",
+def feature_neutral_mean(df: DataFrame, features: Sequence[str] | str, pred: str = "prediction",
                          target: str = "target", era: str = "era", tiebreak: Sequence[str] = ("row_idx",),
                          method: str = "auto", **kw) -> DataFrame:
-    """Neutralize the prediction against all features per era, then mean of the per-era
-    rank correlation of the result with the target."""
+    """Neutralize the prediction against all features (columns, or one vector column) per era, then mean of
+    the per-era rank correlation of the result with the target."""
     from .metrics import era_corr, with_strategy
 
-    cols = list(dict.fromkeys([era, pred, target, *features, *tiebreak]))
+    names = [features] if isinstance(features, str) else list(features)
+    cols = list(dict.fromkeys([era, pred, target, *names, *tiebreak]))
     kw = with_strategy(df, [era], kw)
     n_eras = ranking.group_stats(df, [era])[1]  # cached by the size check above
     neutral = neutralize(df.select(*cols), pred, features, era, tiebreak, out="neutral_sub",

@@ -8,18 +8,21 @@ Skew: an era may hold a third of all rows, so a ``Window.partitionBy(era)`` (one
 only used when a size check proves every group small. ``strategy="auto"`` (the default) first runs
 one column-pruned aggregation (row count per group, map-side combined, one number returned) and
 takes the window plan -- one exchange on the group keys plus a sort, shared by every rank over the
-same groups -- when the largest group is at most ``spark.erascore.rank.maxGroupRows`` rows
-(default 2,000,000). Otherwise ``group_row_number`` range-partitions on ``(group, value, tiebreak)`` which splits a
-hot era over many tasks, numbers rows inside each partition with ``monotonically_increasing_id``
-(partition index in the high bits, position in the low 33 bits) and adds per-(partition, group)
-offsets taken from a small count table. That table has at most ``partitions + groups`` rows; it is
+same groups -- when the largest group, rows times row width, is at most ``spark.erascore.rank.maxGroupBytes``
+(default 128 MB). A rank without groups always takes the range plan, at any size.
+
+The range plan carries only what orders the rows: ``(group, value, tiebreak)`` is range-partitioned, which
+splits a hot era over many tasks, rows are numbered inside each partition with ``monotonically_increasing_id``
+(partition index in the high bits, position in the low 33 bits), and per-(partition, group) offsets from a
+small count table are added. A few narrow columns ride along; a wide payload comes back by a join on (group,
+tiebreak), which must be unique together, as every tie-break has to be. The offset table has at most ``partitions + groups`` rows; it is
 counted before it is broadcast (``sizing.bounded_broadcast``), with a shuffled join beyond the limit.
 
-The numbered frame is read twice (for the counts and for the join), so it is materialized once:
+The numbered keys are read twice (for the counts and for the join), so they are materialized once:
 two separate range shuffles would each draw their own sample (the sample seed depends on the RDD
-id) and split rows differently. By default it is persisted (memory and disk); recomputing a lost
+id) and split rows differently. By default they are persisted (memory and disk); recomputing a lost
 block reuses the same range partitioner and the unique sort key, so the numbering is identical.
-``materialize="checkpoint"`` writes it to the shared checkpoint folder instead, which also cuts
+``materialize="checkpoint"`` writes them to the shared checkpoint folder instead, which also cuts
 the lineage and does not depend on the cache: use it when the session's cache may be cleared
 between building the result and running it (both branches must read the same numbered rows).
 """
@@ -33,10 +36,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import shuffle_partitions
-from .sizing import bounded_broadcast, keep
+from .sizing import bounded_broadcast, keep, row_bytes
 
-MAX_GROUP_ROWS_CONF = "spark.erascore.rank.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
+MAX_GROUP_BYTES_CONF = "spark.erascore.rank.maxGroupBytes"
+DEFAULT_MAX_GROUP_BYTES = 128 << 20
+CARRIED_BYTES = 160  # a payload up to here is range-partitioned with its keys
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
@@ -57,7 +61,9 @@ def group_stats(df: DataFrame, group_cols: Sequence[str]) -> tuple[int, int]:
     """(rows of the largest group, number of groups): one partial aggregation over the group columns
     only. Remembered per input plan -- the values steer plan choices (window or range plan, broadcast
     or shuffle), never results, so a stale entry after the data changed only costs speed."""
-    key = (df.select(*group_cols).semanticHash() if group_cols else df.semanticHash(), tuple(group_cols))
+    narrow = df.select(*group_cols) if group_cols else df
+    # the whole plan's text beside its hash: equal hashes alone must not steer another plan
+    key = (df.sparkSession._jsparkSession.sessionUUID(), narrow.semanticHash(), str(narrow.schema), tuple(group_cols))
     if key not in _GROUP_STATS:
         if not group_cols:
             _GROUP_STATS[key] = (df.count(), 1)
@@ -76,9 +82,11 @@ def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
 
 
 def choose_strategy(df: DataFrame, group_cols: Sequence[str]) -> str:
-    """``window`` when the largest group fits one task, else ``range``."""
-    limit = int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    return "window" if largest_group(df, group_cols) <= limit else "range"
+    """``window`` when the largest group's bytes fit one task, else ``range``; always ``range`` without groups."""
+    if not group_cols:
+        return "range"
+    limit = int(df.sparkSession.conf.get(MAX_GROUP_BYTES_CONF, str(DEFAULT_MAX_GROUP_BYTES)))
+    return "window" if largest_group(df, group_cols) * row_bytes(df.schema) <= limit else "range"
 
 
 def group_row_number(df: DataFrame, group_cols: Sequence[str], value_col: str, tiebreak: Sequence[str],
@@ -107,6 +115,19 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], value_col: str, t
     if strategy != "range":
         raise ValueError(f"unknown strategy {strategy!r}")
 
+    needed = list(dict.fromkeys([*group_cols, value_col, *tiebreak]))
+    extra = T.StructType([f for f in df.schema.fields if f.name not in needed])
+    if extra.fields and row_bytes(extra) > CARRIED_BYTES:
+        unique = list(dict.fromkeys([*group_cols, *tiebreak]))
+        numbered = group_row_number(df.select(*needed), group_cols, value_col, tiebreak, out, descending, num_partitions,
+                                    "range", materialize).select(*unique, out, n_col, nv_col)
+        same = None
+        for u in unique:
+            each = F.col(f"d.{u}").eqNullSafe(F.col(f"n.{u}"))
+            same = each if same is None else same & each
+        if same is not None:
+            return df.alias("d").join(numbered.alias("n"), same).select(
+                *[F.col(f"d.{c}") for c in df.columns], *[F.col(f"n.{c}") for c in (out, n_col, nv_col)])
     n = num_partitions or shuffle_partitions(df.sparkSession)
     staged = (df.repartitionByRange(n, *orders)
                 .sortWithinPartitions(*orders)
@@ -141,6 +162,25 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], value_col: str, t
         F.col(f"o.{nv_col}").alias(nv_col))
 
 
+def rows_at(df: DataFrame, order_cols: Sequence[str], ranks: Sequence[int]) -> dict[int, tuple]:
+    """The ``order_cols`` of the rows at some 1-based ranks of the order (NULL and, in the first column, NaN last).
+    Only the ordering columns are moved; one row per rank reaches the driver."""
+    order_cols = list(order_cols)
+    ranked = group_row_number(df.select(*order_cols), [], order_cols[0], order_cols[1:], out="_at", strategy="range")
+    return {r["_at"]: tuple(r[c] for c in order_cols) for r in ranked.where(F.col("_at").isin(list(ranks))).collect()}
+
+
+def up_to(cols: Sequence[Column], row: Sequence) -> Column:
+    """Whether a row comes at or before ``row`` in the order of ``cols``, NULL last: a filter without a shuffle."""
+    out = F.lit(True)
+    for c, v in reversed(list(zip(cols, row, strict=True))):
+        if v is None:
+            out = c.isNotNull() | (c.isNull() & out)
+        else:
+            out = F.coalesce(c < F.lit(v), F.lit(False)) | (c.eqNullSafe(F.lit(v)) & out)
+    return out
+
+
 def rank_pct_first(df: DataFrame, value_col: str, group_cols: Sequence[str], tiebreak: Sequence[str],
                    out: str = "rank_pct", **kw) -> DataFrame:
     """Pandas ``rank(pct=True, method="first")`` per group; NULL stays NULL."""

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.naming import epoch_from_key
+from ..sources.sinks import path_exists
 from .sizing import bounded_broadcast
 
-N_STEPS = 41  # fixed value: number of walk-forward steps / trials in a best-epoch table
+N_STEPS = 41  # fixed value: the least number of trials in a best-epoch table
 
 
 def best_epoch(log: DataFrame, keys: Sequence[str] = ("model", "trial"), epoch: str = "epoch",
@@ -42,10 +43,12 @@ def latest_epoch_file(files: DataFrame, prefix_col: str = "prefix", name: str =
 def best_epoch_table(models: DataFrame, own: DataFrame, fallback: DataFrame, n_trials: int = N_STEPS,
                      model: str = "model") -> DataFrame:
     """Per model and trial 1..n the best epoch: from the model's own table when it has one, else
-    from the fallback table, else 1.
+    from the fallback table, else 1. n is ``n_trials``, or the highest trial of either table where that is more.
 
     ``own``: (model, trial, epoch); ``fallback``: (trial, epoch). Tables are small (models x trials)."""
-    trials = F.explode(F.sequence(F.lit(1), F.lit(n_trials))).alias("trial")
+    last = own.select("trial").unionByName(fallback.select("trial")).agg(F.greatest(F.max("trial"), F.lit(n_trials)).alias("last"))
+    last = max(n_trials, last.first()["last"] or 0)  # one number
+    trials = F.explode(F.sequence(F.lit(1), F.lit(last))).alias("trial")
     grid = models.select(model, trials)
     has_own = own.select(model).distinct().withColumn("_has_own", F.lit(True))
     out = (grid.join(has_own, model, "left")
@@ -63,6 +66,17 @@ def best_epoch_table(models: DataFrame, own: DataFrame, fallback: DataFrame, n_t
     return out.select(model, "trial", F.coalesce(epoch, F.lit(1)).cast("int").alias("epoch"), src.alias("source"))
 
 
+def read_best_epochs(spark: SparkSession, folder: str, name: str, fallback: str | None = None) -> DataFrame:
+    """The best-epoch table ``(trial, epoch, source)`` of a model: its own headered CSV ``<folder>/<name>.csv``
+    (columns trial, epoch), else that of ``fallback``, else an empty table."""
+    for candidate, source in ((name, "own"), (fallback, "fallback")):
+        path = f"{folder.rstrip('/')}/{candidate}.csv"
+        if candidate is not None and path_exists(spark, path):
+            rows = spark.read.option("header", True).csv(path)
+            return rows.select(F.col("trial").cast("int").alias("trial"), F.col("epoch").cast("int").alias("epoch"), F.lit(source).alias("source"))
+    return spark.createDataFrame([], "trial int, epoch int, source string")
+
+
 def step_cleanup_candidates(entries: DataFrame, best: DataFrame, keys: Sequence[str] = ("model", "step"),
                             epoch: str = "epoch") -> DataFrame:
     """Registry entries of a step other than that step's best epoch (listed, never deleted)."""

@@ -1,9 +1,10 @@
 """Filters, samples and splits.
 
-Exact-size splits need a global order. It comes from ``ranking.group_row_number`` without groups:
-a single-task window only when the size check shows the whole input fits one task, otherwise range
-partitioning plus per-partition offsets. The reference's random choice is unseeded; here the order is a hash of
-``(id, seed)`` so a split is reproducible and a lost task recomputes the same rows.
+Exact-size splits need a place in a global order, not the order itself: the row at which the split falls is
+selected first, then every row is compared with it, so the rows themselves are neither shuffled nor cached. For the
+hash order the row is found through histograms of hash prefixes (map-side combined, at most 65,536 rows each); for
+other orders by ranking the ordering columns alone. The reference's random choice is unseeded; here the order is a
+hash of ``(id, seed)`` so a split is reproducible and a lost task recomputes the same rows.
 """
 
 from __future__ import annotations
@@ -12,9 +13,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import ranking
 
+PREFIX = 4  # hex digits by which a histogram of hashes gets finer
+FEW_ROWS = 20_000  # of one prefix: few enough to sort
+
 
 def every_nth_era(df: DataFrame, n: int = 4, era: str = "era") -> DataFrame:
     """keep rows of eras divisible by ``n`` (a pushed-down filter on the era column)."""
@@ -43,51 +48,88 @@ def hash_order(id_col: str, seed: int | str) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(str(seed))))
 
 
+def _hash_cuts(df: DataFrame, id_col: str, seed: int | str, fractions: Sequence[float]) -> list[Column]:
+    """For each fraction a predicate that holds for exactly ``int(fraction * n)`` rows: the first by (hash, id).
+
+    A prefix with many rows is split by further digits; the ids are unique, so at full length a prefix is one id."""
+    # a missing id has no hash and comes last
+    h = F.coalesce(hash_order(id_col, seed), F.lit("~"))
+    keys = df.select(h.alias("_h"), F.col(id_col).alias("_id"))
+
+    def histogram(prefix: str) -> list[tuple[str, int]]:
+        part = keys.where(F.col("_h").startswith(prefix)) if prefix else keys
+        found = part.groupBy(F.substring("_h", 1, len(prefix) + PREFIX).alias("p")).count().collect()
+        return sorted((r["p"], r["count"]) for r in found)
+
+    whole = histogram("")
+    n = sum(c for _, c in whole)
+
+    def cut(k: int) -> Column:
+        if k <= 0:
+            return F.lit(False)
+        if k >= n:
+            return F.lit(True)
+        bins, left = whole, k
+        while True:
+            for prefix, count in bins:
+                if left <= count:
+                    break
+                left -= count
+            if count <= FEW_ROWS or len(prefix) >= 32:
+                break
+            bins = histogram(prefix)
+        part = keys.where(F.col("_h").startswith(prefix)).orderBy("_h", "_id").limit(left)
+        at = part.agg(F.max(F.struct("_h", "_id")).alias("at")).first()["at"]
+        return ranking.up_to([h, F.col(id_col)], [at["_h"], at["_id"]])
+
+    return [cut(int(n * f)) for f in fractions]
+
+
 def random_holdout_exact(df: DataFrame, split: float, id_col: str = "id", seed: int = 0,
-                         out: str = "dataset", train: str = "train", valid: str = "valid", **kw) -> DataFrame:
+                         out: str = "dataset", train: str = "train", valid: str = "valid") -> DataFrame:
     """exactly ``int(split * n)`` rows go to ``valid``, chosen by the hash order, the rest ``train``."""
-    keyed = df.withColumn("_h", hash_order(id_col, seed))
-    r = ranking.group_row_number(keyed, [], "_h", [id_col], out="_hr", **kw)
-    n_valid = F.floor(F.col("_hr_n") * F.lit(float(split)))
-    return (r.withColumn(out, F.when(F.col("_hr") <= n_valid, F.lit(valid)).otherwise(F.lit(train)))
-             .drop("_h", "_hr", "_hr_n", "_hr_nvalid"))
+    held, = _hash_cuts(df, id_col, seed, [float(split)])
+    return df.withColumn(out, F.when(held, F.lit(valid)).otherwise(F.lit(train)))
 
 
 def three_way_split(df: DataFrame, train_frac: float, valid_frac: float, id_col: str = "id", seed: int = 0,
-                    out: str = "dataset", exact: bool = True, **kw) -> DataFrame:
+                    out: str = "dataset", exact: bool = True) -> DataFrame:
     """train / valid / test fractions (must sum to at most 1).
 
-    exact: counts ``int(train*n)``, ``int(valid*n)`` by the hash order; otherwise ``randomSplit``-like
-    per-row draws (no shuffle, sizes approximate)."""
+    exact: counts ``int(train*n)``, ``int(valid*n)`` by the hash order; otherwise each row by its hash alone
+    (no job beforehand, sizes approximate, the same rows however the data are partitioned)."""
     if train_frac + valid_frac > 1.0 + 1e-12:
         raise ValueError("train + valid splits must be <= 1.0")
     if not exact:
-        u = F.rand(seed)
+        u = F.conv(F.substring(hash_order(id_col, seed), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
         return df.withColumn(out, F.when(u < train_frac, "train").when(u < train_frac + valid_frac, "valid")
                              .otherwise("test"))
-    keyed = df.withColumn("_h", hash_order(id_col, seed))
-    r = ranking.group_row_number(keyed, [], "_h", [id_col], out="_hr", **kw)
-    n_train = F.floor(F.col("_hr_n") * F.lit(float(train_frac)))
-    n_valid = F.floor(F.col("_hr_n") * F.lit(float(valid_frac)))
-    return (r.withColumn(out, F.when(F.col("_hr") <= n_train, "train")
-                          .when(F.col("_hr") <= n_train + n_valid, "valid").otherwise("test"))
-             .drop("_h", "_hr", "_hr_n", "_hr_nvalid"))
+    n = df.select(id_col).count()
+    n_train, n_valid = int(n * float(train_frac)), int(n * float(valid_frac))
+    first, both = _hash_cuts(df, id_col, seed, [(n_train + 0.5) / n, (n_train + n_valid + 0.5) / n]) if n else (F.lit(False),) * 2
+    return df.withColumn(out, F.when(first, "train").when(both, "valid").otherwise("test"))
 
 
 def head_tail_split(df: DataFrame, split: float, order_cols: Sequence[str], out: str = "part",
-                    head: str = "head", tail: str = "tail", **kw) -> DataFrame:
+                    head: str = "head", tail: str = "tail") -> DataFrame:
     """the first ``int(n * split)`` rows in ``order_cols`` order vs the remainder."""
     order_cols = list(order_cols)
-    r = ranking.group_row_number(df, [], order_cols[0], order_cols[1:], out="_pr", **kw)
-    cut = F.floor(F.col("_pr_n") * F.lit(float(split)))
-    return (r.withColumn(out, F.when(F.col("_pr") <= cut, F.lit(head)).otherwise(F.lit(tail)))
-             .drop("_pr", "_pr_n", "_pr_nvalid"))
-
-
-def head_holdout(df: DataFrame, split: float, order_cols: Sequence[str], out: str = "dataset", **kw) -> DataFrame:
+    n = df.select(order_cols[0]).count()
+    k = int(n * float(split))
+    if 0 < k < n:
+        cols = [F.col(c) for c in order_cols]
+        if isinstance(df.schema[order_cols[0]].dataType, (T.FloatType, T.DoubleType)):
+            cols[0] = F.when(~F.isnan(cols[0]), cols[0])
+        first = ranking.up_to(cols, ranking.rows_at(df, order_cols, [k])[k])
+    else:
+        first = F.lit(k >= n)
+    return df.withColumn(out, F.when(first, F.lit(head)).otherwise(F.lit(tail)))
+
+
+def head_holdout(df: DataFrame, split: float, order_cols: Sequence[str], out: str = "dataset") -> DataFrame:
     """the first ``int(split * n)`` rows of the validation file are validation, the rest train
     (the reference's mask marks them the other way round while printing these counts)."""
-    return head_tail_split(df, split, order_cols, out=out, head="valid", tail="train", **kw)
+    return head_tail_split(df, split, order_cols, out=out, head="valid", tail="train")
 
 
 def no_split(train: DataFrame, valid: DataFrame, out: str = "dataset") -> DataFrame:
@@ -103,16 +145,16 @@ def mask_select(df: DataFrame, mode: str, dataset: str = "dataset") -> DataFrame
     return df.where(F.col(dataset) == mode)
 
 
-def era_walk_forward(df: DataFrame, era: str = "era", block: int = 14, steps: int = 41) -> DataFrame:
+def era_walk_forward(df: DataFrame, era: str = "era", block: int = 14, steps: int | None = None) -> DataFrame:
     """F8: for step s, train eras [block*s, block*s + block) and validation eras of the next block.
 
     Each row belongs to the train side of step ``era // block`` and the validation side of step
     ``era // block - 1``, so the assignment is a generator (at most two output rows per input row),
-    not a join."""
+    not a join. Every era takes part; ``steps`` keeps the first so many steps only."""
     s = F.floor(F.col(era) / F.lit(block)).cast("int")
     pairs = F.array(F.struct(s.alias("step"), F.lit("train").alias("role")),
                     F.struct((s - 1).alias("step"), F.lit("valid").alias("role")))
-    exploded = df.select("*", F.explode(pairs).alias("_sr"))
-    return (exploded.where((F.col("_sr.step") >= 0) & (F.col("_sr.step") < steps))
-                    .select("*", F.col("_sr.step").alias("step"), F.col("_sr.role").alias("role"))
-                    .drop("_sr"))
+    exploded = df.select("*", F.explode(pairs).alias("_sr")).where(F.col("_sr.step") >= 0)
+    if steps is not None:
+        exploded = exploded.where(F.col("_sr.step") < steps)
+    return exploded.select("*", F.col("_sr.step").alias("step"), F.col("_sr.role").alias("role")).drop("_sr")

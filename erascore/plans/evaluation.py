@@ -3,7 +3,7 @@
 Plan shape: the per-era aggregates (correlation, MMC, feature exposure, feature-neutral
 correlation) are each one distributed rank + one partial aggregation keyed by era. Their outputs
 have one row per era (persisted, tiny) and are reduced to one-row aggregates, which are assembled
-into the report row.
+into the report row; nothing but size checks runs before the row is asked for.
 """
 
 from __future__ import annotations
@@ -12,24 +12,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators import metrics, neutralize
 from ..operators.sizing import keep
 
 
 def _one_row(*frames: DataFrame) -> DataFrame:
-    """Side by side values of one-row aggregates: each is computed (one row to the driver) and the
-    report row is built from them."""
-    values, fields = [], []
-    for f in frames:
-        row = f.first()
-        values += list(row)
-        fields += [T.StructField(x.name, x.dataType, True) for x in f.schema.fields]
-    return frames[0].sparkSession.createDataFrame([tuple(values)], T.StructType(fields))
+    """Side by side values of one-row aggregates, as one lazy row: each row is packed as a struct, and one
+    aggregation over the few rows picks them apart."""
+    packed = None
+    for i, f in enumerate(frames):
+        mine = [F.struct(*f.columns) if j == i else F.lit(None).cast(g.select(F.struct(*g.columns)).schema[0].dataType)
+                for j, g in enumerate(frames)]
+        row = f.select(*[c.alias(f"r{j}") for j, c in enumerate(mine)])
+        packed = row if packed is None else packed.unionByName(row)
+    whole = packed.agg(*[F.first(f"r{i}", ignorenulls=True).alias(f"r{i}") for i in range(len(frames))])
+    return whole.select(*[F.col(f"r{i}")[c].alias(c) for i, f in enumerate(frames) for c in f.columns])
 
 
-def validation_report(valid: DataFrame, features: Sequence[str], pred: str = "prediction",
+def validation_report(valid: DataFrame, features: Sequence[str] | str, pred: str = "prediction",
                       target: str = "target", example: str = "example_preds", era: str = "era",
                       tiebreak: Sequence[str] = ("row_idx",), **kw) -> DataFrame:
     """Corr mean/std, Sharpe, payout, max drawdown, max feature exposure, feature neutral mean,

@@ -43,19 +43,33 @@ def training_etl(df: DataFrame, out: str, features: Sequence[str], targets: Sequ
 
 
 def live_predictions(live: DataFrame, model, features: Sequence[str], arch: str = "NR",
-                     fill: float = 0.5, id_col: str = "id") -> DataFrame:
-    """Live rows -> ``(id, prediction)``: missing features filled, scored, clamped to [0, 1]."""
+                     fill: float = 0.5, id_col: str = "id", chain: str = "", keep: Sequence[str] = ()) -> DataFrame:
+    """Live rows -> ``(id, keep..., prediction)``: missing features filled, the transform chain applied, scored,
+    decoded, clamped to [0, 1].
+
+    With a ``chain`` the model sees the transformed vector (a layer list, or two for AE; fitted column models take no
+    chain), and the live examples carry zero targets through it as in training; a chain with ``Sparse`` made class
+    scores, which are decoded by their largest, otherwise the first output is the prediction."""
+    kept = [id_col, *[c for c in keep if c != id_col]]
     filled = projections.fill_missing_const(normalize_missing(live), list(features), fill)
-    return models.batch_score(model, filled, features, arch, id_col)
+    if not chain:
+        return models.batch_score(model, filled, features, arch, id_col, keep=keep)
+    x, _ = vectors.apply_chain(F.array(*[F.col(c).cast("double") for c in features]), F.array(F.lit(0.0)), chain, training=False)
+    rows = filled.select(*kept, x.alias("_chained"))
+    sparse = any(step.name == "Sparse" for step in vectors.parse_spec(chain))
+    return models.batch_score(model, rows, "_chained", arch, id_col, keep=keep, decode="argmax" if sparse else "first")
 
 
 def live_scoring(live: DataFrame, model, features: Sequence[str], folder: str, name: str, version: int,
-                 round_number: int, arch: str = "NR") -> tuple[str, DataFrame]:
+                 round_number: int, arch: str = "NR", chain: str = "") -> tuple[str, DataFrame]:
     """Write the submission and return its path with the decile histogram of what was written."""
-    preds = live_predictions(live, model, features, arch)
+    preds = live_predictions(live, model, features, arch, chain=chain)
     path = sinks.write_submission(preds, folder, name, version, round_number)
-    written = live.sparkSession.read.option("header", True).schema("id string, prediction double").csv(path)
-    return path, metrics.decile_histogram(written)
+    return path, metrics.decile_histogram(read_submission(live.sparkSession, path))
+
+
+def read_submission(spark, path: str) -> DataFrame:
+    return spark.read.option("header", True).schema("id string, prediction double").csv(path)
 
 
 def example_vectors(shards: DataFrame, spec: str, training: bool = True) -> DataFrame:

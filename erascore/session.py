@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -22,7 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -71,8 +73,9 @@ def prepare_session(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; only when none is configured
-    (a local test session) create a private one under the system temp folder."""
+    """Return the cluster's shared checkpoint folder; only when none is configured and the session is
+    local (a test) create a private one under the system temp folder. On a cluster without one this raises: a
+    folder of one machine would be invisible to the others."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
@@ -82,14 +85,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the cluster shares")
         configured = tempfile.mkdtemp(prefix="erascore-ckpt-")
+        atexit.register(shutil.rmtree, configured, True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables, inside the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark) or tempfile.mkdtemp(prefix="erascore-scratch-")
+    base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the cluster shares")
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "erascore-scratch", f"{name}-{uuid.uuid4().hex[:12]}")

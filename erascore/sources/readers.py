@@ -94,13 +94,20 @@ def read_shards(spark: SparkSession, patterns: str | Sequence[str]) -> DataFrame
     expose ``era`` as a partition column, so era filters prune whole folders."""
     if isinstance(patterns, str):
         patterns = patterns.split()
-    return spark.read.option("basePath", _common_base(patterns)).parquet(*patterns)
+    by_base: dict[str, list[str]] = {}
+    for p in patterns:
+        by_base.setdefault(_base(p), []).append(p)
+    out = None
+    for base, own in by_base.items():
+        part = spark.read.option("basePath", base).parquet(*own)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
-def _common_base(patterns: Sequence[str]) -> str:
-    first = patterns[0]
-    cut = min([first.find(ch) for ch in "*?[" if ch in first] or [len(first)])
-    base = first[:cut]
+def _base(pattern: str) -> str:
+    """The folder above a glob's wildcards and partition folders."""
+    cut = min([pattern.find(ch) for ch in "*?[" if ch in pattern] or [len(pattern)])
+    base = pattern[:cut]
     if "=" in base:
         base = base[:base.find("=")]
     return base.rsplit("/", 1)[0]

@@ -7,7 +7,7 @@ shards; that is not reproduced).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_SHARD_ROWS = 4096
@@ -55,6 +55,12 @@ def write_validation_preds(preds: DataFrame, folder: str, name: str, version: in
     return write_submission(preds, folder, name, version, revision, suffix="_test", **kw)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever store its scheme names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
+
+
 def write_if_absent(df: DataFrame, path: str, force: bool = False, fmt: str = "parquet") -> None:
     """Write only when the target does not exist yet, or always with ``force``."""
     df.write.mode("overwrite" if force else "ignore").format(fmt).save(path)

@@ -1,21 +1,26 @@
 """Live rounds as a file stream.
 
 The reference polls a web service every 300 seconds and then processes the round's live file once.
-Here new round files landing in a folder are the stream: the file source reads each file once
-(tracked in the checkpoint), a watermark on the arrival time bounds the de-duplication state for
-re-delivered rows of a round, and every micro-batch is scored and written as a submission. The
-batch writer is idempotent (one output folder per batch id, overwritten on replay), so a restarted
-query after an executor or driver failure does not duplicate output.
+Here new round files landing in a folder are the stream: the file source reads each file once (tracked
+in the checkpoint), and every micro-batch is compared with what the sink already holds, scored and
+written. Rounds may come late, out of order or twice: no watermark is used, so a row is left out only
+where the same ``(round, id)`` was written before, never because of its age. The state of that comparison is the
+sink itself, read for the batch's rounds only.
+
+The writer is idempotent (one output folder per batch id, overwritten on replay, and never compared with
+itself), so a restarted query after an executor or driver failure does not duplicate output.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.sinks import path_exists
+
 POLL_SECONDS = 300  # fixed value: the reference's poll interval
 
 
@@ -27,31 +32,52 @@ def read_rounds(spark: SparkSession, folder: str, schema: T.StructType, max_file
     return reader.parquet(folder)
 
 
-def round_gate(stream: DataFrame, keys=("round", "id"), arrival: str = "arrival",
-               delay: str = "1 day") -> DataFrame:
-    """Drop rows of a round that were already delivered (within the watermark delay)."""
-    return (stream.withColumn(arrival, F.col(arrival).cast("timestamp"))
-                  .withWatermark(arrival, delay)
-                  .dropDuplicatesWithinWatermark(list(keys)))
+def round_gate(batch: DataFrame, written: DataFrame | None, keys: Sequence[str] = ("round", "id")) -> DataFrame:
+    """The rows of a batch that were not delivered before: once per key, and none of ``written``."""
+    keys = list(keys)
+    once = batch.dropDuplicates(keys)
+    return once if written is None else once.join(written.select(*keys), keys, "left_anti")
+
+
+def _written(batch: DataFrame, folder: str, batch_id: int, keys: Sequence[str], fmt: str) -> DataFrame | None:
+    """Keys that earlier batches wrote for the rounds of this one (partition-pruned by round)."""
+    spark = batch.sparkSession
+    if not path_exists(spark, folder):
+        return None
+    rounds = [r[0] for r in batch.select(keys[0]).distinct().collect()]  # the rounds of one micro-batch
+    schema = T.StructType([T.StructField("batch", T.LongType()), *[T.StructField(k, batch.schema[k].dataType) for k in keys]])
+    reader = spark.read.option("header", True).option("enforceSchema", False) if fmt == "csv" else spark.read
+    if fmt == "csv":  # the written columns come from the header; only the keys are kept
+        seen = reader.csv(folder).select("batch", *[F.col(k).cast(batch.schema[k].dataType).alias(k) for k in keys])
+    else:
+        seen = reader.schema(schema).parquet(folder)
+    return seen.where((F.col("batch") < batch_id) & F.col(keys[0]).isin(rounds)).select(*keys)
+
 
+def idempotent_sink(folder: str, score: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ("round",),
+                    keys: Sequence[str] | None = None, fmt: str = "parquet"):
+    """foreachBatch writer: gate the batch (where ``keys`` are given), score it, write it under
+    ``batch=<id>`` (overwrite on replay). ``fmt="csv"`` writes submission files with a header."""
+    folder = folder.rstrip("/")
 
-def idempotent_sink(folder: str, score: Callable[[DataFrame], DataFrame], partition_by=("round",)):
-    """foreachBatch writer: score the batch, write it under ``batch=<id>`` (overwrite on replay)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = score(batch)
-        out.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{folder.rstrip('/')}/batch={batch_id}")
+        rows = batch if keys is None else round_gate(batch, _written(batch, folder, batch_id, keys, fmt), keys)
+        out = score(rows).write.mode("overwrite").partitionBy(*partition_by)
+        out = out.option("header", True) if fmt == "csv" else out
+        out.format(fmt).save(f"{folder}/batch={batch_id}")
     return write
 
 
 def stream_score(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str,
                  score: Callable[[DataFrame], DataFrame], available_now: bool = True,
-                 delay: str = "1 day", poll_seconds: int = POLL_SECONDS):
+                 poll_seconds: int = POLL_SECONDS, keys: Sequence[str] | None = ("round", "id"), fmt: str = "parquet",
+                 max_files_per_trigger: int | None = None):
     """Rounds -> gate -> score -> submission files. ``available_now`` processes what has arrived
     and stops (a scheduled run); otherwise it polls every ``poll_seconds`` and the running
     ``StreamingQuery`` is returned (``stop()`` it to end)."""
-    gated = round_gate(read_rounds(spark, source, schema), delay=delay)
-    writer = (gated.writeStream.foreachBatch(idempotent_sink(sink, score))
-                    .option("checkpointLocation", checkpoint))
+    writer = (read_rounds(spark, source, schema, max_files_per_trigger).writeStream
+              .foreachBatch(idempotent_sink(sink, score, keys=keys, fmt=fmt))
+              .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:

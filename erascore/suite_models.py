@@ -1,7 +1,7 @@
 """Query registrations: model fitting / scoring and the round stream.
 
-Least-squares regression has an exact oracle (normal equations solved by Cramer's rule in SQL);
-tree, network and walk-forward fits are rows-only checks.
+Least-squares regression has an exact oracle (normal equations solved by Cramer's rule in SQL), a single
+tree of depth one is checked against the best cut in SQL, networks against the same pass written in SQL.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions import sqlgen
-from .operators import joins, models, projections
+from .operators import joins, models
 from .session import scratch_path
 from .sources.fixtures import FEATURES, tourney, with_views
 from .sources.tables import read_table
@@ -54,32 +54,50 @@ def q_batch_score(spark, sf):
 
 @register("attach_predictions", with_views(f"""WITH {_OLS_FIT}
 SELECT id, era, {r6(f'CASE WHEN p < 0 THEN 0 WHEN p > 1 THEN 1 ELSE p END')} AS prediction
-FROM (SELECT id, era, {_OLS_PRED} AS p FROM tourney, beta WHERE dataset = 'live')""", "tourney"))
+FROM (SELECT id, era, {_OLS_PRED} AS p FROM tourney, beta)""", "tourney"))
 def q_attach_predictions(spark, sf):
-    """Scored ids joined back to the live rows (era kept from the rows, not from the scorer)."""
+    """Scored ids joined back to the rows of all roles (era kept from the rows, not from the scorer)."""
     m = models.regressor_fit(_train(spark, sf), FEATURES)
-    live = tourney(spark, sf).where(F.col("dataset") == "live")
-    preds = models.batch_score(m, live, FEATURES, "NR")
-    return rounded(joins.attach_predictions(live.select("id", "era"), preds))
-
-
-@register("gbt_fit")
+    rows = tourney(spark, sf)
+    preds = models.batch_score(m, rows, FEATURES, "NR")
+    return rounded(joins.attach_predictions(rows.select("id", "era"), preds))
+
+
+@register("gbt_fit", with_views(f"""
+WITH h AS (SELECT feature_hour AS h, count(*) AS n, sum(target) AS s FROM tourney WHERE {TR} GROUP BY 1),
+c AS (SELECT h, lead(h) OVER w AS nx, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER () AS nt, sum(s) OVER () AS st
+      FROM h WINDOW w AS (ORDER BY h)),
+b AS (SELECT (h + nx) / 2 AS cut, sl / nl AS below, (st - sl) / (nt - nl) AS above FROM c WHERE nx IS NOT NULL
+      ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC, cut LIMIT 1)
+SELECT id, {r6('CASE WHEN feature_hour <= cut THEN below ELSE above END')} AS prediction
+FROM tourney, b WHERE dataset = 'valid'""", "tourney"))
 def q_gbt_fit(spark, sf):
-    m = models.gbt_fit(_train(spark, sf), FEATURES, n_trees=20)
-    return m.transform(_valid(spark, sf)).select("id", F.col(models.SCORE).alias("prediction"))
+    """M1 with one tree of depth one and rate one over the feature whose values all get a cut of their own."""
+    m = models.gbt_fit(_train(spark, sf), ["feature_hour"], n_trees=1, depth=1, rate=1.0, column_sample="all")
+    return rounded(m.transform(_valid(spark, sf)).select("id", F.col(models.SCORE).alias("prediction")))
 
 
-@register("classifier_fit")
-def q_classifier_fit(spark, sf):
-    m = models.classifier_fit(_train(spark, sf), FEATURES, hidden=(8,), max_iter=50)
-    return models.batch_score(m, _valid(spark, sf), FEATURES, "NC")
+def _sum(terms):
+    out = terms[0]
+    for t in terms[1:]:
+        out = out + t
+    return out
 
 
-@register("mlp_score")
-def q_mlp_score(spark, sf):
+@register("classifier_fit", with_views("SELECT id, true AS agrees FROM tourney WHERE dataset = 'valid'", "tourney"))
+def q_classifier_fit(spark, sf):
+    """M3: the fitted network's decoded scores against the forward pass of its exported weights, written as columns."""
     m = models.classifier_fit(_train(spark, sf), FEATURES, hidden=(8,), max_iter=50)
-    layers = models.mllib_mlp_layers(m)
-    return models.batch_score(layers, _valid(spark, sf), FEATURES, "MLP")
+    first, last = models.mllib_mlp_layers(m)
+    valid = _valid(spark, sf)
+    hidden = [1 / (1 + F.exp(-(_sum([F.col(f) * F.lit(float(first.weights[i, j])) for i, f in enumerate(FEATURES)]) + F.lit(float(first.bias[j])))))
+              for j in range(len(first.bias))]
+    rows = valid.select("id", *[h.alias(f"h{j}") for j, h in enumerate(hidden)])
+    scores = F.array(*[_sum([F.col(f"h{j}") * F.lit(float(last.weights[j, k])) for j in range(len(first.bias))]) + F.lit(float(last.bias[k]))
+                       for k in range(len(last.bias))])
+    own = rows.select("id", ((F.array_position(scores, F.array_max(scores)) - 1) / F.lit(4.0)).alias("own"))
+    scored = models.batch_score(m, valid, FEATURES, "NC")
+    return scored.join(own, "id").select("id", (F.col("prediction") == F.col("own")).alias("agrees"))
 
 
 _WF_SQL = with_views(f"""
@@ -90,8 +108,8 @@ va AS (SELECT *, cast(floor(era / 14) AS INTEGER) - 1 AS step FROM tourney),
 sc AS (SELECT va.step, va.era, va.row_idx, va.target, {_OLS_PRED} AS score FROM va JOIN beta USING (step)),
 pe AS (SELECT step, era, count(*) AS n, {sql_corr_strict('r', 'target')} AS corr FROM (
          SELECT step, era, target, {sql_rank_pct('score', 'step, era')} AS r FROM sc) GROUP BY step, era)
-SELECT pe.step, beta.n_train, sum(pe.n) AS n_valid, {r6('avg(pe.corr)')} AS valid_corr_mean
-FROM pe JOIN beta USING (step) WHERE pe.step BETWEEN 0 AND 40 GROUP BY pe.step, beta.n_train""", "tourney")
+SELECT pe.step, beta.n_train, sum(pe.n) AS n_valid, 1 AS epoch, {r6('avg(pe.corr)')} AS valid_corr_mean
+FROM pe JOIN beta USING (step) WHERE pe.step >= 0 GROUP BY pe.step, beta.n_train""", "tourney")
 
 
 # A fixed network for the forward-pass check: weights follow a rule (not a fit), so the same pass
@@ -115,21 +133,54 @@ def _rule_layers():
             models.DenseLayer(np.array(w2), np.array(b2), "softmax")]
 
 
-def _forward_sql() -> str:
+def _forward_sql_of(keys: str) -> str:
+    """The rule-defined network's decoded class for every row, beside the columns ``keys``."""
     w1, b1, w2, b2 = _rule_weights()
     hidden = [f"greatest({' + '.join(f'({w1[i][j]!r}e0) * {f}' for i, f in enumerate(FEATURES))} + ({b1[j]!r}e0), 0) AS h{j}"
               for j in range(_HIDDEN)]
     logits = [" + ".join(f"({w2[j][k]!r}e0) * h{j}" for j in range(_HIDDEN)) + f" + ({b2[k]!r}e0)" for k in range(_CLASSES)]
     arr = "[" + ", ".join(logits) + "]"
-    return with_views(f"""
-SELECT id, (list_position({arr}, list_max({arr})) - 1) / 4e0 AS prediction
-FROM (SELECT id, {', '.join(hidden)} FROM tourney WHERE dataset = 'valid')""", "tourney")
+    return f"""
+SELECT {keys}, (list_position({arr}, list_max({arr})) - 1) / 4e0 AS prediction
+FROM (SELECT {keys}, {', '.join(hidden)} FROM tourney)"""
 
 
-@register("mlp_forward", _forward_sql())
+@register("mlp_forward", with_views(_forward_sql_of("id"), "tourney"))
 def q_mlp_forward(spark, sf):
     """M4 with a rule-defined network: the Arrow-batch forward pass and its arg-max decode."""
-    return models.batch_score(_rule_layers(), _valid(spark, sf), FEATURES, "MLP")
+    return models.batch_score(_rule_layers(), tourney(spark, sf), FEATURES, "MLP")
+
+
+# The same network with a batch normalization behind the hidden layer, its parameters by rule too.
+def _rule_norm():
+    import math
+    return ([round(1 + math.sin(j) / 3, 3) for j in range(_HIDDEN)], [round(math.cos(2 * j) / 5, 3) for j in range(_HIDDEN)],
+            [round(abs(math.sin(j + 2)) / 2, 3) for j in range(_HIDDEN)], [round(0.2 + abs(math.cos(j)), 3) for j in range(_HIDDEN)])
+
+
+def _norm_sql() -> str:
+    w1, b1, w2, b2 = _rule_weights()
+    gamma, beta, mean, var = _rule_norm()
+    hidden = [f"greatest({' + '.join(f'({w1[i][j]!r}e0) * {f}' for i, f in enumerate(FEATURES))} + ({b1[j]!r}e0), 0) AS h{j}"
+              for j in range(_HIDDEN)]
+    normed = [f"({gamma[j]!r}e0) * (h{j} - ({mean[j]!r}e0)) / sqrt({var[j]!r}e0 + 0.001e0) + ({beta[j]!r}e0) AS g{j}" for j in range(_HIDDEN)]
+    logits = [" + ".join(f"({w2[j][k]!r}e0) * g{j}" for j in range(_HIDDEN)) + f" + ({b2[k]!r}e0)" for k in range(_CLASSES)]
+    arr = "[" + ", ".join(logits) + "]"
+    return with_views(f"""
+SELECT id, era, (list_position({arr}, list_max({arr})) - 1) / 4e0 AS prediction
+FROM (SELECT id, era, {', '.join(normed)} FROM (SELECT id, era, {', '.join(hidden)} FROM tourney))""", "tourney")
+
+
+def _norm_layers():
+    import numpy as np
+    first, last = _rule_layers()
+    return [first, models.BatchNormLayer(*map(np.array, _rule_norm())), last]
+
+
+@register("mlp_score", _norm_sql())
+def q_mlp_score(spark, sf):
+    """M4 with a batch-normalized network given from outside; the era comes through beside the id."""
+    return models.batch_score(_norm_layers(), tourney(spark, sf), FEATURES, "MLP", keep=["era"])
 
 
 @register("walk_forward_fit", _WF_SQL)
@@ -157,11 +208,10 @@ SELECT id, {', '.join(cols)} FROM tourney, s0, s1, s2 WHERE dataset = 'valid'"""
 
 @register("ensemble_score", _ensemble_sql())
 def q_ensemble_score(spark, sf):
-    """M7 + J5: three least-squares trial models scored and pivoted to one column per trial."""
+    """M7: three least-squares trial models, a column per trial, in one pass over the rows."""
     train, valid = _train(spark, sf), _valid(spark, sf)
     fitted = [models.regressor_fit(train, fs) for fs in _SUBSETS]
-    long = models.ensemble_score(fitted, valid, _SUBSETS, "NR")
-    return rounded(joins.ensemble_wide(long, tag="lr", trials=[0, 1, 2], dims=1))
+    return rounded(models.ensemble_wide_score(fitted, valid, _SUBSETS, "NR", tag="lr"))
 
 
 # ----------------------------------------------------------------------------- streaming
@@ -171,97 +221,94 @@ _ROUND_SCHEMA = T.StructType([
     *[T.StructField(f, T.DoubleType()) for f in FEATURES], T.StructField("round", T.IntegerType())])
 
 
-def _round_files(spark, sf, duplicate_round: int = 30) -> str:
-    """Live rounds derived from the events: one folder per day from day 21, and the last round
-    delivered a second time."""
+LATE, TWICE = 11, (7, 30)
+
+
+def _round_files(spark, sf) -> str:
+    """All 30 days as rounds, one folder each, delivered out of order: the days from the 11th on, then the earlier ones
+    as a backfill, then two days once more."""
     folder = scratch_path(spark, "rounds")
-    t = tourney(spark, sf).where(F.col("era") >= 21)
     ev = read_table(spark, sf, "events").select(F.col("event_id").cast("string").alias("id"), F.col("ts").alias("arrival"))
-    rows = t.join(ev, "id").select("id", "arrival", *FEATURES, F.col("era").alias("round"))
-    rows.write.partitionBy("round").parquet(folder)
-    rows.where(F.col("round") == duplicate_round).write.mode("append").partitionBy("round").parquet(folder)
+    rows = tourney(spark, sf).join(ev, "id").select("id", "arrival", *FEATURES, F.col("era").alias("round"))
+    for part in (F.col("round") >= LATE, F.col("round") < LATE, F.col("round").isin(*TWICE)):
+        rows.where(part).coalesce(2).write.mode("append").partitionBy("round").parquet(folder)
     return folder
 
 
-def _run_stream(spark, sf, score, gate: bool = True) -> DataFrame:
-    source = _round_files(spark, sf)
-    sink = scratch_path(spark, "round_sink")
-    ckpt = scratch_path(spark, "round_ckpt")
-    if gate:
-        rounds.stream_score(spark, source, _ROUND_SCHEMA, sink, ckpt, score)
-    else:
-        q = (rounds.read_rounds(spark, source, _ROUND_SCHEMA).writeStream
-             .foreachBatch(rounds.idempotent_sink(sink, score)).option("checkpointLocation", ckpt)
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-    return spark.read.parquet(sink).drop("batch")
+def _run_stream(spark, sf, score, gate: bool = True, fmt: str = "parquet") -> str:
+    """The sink after several micro-batches of a few files each."""
+    source, sink = _round_files(spark, sf), scratch_path(spark, "round_sink")
+    rounds.stream_score(spark, source, _ROUND_SCHEMA, sink, scratch_path(spark, "round_ckpt"), score,
+                        keys=("round", "id") if gate else None, fmt=fmt, max_files_per_trigger=20)
+    return sink
 
 
-_COUNT_SQL = with_views("""
-SELECT era AS round, count(*) * CASE WHEN era = 30 THEN {dup} ELSE 1 END AS n_rows FROM tourney WHERE era >= 21 GROUP BY era""",
-                        "tourney")
+def _sink_rows(spark, sink: str) -> DataFrame:
+    return spark.read.parquet(sink).drop("batch").withColumn("round", F.col("round").cast("int"))
 
 
-@register("stream_new_rounds", _COUNT_SQL.replace("{dup}", "2"))
+@register("stream_new_rounds", with_views("""
+SELECT era AS round, id, CASE WHEN era IN (7, 30) THEN 2 ELSE 1 END AS n_delivered FROM tourney""", "tourney"))
 def q_stream_new_rounds(spark, sf):
-    """Every delivered file is read once; the re-delivered round counts twice."""
-    out = _run_stream(spark, sf, lambda b: b.select("round", "id"), gate=False)
-    return out.groupBy(F.col("round").cast("int").alias("round")).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Every delivered file is read once, whenever it comes; the re-delivered rounds count twice."""
+    out = _sink_rows(spark, _run_stream(spark, sf, lambda b: b.select("round", "id"), gate=False))
+    return out.groupBy("round", "id").agg(F.count(F.lit(1)).cast("int").alias("n_delivered"))
 
 
-@register("round_gate", _COUNT_SQL.replace("{dup}", "1"))
+@register("round_gate", with_views("SELECT era AS round, id FROM tourney", "tourney"))
 def q_round_gate(spark, sf):
-    """Re-delivered rows of a round are dropped within the watermark."""
-    out = _run_stream(spark, sf, lambda b: b.select("round", "id"), gate=True)
-    return out.groupBy(F.col("round").cast("int").alias("round")).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Every row of every round once, late and repeated deliveries included."""
+    return _sink_rows(spark, _run_stream(spark, sf, lambda b: b.select("round", "id"))).select("round", "id")
+
 
+_CHAIN = "NaN,0.5,0.5|Slice,0,4|Sparse,5,0"
 
-@register("stream_score", with_views(f"""WITH {_OLS_FIT}
-SELECT era AS round, id, {r6('CASE WHEN p < 0 THEN 0 WHEN p > 1 THEN 1 ELSE p END')} AS prediction
-FROM (SELECT era, id, {_OLS_PRED} AS p FROM tourney, beta WHERE era >= 21)""", "tourney"))
+
+@register("stream_score", with_views(f"""SELECT era AS round, id, prediction FROM ({_forward_sql_of('era, id')}) ORDER BY ALL""", "tourney"))
 def q_stream_score(spark, sf):
-    """Rounds -> gate -> missing features filled -> model -> submission rows per round."""
-    model = models.regressor_fit(_train(spark, sf), FEATURES)
+    """Rounds -> gate -> missing features filled -> transform chain -> network -> class decode -> submission files
+    per round, read back from their CSV."""
+    from .plans import pipelines
+    layers = _rule_layers()
 
     def score(batch: DataFrame) -> DataFrame:
-        filled = projections.fill_missing_const(batch.select("round", "id", *FEATURES), FEATURES, 0.5)
-        s = models.batch_score(model, filled.select("id", *FEATURES, "round"), FEATURES, "NR")
-        return filled.select("round", "id").join(s, "id")
+        return pipelines.live_predictions(batch, layers, FEATURES, "MLP", chain=_CHAIN, keep=["round"])
 
-    out = _run_stream(spark, sf, score, gate=True)
-    return rounded(out.select(F.col("round").cast("int").alias("round"), "id", "prediction"))
+    sink = _run_stream(spark, sf, score, fmt="csv")
+    out = spark.read.option("header", True).schema("id string, prediction double, batch long, round int").csv(sink)
+    return out.select("round", "id", "prediction")
 
 
 # ----------------------------------------------------------------------------- lifecycle plans
 
-@register("training_etl", with_views("""
-SELECT dataset, count(*) AS n_rows, count(DISTINCT era) AS n_eras FROM (
-  SELECT era, CASE WHEN row_number() OVER (ORDER BY md5(id || '5'), id) <= floor(count(*) OVER () * 0.2e0)
-                   THEN 'valid' ELSE 'train' END AS dataset
-  FROM tourney WHERE dataset <> 'live')
-GROUP BY dataset""", "tourney"))
+@register("training_etl", with_views(f"""
+SELECT id, era, CASE WHEN row_number() OVER (ORDER BY md5(id || '5'), id) <= floor(count(*) OVER () * 0.2e0)
+                     THEN 'valid' ELSE 'train' END AS dataset,
+       {', '.join(f"{r6(f'cast({f} AS FLOAT)')} AS x{i}" for i, f in enumerate(FEATURES))}, {r6('cast(target AS FLOAT)')} AS y0
+FROM tourney WHERE dataset <> 'live'""", "tourney"))
 def q_training_etl(spark, sf):
-    """The ETL path: examples with an exact 20 % holdout written as shards, read back and counted."""
+    """The ETL path: examples with an exact 20 % holdout written as shards, and every row read back."""
     from .plans import pipelines
     rows = tourney(spark, sf).where(F.col("dataset") != "live").drop("dataset")
     out = scratch_path(spark, "etl")
     pipelines.training_etl(rows, out, FEATURES, ["target"], split=0.2, seed=5, shard_rows=1000)
     back = spark.read.parquet(out)
-    return back.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("era").alias("n_eras"))
+    xs = [F.element_at("x", i + 1).cast("double").alias(f"x{i}") for i in range(len(FEATURES))]
+    return rounded(back.select("id", "era", "dataset", *xs, F.element_at("y", 1).cast("double").alias("y0")))
 
 
 @register("live_scoring", with_views(f"""WITH {_OLS_FIT},
-p AS (SELECT CASE WHEN p < 0 THEN 0 WHEN p > 1 THEN 1 ELSE p END AS p
-      FROM (SELECT {_OLS_PRED} AS p FROM tourney, beta WHERE dataset = 'live')),
-c AS (SELECT cast(least(floor(p * 10), 10) AS INTEGER) AS bucket, count(*) AS n FROM p GROUP BY 1),
-b AS (SELECT cast(range AS INTEGER) AS bucket FROM range(0, 11))
-SELECT b.bucket, CASE WHEN b.bucket = 10 THEN '100' ELSE cast(b.bucket AS VARCHAR) || '0' END AS label,
-       cast(coalesce(c.n, 0) AS BIGINT) AS n
-FROM b LEFT JOIN c USING (bucket)""", "tourney"))
+p AS (SELECT id, CASE WHEN p < 0 THEN 0 WHEN p > 1 THEN 1 ELSE p END AS p
+      FROM (SELECT id, {_OLS_PRED} AS p FROM tourney, beta WHERE dataset = 'live'))
+SELECT id, {r6('p')} AS prediction, count(*) OVER (PARTITION BY least(floor(p * 10), 10)) AS in_bucket FROM p""", "tourney"))
 def q_live_scoring(spark, sf):
-    """The predict path: live rows scored, written as a submission; the decile histogram of the file."""
+    """The predict path: live rows scored and written as a submission; every written row with the size of its
+    bucket in the decile histogram of the file."""
     from .plans import pipelines
     model = models.regressor_fit(_train(spark, sf), FEATURES)
     live = tourney(spark, sf).where(F.col("dataset") == "live")
-    _, hist = pipelines.live_scoring(live, model, FEATURES, scratch_path(spark, "live"), "lr", 1, 30)
-    return hist
+    path, hist = pipelines.live_scoring(live, model, FEATURES, scratch_path(spark, "live"), "lr", 1, 30)
+    rows = pipelines.read_submission(spark, path)
+    bucket = F.least(F.floor(F.col("prediction") * 10), F.lit(10)).cast("int")
+    sized = rows.withColumn("bucket", bucket).join(F.broadcast(hist), "bucket")  # 13 buckets
+    return rounded(sized.select("id", "prediction", F.col("n").alias("in_bucket")))

@@ -269,17 +269,19 @@ def q_dataset_counts(spark, sf):
 
 
 @register("decile_histogram", with_views("""
-WITH p AS (SELECT CASE WHEN prediction < 0 THEN 0.0 WHEN prediction > 1 THEN 1.0 ELSE prediction END AS p
+WITH p AS (SELECT CASE WHEN row_idx % 17 = 0 THEN NULL WHEN row_idx % 13 = 0 THEN 'NaN'::DOUBLE ELSE prediction - 0.2e0 END AS p
            FROM tourney),
-c AS (SELECT cast(least(floor(p * 10), 10) AS INTEGER) AS bucket, count(*) AS n FROM p
-      WHERE p IS NOT NULL GROUP BY 1),
-b AS (SELECT cast(range AS INTEGER) AS bucket FROM range(0, 11))
-SELECT b.bucket, CASE WHEN b.bucket = 10 THEN '100' ELSE cast(b.bucket AS VARCHAR) || '0' END AS label,
-       cast(coalesce(c.n, 0) AS BIGINT) AS n
+c AS (SELECT CASE WHEN p IS NULL OR isnan(p) THEN 11 WHEN p < 0 THEN -1 ELSE cast(least(floor(p * 10), 10) AS INTEGER) END AS bucket,
+             count(*) AS n FROM p GROUP BY 1),
+b AS (SELECT cast(range AS INTEGER) AS bucket FROM range(-1, 12))
+SELECT b.bucket, CASE WHEN b.bucket = 11 THEN 'missing' WHEN b.bucket = -1 THEN 'below' WHEN b.bucket = 10 THEN '100'
+                      ELSE cast(b.bucket AS VARCHAR) || '0' END AS label, cast(coalesce(c.n, 0) AS BIGINT) AS n
 FROM b LEFT JOIN c USING (bucket)""", "tourney"))
 def q_decile_histogram(spark, sf):
-    t = tourney(spark, sf).select(clamp01(F.col("prediction")).alias("prediction"))
-    return metrics.decile_histogram(t)
+    """A17 over all rows, with negative, NULL and NaN predictions; the counts add up to the rows."""
+    p = (F.when(F.col("row_idx") % 17 == 0, F.lit(None)).when(F.col("row_idx") % 13 == 0, F.lit(float("nan")))
+          .otherwise(F.col("prediction") - F.lit(0.2)))
+    return metrics.decile_histogram(tourney(spark, sf).select(p.alias("prediction")))
 
 
 # ----------------------------------------------------------------------------- reports
@@ -397,6 +399,28 @@ def q_feature_exposure_wide(spark, sf):
     return rounded(metrics.feature_exposure(v, "x", tiebreak=["id"]))
 
 
+@register("max_feature_exposure_constant", with_views(f"""
+WITH l AS ({_long_sql('tourney', 'era, prediction')}),
+pe AS (SELECT era, feature, abs({sql_corr_pairwise('fvalue', 'prediction')}) AS a FROM l GROUP BY era, feature),
+m AS (SELECT era, max(a) AS mx FROM pe GROUP BY era)
+SELECT {r6('avg(mx)')} AS max_feature_exposure FROM m""", "tourney"))
+def q_max_feature_exposure_constant(spark, sf):
+    """A8 with a constant among the features: it has no exposure, so the result is that of the others."""
+    t = tourney(spark, sf).withColumn("feature_constant", F.lit(1000.1))
+    return rounded(metrics.max_feature_exposure(t, [*FEATURES, "feature_constant"]))
+
+
+@register("neutralize_wide", "SELECT vec_id % 2 AS era, count(*) AS n_rows, true AS orthogonal, true AS unit_std FROM embeddings GROUP BY 1")
+def q_neutralize_wide(spark, sf):
+    """N1 against a vector of 64 features: the result is orthogonal to each of them and has unit std in its era."""
+    v = vec(spark, sf).select("id", (F.col("id") % 2).alias("era"), F.element_at("y", 1).cast("double").alias("prediction"), "x")
+    out = neutralize.neutralize(v, "prediction", "x", out="neutral", tiebreak=["id"])
+    per = out.groupBy("era").agg(F.count("neutral").alias("n_rows"), (F.abs(F.stddev_pop("neutral") - 1) < 1e-9).alias("unit_std"))
+    dots = out.select("era", F.posexplode("x").alias("j", "v"), "neutral").groupBy("era", "j").agg(F.sum(F.col("v") * F.col("neutral")).alias("dot"))
+    flat = dots.groupBy("era").agg((F.max(F.abs("dot")) < 1e-6).alias("orthogonal"))
+    return per.join(flat, "era").select("era", "n_rows", "orthogonal", "unit_std")
+
+
 _BIG_TB = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
 

@@ -145,14 +145,15 @@ def _sql_quantile(q: float) -> str:
 
 
 @register("describe_predictions", with_views(f"""
-WITH r AS (SELECT prediction AS v, row_number() OVER (ORDER BY prediction, row_idx) - 1 AS pos0,
-                  count(*) OVER () AS n FROM tourney WHERE dataset = 'live' AND prediction IS NOT NULL)
+WITH p AS (SELECT row_idx, CASE WHEN row_idx % 17 = 0 THEN NULL WHEN row_idx % 13 = 0 THEN 'NaN'::DOUBLE ELSE prediction - 0.2e0 END AS v FROM tourney),
+r AS (SELECT v, row_number() OVER (ORDER BY v, row_idx) - 1 AS pos0, count(*) OVER () AS n FROM p WHERE v IS NOT NULL AND NOT isnan(v))
 SELECT count(v) AS count, {r6('avg(v)')} AS mean, {r6('stddev_samp(v)')} AS std, min(v) AS min,
        {_sql_quantile(0.25)} AS p25, {_sql_quantile(0.5)} AS p50, {_sql_quantile(0.75)} AS p75, max(v) AS max
 FROM r""", T))
 def q_describe_predictions(spark, sf):
-    """Quartiles are interpolated with the same formula in both engines and compared unrounded
-    (they are exact decimals whose 6-digit rounding would hit ties); mean and std are rounded."""
-    live = tourney(spark, sf).where(F.col("dataset") == "live").select("prediction", "row_idx")
-    d = metrics.describe_predictions(live, tiebreak=["row_idx"])
+    """A22 over all rows, with negative, NULL and NaN predictions. Quartiles are interpolated with the same formula
+    in both engines and compared unrounded; mean and std are rounded."""
+    p = (F.when(F.col("row_idx") % 17 == 0, F.lit(None)).when(F.col("row_idx") % 13 == 0, F.lit(float("nan")))
+          .otherwise(F.col("prediction") - F.lit(0.2)))
+    d = metrics.describe_predictions(tourney(spark, sf).select(p.alias("prediction"), "row_idx"), tiebreak=["row_idx"])
     return d.select("count", r6_col("mean"), r6_col("std"), "min", "p25", "p50", "p75", "max")

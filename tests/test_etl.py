@@ -120,7 +120,7 @@ def test_nan_rules_in_filters_and_histogram(spark):
     assert kept == [5, 7]  # NaN kept where the rule is "not 0.5", dropped where it is "< 0.25 or > 0.75"
     p = spark.createDataFrame([(0.05,), (nan,), (1.0,), (None,)], "prediction double")
     h = {r.label: r.n for r in metrics.decile_histogram(p).collect()}
-    assert h["00"] == 1 and h["100"] == 1 and sum(h.values()) == 2
+    assert h["00"] == 1 and h["100"] == 1 and h["missing"] == 2 and sum(h.values()) == 4
 
 
 def test_era_filter_prunes_shard_partitions(spark, capsys):

@@ -47,11 +47,11 @@ def test_unif_counts_missing(spark):
 
 def test_size_check_picks_range_for_hot_group(spark):
     df, _ = _skewed(spark)
-    spark.conf.set(ranking.MAX_GROUP_ROWS_CONF, "500")
+    spark.conf.set(ranking.MAX_GROUP_BYTES_CONF, "20000")
     try:
         assert ranking.choose_strategy(df, ["era"]) == "range"
     finally:
-        spark.conf.unset(ranking.MAX_GROUP_ROWS_CONF)
+        spark.conf.unset(ranking.MAX_GROUP_BYTES_CONF)
     assert ranking.choose_strategy(df, ["era"]) == "window"
 
 
