@@ -17,8 +17,10 @@ from __future__ import annotations
 import heapq
 import os
 import re
-import zlib
+import sys
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 from pyspark.sql import DataFrame, Window
@@ -29,12 +31,13 @@ from .common import shuffle_width, staged, text_or_empty
 
 CAPACITY = 4096
 END_ID = 2
-PIECE_SCHEMA = "doc_id long, start long, length long, ids array<int>, doc_tokens long, piece_id long"
+#: ``ids`` are little-endian unsigned 32-bit numbers (``numpy.frombuffer(ids, "<u4")``).
+PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, piece_id long"
 
 #: Character classes of Latin-1 as Unicode has them; fixed values of the tokenizer's split pattern.
 _LETTER, _NUMBER, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
-_CACHED = 300_000
+_CACHED = 250_000  # in a memory, and as many from before
 
 
 def _byte_letters() -> dict[int, int]:
@@ -44,7 +47,25 @@ def _byte_letters() -> dict[int, int]:
     return dict(zip(plain, plain, strict=True)) | {b: 256 + i for i, b in enumerate(rest)}
 
 
-class WordIds(dict):
+class Remembered(dict):
+    """A bounded memory of ``make(key)``: when full, what was asked for since the last time stays, the rest goes."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.before = make, {}
+
+    def __missing__(self, key: str) -> tuple:
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= _CACHED:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class WordIds:
     """Ids of stretches between blanks, remembered; no token of the vocabulary spans a blank.
 
     Latin-1 stretches are split into words here and each word is given to the tokenizer's model once;
@@ -53,25 +74,16 @@ class WordIds(dict):
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.letters, self.words = self.tokenizer.model, _byte_letters(), {}
-
-    def word(self, w: str) -> tuple:
-        ids = self.words.get(w)
-        if ids is None:
-            if len(self.words) >= _CACHED:
-                self.words.clear()
-            letters = w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)
-            ids = self.words[w] = tuple(t.id for t in self.model.tokenize(letters))
-        return ids
-
-    def __missing__(self, stretch: str) -> tuple:
-        ids = tuple(chain.from_iterable(map(self.word, _WORDS.findall(stretch))))
-        if len(self) >= _CACHED:
-            self.clear()
-        self[stretch] = ids
-        return ids
+        model, letters = self.tokenizer.model, _byte_letters()
+
+        def word(w: str) -> tuple:
+            as_bytes = w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(letters)
+            return tuple([t.id for t in model.tokenize(as_bytes)])
+
+        words = Remembered(word).__getitem__
+        split = _WORDS.findall
+        self.stretches = Remembered(lambda stretch: tuple(chain.from_iterable(map(words, split(stretch)))))
 
     def encode(self, text: str) -> list[int]:
         try:
@@ -80,7 +92,7 @@ class WordIds(dict):
         except UnicodeEncodeError:
             plain = False
         if plain:
-            return list(chain.from_iterable(map(self.__getitem__, text.lower().replace("\n", " ").split(" "))))
+            return list(chain.from_iterable(map(self.stretches.__getitem__, text.lower().replace("\n", " ").split(" "))))
         out: list[int] = []
         for stretch in text.replace("\n", " ").split(" "):
             if stretch:
@@ -88,6 +100,13 @@ class WordIds(dict):
         return out
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One memory for all tasks of a Python worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return WordIds(path)
+
+
 def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of every document's ids: doc_id, start, length, ids, doc_tokens, piece_id (unique)."""
 
@@ -95,9 +114,8 @@ def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words, serial = WordIds(tokenizer), TaskContext.get().partitionId() << 40
-        schema = pa.schema([(n, pa.list_(pa.int32()) if n == "ids" else pa.int64())
+        words, serial = word_ids(tokenizer), TaskContext.get().partitionId() << 40
+        schema = pa.schema([(n, pa.binary() if n == "ids" else pa.int64())
                             for n in ("doc_id", "start", "length", "ids", "doc_tokens", "piece_id")])
         for batch in batches:
             rows, held = [[] for _ in schema], 0
@@ -106,7 +124,10 @@ def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
                 ids.append(end_id)
                 for start in range(0, len(ids), capacity):
                     part = ids[start:start + capacity]
-                    for col, value in zip(rows, (doc, start, len(part), part, len(ids), serial), strict=True):
+                    raw = array("I", part)
+                    if sys.byteorder == "big":
+                        raw.byteswap()
+                    for col, value in zip(rows, (doc, start, len(part), raw.tobytes(), len(ids), serial), strict=True):
                         col.append(value)
                     serial += 1
                 held += len(ids)
@@ -148,7 +169,7 @@ def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Every piece with its ids and place: doc_id, start, length, ids, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
-    pieces = staged(tokenized(docs, tokenizer, capacity, end_id), "packing-pieces")
+    pieces = staged(tokenized(docs, tokenizer, capacity, end_id), "packing-pieces", "zstd")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots = shortest_pack_first(histogram, capacity)
     # a bucket holds about as many pieces as a task's share, so the number of buckets is capacity + tasks at most
@@ -171,12 +192,5 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
 
 
 def with_crc(packed: DataFrame) -> DataFrame:
-    """The pieces with ``ids_crc32`` (of the ids as little-endian unsigned 32-bit) in place of their ids."""
-
-    @F.pandas_udf("long")
-    def crc(ids):
-        import numpy as np
-
-        return ids.map(lambda x: zlib.crc32(np.asarray(x, "<u4").tobytes()))
-
-    return packed.select("doc_id", "start", "length", crc("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    """The pieces with ``ids_crc32`` in place of their ids."""
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
