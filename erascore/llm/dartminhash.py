@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components_by_label, staged, staged_with, text_or_empty
+from .common import connected_components, scratch, sized, staged, staged_with, text_or_empty
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band with probability (1 - 0.8**5)**25 = 5e-5.
@@ -171,10 +171,10 @@ def _banded(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(rows, "node string, bucket long")
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The (a, b) of ``pairs`` whose texts are at least ``threshold`` similar."""
-    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+def _similar(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
+    """The classes (a, b) of the ``n`` pairs (a, b, la, lb) whose texts are at least ``threshold`` similar."""
+    left = sized(pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"), n, 500)
+    both = sized(left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"), n, 500)
 
     def rows(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -182,15 +182,15 @@ def _similar(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         words, seen = Words(), {}
         for batch in batches:
             kept = []
-            for a, ta, tb in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+            for a, ta, tb in zip(batch.column(0).to_pylist(), batch.column(3), batch.column(4), strict=True):
                 if a not in seen:
                     if len(seen) >= 64:
                         seen.clear()
                     seen[a] = shingles(ta.as_py(), words)
                 kept.append(weighted_jaccard(seen[a], shingles(tb.as_py(), words)) >= threshold)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2)], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(rows, "a string, b string")
+    return both.select("a", "la", "lb", "text_a", "text_b").mapInArrow(rows, "a string, b string")
 
 
 def text_node() -> Column:
@@ -201,37 +201,46 @@ def text_node() -> Column:
 def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(node, label) of the texts that share a bucket with another: equal labels are one class. A node that is
     not listed is a class of its own."""
-    rows = docs.select(text_or_empty().alias("text")).withColumn("node", text_node())
-    buckets = staged(_banded(rows), "near-bands")
-    shared = buckets.groupBy("bucket").agg(F.min(F.xxhash64("node")).alias("low"), F.max(F.xxhash64("node")).alias("high"))
-    live = staged(buckets.join(shared.where("low <> high").select("bucket"), "bucket", "left_semi").distinct(), "near-live")
-    wanted = live.select("node").distinct()
-    texts = staged(rows.select("node", "text").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
-    labels = staged(wanted.select("node", F.col("node").alias("label")), "near-labels")
-    tried, step = None, 0
-    while True:
-        at = live.join(labels, "node")
-        spread = at.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), *_leaders(step))
-        mixed = spread.where("low <> high").select("bucket", F.explode(F.array_distinct(F.array(*[f"lead_{i}" for i in range(_width(step))]))).alias("lead"))
-        mixed, found = staged_with(mixed.select("bucket", F.col("lead.node").alias("a"), F.col("lead.label").alias("label_a")), "near-leaders", n=F.count(F.lit(1)))
-        if not found["n"]:
-            break
-        pairs = at.join(mixed, "bucket").where("label <> label_a").select(
-            F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "near-pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        links = _similar(pairs, texts, threshold)
-        named = links.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a").join(
-            labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
-        named, found = staged_with(named, "near-links", n=F.count(F.lit(1)))
-        if found["n"]:
-            labels = staged(components_by_label(labels, named), "near-labels")
-        # a leader was compared with all of its bucket: it needs no further round there
-        still = live.join(mixed.select("bucket").distinct(), "bucket", "left_semi")
-        live = staged(still.join(mixed.select("bucket", F.col("a").alias("node")), ["bucket", "node"], "left_anti"), "near-live")
-        step += 1
+    with scratch(docs.sparkSession):
+        rows = docs.select(text_or_empty().alias("text")).withColumn("node", text_node())
+        buckets = staged(_banded(rows), "near-bands")
+        shared = buckets.groupBy("bucket").agg(F.min(F.xxhash64("node")).alias("low"), F.max(F.xxhash64("node")).alias("high"))
+        live = buckets.join(shared.where("low <> high").select("bucket"), "bucket", "left_semi").distinct()
+        live, size = staged_with(live.withColumn("label", F.col("node")), "near-live", n=F.count(F.lit(1)))
+        wanted = live.select("node").distinct()
+        texts = staged(rows.select("node", "text").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+        labels = staged(sized(wanted, size["n"]).select("node", F.col("node").alias("label")), "near-labels")
+        tried, step = None, 0
+        while size["n"]:
+            # buckets whose members lie in several classes, with the leaders to try
+            spread = live.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), *_leaders(step))
+            leads = F.array_distinct(F.array(*[f"lead_{i}" for i in range(_width(step))])).alias("leads")
+            mixed, found = staged_with(sized(spread, size["n"]).where("low <> high").select("bucket", leads), "near-leaders", n=F.count(F.lit(1)))
+            if not found["n"]:
+                break
+            at = sized(live.join(mixed, "bucket"), size["n"])
+            # a leader is compared with all of its bucket: it needs no further round there
+            rest = at.where(~F.exists("leads", lambda x: x["node"] == F.col("node"))).select("bucket", "node", "label")
+            each = at.select("node", "label", F.explode("leads").alias("lead")).where(F.col("label") != F.col("lead.label"))
+            first = F.col("node") < F.col("lead.node")
+            pairs = each.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"),
+                                F.when(first, F.col("label")).otherwise(F.col("lead.label")).alias("la"),
+                                F.when(first, F.col("lead.label")).otherwise(F.col("label")).alias("lb"))
+            pairs = sized(pairs.distinct(), size["n"])
+            if tried is not None:
+                pairs = sized(pairs.join(tried, ["a", "b"], "left_anti"), size["n"])
+            pairs, found = staged_with(pairs, "near-pairs", n=F.count(F.lit(1)))
+            tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
+            links = _similar(pairs, texts, threshold, found["n"]).distinct()
+            links, found = staged_with(sized(links, found["n"]), "near-links", n=F.count(F.lit(1)))
+            if found["n"]:
+                merged = staged(sized(connected_components(links), 2 * found["n"]), "near-merged").select(F.col("node").alias("label"), F.col("label").alias("merged"))
+                new = F.coalesce("merged", "label").alias("label")
+                labels = staged(labels.join(merged, "label", "left").select("node", new), "near-labels")
+                rest = rest.join(merged, "label", "left").select("bucket", "node", new)
+            live, size = staged_with(sized(rest, size["n"]), "near-live", n=F.count(F.lit(1)))
+            step += 1
+        labels = staged(labels, "near-labels")
     return labels
 
 
@@ -240,7 +249,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     labels = text_classes(docs, threshold)
     named = docs.select("doc_id", text_node().alias("node")).join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("label"))
     classes = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return named.join(classes, "label").select("doc_id", "class_id", "class_size")
+    # written first, so that adaptive execution may split the join at a class that holds a third of the documents
+    return named.join(staged(classes, "near-classes"), "label").select("doc_id", "class_id", "class_size")
 
 
 def class_heads(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -256,8 +266,8 @@ def class_heads(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def _width(step: int) -> int:
-    """Leaders tried at once: one at first, as most buckets are one class; then more."""
-    return min(4**step, 64)
+    """Leaders tried at once: few at first, as most buckets are one class or a handful of texts; then more."""
+    return min(4 ** (step + 1), 64)
 
 
 def _leaders(step: int) -> list:
