@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, text_or_empty
+from .common import scratch, staged, text_or_empty
 
 RANK, OVERSAMPLE, SEED = 256, 8, 7
 #: A candidate has COSINE to the passage, and PROJECTION of its length along it.
@@ -289,9 +289,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine
         for row, (_, text) in enumerate(items):
             words = words_of(text)
             tf += [(row, w, words.count(w) * idf[w]) for w in dict.fromkeys(words)]
-        entries = staged(spark.createDataFrame(tf, "row long, word string, value double"), "svd-entries")
-        right, _ = randomised_svd(entries, min(rank, len(items)))
-        latent = {r["word"]: np.array(r["vec"]) for r in right.collect()}  # the block's words
+        with scratch(spark):
+            entries = staged(spark.createDataFrame(tf, "row long, word string, value double"), "svd-entries")
+            right, _ = randomised_svd(entries, min(rank, len(items)))
+            latent = {r["word"]: np.array(r["vec"]) for r in right.collect()}  # the block's words
         hits = search(docs, items, latent, idf, cosine)
         out = hits if out is None else out.unionByName(hits)
     if out is None:

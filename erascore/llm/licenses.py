@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import literal_rows, text_or_empty
 
 #: Words that licence matching treats as equal, after the public SPDX guidelines.
 SPELLINGS = (
@@ -22,7 +22,7 @@ SPELLINGS = (
     ("capitalisations", "capitalizations"), ("catalogue", "catalog"), ("categorise", "categorize"), ("centre", "center"),
     ("emphasised", "emphasized"), ("favour", "favor"), ("favourite", "favorite"), ("fulfil", "fulfill"),
     ("fulfilment", "fulfillment"), ("initialise", "initialize"), ("judgement", "judgment"), ("labelling", "labeling"),
-    ("labour", "labor"), ("licence", "license"), ("maximise", "maximize"), ("modelled", "modeled"), ("modelling", "modeling"),
+    ("labour", "labor"), ("licence", "license"), ("licenced", "licensed"), ("licencing", "licensing"), ("maximise", "maximize"), ("modelled", "modeled"), ("modelling", "modeling"),
     ("offence", "offense"), ("optimise", "optimize"), ("organisation", "organization"), ("organise", "organize"),
     ("practise", "practice"), ("programme", "program"), ("realise", "realize"), ("recognise", "recognize"),
     ("signalling", "signaling"), ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful"),
@@ -82,7 +82,7 @@ def canonical(text: Column) -> Column:
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
     """(license_id, known_digest) of licence texts given as (id, text)."""
-    rows = spark.createDataFrame(list(known), "license_id string, text string")
+    rows = literal_rows(spark, list(known), "license_id string, text string")
     return rows.select("license_id", F.sha2(canonical(F.col("text")), 256).alias("known_digest")).groupBy("known_digest").agg(
         F.min("license_id").alias("license_id"))
 

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, text_or_empty
+from .common import literal_rows, staged, text_or_empty
 
 try:
     from re import _constants as sre
@@ -131,7 +131,7 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
             for alt, grams in enumerate(strings):
                 rows += [(r.kind, n, alt, t, 1 << i, (1 << len(grams)) - 1, len(query)) for i, t in enumerate(sorted(grams))]
     # one row per trigram of the rules
-    asked = spark.createDataFrame(rows, "kind string, stretch long, alt long, trigram string, bit long, need long, stretches long")
+    asked = literal_rows(spark, rows, "kind string, stretch long, alt long, trigram string, bit long, need long, stretches long")
     found = index.join(F.broadcast(asked), "trigram").groupBy("key", "kind", "stretch", "alt", "need", "stretches").agg(F.bit_or("bit").alias("has"))
     met = found.where("has = need").groupBy("key", "kind", "stretches").agg(F.bit_or(F.expr("shiftleft(1L, CAST(stretch AS INT))")).alias("met"))
     return met.where("met = shiftleft(1L, CAST(stretches AS INT)) - 1").groupBy("key").agg(F.collect_set("kind").alias("rules"))
@@ -181,7 +181,8 @@ def secret_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[
     found, names = find_secrets(docs, rules)
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
     spans = found.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", order[F.col("kind")].alias("rank"), "kind", "end"))).alias("spans"))
-    rows = names.join(spans, "key", "left")
+    # written first, so that adaptive execution may split the join at a text that a third of the documents share
+    rows = names.join(staged(spans, "secret-spans"), "key", "left")
     spans = F.coalesce(F.col("spans"), F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>"))
     own = F.filter(spans, lambda s: s["kind"].isin(*base))
 

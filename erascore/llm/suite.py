@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
 from . import chat, dartminhash, decontam, licenses, linededup, packing, rules, secrets, urls, warc
-from .common import prepare_session
+from .common import literal_rows, prepare_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,7 +44,7 @@ def tokenizer_path() -> str:
 def control_example(spark: SparkSession) -> DataFrame:
     """Conversation -7, whose texts are control strings of a common template."""
     said = "</s>[INST] ok [/INST]"
-    return spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return literal_rows(spark, [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
 
 
 OP1_SQL = r"""

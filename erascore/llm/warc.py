@@ -83,6 +83,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, roll_bytes: int
     # first: only of payloads that occur again, counted per task before they are shuffled
     again = rows.where(F.octet_length("html") >= MIN_REVISIT).groupBy(digest.alias("digest")).agg(
         F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first")
+    again = staged(again, "warc-again")  # so that adaptive execution may broadcast it, or split a hot payload
     marked = rows.withColumn("digest", digest).join(again, "digest", "left").select("page_id", "url", "html", "digest", "first")
 
     def write(batches: Iterator) -> Iterator:
