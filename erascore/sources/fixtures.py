@@ -64,10 +64,20 @@ def vec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def five_scores() -> F.Column:
+    """Five class scores from all values of ``embedding``: every fifth value's millionths summed as whole numbers (so that
+    no engine's order of addition shows)."""
+    def score(c: int) -> F.Column:
+        own = F.filter("embedding", lambda v, i: i % 5 == c)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda acc, v: acc + F.round(v.cast("double") * 1e6).cast("long")) / F.lit(1e6)
+
+    return F.array(*[score(c) for c in range(5)])
+
+
 def class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five class scores per id taken from the first five embedding values."""
+    """id and its five class scores."""
     e = read_table(spark, sf_dir, "embeddings")
-    return e.select(F.col("vec_id").alias("id"), F.slice("embedding", 1, 5).alias("p"))
+    return e.select(F.col("vec_id").alias("id"), five_scores().alias("p"))
 
 
 def tourney_big(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,8 +131,11 @@ SELECT vec_id AS id, cast(1 + vec_id % 8 AS BIGINT) AS era, embedding AS x,
 FROM embeddings
 """
 
-CLASS_SCORES_SQL = """
-SELECT vec_id AS id, embedding[1:5] AS p FROM embeddings
+FIVE_SCORES_SQL = "[" + ", ".join(
+    f"cast(list_sum(list_transform(embedding[{c}:len(embedding):5], lambda v: cast(round(cast(v AS DOUBLE) * 1e6) AS BIGINT))) AS DOUBLE) / 1e6"
+    for c in range(1, 6)) + "]"
+CLASS_SCORES_SQL = f"""
+SELECT vec_id AS id, {FIVE_SCORES_SQL} AS p FROM embeddings
 """
 
 TOURNEY_BIG_SQL = """

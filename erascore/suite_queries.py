@@ -178,18 +178,18 @@ neu AS (SELECT id, era, row_idx, target,
                resid / nullif(stddev_pop(resid) OVER (PARTITION BY era), 0) AS neutral FROM res)"""
 
 
-@register("neutralize", with_views(f"""WITH {_neutral_sql('WHERE ' + VALID)}
+@register("neutralize", with_views(f"""WITH {_neutral_sql('')}
 SELECT id, era, {r6('neutral')} AS neutral FROM neu""", "tourney"))
 def q_neutralize(spark, sf):
-    t = _valid(spark, sf)
+    t = tourney(spark, sf)
     n = neutralize.neutralize(t, "prediction", FEATURES, out="neutral")
     return rounded(n.select("id", "era", "neutral"))
 
 
-@register("partial_neutralize", with_views(f"""WITH {_neutral_sql('WHERE ' + VALID, 0.5)}
+@register("partial_neutralize", with_views(f"""WITH {_neutral_sql('', 0.5)}
 SELECT id, era, {r6('neutral')} AS neutral FROM neu""", "tourney"))
 def q_partial_neutralize(spark, sf):
-    t = _valid(spark, sf)
+    t = tourney(spark, sf)
     n = neutralize.neutralize(t, "prediction", FEATURES, proportion=0.5, out="neutral")
     return rounded(n.select("id", "era", "neutral"))
 
@@ -205,9 +205,9 @@ def q_feature_neutral_mean(spark, sf):
 @register("neutralize_series", with_views(f"""
 SELECT id, {r6('prediction - (regr_intercept(prediction, example_preds) OVER () '
               '+ regr_slope(prediction, example_preds) OVER () * example_preds)')} AS neutralized
-FROM tourney WHERE {VALID}""", "tourney"))
+FROM tourney""", "tourney"))
 def q_neutralize_series(spark, sf):
-    t = _valid(spark, sf).select("id", "prediction", "example_preds")
+    t = tourney(spark, sf).select("id", "prediction", "example_preds")
     return rounded(neutralize.neutralize_series(t, "prediction", "example_preds").select("id", "neutralized"))
 
 
@@ -372,7 +372,7 @@ def _neutral2_sql() -> str:
     fitted = [" + ".join(f"b{c}_{j} * {FEATURES[j]}" for j in range(k)) for c in range(2)]
     return with_views(f"""
 WITH s AS (SELECT id, era, {', '.join(FEATURES)}, {sql_unif('prediction')} AS sc0, {sql_unif('example_preds')} AS sc1
-           FROM tourney WHERE {VALID}),
+           FROM tourney),
 {', '.join(parts)},
 r AS (SELECT s.id, s.era, sc0 - ({fitted[0]}) AS r0, sc1 - ({fitted[1]}) AS r1
       FROM s JOIN beta0 USING (era) JOIN beta1 USING (era)),
@@ -384,7 +384,7 @@ FROM r JOIN sd USING (era)""", "tourney")
 @register("neutralize_columns", _neutral2_sql())
 def q_neutralize_columns(spark, sf):
     """N1 with two score columns: each neutralized, both divided by the std of the era's whole matrix."""
-    t = _valid(spark, sf)
+    t = tourney(spark, sf)
     n = neutralize.neutralize(t, ["prediction", "example_preds"], FEATURES, out=["n_pred", "n_example"])
     return rounded(n.select("id", "era", "n_pred", "n_example"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .operators import joins, metrics, registry
 from .sources import readers as src
-from .sources.fixtures import class_scores, tourney, with_views
+from .sources.fixtures import FIVE_SCORES_SQL, five_scores, tourney, with_views
 from .sources.tables import read_table
 from .functions.stats import round6
 from .suite import r6, register, rounded
@@ -33,9 +33,9 @@ def q_loss_metrics(spark, sf):
 
 @register("class_accuracy", with_views(f"""
 SELECT {r6('avg(cast(list_position(p, list_max(p)) - 1 = label % 5 AS INTEGER))')} AS accuracy
-FROM (SELECT vec_id AS id, embedding[1:5] AS p, label FROM embeddings)""", "class_scores"))
+FROM (SELECT vec_id AS id, {FIVE_SCORES_SQL} AS p, label FROM embeddings)""", "class_scores"))
 def q_class_accuracy(spark, sf):
-    e = read_table(spark, sf, "embeddings").select(F.slice("embedding", 1, 5).alias("p"),
+    e = read_table(spark, sf, "embeddings").select(five_scores().alias("p"),
                                                    (F.col("label") % 5).alias("y"))
     return rounded(metrics.class_accuracy(e, "y", "p"))
 
@@ -117,10 +117,9 @@ def q_step_cleanup_candidates(spark, sf):
 
 
 @register("ensemble_wide", with_views("""
-SELECT id, prediction AS trial_m0, example_preds AS trial_m1, feature_k AS trial_m2
-FROM tourney WHERE dataset = 'valid'""", T))
+SELECT id, prediction AS trial_m0, example_preds AS trial_m1, feature_k AS trial_m2 FROM tourney""", T))
 def q_ensemble_wide(spark, sf):
-    t = tourney(spark, sf).where(F.col("dataset") == "valid")
+    t = tourney(spark, sf)
     trials = F.array(*[F.struct(F.lit(i).alias("trial"), F.lit(0).alias("dim"), F.col(c).alias("prediction"))
                        for i, c in enumerate(["prediction", "example_preds", "feature_k"])])
     long = t.select("id", F.explode(trials).alias("s")).select("id", "s.trial", "s.dim", "s.prediction")
