@@ -21,12 +21,9 @@ from erascore.sources.tables import read_table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the standard policy keeps. The verdict depends on the text alone, so it returns by the text's digest."""
+    """Documents that the standard policy keeps."""
     prepare_session(spark)
-    digest = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
-    judged = rules.apply_policy(rules.ledger(docs.select(digest.alias("doc_id"), "text")))
-    bad = judged.where(~F.col("kept")).select(F.col("doc_id").alias("__rejected")).distinct()
-    return docs.withColumn("__digest", digest).join(bad, F.col("__digest") == F.col("__rejected"), "left_anti").drop("__digest")
+    return rules.kept_documents(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,14 +14,14 @@ gives an empty ledger; further columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from .common import text_or_empty
+from pyspark.sql.types import LongType, StructField, StructType
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_lower")
 WINDOW = 8
@@ -93,24 +93,37 @@ def measure(text: str) -> tuple[int, ...]:
             repeat_words(words), int(count[65:91].sum()), int(count[97:123].sum()))
 
 
-def ledger(docs: DataFrame) -> DataFrame:
-    """doc_id, the measurements and fail_bits: one row per document."""
+def measured(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
+    """``docs`` with its measurements and fail_bits as further columns (named with ``prefix``); a row stays where it is."""
+    names = [f"{prefix}{m}" for m in MEASURES]
 
     def rows(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            found = [measure(t.as_py()) for t in batch.column(1)]
+            at = batch.schema.get_field_index(text)
+            found = [measure(t or "") for t in batch.column(at).to_pylist()]
             cols = np.array(found, np.int64).reshape(-1, len(MEASURES)).T
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, np.ascontiguousarray(cols))], ["doc_id", *MEASURES])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, np.ascontiguousarray(cols))], [*batch.schema.names, *names])
 
-    texts = docs.select("doc_id", text_or_empty().alias("text"))
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    measured = texts.mapInArrow(rows, f"doc_id {kind}, " + ", ".join(f"{m} long" for m in MEASURES))
+    docs = docs.withColumn(text, F.col(text).cast("string"))
+    out = docs.mapInArrow(rows, StructType([*docs.schema.fields, *[StructField(n, LongType()) for n in names]]))
     bits = F.lit(0).cast("long")
     for i, (_, fails) in enumerate(RULES):
-        bits = bits.bitwiseOR(F.when(F.expr(fails), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
-    return measured.withColumn("fail_bits", bits)
+        own = re.sub(r"\b(" + "|".join(MEASURES) + r")\b", rf"{prefix}\1", fails)
+        bits = bits.bitwiseOR(F.when(F.expr(own), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
+    return out.withColumn(f"{prefix}fail_bits", bits)
+
+
+def ledger(docs: DataFrame) -> DataFrame:
+    """doc_id, the measurements and fail_bits: one row per document."""
+    return measured(docs.select("doc_id", "text")).drop("text")
+
+
+def kept_documents(docs: DataFrame, policy: Policy = STANDARD, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that a policy keeps, with all their columns."""
+    judged = measured(docs, text, "__rule_")
+    return judged.where(F.col("__rule_fail_bits").bitwiseAND(F.lit(policy.mask)) == 0).select(*docs.columns)
 
 
 def rejected(policy: Policy) -> Column:
