@@ -16,7 +16,8 @@ from .sources import sinks
 from .sources import readers as src
 from .sources.fixtures import FEATURES, tourney, tourney_missing, vec, with_views
 from .sources.tables import read_table
-from .suite import register
+from .functions.stats import round6
+from .suite import r6, register
 from .suite_vectors import explode1
 
 T = "tourney"
@@ -180,10 +181,11 @@ def q_fill_missing_const(spark, sf):
 
 
 @register("autoencoder_pair", with_views("""
-SELECT id, cast(len(x) AS INTEGER) AS n_x, cast(y[1] AS DOUBLE) AS y0 FROM vec""", "vec"))
+SELECT id, pos, cast(v AS DOUBLE) AS x, cast(y[1] AS DOUBLE) AS y0
+FROM (SELECT id, unnest(range(len(x))) AS pos, unnest(x) AS v, y FROM vec)""", "vec"))
 def q_autoencoder_pair(spark, sf):
     v = vec(spark, sf).select("id", projections.autoencoder_pair().alias("label"))
-    return v.select("id", F.size("label.x").alias("n_x"), F.element_at("label.y", 1).cast("double").alias("y0"))
+    return v.select("id", F.posexplode("label.x").alias("pos", "x"), F.element_at("label.y", 1).cast("double").alias("y0")).withColumn("x", F.col("x").cast("double"))
 
 
 # ----------------------------------------------------------------------------- S: sources / sinks
@@ -317,27 +319,31 @@ def q_scan_shards_by_glob(spark, sf):
     return df.select("id", F.col("era").cast("int").alias("era"), "dataset")
 
 
-def _file_counts(df: DataFrame, keys: list[str], shard_rows: int) -> DataFrame:
-    per_file = df.withColumn("_f", F.input_file_name()).groupBy(*keys, "_f").agg(F.count(F.lit(1)).alias("_n"))
-    return per_file.groupBy(*keys).agg(F.sum("_n").alias("n_rows"),
-                                       (F.max("_n") <= shard_rows).alias("files_within_limit"))
+def _written_rows(back: DataFrame, shard_rows: int) -> DataFrame:
+    """Every row read back, and whether its file keeps the limit."""
+    rows = back.withColumn("_f", F.input_file_name())
+    per_file = rows.groupBy("_f").agg((F.count(F.lit(1)) <= shard_rows).alias("file_within_limit"))
+    xs = [round6(F.element_at("x", i + 1)).alias(f"x{i}") for i in range(len(FEATURES))]
+    return rows.join(per_file, "_f").select("id", F.col("era").cast("int").alias("era"), "dataset", *xs,
+                                            round6(F.element_at("y", 1)).alias("y0"), "file_within_limit")
 
 
-@register("write_shards", with_views("""
-SELECT dataset, count(*) AS n_rows, true AS files_within_limit FROM tourney GROUP BY dataset""", T))
+_WRITTEN_SQL = with_views(f"""
+SELECT id, era, dataset, {', '.join(f"{r6(f'cast({f} AS FLOAT)')} AS x{i}" for i, f in enumerate(FEATURES))},
+       {r6('cast(target AS FLOAT)')} AS y0, true AS file_within_limit FROM tourney""", T)
+
+
+@register("write_shards", _WRITTEN_SQL)
 def q_write_shards(spark, sf):
     path = scratch_path(spark, "shards")
     ex = projections.assemble_xy(_t(spark, sf), FEATURES, ["target"], keep=["id", "era", "dataset"])
     sinks.write_shards(ex, path, shard_rows=500)
-    back = spark.read.parquet(path)
-    return _file_counts(back, ["dataset"], 500)
+    return _written_rows(spark.read.parquet(path), 500)
 
 
-@register("write_shards_by_era", with_views("""
-SELECT dataset, era, count(*) AS n_rows, true AS files_within_limit FROM tourney GROUP BY dataset, era""", T))
+@register("write_shards_by_era", _WRITTEN_SQL)
 def q_write_shards_by_era(spark, sf):
-    back = spark.read.parquet(_shards_by_era(spark, sf, 100))
-    return _file_counts(back.withColumn("era", F.col("era").cast("int")), ["dataset", "era"], 100)
+    return _written_rows(spark.read.parquet(_shards_by_era(spark, sf, 100)), 100)
 
 
 @register("write_submission", with_views("SELECT id, prediction FROM tourney WHERE dataset = 'live'", T))
