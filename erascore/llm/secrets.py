@@ -79,41 +79,32 @@ def _sequence(items) -> set[str] | None:
     return out
 
 
-def trigram_query(pattern: str) -> list[list[set[str]]]:
-    """AND over stretches, OR over a stretch's strings, AND over a string's trigrams (lower-cased).
-    Empty where no match needs a trigram."""
-    stretches, run = [], {""}
-    for item in [*sre_parser.parse(pattern), None]:
-        got = _literals(item) if item else None
+def _stretches(items) -> list[set[str]]:
+    """What any match must contain, stretch by stretch: each a set of strings of which one occurs."""
+    out, run = [], {""}
+    for item in items:
+        got = _literals(item)
         if got is not None and len(run) * len(got) <= _MOST:
             run = {a + b for a in run for b in got}
             continue
-        stretches.append(run)
+        out.append(run)
         run = got if got is not None else {""}
-        if got is None and item and item[0] is sre.SUBPATTERN:  # what a group must contain
-            inner = [x for x in trigram_query_items(item[1][-1])]
-            stretches += inner
+        if got is None and item[0] is sre.SUBPATTERN:  # no literal itself, but it may hold some
+            out += _stretches(item[1][-1])
+    return [*out, run]
+
+
+def trigram_query(pattern: str) -> list[list[set[str]]]:
+    """AND over stretches, OR over a stretch's strings, AND over a string's trigrams (lower-cased).
+    Empty where no match needs a trigram."""
     out = []
-    for strings in stretches:
+    for strings in _stretches(sre_parser.parse(pattern)):
         grams = [{s.lower()[i:i + 3] for i in range(len(s) - 2)} for s in strings]
-        if grams and all(grams) and grams != [set()]:
+        if all(grams):
             out.append(grams)
     return out
 
 
-def trigram_query_items(items) -> list[set[str]]:
-    """Literal stretches of a group that is no literal itself."""
-    run, out = {""}, []
-    for item in items:
-        got = _literals(item)
-        if got is not None and len(run) * len(got) <= _MOST:
-            run = {a + b for a in run for b in got}
-        else:
-            out.append(run)
-            run = got if got is not None else {""}
-    return [*out, run]
-
-
 def postings(texts: DataFrame, trigrams: list[str]) -> DataFrame:
     """(key, trigram): which of ``trigrams`` each text holds; ``texts`` has key and text."""
     wanted = F.array(*[F.lit(t) for t in trigrams])
