@@ -35,6 +35,9 @@ from .common import connected_components, scratch, sized, staged, staged_with, t
 SHINGLE, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band with probability (1 - 0.8**5)**25 = 5e-5.
 BANDS, ROWS = 25, 5
+#: Pairs whose signatures agree less than this are not verified: 4.2 standard deviations below the threshold, which a
+#: pair at the threshold misses with probability 2e-5.
+AGREE = THRESHOLD - 4.2 * (THRESHOLD * (1 - THRESHOLD) / (BANDS * ROWS)) ** 0.5
 _WORD = re.compile(r"\w+")
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -56,7 +59,7 @@ class Words(dict):
     def __missing__(self, word: str) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -133,17 +136,17 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], k: int) -> np.ndarray:
         rank[new], name[new] = best[new], names[new]
 
 
-def bands(sets: list[tuple[np.ndarray, np.ndarray]], n_bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """The bucket of each band, a row for each set."""
-    sig = signatures(sets, n_bands * rows).reshape(len(sets), n_bands, rows)
-    out = np.tile(_mix(np.arange(n_bands, dtype=np.uint64) * _GOLD + np.uint64(1)), (len(sets), 1))
+def bands(sig: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """The bucket of each band of signatures, a row for each set."""
+    sig = sig.reshape(len(sig), n_bands, rows)
+    out = np.tile(_mix(np.arange(n_bands, dtype=np.uint64) * _GOLD + np.uint64(1)), (len(sig), 1))
     for r in range(rows):
         out = _mix(out * _GOLD + sig[:, :, r])
     return out.view(np.int64)
 
 
-def _banded(texts: DataFrame) -> DataFrame:
-    """(node, bucket) from (node, text): one row for each band of a text."""
+def _signed(texts: DataFrame) -> DataFrame:
+    """(node, buckets, sig) from (node, text): the buckets of a text's bands, and a byte of each coordinate."""
 
     def rows(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -151,9 +154,11 @@ def _banded(texts: DataFrame) -> DataFrame:
         words = Words()
 
         def out(names, sets):
-            keys = bands(sets) if sets else np.empty((0, BANDS), np.int64)
-            nodes = pa.array(names, pa.string()).take(pa.array(np.repeat(np.arange(len(names)), keys.shape[1])))
-            return pa.RecordBatch.from_arrays([nodes, pa.array(keys.ravel())], ["node", "bucket"])
+            sig = signatures(sets, BANDS * ROWS) if sets else np.empty((0, BANDS * ROWS), np.uint64)
+            places = pa.array(np.arange(len(sig) + 1, dtype=np.int32) * BANDS)
+            buckets = pa.ListArray.from_arrays(places, pa.array(bands(sig).ravel() if sets else np.empty(0, np.int64)))
+            low = (sig & np.uint64(255)).astype(np.uint8)
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), buckets, pa.array([x.tobytes() for x in low], pa.binary())], ["node", "buckets", "sig"])
 
         for batch in batches:
             names, sets, held = [], [], 0
@@ -168,7 +173,42 @@ def _banded(texts: DataFrame) -> DataFrame:
                     names, sets, held = [], [], 0
             yield out(names, sets)
 
-    return texts.select("node", "text").mapInArrow(rows, "node string, bucket long")
+    return texts.select("node", "text").mapInArrow(rows, "node string, buckets array<long>, sig binary")
+
+
+def _agreeing(at: DataFrame, agree: float = AGREE) -> DataFrame:
+    """(a, b, la, lb): a bucket's members (node, label, sig) with those of its leaders (leads) that are of another
+    class and whose signatures agree well enough. Pairs that do not are never made into rows."""
+
+    def rows(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        seen: set[tuple] = set()  # a pair shares several buckets: a task names it once, as far as its memory goes
+        for batch in batches:
+            out: list[tuple] = []
+            nodes, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            sigs, leads = batch.column(2), batch.column(3)
+            each = leads.flatten()
+            lead_nodes, lead_labels = each.field(0).to_pylist(), each.field(1).to_pylist()
+            lead_sigs = np.frombuffer(b"".join(each.field(2).to_pylist()), np.uint8).reshape(len(each), -1)
+            begin = 0
+            for i, n in enumerate(leads.value_lengths().to_pylist()):
+                own = np.frombuffer(sigs[i].as_py(), np.uint8)
+                close = (lead_sigs[begin:begin + n] == own).mean(axis=1) >= agree
+                for j in np.flatnonzero(close) + begin:
+                    if lead_labels[j] != labels[i]:
+                        pair = (nodes[i], lead_nodes[j], labels[i], lead_labels[j])
+                        pair = pair if pair[0] < pair[1] else (pair[1], pair[0], pair[3], pair[2])
+                        if pair not in seen:
+                            if len(seen) >= 200_000:
+                                seen.clear()
+                            seen.add(pair)
+                            out.append(pair)
+                begin += n
+            cols = zip(*out, strict=True) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], ["a", "b", "la", "lb"])
+
+    return at.select("node", "label", "sig", "leads").mapInArrow(rows, "a string, b string, la string, lb string")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
@@ -203,10 +243,13 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     not listed is a class of its own."""
     with scratch(docs.sparkSession):
         rows = docs.select(text_or_empty().alias("text")).withColumn("node", text_node())
-        buckets = staged(_banded(rows), "near-bands")
+        signed = staged(_signed(rows), "near-signatures")
+        buckets = signed.select("node", F.explode("buckets").alias("bucket"))
         shared = buckets.groupBy("bucket").agg(F.min(F.xxhash64("node")).alias("low"), F.max(F.xxhash64("node")).alias("high"))
-        live = buckets.join(shared.where("low <> high").select("bucket"), "bucket", "left_semi").distinct()
-        live, size = staged_with(live.withColumn("label", F.col("node")), "near-live", n=F.count(F.lit(1)))
+        found = buckets.join(shared.where("low <> high").select("bucket"), "bucket", "left_semi").distinct()
+        found = staged(found, "near-buckets")
+        sigs = signed.join(found.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("sig").alias("sig"))
+        live, size = staged_with(found.join(sigs, "node").select("bucket", "node", F.col("node").alias("label"), "sig"), "near-live", n=F.count(F.lit(1)))
         wanted = live.select("node").distinct()
         texts = staged(rows.select("node", "text").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
         labels = staged(sized(wanted, size["n"]).select("node", F.col("node").alias("label")), "near-labels")
@@ -220,12 +263,8 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 break
             at = sized(live.join(mixed, "bucket"), size["n"])
             # a leader is compared with all of its bucket: it needs no further round there
-            rest = at.where(~F.exists("leads", lambda x: x["node"] == F.col("node"))).select("bucket", "node", "label")
-            each = at.select("node", "label", F.explode("leads").alias("lead")).where(F.col("label") != F.col("lead.label"))
-            first = F.col("node") < F.col("lead.node")
-            pairs = each.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"),
-                                F.when(first, F.col("label")).otherwise(F.col("lead.label")).alias("la"),
-                                F.when(first, F.col("lead.label")).otherwise(F.col("label")).alias("lb"))
+            rest = at.where(~F.exists("leads", lambda x: x["node"] == F.col("node"))).select("bucket", "node", "label", "sig")
+            pairs = _agreeing(at)
             pairs = sized(pairs.distinct(), size["n"])
             if tried is not None:
                 pairs = sized(pairs.join(tried, ["a", "b"], "left_anti"), size["n"])
@@ -237,7 +276,7 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 merged = staged(sized(connected_components(links), 2 * found["n"]), "near-merged").select(F.col("node").alias("label"), F.col("label").alias("merged"))
                 new = F.coalesce("merged", "label").alias("label")
                 labels = staged(labels.join(merged, "label", "left").select("node", new), "near-labels")
-                rest = rest.join(merged, "label", "left").select("bucket", "node", new)
+                rest = rest.join(merged, "label", "left").select("bucket", "node", new, "sig")
             live, size = staged_with(sized(rest, size["n"]), "near-live", n=F.count(F.lit(1)))
             step += 1
         labels = staged(labels, "near-labels")
@@ -272,5 +311,5 @@ def _width(step: int) -> int:
 
 def _leaders(step: int) -> list:
     """The leaders of a bucket: its smallest node, and those smallest by other hashes, the same order in every bucket."""
-    lead = F.struct("node", "label")
+    lead = F.struct("node", "label", "sig")
     return [F.min_by(lead, F.col("node") if i == 0 else F.xxhash64("node", F.lit(i))).alias(f"lead_{i}") for i in range(_width(step))]
