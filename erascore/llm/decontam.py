@@ -3,11 +3,13 @@
 Benchmark passages form a TF-IDF matrix (document frequencies over all documents). Its leading right singular
 vectors are found by a randomised SVD on Spark: a range finder ``Y = A (A' A G)`` on distributed sparse rows, with
 only the small Gram matrices on the driver. Each word then has a latent vector. Documents are read as
-overlapping windows of a few lengths; a window is projected by summing its words' vectors, and windows whose cosine to
-a passage of about its length reaches ``cosine`` are candidates. A candidate is verified on the document's words around the
+overlapping windows of about a passage's length. A candidate is every window that, with the words around it, has as many
+words in common with the passage (each as often as the passage has it) as verification asks for: no window that
+could be verified is left out, whichever words were changed. A candidate is verified on the document's words around the
 window: by the longest common subsequence with the passage (``copy`` of its words or more: a copy), or as a
 paraphrase (``paraphrase`` or more, and the passage's answer found whole and in order). The answer is what follows the
-last ``Answer:`` or ``A:``, else the last sentence.
+last ``Answer:`` or ``A:``, else the last sentence. The cosine reported is the largest of the candidate windows to the
+passage in the latent space; it excludes none.
 
 The latent space is fitted on the benchmark's passages, in blocks of at most ``BLOCK`` items, so what is sent to the
 tasks is bounded; every word of every document is searched.
@@ -20,6 +22,7 @@ result; further columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -30,11 +33,12 @@ from pyspark.sql import functions as F
 from .common import scratch, staged, text_or_empty
 
 RANK, OVERSAMPLE, SEED = 256, 8, 7
-#: A candidate has COSINE to the passage, and PROJECTION of its length along it.
-COSINE, PROJECTION, COPY, PARAPHRASE, ANSWER = 0.5, 0.45, 0.8, 0.6, 0.9
+COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.9
 MIN_WORDS, BLOCK = 8, 256
 #: A window has so many blocks of STEP words; a passage is searched at the first length that holds it, or the last.
 STEP, LENGTHS = 8, (2, 3, 4, 6, 8, 12, 16, 24, 32)
+#: Blocks whose counts are held at a time.
+SEGMENT = 4096
 _WORD = re.compile(r"\w+")
 
 
@@ -167,55 +171,87 @@ def randomised_svd(entries: DataFrame, rank: int = RANK, oversample: int = OVERS
     return staged(_times(b, "word", right[:, :rank]), "svd-right"), np.sqrt(value[:rank])
 
 
-def candidates(at: list[np.ndarray], matrix: np.ndarray, groups: dict, cosine: float) -> dict:
-    """(text, blocks, item) -> (cosine, first word, end) of the windows found in texts given as word numbers.
-
-    Texts are laid out in blocks of STEP words, with unknown words between them, so no window meets two texts."""
-    longest = max(groups)
-    sizes = np.array([-(-len(x) // STEP) + longest - 1 for x in at])
+def overlaps(words: np.ndarray, texts: np.ndarray, holders: tuple, spans: np.ndarray, blocks: int) -> np.ndarray:
+    """(blocks, items): how many words of each passage, with their number in it, the span of blocks from each block on has.
+
+    words: numbers of the words laid in blocks of STEP, texts: the text of each block, holders: CSR rows word -> (item, times).
+    A word adds to the spans that begin behind its times-th last place before."""
+    start, item, times = holders
+    place = np.flatnonzero(start[words + 1] > start[words])
+    block = place // STEP
+    text, word = texts[block], words[place]
+    order = np.lexsort((place, word, text))
+    block, text, word = block[order], text[order], word[order]
+    many = start[word + 1] - start[word]
+    entry = np.repeat(np.arange(len(word)), many)
+    held = np.arange(len(entry)) - np.repeat(np.cumsum(many) - many, many) + start[word][entry]
+    owner, earlier = item[held], entry - times[held]
+    before = np.maximum(earlier, 0)
+    same = (earlier >= 0) & (word[before] == word[entry]) & (text[before] == text[entry])
+    last = block[entry]
+    begin = np.maximum(last - spans[owner] + 1, np.where(same, block[before] + 1, 0))
+    begin = np.maximum(begin, 0)
+    able = begin <= last
+    size = (blocks + 1) * len(spans)
+    change = np.bincount((begin * len(spans) + owner)[able], minlength=size) - np.bincount(((last + 1) * len(spans) + owner)[able], minlength=size)
+    return np.cumsum(change.reshape(blocks + 1, -1).astype(np.int32), axis=0)[:blocks]
+
+
+def candidates(at: list[np.ndarray], unknown: int, holders: tuple, shapes: np.ndarray) -> dict:
+    """(text, item) -> (passage words there, first word, end) of the windows found in texts given as word numbers.
+
+    shapes: (blocks of a window, blocks around on each side, words needed) of each item. Every window is found that has the
+    words needed, with what is around it: fewer words in common cannot make a longer common subsequence."""
+    window, around, need = shapes.T
+    spans, margin = window + 2 * around, int((window + 2 * around).max())
+    # what is around the first window begins before the text: unknown words there, and behind the last
+    lead = int(around.max())
+    sizes = np.array([-(-len(x) // STEP) + lead for x in at])
     first = np.cumsum(sizes) - sizes
-    laid = np.full(int(sizes.sum()) * STEP, len(matrix) - 1, np.int64)
-    for begin, x in zip(first * STEP, at, strict=True):
+    laid = np.full((int(sizes.sum()) + margin) * STEP, unknown, np.int64)
+    for begin, x in zip((first + lead) * STEP, at, strict=True):
         laid[begin:begin + len(x)] = x
-    laid = laid.reshape(-1, STEP)
-    single = np.linalg.norm(matrix, axis=1)[laid].sum(axis=1)
+    owner = np.repeat(np.arange(len(at)), sizes)
     found: dict = {}
-    mass, length = single.copy(), 1
-    for blocks in sorted(groups):
-        while length < blocks:
-            mass[:-length] += single[length:]
-            length += 1
-        vecs, norms, _ = groups[blocks]
-        # a window is no longer than the sum of its words' lengths: most need not be summed up
-        able = np.flatnonzero(mass >= PROJECTION * norms.min())
-        for part in np.split(able, range(2000, len(able), 2000)):
-            win = np.zeros((len(part), matrix.shape[1]), np.float32)
-            for j in range(blocks):
-                for i in range(STEP):
-                    win += matrix[laid[np.minimum(part + j, len(laid) - 1), i]]
-            score = win @ vecs.T
-            hit = np.nonzero((score >= PROJECTION * norms) & (score >= cosine * np.linalg.norm(win, axis=1)[:, None]))
-            owner = np.searchsorted(first, part[hit[0]], "right") - 1
-            for w, item, text in zip(*hit, owner, strict=True):
-                begin = int(part[w] - first[text]) * STEP
-                cos = float(score[w, item] / np.linalg.norm(win[w]))
-                found.setdefault((int(text), blocks, int(item)), []).append((cos, begin, begin + blocks * STEP))
+    for lo in range(0, len(owner), SEGMENT):
+        hi = min(lo + SEGMENT, len(owner))
+        texts = np.concatenate([owner[lo:hi + margin], np.full(max(0, hi + margin - len(owner)), len(at))])
+        # a span that reaches into the next text counts its words too: that only makes more candidates
+        count = overlaps(laid[lo * STEP:(hi + margin) * STEP], texts, holders, spans, hi - lo + margin)[:hi - lo]
+        for s, i in zip(*np.nonzero(count >= need), strict=True):
+            text = int(owner[lo + s])
+            begin = int(lo + s + around[i] - first[text] - lead) * STEP
+            if 0 <= begin < len(at[text]):
+                found.setdefault((text, int(i)), []).append((int(count[s, i]), begin, begin + int(window[i]) * STEP))
     return found
 
 
 def verdict(words: list[str], passage: list[str], reply: list[str], ranges: list, copy: float, paraphrase: float, answer: float) -> tuple | None:
+    """The best (lcs, answer) of the windows that hold the passage; those with the most words in common are tried first."""
     best = None
-    for cos, begin, end in ranges:
+    for common, begin, end in sorted(ranges, reverse=True):
+        if best and (common < best[0] * len(passage) or best[0] == 1 and best[1] == (1 if reply else 0)):
+            break
         around = words[max(0, begin - len(passage) // 2):end + len(passage) // 2]
         lcs = common_words(passage, around) / len(passage)
         got = common_words(reply, around) / len(reply) if reply else 0.0
         if lcs >= copy or lcs >= paraphrase and got >= answer:
-            best = max(best or (), (lcs, got, cos))
+            best = max(best or (), (lcs, got))
+    return best
+
+
+def nearest(at: np.ndarray, matrix: np.ndarray, vec: np.ndarray, ranges: list) -> float:
+    """The largest cosine of the windows to the passage's latent vector."""
+    best = 0.0
+    for _, begin, end in ranges:
+        win = matrix[at[max(0, begin):end]].sum(axis=0)
+        norm = float(np.linalg.norm(win))
+        best = max(best, float(win @ vec) / norm if norm > 0 else 0.0)
     return best
 
 
 def search(docs: DataFrame, items: list[tuple], latent: dict[str, np.ndarray], idf: dict[str, float],
-           cosine: float = COSINE, copy: float = COPY, paraphrase: float = PARAPHRASE, answer: float = ANSWER) -> DataFrame:
+           copy: float = COPY, paraphrase: float = PARAPHRASE, answer: float = ANSWER) -> DataFrame:
     """(doc_id, item_id, cosine, lcs, answer, kind): the best verified window of each document and passage.
 
     items: (item_id, text) of one block, latent: word -> vector; both are sent to the tasks."""
@@ -223,30 +259,36 @@ def search(docs: DataFrame, items: list[tuple], latent: dict[str, np.ndarray], i
     known = {w: i for i, w in enumerate(latent)}
     matrix = np.array([latent[w] * idf[w] for w in known], np.float32).reshape(len(known), -1)
     matrix = np.concatenate([matrix, np.zeros((1, matrix.shape[1]), np.float32)])  # the last: unknown words
-    groups: dict[int, list] = {}
+    passages, shapes, held = [], [], [[] for _ in range(len(known) + 1)]
     for item_id, text in items:
         words = words_of(text)
-        vec = matrix[[known.get(w, len(known)) for w in words]].sum(axis=0)
-        norm = float(np.linalg.norm(vec))
-        if len(words) >= MIN_WORDS and norm > 0:
+        if len(words) >= MIN_WORDS:
+            vec = matrix[[known.get(w, len(known)) for w in words]].sum(axis=0)
+            for w, n in Counter(words).items():
+                held[known[w]].append((len(passages), n))
             blocks = next((b for b in LENGTHS if b * STEP >= len(words) + STEP // 2), LENGTHS[-1])
-            groups.setdefault(blocks, []).append((item_id, words, answer_of(text), vec / norm, norm))
-    sent = spark.sparkContext.broadcast((known, matrix, {b: (np.array([x[3] for x in g], np.float32), np.array([x[4] for x in g], np.float32), [x[:3] for x in g]) for b, g in groups.items()}))
+            # the least of words in common with which verdict() can agree
+            need = next(n for n in range(len(words) + 1) if n / len(words) >= min(copy, paraphrase))
+            shapes.append((blocks, -(-(len(words) // 2) // STEP), max(need, 1)))
+            passages.append((item_id, words, answer_of(text), vec / max(float(np.linalg.norm(vec)), 1e-30)))
+    holders = (np.cumsum([0, *map(len, held)]), *(np.array([x[k] for h in held for x in h], np.int64) for k in (0, 1)))
+    sent = spark.sparkContext.broadcast((known, matrix, passages, np.array(shapes, np.int64).reshape(-1, 3), holders))
 
     def rows(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        known, matrix, groups = sent.value
+        known, matrix, passages, shapes, holders = sent.value
         unknown = len(matrix) - 1
 
         def verified(texts: list[tuple]) -> pa.RecordBatch:
             out: list[tuple] = []
-            hits = candidates([x[2] for x in texts], matrix, groups, cosine) if texts and groups else {}
-            for (t, blocks, i), ranges in hits.items():
-                item_id, passage, reply = groups[blocks][2][i]
+            hits = candidates([x[2] for x in texts], unknown, holders, shapes) if texts and passages else {}
+            for (t, i), ranges in hits.items():
+                item_id, passage, reply, vec = passages[i]
                 best = verdict(texts[t][1], passage, reply, ranges, copy, paraphrase, answer)
                 if best:
-                    out.append((texts[t][0], item_id, round(best[2], 4), round(best[0], 4), round(best[1], 4), "copy" if best[0] >= copy else "paraphrase"))
+                    cos = nearest(texts[t][2], matrix, vec, ranges)
+                    out.append((texts[t][0], item_id, round(cos, 4), round(best[0], 4), round(best[1], 4), "copy" if best[0] >= copy else "paraphrase"))
             cols = zip(*out, strict=True) if out else [[]] * 6
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.string())
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "item_id", "cosine", "lcs", "answer", "kind"])
@@ -269,7 +311,7 @@ def search(docs: DataFrame, items: list[tuple], latent: dict[str, np.ndarray], i
     return hits.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.cosine", "best.lcs", "best.answer", "best.kind")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, block: int = BLOCK) -> DataFrame:
     """(doc_id, item_id, cosine, lcs, answer, kind) of every document that holds a benchmark passage."""
     spark: SparkSession = docs.sparkSession
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
@@ -283,8 +325,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine
             continue
         counts = {r["word"]: r["docs"] for r in document_frequencies(docs, vocabulary).collect()}  # the block's words
         total = counts.get("", 0)
-        # squared, as passages are told apart by their rare words
-        idf = {w: (float(np.log((1 + total) / (1 + counts.get(w, 0)))) + 1e-3) ** 2 for w in vocabulary.value}
+        idf = {w: float(np.log((1 + total) / (1 + counts.get(w, 0)))) + 1e-3 for w in vocabulary.value}
         tf: list[tuple] = []
         for row, (_, text) in enumerate(items):
             words = words_of(text)
@@ -293,7 +334,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine
             entries = staged(spark.createDataFrame(tf, "row long, word string, value double"), "svd-entries")
             right, _ = randomised_svd(entries, min(rank, len(items)))
             latent = {r["word"]: np.array(r["vec"]) for r in right.collect()}  # the block's words
-        hits = search(docs, items, latent, idf, cosine)
+        hits = search(docs, items, latent, idf)
         out = hits if out is None else out.unionByName(hits)
     if out is None:
         return spark.createDataFrame([], "doc_id long, item_id long, cosine double, lcs double, answer double, kind string")

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -101,3 +102,26 @@ def test_awkward_rows(spark, sf_dir):
     got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(frame, bench).collect()}
     assert got == {(4, 4), (4, None)}
     assert D.contaminated(frame.limit(0), bench).collect() == [] == D.contaminated(frame, bench.limit(0)).collect()
+
+
+def test_changed_copies_are_found_whichever_words_were_changed(spark, sf_dir):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    often = Counter(w for _, t in docs for w in set(D.words_of(t)))
+    rnd, planted = random.Random(5), []
+    for k, (item, passage) in enumerate(items):
+        words, reply = D.words_of(passage), len(D.answer_of(passage))
+        rare = sorted(range(len(words)), key=lambda i: (often[words[i]], i))
+        body = range(len(words) - reply)  # the answer, which comes last, is left alone
+        changes = [rare[:int(0.15 * len(words))], rare[:int(0.2 * len(words))], rnd.sample(body, min(len(body), int(0.35 * len(words)))),
+                   [i for i in rare if i in body][:int(0.4 * len(words))]]
+        for c, places in enumerate(changes):
+            host = docs[k % len(docs)][1].split(" ")
+            at = rnd.randrange(len(host) + 1)
+            text = [f"other{k}" if i in places else w for i, w in enumerate(words)]
+            planted.append((10_000 + 10 * k + c, " ".join([*host[:at], *text, *host[at:]])))
+    frame = spark.createDataFrame(docs + planted, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = brute(docs + planted, items)
+    assert len({d for d, _ in want} & {d for d, _ in planted}) >= 0.9 * len(planted)
+    assert want <= got
