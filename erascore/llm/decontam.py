@@ -35,8 +35,8 @@ from .common import scratch, staged, text_or_empty
 RANK, OVERSAMPLE, SEED = 256, 8, 7
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.9
 MIN_WORDS, BLOCK = 8, 256
-#: A window has so many blocks of STEP words; a passage is searched at the first length that holds it, or the last.
-STEP, LENGTHS = 8, (2, 3, 4, 6, 8, 12, 16, 24, 32)
+#: A window has as many blocks of STEP words as hold the passage wherever it begins.
+STEP = 8
 #: Blocks whose counts are held at a time.
 SEGMENT = 4096
 _WORD = re.compile(r"\w+")
@@ -266,7 +266,7 @@ def search(docs: DataFrame, items: list[tuple], latent: dict[str, np.ndarray], i
             vec = matrix[[known.get(w, len(known)) for w in words]].sum(axis=0)
             for w, n in Counter(words).items():
                 held[known[w]].append((len(passages), n))
-            blocks = next((b for b in LENGTHS if b * STEP >= len(words) + STEP // 2), LENGTHS[-1])
+            blocks = -(-(len(words) + STEP - 1) // STEP)
             # the least of words in common with which verdict() can agree
             need = next(n for n in range(len(words) + 1) if n / len(words) >= min(copy, paraphrase))
             shapes.append((blocks, -(-(len(words) // 2) // STEP), max(need, 1)))

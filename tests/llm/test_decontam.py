@@ -125,3 +125,19 @@ def test_changed_copies_are_found_whichever_words_were_changed(spark, sf_dir):
     want = brute(docs + planted, items)
     assert len({d for d, _ in want} & {d for d, _ in planted}) >= 0.9 * len(planted)
     assert want <= got
+
+
+def test_long_passages_are_found_at_every_length(spark):
+    rnd, words = random.Random(6), [f"w{i}" for i in range(3000)]
+    items = [(n + k, " ".join(rnd.choices(words, k=n)) + ".") for n in (300, 500, 800, 1000, 1500, 2000) for k in range(2)]
+    docs = [(0, " ".join(rnd.choices(words, k=5000)))]
+    for item, passage in items:
+        host, text = rnd.choices(words, k=900), passage.split()
+        at = rnd.randrange(900)
+        docs.append((item, " ".join([*host[:at], *text, *host[at:]])))
+        for i in rnd.sample(range(len(text)), int(0.15 * len(text))):
+            text[i] = "other"
+        docs.append((-item, " ".join([*host[:at], *text, *host[at:]])))
+    found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(d, i) for i, _ in items for d in (i, -i)}
+    assert all(r["lcs"] == 1 for r in found if r["doc_id"] > 0)
