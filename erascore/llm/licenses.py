@@ -1,6 +1,6 @@
 """Licence scan by canonical digest lookup, in DataFrame functions only.
 
-A text is brought to canonical form -- case, copyright lines, punctuation and white space, equivalent spellings -- and the
+A text is brought to canonical form -- case, copyright notices (not wrapped lines of a licence that begin with that word), punctuation and white space, equivalent spellings -- and the
 digest of its whole canonical form is hash-joined to those of known licences.
 
 Defined cases: a null or empty text, or one without letters and digits, has an empty canonical form and matches no
@@ -28,7 +28,13 @@ SPELLINGS = (
     ("signalling", "signaling"), ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful"),
     ("noncommercial", "non  commercial"), ("sublicence", "sublicense"), ("https", "http"),
 )
+#: Lines that the DuckDB SQL takes for notices: all that begin so.
 _COPYRIGHT = r"(?md)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+#: What follows the word in the wrapped body of a licence, where its line is no notice.
+_BODY = (r"holders?|owners?|ownership|notices?|and|or|laws?|lines?|disclaimers?|interests?|on|permission|resulting|licen[sc]es?|also|like|those|"
+         r"treaty|are|is|if|in|to|for|as|patents?|statements?|of|doctrines|the(?=[ \t]*$)|the[ \t]+software")
+_NOTICE = (r"(?md)^[^\p{L}\p{N}\n]*(?:copyright\b(?![ \t]*(?:$|[.,;)\"'/-]|(?:" + _BODY + r")\b))"
+           r"|\(c\)(?![^\p{L}\p{N}\n]*(?:$|(?:the|you|your|a|an|any|each|if|in|to|under|representations)\b))|©|all rights reserved)[^\n]*$")
 
 #: Texts of known licences and notices.
 MIT = """MIT License
@@ -72,7 +78,7 @@ KNOWN = (("MIT", MIT), ("ISC", ISC), ("BSD-2-Clause", BSD2), *NOTICES)
 
 def canonical(text: Column) -> Column:
     """Lower case, no copyright lines, words of letters and digits between double blanks, one spelling."""
-    low = F.regexp_replace(F.regexp_replace(F.lower(text), r"\r\n?", "\n"), _COPYRIGHT, "")
+    low = F.regexp_replace(F.regexp_replace(F.lower(text), r"\r\n?", "\n"), _NOTICE, "")
     # two blanks, so that neighbouring words are both replaced
     words = F.concat(F.lit("  "), F.regexp_replace(low, r"[^\p{L}\p{N}]+", "  "), F.lit("  "))
     for spelled, kept in SPELLINGS:

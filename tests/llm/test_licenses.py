@@ -1,6 +1,7 @@
 """Licence texts in other dress."""
 
 import hashlib
+import textwrap
 
 from erascore.llm import licenses as L
 
@@ -32,3 +33,11 @@ def test_awkward_documents_and_plan(spark):
     assert out.count() == frame.count() and L.license_report(frame.limit(0)).collect() == []
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_known_texts_in_lines_of_any_width(spark):
+    texts = {n: t for n, t in L.KNOWN if len(t) > 200}
+    rows = [(n, "\n\n".join(p if p.startswith("Copyright") else textwrap.fill(p, width) for p in t.replace("<year>", "1999").split("\n\n"))) for n, t in texts.items() for width in range(20, 100)]
+    rows += [("ISC", L.ISC.replace("Copyright (c) <year> <owner>", line)) for line in ("Copyright npm, Inc.", "(c) 2004 Someone", "Copyright The Authors", "Copyright [yyyy] X")]
+    got = L.license_report(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert len(got) == len(rows) and all(r["license_id"] == r["doc_id"] for r in got)
