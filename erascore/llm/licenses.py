@@ -1,7 +1,7 @@
 """Licence scan by canonical digest lookup, in DataFrame functions only.
 
 A text is brought to canonical form -- case, copyright notices (not wrapped lines of a licence that begin with that word), punctuation and white space, equivalent spellings -- and the
-digest of its whole canonical form is hash-joined to those of known licences.
+digest of its whole canonical form is hash-joined to those of known licences: ``license_digests``, whose licences the README lists.
 
 Defined cases: a null or empty text, or one without letters and digits, has an empty canonical form and matches no
 licence; repeated rows are looked up each; an empty table gives an empty result; further columns are ignored; licences of
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import literal_rows, text_or_empty
+from .license_digests import DIGESTS
 
 #: Words that licence matching treats as equal, after the public SPDX guidelines.
 SPELLINGS = (
@@ -93,9 +94,14 @@ def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOW
         F.min("license_id").alias("license_id"))
 
 
+def shipped_digests(spark: SparkSession) -> DataFrame:
+    """(known_digest, license_id) of the licences of the table ``DIGESTS``, which has those of ``KNOWN`` and many more."""
+    return literal_rows(spark, list(DIGESTS), "license_id string, known_digest string").select("known_digest", "license_id")
+
+
 def license_report(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """doc_id, canonical_chars, canonical_sha256, license_id (null where no known licence is the whole text)."""
-    known = known_digests(docs.sparkSession) if known is None else known
+    known = shipped_digests(docs.sparkSession) if known is None else known
     rows = docs.select("doc_id", canonical(text_or_empty()).alias("canonical"))
     rows = rows.select("doc_id", F.char_length("canonical").cast("long").alias("canonical_chars"), F.sha2("canonical", 256).alias("canonical_sha256"))
     found = rows.join(known, (F.col("canonical_sha256") == F.col("known_digest")) & (F.col("canonical_chars") > 0), "left")

@@ -1,6 +1,7 @@
 """Licence texts in other dress."""
 
 import hashlib
+import os
 import textwrap
 
 from erascore.llm import licenses as L
@@ -41,3 +42,22 @@ def test_known_texts_in_lines_of_any_width(spark):
     rows += [("ISC", L.ISC.replace("Copyright (c) <year> <owner>", line)) for line in ("Copyright npm, Inc.", "(c) 2004 Someone", "Copyright The Authors", "Copyright [yyyy] X")]
     got = L.license_report(spark.createDataFrame(rows, "doc_id string, text string")).collect()
     assert len(got) == len(rows) and all(r["license_id"] == r["doc_id"] for r in got)
+
+
+def test_titles_may_differ_or_be_left_out(spark):
+    body = L.MIT.split("\n\n", 2)[2]
+    rows = [("MIT", body), ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 X\n\n" + body), ("ISC", L.ISC.split("\n\n", 1)[1]),
+            ("BSD-2-Clause", L.BSD2.replace("BSD 2-Clause License", "Simplified BSD License").replace("1. ", "* ").replace("2. ", "* "))]
+    got = L.license_report(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert len(got) == len(rows) and all(r["license_id"] == r["doc_id"] for r in got)
+
+
+def test_shipped_digests(spark):
+    shipped = {r["known_digest"]: r["license_id"] for r in L.shipped_digests(spark).collect()}
+    assert {r["known_digest"]: r["license_id"] for r in L.known_digests(spark).collect()}.items() <= shipped.items()
+    assert len(shipped) == len(L.DIGESTS) and len(set(shipped.values())) == 23
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only", "LGPL-2.1": "LGPL-2.1-only", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    folder = "/usr/share/common-licenses/"  # there on Debian
+    rows = [(i, open(folder + f, encoding="utf-8").read()) for f, i in files.items() if os.path.exists(folder + f)]
+    got = L.license_report(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert all(r["license_id"] == r["doc_id"] for r in got)
