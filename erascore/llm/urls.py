@@ -7,7 +7,7 @@ explicitly allows its undecided urls, else one in which any is blocked blocks th
 own rule always stands.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: from there up to ``?``, ``#``
-or the end. A url's node is scheme, host and the rest without its fragment, which names no other resource.
+or the end. A url's node is scheme, host and the rest without its fragment, which names no other resource. Targets of links and redirects may be relative: they are resolved against the page's ``<base>`` or url.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, fits no rule, is no node and gets the default;
 repeated rows are judged each; an empty table gives an empty result; further columns are ignored.
@@ -74,15 +74,42 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Colu
     return out
 
 
+def resolved(target: Column, base: Column) -> Column:
+    """The url that ``target`` names on a page at ``base``; null where it is empty or of a scheme without ``://``."""
+    scheme, host = F.regexp_extract(base, r"(?s)^(.*?)://", 1), F.regexp_extract(after_scheme(base), r"^[^/?#]*", 0)
+    path, tail = F.regexp_extract(target, r"^[^?#]*", 0), F.regexp_extract(target, r"^[^?#]*(.*)$", 1)
+    full = F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.regexp_extract(F.concat(F.lit("/"), F.regexp_replace(path_of(base), "^/", "")), "^.*/", 0), path))
+    # a last . or .. stands for a folder
+    parts = F.split(F.regexp_replace(F.substr(full, F.lit(2)), r"(^|/)(\.\.?)$", "$1$2/"), "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc).when(
+        x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(x))))
+    origin = F.concat(scheme, F.lit("://"), host)
+    return (F.when((target == "") | (host_of(base) == "") & ~F.rlike(target, F.lit("^[A-Za-z][A-Za-z0-9+.-]*://")), F.lit(None).cast("string"))
+            .when(F.rlike(target, F.lit("^[A-Za-z][A-Za-z0-9+.-]*://")), target)
+            .when(F.rlike(target, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:")), F.lit(None).cast("string"))
+            .when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target))
+            .when(F.startswith(target, F.lit("#")), base)
+            .when(path == "", F.concat(origin, path_of(base), tail))
+            .otherwise(F.concat(origin, F.lit("/"), F.array_join(kept, "/"), tail)))
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
     """(a, b): the node of each page and the nodes that its canonical links and refresh redirects name."""
-    tag = r"(?is)<(?:link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*|meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*)>"
+    quoted = r"\"(?:[^\">]*\s)?canonical(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'"
+    tag = rf"(?is)<(?:link\b[^>]*\brel\s*=\s*(?:{quoted}|canonical(?=[\s/>]))[^>]*|meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*)>"
     html = F.col("html").cast("string")
     low = F.lower(html)
     tags = F.when(F.contains(low, F.lit("canonical")) | F.contains(low, F.lit("http-equiv")), F.regexp_extract_all(html, F.lit(tag), F.lit(0)))
-    found = pages.select(node_of(F.col("url")).alias("a"), F.explode(tags).alias("tag"))
-    target = F.regexp_extract("tag", r"(?i)(?:href\s*=\s*[\"']?|url\s*=\s*)([a-z][a-z0-9+.-]*://[^\"'\s>]+)", 1)
-    return found.select("a", node_of(target).alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    base = F.when(F.contains(low, F.lit("<base")), F.regexp_extract(html, r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)", 1)).otherwise("")
+    found = pages.select(F.col("url"), base.alias("base"), F.explode(tags).alias("tag"))
+    # a refresh may leave out url=
+    delay = r"\bcontent\s*=\s*[\"']?\s*[\d.]+\s*[;,]\s*[\"']?\s*(?!url\s*=|[\"'\s])"
+    refresh = F.regexp_extract("tag", rf"(?is)(?:\burl\s*=\s*[\"']?\s*|{delay})([^\"'\s>]+)", 1)
+    href = F.regexp_extract("tag", r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)", 1)
+    named = found.select("url", F.coalesce(resolved(F.col("base"), F.col("url")), F.col("url")).alias("base"),
+                         F.when(F.rlike("tag", F.lit("(?i)^<link")), href).otherwise(refresh).alias("target"))
+    ends = named.select(node_of(F.col("url")).alias("a"), node_of(resolved(F.col("target"), F.col("base"))).alias("b"))
+    return ends.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
 
 
 def judge(urls: DataFrame, edges: DataFrame, rules: tuple[Rule, ...] = RULES, default: str = "allow") -> DataFrame:

@@ -44,3 +44,27 @@ def test_decisions_reach_aliases(spark):
 
 def test_empty_table(spark):
     assert U.url_report(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_targets_of_every_form(spark):
+    link, refresh = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">'
+    page, want = "http://A.x.net/p/q/r?s=1#t", "http://a.x.net"
+    forms = [
+        (refresh.format("'https://x.com/de/1'"), "https://x.com/de/1"), (refresh.format("/de/1"), want + "/de/1"), (link.format("/de/1?k=2#f"), want + "/de/1?k=2"),
+        (link.format("//y.com/de/1"), "http://y.com/de/1"), ('<link rel="alternate canonical" href=z>', want + "/p/q/z"), (link.format("../z/./y"), want + "/p/z/y"),
+        (link.format("../../../../z/.."), want + "/"), (link.format("?k"), want + "/p/q/r?k"), ("<META content='3;http://y.com/b' http-equiv=Refresh>", "http://y.com/b"),
+        ("<link href='z' rel='canonical'>", want + "/p/q/z"), ("<base href='/w/'>" + link.format("z"), want + "/w/z"), (link.format("http://y.com/c"), "http://y.com/c"),
+        ("<link rel=canonical href=/u>", want + "/u"), (link.format("."), want + "/p/q/"),
+        (link.format("#top"), None), (link.format("mailto:a@b"), None), (link.format(""), None), ('<link rel="noncanonical" href="/x">', None), (refresh.format(""), None),
+    ]
+    rows = [(i, page.replace("x.net", f"x{i}.net"), h) for i, (h, _) in enumerate(forms)]
+    got = {r["a"]: r["b"] for r in U.link_edges(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    node = f"{want}/p/q/r?s=1"
+    expected = {node.replace("x.net", f"x{i}.net"): b and b.replace("a.x.net", f"a.x{i}.net") for i, (_, b) in enumerate(forms)}
+    assert {a: got.get(a) for a in expected} == expected
+
+
+def test_relative_redirects_spread_decisions(spark):
+    rows = [(1, "http://s.net/", '<meta http-equiv="refresh" content="0; url=\'//x.com/de/1\'">'), (2, "http://x.com/start", '<link rel="alternate canonical" href="/de/1">')]
+    got = {r["page_id"]: r["verdict"] for r in U.url_report(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "block", 2: "block"}
