@@ -198,11 +198,11 @@ def overlaps(words: np.ndarray, texts: np.ndarray, holders: tuple, spans: np.nda
 
 
 def candidates(at: list[np.ndarray], unknown: int, holders: tuple, shapes: np.ndarray) -> dict:
-    """(text, item) -> (passage words there, first word, end) of the windows found in texts given as word numbers.
+    """(text, item) -> (passage words there at most, first word, end) of the windows found in texts given as word numbers.
 
-    shapes: (blocks of a window, blocks around on each side, words needed) of each item. Every window is found that has the
+    shapes: (blocks of a window, blocks around on each side, words needed, words taken as found) of each item. Every window is found that has the
     words needed, with what is around it: fewer words in common cannot make a longer common subsequence."""
-    window, around, need = shapes.T
+    window, around, need, given = shapes.T
     spans, margin = window + 2 * around, int((window + 2 * around).max())
     # what is around the first window begins before the text: unknown words there, and behind the last
     lead = int(around.max())
@@ -218,11 +218,11 @@ def candidates(at: list[np.ndarray], unknown: int, holders: tuple, shapes: np.nd
         texts = np.concatenate([owner[lo:hi + margin], np.full(max(0, hi + margin - len(owner)), len(at))])
         # a span that reaches into the next text counts its words too: that only makes more candidates
         count = overlaps(laid[lo * STEP:(hi + margin) * STEP], texts, holders, spans, hi - lo + margin)[:hi - lo]
-        for s, i in zip(*np.nonzero(count >= need), strict=True):
+        for s, i in zip(*np.nonzero(count >= need - given), strict=True):
             text = int(owner[lo + s])
             begin = int(lo + s + around[i] - first[text] - lead) * STEP
             if 0 <= begin < len(at[text]):
-                found.setdefault((text, int(i)), []).append((int(count[s, i]), begin, begin + int(window[i]) * STEP))
+                found.setdefault((text, int(i)), []).append((int(count[s, i] + given[i]), begin, begin + int(window[i]) * STEP))
     return found
 
 
@@ -264,15 +264,20 @@ def search(docs: DataFrame, items: list[tuple], latent: dict[str, np.ndarray], i
         words = words_of(text)
         if len(words) >= MIN_WORDS:
             vec = matrix[[known.get(w, len(known)) for w in words]].sum(axis=0)
-            for w, n in Counter(words).items():
-                held[known[w]].append((len(passages), n))
             blocks = -(-(len(words) + STEP - 1) // STEP)
             # the least of words in common with which verdict() can agree
             need = next(n for n in range(len(words) + 1) if n / len(words) >= min(copy, paraphrase))
-            shapes.append((blocks, -(-(len(words) // 2) // STEP), max(need, 1)))
+            # the commonest words are not counted but taken as found, up to half of the words needed: that loses none
+            given, counted = 0, Counter(words)
+            for w in sorted(counted, key=lambda w: (idf[w], w)):
+                if given + counted[w] <= need // 2:
+                    given += counted[w]
+                else:
+                    held[known[w]].append((len(passages), counted[w]))
+            shapes.append((blocks, -(-(len(words) // 2) // STEP), max(need, 1), given))
             passages.append((item_id, words, answer_of(text), vec / max(float(np.linalg.norm(vec)), 1e-30)))
     holders = (np.cumsum([0, *map(len, held)]), *(np.array([x[k] for h in held for x in h], np.int64) for k in (0, 1)))
-    sent = spark.sparkContext.broadcast((known, matrix, passages, np.array(shapes, np.int64).reshape(-1, 3), holders))
+    sent = spark.sparkContext.broadcast((known, matrix, passages, np.array(shapes, np.int64).reshape(-1, 4), holders))
 
     def rows(batches: Iterator) -> Iterator:
         import pyarrow as pa
