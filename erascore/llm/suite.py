@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import chat, dartminhash, decontam, licenses, linededup, packing, rules, secrets, urls, warc
+from . import alignment, chat, codebooks, dartminhash, decontam, licenses, linededup, packing, rules, secrets, simhash, urls, warc
 from .common import literal_rows, prepare_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 #: Vocabulary of the packing query (a file of the installed ``public_tokenizers``).
 TOKENIZER = "word_bpe_49k.json"
+#: Vocabularies of the alignment query.
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def register(name: str, sql: str | None = None):
@@ -35,10 +37,10 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def control_example(spark: SparkSession) -> DataFrame:
@@ -229,3 +231,44 @@ FROM d LEFT JOIN k ON sha256(c) = k.digest AND length(c) > 0"""
 @register("op10_license_scan", _op10_sql())
 def op10(spark, sf):
     return licenses.license_report(read_table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@register("op11_simhash")
+def op11(spark, sf):
+    return simhash.near_duplicates(read_table(spark, sf, "documents").select("doc_id", "text"))
+
+
+def _op12_sql() -> str:
+    """The rounds unrolled: plain Lloyd, which the operator's rounds must equal."""
+    parts = codebooks.PARTS
+    steps = []
+    for turn in range(codebooks.ROUNDS + 1):
+        # the nearest entry: the least distance, then the lower index
+        steps.append(f"""a{turn} AS MATERIALIZED (SELECT x.rid, x.part, any_value(x.v) AS v,
+    min(struct_pack(d := CAST(list_sum(list_transform(list_zip(x.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT), e := c.entry)) AS best
+  FROM x JOIN c{turn} c ON c.part = x.part GROUP BY x.rid, x.part)""")
+        if turn < codebooks.ROUNDS:
+            steps.append(f"""s{turn} AS (SELECT part, best.e AS entry, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT part, best, v, unnest(range(1, len(v) + 1)) AS i FROM a{turn}) GROUP BY ALL),
+m{turn} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{turn} GROUP BY ALL),
+c{turn + 1} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(m.v, c.v) AS v FROM c{turn} c LEFT JOIN m{turn} m USING (part, entry))""")
+    return f"""
+WITH k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+    list_transform(embedding, lambda y: CAST(floor(CAST(y AS DOUBLE) * {codebooks.SCALE}) AS BIGINT)) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+x AS MATERIALIZED (SELECT rid, part, w[part * (len(w) // {parts}) + 1:(part + 1) * (len(w) // {parts})] AS v FROM k, range({parts}) AS r(part)),
+c0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, v FROM x WHERE rid <= {codebooks.ENTRIES}),
+{", ".join(steps)},
+o AS (SELECT rid, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a{codebooks.ROUNDS} GROUP BY rid),
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{codebooks.ROUNDS})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM o JOIN k USING (rid), h"""
+
+
+@register("op12_vector_codes", _op12_sql())
+def op12(spark, sf):
+    return codebooks.code_report(read_table(spark, sf, "embeddings").select("vec_id", "embedding", "label"))
+
+
+@register("op13_token_alignment")
+def op13(spark, sf):
+    return alignment.alignment_report(read_table(spark, sf, "documents").select("doc_id", "text"), *map(tokenizer_path, ALIGNED))
