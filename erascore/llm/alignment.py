@@ -17,6 +17,7 @@ result; further columns are ignored; a text of any length is aligned whole.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -27,13 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import scratch, staged
-from .packing import Remembered, _byte_letters
+from .packing import _byte_letters
 
 BLOCK = 1_000_000  # links of a block, at least; a block is cut between documents
 _BATCH = 200_000  # characters that are aligned at once, at least
-_ODD_BLANK = re.compile(r"[^\S \n]")
-_STRETCHES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_CUTS = re.compile(r"(?<=\S)(?=[ \n])")
+_SINGLE = 4  # tokens compared one by one before stretches are
+_LONG = re.compile(r"\S{1000}|\s{200}")
+#: How byte-level vocabularies split a text; a fixed value.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ID_BITS = 20  # of an id; a pair is the id by A, then that by B
 
 _ROWS = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, at binary, times binary, "
@@ -41,8 +43,8 @@ _ROWS = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_links lo
 
 
 class TokenPairs:
-    """Ids of a text by both tokenizers. No token of either spans from a non-blank to a space or line end (checked for the
-    vocabulary of B; a rule of A's split pattern), so stretches that begin so are tokenized once each and remembered."""
+    """Ids of texts by both tokenizers, and the bytes of every id. A's merges are run by the library that reads them as ranks, where
+    the file is such (ids in the order of the merges, the split pattern of byte-level vocabularies), else by A's own."""
 
     def __init__(self, path_a: str, path_b: str):
         import numpy as np
@@ -58,43 +60,44 @@ class TokenPairs:
             self.bytes_a[i] = bytes(to_byte[c] for c in token) if all(c in to_byte for c in token) else token.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         if max(len(self.bytes_a), len(pieces)) > 1 << _ID_BITS:
             raise ValueError(f"a vocabulary has more than {1 << _ID_BITS} ids")
-        self.apart = not any(re.search("[^▁]▁|\n", p) for p in pieces)
-        self.space = self.b.piece_to_id("▁")
-        self.stretches = Remembered(self._stretch)
-        # an id in a digest's text, and what follows it: nothing, or a mark
-        self.written_a, self.written_b = ([f"{i}{mark}" for i in range(len(t)) for mark in ("", ",", "|", ";")] for t in (self.bytes_a, self.bytes_b))
-
-    def _stretch(self, text: str) -> tuple:
-        """(ids by A, ids by B, whether both spell the text) of a stretch that begins with a space or line end."""
-        a = self.a.encode(text, add_special_tokens=False).ids
-        if text == " ":
-            b = [self.space]
-        elif text[0] == " ":  # which B adds
-            b = self.b.encode(text[1:])
-        else:
-            b = self.b.encode(text)[1:]  # without the space that B adds, which no line end joins
-        whole = text.encode("utf-8", "surrogatepass")
-        same = b"".join(map(self.bytes_a.__getitem__, a)) == whole and b"".join(map(self.bytes_b.__getitem__, b)) == whole
-        return tuple(a), tuple(b), same
-
-    def encode(self, text: str) -> tuple[list, list]:
-        """Ids by A and by B; both empty if either does not spell a space and the text."""
-        text = " " + text
-        if not self.apart:
-            parts = [text]
-        else:
-            parts = _CUTS.split(text) if _ODD_BLANK.search(text) else _STRETCHES.findall(text)
-        found = list(map(self.stretches.__getitem__, parts))
-        ids_a, ids_b, same = zip(*found, strict=True)
-        a, b = list(chain.from_iterable(ids_a)), list(chain.from_iterable(ids_b))
-        if not all(same):  # parts may differ and yet join to the text
-            whole = text.encode("utf-8", "surrogatepass")
-            if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
-                return [], []
-        return a, b
+        self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.ranked = self._ranked()
+        # an id in a digest's text, and what follows it: nothing, or a mark; those of B after those of A
+        self.written = [f"{i}{mark}" for t in (self.bytes_a, self.bytes_b) for i in range(len(t)) for mark in ("", ",", "|", ";")]
+
+    def _ranked(self):
+        import tiktoken
+
+        spec = json.loads(self.a.to_str())
+        plain = spec["model"]["vocab"]
+        merges = [plain.get("".join(m if isinstance(m, list) else m.split(" "))) for m in spec["model"]["merges"]]
+        splits = {k: v for k, v in (spec["pre_tokenizer"] or {}).items() if k != "trim_offsets"}
+        if (spec["normalizer"] is not None or splits != {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+                or None in merges or merges != sorted(merges) or len(merges) + 256 != len(plain) or min(merges, default=256) < 256):
+            return None
+        return tiktoken.Encoding("a", pat_str=_SPLIT, mergeable_ranks={self.bytes_a[i]: i for i in plain.values()}, special_tokens={})
+
+    def ids_a(self, text: str) -> list:
+        # the other library's pattern engine is not made for very long stretches
+        if self.ranked is None or _LONG.search(text):
+            return self.a.encode(text, add_special_tokens=False).ids
+        return self.ranked.encode_ordinary(text)
+
+    def encode(self, texts: list) -> tuple[list, list]:
+        """Lists of ids by A and by B; both empty where either does not spell a space and the text."""
+        texts = [t or "" for t in texts]
+        all_a = [self.ids_a(" " + t) if t else [] for t in texts]
+        all_b = self.b.encode(texts, num_threads=1) if texts else []
+        for k, t in enumerate(texts):
+            whole = (" " + t).encode()
+            same = not t or b"".join(map(self.bytes_b.__getitem__, all_b[k])) == whole
+            if same and t and self.ranked is None:  # merges of bytes keep them all
+                same = b"".join(map(self.bytes_a.__getitem__, all_a[k])) == whole
+            if not same:
+                all_a[k] = all_b[k] = []
+        return all_a, all_b
 
 
 @lru_cache(maxsize=1)
@@ -104,27 +107,33 @@ def token_pairs(path_a: str, path_b: str) -> TokenPairs:
     return TokenPairs(path_a, path_b)
 
 
-def common_ends(a: list, b: list) -> tuple[list, list]:
-    """Indexes (i, j) at which ascending ends ``a[i] == b[j]``; both arrays end at the same place.
+def common_ends(a: list, b: list):
+    """Indexes (i, j), as arrays, at which ascending ends ``a[i] == b[j]``; both arrays end at the same place.
+
+    Diagonal run skipping, as the module's text says: single steps at first, then stretches that double."""
+    import numpy as np
 
-    Diagonal run skipping, as the module's text says."""
-    at_a, at_b = [], []
+    n = len(a)
+    a, b = [*a, -1], [*b, -2]  # which end every run
+    first, shift, length = [], [], []
     i = j = 0
-    n, m = len(a), len(b)
-    while i < n and j < m:
-        step = 1
-        while i < n and a[i:i + step] == b[j:j + step]:  # the shift is j - i
-            k = len(a[i:i + step])
-            at_a.extend(range(i, i + k))
-            at_b.extend(range(j, j + k))
-            i, j, step = i + k, j + k, 2 * step
-        while step > 1 and i < n and j < m:  # the last stretch was too long: halve it
-            step //= 2
-            if i + step <= n and a[i:i + step] == b[j:j + step]:
-                at_a.extend(range(i, i + step))
-                at_b.extend(range(j, j + step))
-                i, j = i + step, j + step
-        if i >= n or j >= m:
+    while i < n:
+        start = i
+        while i - start < _SINGLE and a[i] == b[j]:  # the shift is j - i
+            i, j = i + 1, j + 1
+        if i - start == _SINGLE:
+            step = _SINGLE
+            while a[i:i + step] == b[j:j + step]:
+                i, j, step = i + step, j + step, 2 * step
+            while step > 1:  # the last stretch was too long: halve it
+                step //= 2
+                if a[i:i + step] == b[j:j + step]:
+                    i, j = i + step, j + step
+        if i > start:
+            first.append(start)
+            shift.append(j - i)
+            length.append(i - start)
+        if i >= n:
             break
         x, y = a[i], b[j]
         while x != y:  # an irregular group: up to the next common end
@@ -134,10 +143,13 @@ def common_ends(a: list, b: list) -> tuple[list, list]:
             else:
                 j += 1
                 y = b[j]
-        at_a.append(i)
-        at_b.append(j)
+        first.append(i)
+        shift.append(j - i)
+        length.append(1)
         i, j = i + 1, j + 1
-    return at_a, at_b
+    length = np.array(length, np.int64)
+    at = np.repeat(np.array(first, np.int64) - (np.cumsum(length) - length), length) + np.arange(length.sum())
+    return at, at + np.repeat(np.array(shift, np.int64), length)
 
 
 def overlaps(ends_a, ends_b):
@@ -164,10 +176,10 @@ def group_texts(tokens: TokenPairs, ids_a, ids_b, at_a, at_b, docs_of_groups) ->
     marks_a[at_a], marks_b[at_b] = 2, 3
     last = np.cumsum(docs_of_groups) - 1
     marks_b[at_b[last]] = 0
-    text = np.empty(n + m, object)
-    text[np.arange(n) + before_b[group_a]] = list(map(tokens.written_a.__getitem__, (4 * ids_a + marks_a).tolist()))
-    text[np.arange(m) + (at_a + 1)[group_b]] = list(map(tokens.written_b.__getitem__, (4 * ids_b + marks_b).tolist()))
-    text, out, start = text.tolist(), [], 0
+    codes = np.empty(n + m, np.int64)
+    codes[np.arange(n) + before_b[group_a]] = 4 * ids_a + marks_a
+    codes[np.arange(m) + (at_a + 1)[group_b]] = 4 * (ids_b + len(tokens.bytes_a)) + marks_b
+    text, out, start = list(map(tokens.written.__getitem__, codes.tolist())), [], 0
     for end in (at_a[last] + at_b[last] + 2).tolist():
         out.append("".join(text[start:end]))
         start = end
@@ -178,11 +190,11 @@ def _aligned(tokens: TokenPairs, texts: list) -> tuple:
     """For each text (n_a, n_b, n_groups, n_links, digest), and the document number and pair of every link."""
     import numpy as np
 
-    both = [tokens.encode(t) if t else ([], []) for t in texts]
-    sizes = np.array([(len(a), len(b)) for a, b in both], np.int64).reshape(-1, 2)
-    ids_a, ids_b = (np.fromiter(chain.from_iterable([x[s] for x in both]), np.int64, int(sizes[:, s].sum())) for s in (0, 1))
+    both = tokens.encode(texts)
+    sizes = np.array([[len(x) for x in side] for side in both], np.int64).reshape(2, -1).T
+    ids_a, ids_b = (np.fromiter(chain.from_iterable(side), np.int64, int(n)) for side, n in zip(both, sizes.sum(axis=0), strict=True))
     ends_a, ends_b = np.cumsum(tokens.length_a[ids_a]), np.cumsum(tokens.length_b[ids_b])  # over all texts: each ends on a common end
-    at_a, at_b = (np.array(x, np.int64) for x in common_ends(ends_a.tolist(), ends_b.tolist()))
+    at_a, at_b = common_ends(ends_a.tolist(), ends_b.tolist())
     last_a = np.cumsum(sizes[:, 0])
     groups = np.diff(np.searchsorted(at_a, last_a, "left"), prepend=0)
     some = np.flatnonzero(groups)
