@@ -1,14 +1,12 @@
 """Per-era least-squares neutralization.
 
 N1 removes from a score its least-squares projection on a set of neutralizer columns, per era and
-without intercept, then divides by the population std of the result in that era. Instead of moving
-an era into one process, the normal equations are accumulated as distributed sums:
+without intercept, then divides by the population std of the result in that era. No era is moved into one process:
 
-* ``G = E^T E`` and ``b = E^T s`` per era -- plain aggregate columns for up to ``SMALL_K`` (16)
-  neutralizers (codegen'd, map-side partial aggregation), or per-partition NumPy partial sums
-  (``mapInPandas``) reduced with a shuffle for wide feature sets;
-* ``beta = pinv(G) b`` per era, on the tiny per-era table (``pinv(E^T E) E^T = pinv(E)``), and the
-  residual std from the same sums (no second pass over the rows);
+* every task factors its rows of ``[E | S | 1]`` (``factors.partial_factors``: a triangular factor per era, at most k + m + 1
+  rows), and the factors of an era are merged pairwise;
+* ``beta`` per era is the minimum-norm least-squares solution from that factor, of the quality of ``pinv(E)`` -- the normal
+  equations, which square the condition number, are never formed -- and the residual std comes from the same factor;
 * residuals per row through a join of ``(beta, std)`` (one row per era), broadcast when the era
   count (known from the size check of the input) is under the broadcast limit.
 """
@@ -17,71 +15,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.stats import present
-from . import ranking
+from . import factors, ranking
 from .sizing import bounded_broadcast, broadcast_if_at_most
 
-SMALL_K = 16  # k(k+1)/2 aggregate columns stay within whole-stage code generation; wider sets use Arrow batches
-_SALTS = 64
-
-
-def _solve_rows(g_flat: pd.Series, b: pd.Series, se: pd.Series, n: pd.Series, ss: pd.Series,
-                ss2: pd.Series, prop: pd.Series) -> pd.DataFrame:
-    """Per era, for m score columns at once: ``beta = pinv(G) B`` (k x m) and the population std of
-    the whole residual matrix ``S - prop * E beta`` from the same sums, per column c:
-    sum r_c = sum s_c - prop beta_c.sum_e ; sum r_c^2 = sum s_c^2 - 2 prop beta_c.B_c + prop^2 beta_c'G beta_c.
-    ``beta`` is returned column after column (m blocks of k)."""
-    betas, stds = [], []
-    for g, rhs, sum_e, cnt, s1, s2, p in zip(g_flat, b, se, n, ss, ss2, prop):
-        s1 = np.asarray(s1, dtype=np.float64)
-        m = len(s1)
-        k = len(sum_e)
-        gm = np.asarray(g, dtype=np.float64).reshape(k, k)
-        bm = np.asarray(rhs, dtype=np.float64).reshape(k, m)
-        beta = np.linalg.pinv(gm) @ bm
-        se_v = np.asarray(sum_e, dtype=np.float64)
-        r1 = s1 - p * (beta.T @ se_v)
-        r2 = (np.asarray(s2, dtype=np.float64) - 2.0 * p * np.einsum("km,km->m", beta, bm)
-              + p * p * np.einsum("km,kl,lm->m", beta, gm, beta))
-        cells = cnt * m
-        var = max(r2.sum() / cells - (r1.sum() / cells) ** 2, 0.0) if cells else float("nan")
-        betas.append(beta.T.ravel())
-        stds.append(float(np.sqrt(var)))
-    return pd.DataFrame({"beta": betas, "std": stds})
-
-
-_solve = F.pandas_udf(_solve_rows, T.StructType([T.StructField("beta", T.ArrayType(T.DoubleType())),
-                                                 T.StructField("std", T.DoubleType())]))
-
-
-def _sums_small(scored: DataFrame, era: str, scores: Sequence[str], neutralizers: Sequence[str]) -> DataFrame:
-    k, m = len(neutralizers), len(scores)
-    e = [F.col(c).cast("double") for c in neutralizers]
-    sc = [F.col(c) for c in scores]
-    pairs = sorted({(min(i, j), max(i, j)) for i in range(k) for j in range(k)})
-    exprs = [F.sum(e[a] * e[b]).alias(f"_g{a}_{b}") for a, b in pairs]
-    exprs += [F.sum(e[i] * sc[c]).alias(f"_b{i}_{c}") for i in range(k) for c in range(m)]
-    exprs += [F.sum(e[i]).alias(f"_e{i}") for i in range(k)]
-    exprs += [F.sum(sc[c]).alias(f"_s{c}") for c in range(m)]
-    exprs += [F.sum(sc[c] * sc[c]).alias(f"_q{c}") for c in range(m)]
-    exprs += [F.count(F.lit(1)).alias("n")]
-    sums = scored.groupBy(era).agg(*exprs)
-    g_flat = F.array(*[F.col(f"_g{min(i, j)}_{max(i, j)}") for i in range(k) for j in range(k)])
-    return sums.select(
-        era, g_flat.alias("g"),
-        F.array(*[F.col(f"_b{i}_{c}") for i in range(k) for c in range(m)]).alias("b"),
-        F.array(*[F.col(f"_e{i}") for i in range(k)]).alias("se"), "n",
-        F.array(*[F.col(f"_s{c}") for c in range(m)]).alias("ss"),
-        F.array(*[F.col(f"_q{c}") for c in range(m)]).alias("ss2"))
-
-
-_HELD_VALUES = 16_000_000  # numbers (128 MB) that a task holds before it hands its partial sums on
+SMALL_K = 16  # coefficients that are applied as generated terms; longer vectors in one loop over the row's vector
 
 
 def _vector(neutralizers: Sequence[str] | str) -> Column:
@@ -102,76 +44,6 @@ def _complete(scores: Sequence[str], neutralizers: Sequence[str] | str, k: int)
     return ok
 
 
-def _sums_wide(scored: DataFrame, era: str, scores: Sequence[str], neutralizers: Sequence[str] | str, k: int) -> DataFrame:
-    """Partial sums of [E | S | 1]^T [E | S] per era (``mapInArrow``: fixed-width vectors become NumPy
-    matrices without a Python loop; one matrix product per era and batch), accumulated within a task and handed
-    on when it holds too many, then reduced per (era, row) in two steps: by a salt of the producing task first, so
-    a group never stacks one row from every task."""
-    m = len(scores)
-    era_type = scored.schema[era].dataType
-    part_schema = T.StructType([T.StructField(era, era_type), T.StructField("i", T.IntegerType()), T.StructField("salt", T.IntegerType()),
-                                T.StructField("row", T.ArrayType(T.DoubleType()))])
-    packed = scored.select(era, F.array(*[F.col(c).cast("double") for c in scores]).alias("_s"), _vector(neutralizers).alias("_e"))
-
-    def partial(batches):
-        import pyarrow as pa
-        from pyspark import TaskContext
-        salt = TaskContext.get().partitionId() % _SALTS
-        held: dict = {}
-
-        def out(kind):
-            for key, mat in held.items():
-                yield pa.RecordBatch.from_pydict({
-                    era: pa.array([key] * (k + m + 1), type=kind),
-                    "i": pa.array(np.arange(k + m + 1, dtype=np.int32)), "salt": pa.array(np.full(k + m + 1, salt, np.int32)),
-                    "row": pa.array(list(mat), type=pa.list_(pa.float64()))})
-
-        kind = None
-        for rb in batches:
-            n = rb.num_rows
-            if n == 0:
-                continue
-            kind = rb.column(0).type
-            sv = rb.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, m)
-            e = rb.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, k)
-            right = np.concatenate([e, sv], axis=1)               # n x (k + m)
-            left = np.concatenate([right, np.ones((n, 1))], axis=1)  # n x (k + m + 1)
-            places: dict = {}
-            for i, key in enumerate(rb.column(0).to_pylist()):
-                places.setdefault(key, []).append(i)
-            for key, rows in places.items():
-                mat = left[rows].T @ right[rows]
-                held[key] = held[key] + mat if key in held else mat
-                if len(held) * (k + m + 1) * (k + m) > _HELD_VALUES:
-                    yield from out(kind)
-                    held = {}
-        if held:
-            yield from out(kind)
-
-    parts = packed.mapInArrow(partial, part_schema)
-
-    def reduce_rows(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum(np.stack(pdf["row"].to_numpy()), axis=0)
-        return pd.DataFrame({era: [pdf[era].iloc[0]], "i": [pdf["i"].iloc[0]], "salt": [0], "row": [total]})
-
-    rows = parts.groupBy(era, "i", "salt").applyInPandas(reduce_rows, part_schema)
-    rows = rows.groupBy(era, "i").applyInPandas(reduce_rows, part_schema)
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("i"), F.col("row"))))  # k + m + 1 rows per era
-    g = rows.groupBy(era).agg(ordered.alias("_rows"))
-    body = F.slice("_rows", 1, k)
-    ones = F.element_at("_rows", k + m + 1)["row"]
-    counts = scored.groupBy(era).agg(F.count(F.lit(1)).alias("n"))
-    out = g.select(
-        era,
-        F.flatten(F.transform(body, lambda r: F.slice(r["row"], 1, k))).alias("g"),
-        F.flatten(F.transform(body, lambda r: F.slice(r["row"], k + 1, m))).alias("b"),
-        F.slice(ones, 1, k).alias("se"),
-        F.slice(ones, k + 1, m).alias("ss"),
-        F.transform(F.sequence(F.lit(0), F.lit(m - 1)),
-                    lambda c: F.element_at(F.element_at("_rows", c + k + 1)["row"], c + k + 1)).alias("ss2"))
-    return out.join(counts, era)
-
-
 def _balanced_sum(terms: list):
     """Sum as a balanced expression tree (depth log2(k)): stays in generated code, no per-row lambda."""
     while len(terms) > 1:
@@ -187,27 +59,37 @@ def _width(df: DataFrame, neutralizers: Sequence[str] | str) -> int:
 
 
 def era_coefficients(scored: DataFrame, scores: Sequence[str] | str, neutralizers: Sequence[str] | str,
-                     era: str = "era", method: str = "auto", proportion: float = 1.0, width: int | None = None) -> DataFrame:
+                     era: str = "era", proportion: float = 1.0, width: int | None = None) -> DataFrame:
     """Per era: ``beta`` (minimum-norm least squares of ``E beta ~= s`` for every score column, m
-    blocks of k values) and ``std`` of the whole residual matrix, from one pass of sums over the complete rows.
+    blocks of k values) and ``std`` of the whole residual matrix, from one pass of factors over the complete rows.
 
-    ``method``: ``small`` (aggregate columns) or ``wide`` (Arrow batches); ``auto`` takes the faster by width, the
-    values do not depend on it."""
+    With the factor R of ``[E | S | 1]``, a residual's coordinates are ``v = R_s - proportion R_E beta``: its sum of squares is
+    ``v'v``, its sum ``R_1'v``."""
     scores = [scores] if isinstance(scores, str) else list(scores)
     k = _width(scored, neutralizers) if width is None else width
-    if method == "auto":
-        method = "small" if k <= SMALL_K and not isinstance(neutralizers, str) else "wide"
+    m = len(scores)
     complete = scored.where(_complete(scores, neutralizers, k))
-    sums = _sums_small(complete, era, scores, neutralizers) if method == "small" else _sums_wide(complete, era, scores, neutralizers, k)
-    solved = sums.select(era, _solve("g", "b", "se", F.col("n").cast("double"), "ss", "ss2",
-                                     F.lit(float(proportion))).alias("_sol"))
-    return solved.select(era, F.col("_sol.beta").alias("beta"), F.col("_sol.std").alias("std"))
+    row = F.concat(_vector(neutralizers), F.array(*[F.col(c).cast("double") for c in scores], F.lit(1.0)))
+    parts = factors.partial_factors(complete, era, row, k + m + 1)
+    schema = T.StructType([T.StructField(era, scored.schema[era].dataType), T.StructField("beta", T.ArrayType(T.DoubleType())),
+                           T.StructField("std", T.DoubleType())])
+
+    def solve(kind, key, n, rows):
+        import pyarrow as pa
+
+        beta = factors.least_squares(rows, k, list(range(k, k + m)), n)
+        v = rows[:, k:k + m] - proportion * (rows[:, :k] @ beta)
+        mean = float((rows[:, k + m] @ v).sum()) / (n * m)
+        var = max(float((v * v).sum()) / (n * m) - mean * mean, 0.0)
+        yield pa.RecordBatch.from_pydict({era: pa.array([key], type=kind), "beta": pa.array([beta.T.ravel()], type=pa.list_(pa.float64())),
+                                          "std": pa.array([var ** 0.5])})
+
+    return factors.merged(parts, era, k + m + 1, solve, schema)
 
 
 def neutralize(df: DataFrame, columns: str | Sequence[str], neutralizers: Sequence[str] | str, era: str = "era",
                tiebreak: Sequence[str] = ("row_idx",), proportion: float = 1.0, normalize: bool = True,
-               out: str | Sequence[str] | None = None, method: str = "auto", n_eras: int | None = None,
-               **kw) -> DataFrame:
+               out: str | Sequence[str] | None = None, n_eras: int | None = None, **kw) -> DataFrame:
     """``df`` plus the neutralized score columns (``out``; by default the inputs are replaced).
 
     ``neutralizers`` is a list of columns or the name of one ``array`` column with a vector per row. Per era, each
@@ -219,7 +101,7 @@ def neutralize(df: DataFrame, columns: str | Sequence[str], neutralizers: Sequen
     than the longest) takes no part in the fit, the count or the std, and its result is NULL; the other rows of
     its era are neutralized among themselves. (Fill missing features first, as the load step does, to keep such rows.)
 
-    Plan: the scored rows are read twice -- one aggregation for the per-era sums, one join with the per-era
+    Plan: the scored rows are read twice -- once for the per-era factors, one join with the per-era
     ``(beta, std)`` table, broadcast where its bytes are few -- and keep their era partitioning, so a following per-era
     rank needs no new exchange.
     """
@@ -238,7 +120,7 @@ def neutralize(df: DataFrame, columns: str | Sequence[str], neutralizers: Sequen
     else:
         for col, sc in zip(columns, scores):
             base = base.withColumn(sc, F.col(col).cast("double"))
-    coef = era_coefficients(base, scores, neutralizers, era, method, proportion, k)
+    coef = era_coefficients(base, scores, neutralizers, era, proportion, k)
     if n_eras is None:
         n_eras = ranking.group_stats(df, [era])[1]
     # one row per era of k * m coefficients: the era count (from the input's group statistics) bounds the bytes
@@ -279,7 +161,7 @@ def neutralize_series(df: DataFrame, series: str, by: str, proportion: float = 1
 
 def feature_neutral_mean(df: DataFrame, features: Sequence[str] | str, pred: str = "prediction",
                          target: str = "target", era: str = "era", tiebreak: Sequence[str] = ("row_idx",),
-                         method: str = "auto", **kw) -> DataFrame:
+                         **kw) -> DataFrame:
     """Neutralize the prediction against all features (columns, or one vector column) per era, then mean of
     the per-era rank correlation of the result with the target."""
     from .metrics import era_corr, with_strategy
@@ -289,6 +171,6 @@ def feature_neutral_mean(df: DataFrame, features: Sequence[str] | str, pred: str
     kw = with_strategy(df, [era], kw)
     n_eras = ranking.group_stats(df, [era])[1]  # cached by the size check above
     neutral = neutralize(df.select(*cols), pred, features, era, tiebreak, out="neutral_sub",
-                         method=method, n_eras=n_eras, **kw)
+                         n_eras=n_eras, **kw)
     per_era = era_corr(neutral, "neutral_sub", target, era, tiebreak, **kw)
     return per_era.agg(F.avg("corr").alias("feature_neutral_mean"))

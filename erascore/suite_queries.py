@@ -194,6 +194,17 @@ def q_partial_neutralize(spark, sf):
     return rounded(n.select("id", "era", "neutral"))
 
 
+@register("neutralize_collinear", with_views(f"""WITH {_neutral_sql('')}
+SELECT id, era, {r6('neutral')} AS neutral FROM neu""", "tourney"))
+def q_neutralize_collinear(spark, sf):
+    """N1 with a repeated feature and one that differs from another by a ten-millionth of a third: they span what the features span,
+    so the result is that of the features alone."""
+    t = (tourney(spark, sf).withColumn("feature_twice", F.col("feature_user"))
+         .withColumn("feature_near", F.col("feature_hour") + 1e-7 * F.col("feature_mix")))
+    n = neutralize.neutralize(t, "prediction", [*FEATURES, "feature_twice", "feature_near"], out="neutral")
+    return rounded(n.select("id", "era", "neutral"))
+
+
 @register("feature_neutral_mean", with_views(f"""WITH {_neutral_sql('WHERE ' + VALID)},
 pe AS (SELECT era, {sql_corr_strict('r', 'target')} AS corr FROM (
          SELECT era, target, {sql_rank_pct('neutral')} AS r FROM neu) GROUP BY era)

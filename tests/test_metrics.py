@@ -69,8 +69,9 @@ def test_mmc_matches_least_squares(frame):
 def test_neutralize_matches_pinv(frame):
     df, pdf = frame
     feats = ["f1", "f2", "f3"]
-    for method in ("small", "wide"):
-        got = neutralize.neutralize(df, "prediction", feats, out="n", method=method).toPandas().set_index("row_idx")
+    for wide in (False, True):
+        given = F.array(*feats) if wide else None
+        got = neutralize.neutralize(df.withColumn("x", given) if wide else df, "prediction", "x" if wide else feats, out="n").toPandas().set_index("row_idx")
         for era, x in pdf.groupby("era"):
             s = _unif(x["prediction"]).values.reshape(-1, 1)
             e = x[feats].values
@@ -206,9 +207,9 @@ def test_unif_mean_is_half(frame):
 def test_neutralize_two_columns_matches_matrix_form(frame):
     df, pdf = frame
     feats = ["f1", "f2", "f3"]
-    for method in ("small", "wide"):
-        got = neutralize.neutralize(df, ["prediction", "example_preds"], feats, out=["n1", "n2"],
-                                    method=method).toPandas().set_index("row_idx")
+    for wide in (False, True):
+        given = df.withColumn("x", F.array(*feats)) if wide else df
+        got = neutralize.neutralize(given, ["prediction", "example_preds"], "x" if wide else feats, out=["n1", "n2"]).toPandas().set_index("row_idx")
         for era, x in pdf.groupby("era"):
             s = np.column_stack([_unif(x["prediction"]).values, _unif(x["example_preds"]).values])
             e = x[feats].values

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from erascore.operators import joins, metrics, models, neutralize, ranking, registry, splits
+from erascore.operators import factors, joins, metrics, models, neutralize, ranking, registry, splits
 from erascore.plans import evaluation, pipelines
 from erascore.sources import readers
 from erascore.streaming import rounds
@@ -67,13 +67,12 @@ def test_missing_vectors_count_as_missing(spark):
 def test_neutralization_paths_agree(spark, normalize):
     df = _frame(spark).withColumn("f1", F.col("f1") - 1e8).withColumn("x", F.array(*FEATS))
 
-    def run(neutralizers, method):
-        out = neutralize.neutralize(df, "prediction", neutralizers, out="n", method=method, normalize=normalize)
+    def run(neutralizers):
+        out = neutralize.neutralize(df, "prediction", neutralizers, out="n", normalize=normalize)
         return {r["row_idx"]: r["n"] for r in out.collect()}
 
-    small = run(FEATS, "small")
-    _same(small, run(FEATS, "wide"))
-    _same(small, run("x", "wide"))
+    small = run(FEATS)
+    _same(small, run("x"))
     gone = {r["row_idx"] for r in df.collect() if any(v is None or v != v for v in (r["prediction"], *(r[f] for f in FEATS)))}
     assert gone and {i for i, v in small.items() if v is None} == gone
     # the rows left are the least-squares residual of their era
@@ -85,11 +84,47 @@ def test_neutralization_paths_agree(spark, normalize):
         assert np.allclose(r / r.std(), [small[i] for i in g["row_idx"]], atol=1e-6)
 
 
-def test_partial_sums_handed_on_early_change_nothing(spark, monkeypatch):
+def test_factors_handed_on_early_change_nothing(spark, monkeypatch):
     df = _frame(spark, missing=False).withColumn("f1", F.col("f1") - 1e8)
-    want = {r["row_idx"]: r["n"] for r in neutralize.neutralize(df, "prediction", FEATS, out="n", method="small").collect()}
-    monkeypatch.setattr(neutralize, "_HELD_VALUES", 1)
-    _same(want, {r["row_idx"]: r["n"] for r in neutralize.neutralize(df, "prediction", FEATS, out="n", method="wide").collect()})
+    want = {r["row_idx"]: r["n"] for r in neutralize.neutralize(df, "prediction", FEATS, out="n").collect()}
+    monkeypatch.setattr(factors, "HELD_VALUES", 1)
+    monkeypatch.setattr(factors, "_STRETCH", 3)
+    monkeypatch.setattr(factors, "_SALTED_FROM", 0)  # merged in two steps
+    _same(want, {r["row_idx"]: r["n"] for r in neutralize.neutralize(df, "prediction", FEATS, out="n").collect()})
+
+
+def test_near_collinear_neutralizers_stay_orthogonal(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 3))
+    near = x[:, 0] + 3e-8 * x[:, 2]  # condition 5e7: its square is beyond doubles
+    rows = [(i, i % 2, float(rng.random()), *map(float, x[i]), float(near[i]), float(x[i, 1])) for i in range(400)]
+    df = spark.createDataFrame(rows, "row_idx long, era int, prediction double, a double, b double, c double, d double, e double").repartition(5)
+    pdf = neutralize.neutralize(df, "prediction", list("abcde"), out="n").toPandas()
+    for _, g in pdf.groupby("era"):
+        assert np.abs(g[list("abcde")].to_numpy().T @ g["n"].to_numpy()).max() < 1e-6
+        assert abs(g["n"].std(ddof=0) - 1) < 1e-9
+
+
+def test_more_neutralizers_than_rows(spark):
+    rows = [(i, None if i < 3 else "b", float(i % 3), [float((i * j) % 7) for j in range(1, 9)]) for i in range(6)]
+    df = spark.createDataFrame(rows, "row_idx long, era string, prediction double, x array<double>")
+    out = neutralize.neutralize(df, "prediction", "x", out="n", proportion=0.5)
+    assert out.count() == 6 and all(r["n"] is None or r["n"] == r["n"] for r in out.collect())
+    none = neutralize.neutralize(df.limit(0), "prediction", "x", out="n")
+    assert none.count() == 0
+
+
+def test_factors_merge_to_the_factor_of_all_rows(spark):
+    import numpy as np
+
+    df = spark.range(500).select((F.col("id") % 3).alias("g"), F.array(*[F.sin(F.col("id") * k).cast("double") for k in (1, 2, 5)], F.lit(1.0)).alias("v"))
+    led = factors.group_factors(df.repartition(6), "g", F.col("v"), 4).collect()
+    for g in range(3):
+        r = np.array([x["row"] for x in led if x["g"] == g])
+        a = np.array([x["v"] for x in df.where(F.col("g") == g).collect()])
+        assert len(r) <= 4 and np.allclose(r.T @ r, a.T @ a) and sum(x["n"] for x in led if x["g"] == g) == len(a)
 
 
 def test_report_over_a_vector_equals_columns(spark):
