@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from erascore.operators import metrics, models, neutralize, ranking, splits  # noqa: E402
+from erascore.operators import leastsquares, metrics, models, neutralize, ranking, splits  # noqa: E402
 from erascore.plans import evaluation  # noqa: E402
 from erascore.session import local_session, release_cached, scratch_path  # noqa: E402
 from erascore.functions import vectors  # noqa: E402
@@ -100,7 +100,7 @@ def q_exposure_vector(spark, sf):
 def q_ensemble_big(spark, sf):
     b = _big(spark, sf)
     sets = [BIG_FEATURES[:1], BIG_FEATURES[1:], BIG_FEATURES]
-    return models.ensemble_wide_score([models.regressor_fit(b, fs) for fs in sets], b, sets, "NR", id_col="l_orderkey")
+    return models.ensemble_wide_score(leastsquares.fit_subsets(b, sets), b, sets, "NR", id_col="l_orderkey")
 
 
 def q_walk_forward_big(spark, sf):

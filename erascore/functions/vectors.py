@@ -188,3 +188,37 @@ def spec_column(spec) -> Column:
     return F.transform(entries, lambda e: F.struct(
         F.element_at(F.split(e, ","), 1).alias("name"),
         F.slice(F.split(e, ","), 2, 3).alias("args")))
+
+
+@dataclass(frozen=True)
+class Member:
+    """A model of an ensemble: what it is, the output it gives and the transform of its inputs."""
+    model: str
+    arch: str
+    version: int
+    predict: str
+    transform: str
+
+
+def parse_member(spec: str | None) -> Member | None:
+    """``model,arch,version,predict,transform``; ``-`` or empty means no member. Other numbers of fields, and a version
+    that is no whole number, raise ValueError."""
+    if spec is None or spec.strip() in ("", "-"):
+        return None
+    fields = [f.strip() for f in spec.split(",")]
+    if len(fields) != 5:
+        raise ValueError(f"an ensemble member has five fields: {spec!r}")
+    return Member(fields[0], fields[1], int(fields[2]), fields[3], fields[4])
+
+
+def member_column(spec) -> Column:
+    """``parse_member`` as a column: ``struct<model, arch, version int, predict, transform>``, null where there is no
+    member; a malformed spec fails the query."""
+    text = F.trim(_c(spec))
+    fields = F.transform(F.split(text, ","), lambda f: F.trim(f))
+    malformed = F.raise_error(F.concat(F.lit("an ensemble member has five fields: "), text))
+    member = F.struct(fields[0].alias("model"), fields[1].alias("arch"), fields[2].cast("int").alias("version"),
+                      fields[3].alias("predict"), fields[4].alias("transform"))
+    kind = "struct<model:string,arch:string,version:int,predict:string,transform:string>"
+    return (F.when(text.isNull() | text.isin("", "-"), F.lit(None).cast(kind))
+            .when((F.size(fields) == 5) & fields[2].try_cast("int").isNotNull(), member).otherwise(malformed.cast(kind)))

@@ -68,9 +68,11 @@ def _batch(schema, group: str, kind, key, salt: int, factor: Factor):
         "row": pa.array(list(rows), type=pa.list_(pa.float64()))})
 
 
-def partial_factors(df: DataFrame, group: str, vector: Column, q: int) -> DataFrame:
-    """Rows (group, salt, n, row) of every task's factors of its rows ``vector`` (q numbers, all present)."""
-    schema = _schema(df, group)
+def partial_factors(df: DataFrame, group: str, vector: Column, q: int, weigh: Callable | None = None,
+                    made: int | None = None) -> DataFrame:
+    """Rows (group, salt, n, row) of every task's factors of its rows ``vector`` (q numbers, all present), or of what
+    ``weigh`` makes of a matrix of them (``made`` numbers a row)."""
+    schema, width = _schema(df, group), made or q
 
     def run(batches: Iterator) -> Iterator:
         from pyspark import TaskContext
@@ -81,15 +83,16 @@ def partial_factors(df: DataFrame, group: str, vector: Column, q: int) -> DataFr
                 continue
             kind = rb.column(0).type
             values = rb.column(1).flatten().to_numpy(zero_copy_only=False).reshape(rb.num_rows, q)
+            values = values if weigh is None else weigh(values)
             coded = rb.column(0).dictionary_encode(null_encoding="encode")
             codes = coded.indices.to_numpy(zero_copy_only=False)
             order = np.argsort(codes, kind="stable")
             cuts = np.searchsorted(codes[order], np.arange(len(coded.dictionary) + 1))
             for k, key in enumerate(coded.dictionary.to_pylist()):
                 own = values[order[cuts[k]:cuts[k + 1]]]
-                held.setdefault(key, Factor(q)).add(own, len(own))
-            if sum(f.waiting for f in held.values()) * q > HELD_VALUES:
-                if sum(len(f.rows()) for f in held.values()) * q > HELD_VALUES // 2:
+                held.setdefault(key, Factor(width)).add(own, len(own))
+            if sum(f.waiting for f in held.values()) * width > HELD_VALUES:
+                if sum(len(f.rows()) for f in held.values()) * width > HELD_VALUES // 2:
                     for key, factor in held.items():
                         yield _batch(schema, group, kind, key, salt, factor)
                     held = {}

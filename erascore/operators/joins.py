@@ -13,9 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-MAX_RUN_MODELS = 10_000
-
-
 class MissingIdsError(ValueError):
     pass
 
@@ -73,11 +70,13 @@ def model_run_plan(models: DataFrame, config: DataFrame, model_col: str = "model
                    config_model_col: str = "model") -> DataFrame:
     """One run per (model in the list, config row whose model name starts with it).
 
-    The model list is a handful of names, counted before it is broadcast. A prefix condition has no equi-key, so
-    a list beyond ``MAX_RUN_MODELS`` names is refused rather than joined as a cartesian product."""
-    n = models.count()
-    if n > MAX_RUN_MODELS:
-        raise ValueError(f"a run plan takes at most {MAX_RUN_MODELS} model names, not {n}")
-    cond = F.col(f"c.{config_model_col}").startswith(F.col(f"m.{model_col}"))
-    return (config.alias("c").join(F.broadcast(models).alias("m"), cond, "inner")
-                  .select(F.col(f"m.{model_col}").alias("run_model"), "c.*"))
+    A name's prefixes are few, so every config name is unfolded into those whose lengths the list has, and the prefix condition becomes
+    an equi-join that any number of names may take part in; a null name on either side runs nothing, an empty
+    one is every name's prefix. The lengths are a few numbers, whatever the list (a model name's longest length at most)."""
+    names = models.select(F.col(model_col).alias("run_model")).where("run_model IS NOT NULL")
+    lengths = sorted(r[0] for r in names.select(F.char_length("run_model")).distinct().collect())
+    given = F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")
+    fitting = F.filter(given, lambda n: n <= F.char_length(F.col(config_model_col)))
+    prefixed = config.select("*", F.explode(F.transform(fitting, lambda n: F.substring(F.col(config_model_col), F.lit(1), n))).alias("_prefix"))
+    joined = prefixed.join(names, F.col("_prefix") == F.col("run_model"))
+    return joined.select("run_model", *[F.col(f"`{c}`") for c in config.columns])

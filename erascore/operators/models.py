@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.decode import argmax_decode, autoencoder_output, clamp01, first_output, threshold_decode
+from .leastsquares import SCORE, LinearModel, absolute_fit, era_ledger, linear_score, solve_ledger
 
 # The boosted-tree settings of the reference's loaded models.
 GBT_TREES = 6000
@@ -30,7 +31,6 @@ GBT_DEPTH = 8
 GBT_RATE = 0.007
 GBT_COLUMN_SAMPLE = "0.1"
 N_CLASSES = 5
-SCORE = "score"  # output column of the fitted stages (inputs may already carry a ``prediction``)
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -46,8 +46,10 @@ def gbt_fit(train: DataFrame, features: Sequence[str], target: str = "target", n
 
 
 def regressor_fit(train: DataFrame, features: Sequence[str], target: str = "target",
-                  loss: str = "squaredError") -> PipelineModel:
-    """M2: numeric regression ("NR"): least squares (normal equations) or Huber loss."""
+                  loss: str = "squaredError") -> PipelineModel | LinearModel:
+    """M2: numeric regression ("NR"): least squares (normal equations), Huber loss or mean absolute error (``absoluteError``)."""
+    if loss == "absoluteError":
+        return absolute_fit(train, features, target)
     lr = LinearRegression(featuresCol="features", labelCol=target, predictionCol=SCORE, loss=loss, regParam=0.0,
                           solver="normal" if loss == "squaredError" else "auto")
     return Pipeline(stages=[_assembler(features), lr]).fit(train)
@@ -123,25 +125,29 @@ def mllib_mlp_layers(model: PipelineModel) -> list[DenseLayer]:
     return layers
 
 
-def mlp_score(df: DataFrame, x_col: str, layers: Sequence[DenseLayer | BatchNormLayer], id_col: str = "id",
-              out: str = "scores", keep: Sequence[str] = ()) -> DataFrame:
-    """M4: forward pass per Arrow batch; ``x_col`` is an ``array<float|double>``. The layer list is
-    broadcast once (its size is the model size). Columns in ``keep`` come through beside the id."""
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(list(layers))
-    kept = [id_col, *[c for c in keep if c != id_col]]
-    schema = T.StructType([*[df.schema[c] for c in kept], T.StructField(out, T.ArrayType(T.DoubleType()))])
+def networks_score(df: DataFrame, networks: Sequence[tuple[str, Sequence[DenseLayer | BatchNormLayer], str]], keep: Sequence[str]) -> DataFrame:
+    """Forward passes of several networks -- (input column ``array<float|double>``, layers, output column) -- over the same Arrow
+    batches; the layers are broadcast once (their size is the models' size). Returns the columns ``keep`` and the outputs."""
+    bc = df.sparkSession.sparkContext.broadcast([list(layers) for _, layers, _ in networks])
+    inputs, outs = [x for x, _, _ in networks], [o for _, _, o in networks]
+    schema = T.StructType([*[df.schema[c] for c in keep], *[T.StructField(o, T.ArrayType(T.DoubleType())) for o in outs]])
+    # inputs by names of their own: one column may be kept and scored, or scored by several
+    given = {c: f"__in{i}" for i, c in enumerate(dict.fromkeys(inputs))}
 
     def run(batches):
-        net = bc.value
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            x = np.stack(pdf[x_col].to_numpy()).astype(np.float64)
-            y = forward(x, net)
-            yield pdf[kept].assign(**{out: list(y)})
+            xs = {c: np.stack(pdf[name].to_numpy()).astype(np.float64) for c, name in given.items()}
+            yield pdf[list(keep)].assign(**{o: list(forward(xs[c], layers)) for c, layers, o in zip(inputs, bc.value, outs, strict=True)})
 
-    return df.select(*kept, x_col).mapInPandas(run, schema)
+    return df.select(*keep, *[F.col(c).alias(name) for c, name in given.items()]).mapInPandas(run, schema)
+
+
+def mlp_score(df: DataFrame, x_col: str, layers: Sequence[DenseLayer | BatchNormLayer], id_col: str = "id",
+              out: str = "scores", keep: Sequence[str] = ()) -> DataFrame:
+    """M4: forward pass per Arrow batch. Columns in ``keep`` come through beside the id."""
+    return networks_score(df, [(x_col, layers, out)], [id_col, *[c for c in keep if c != id_col]])
 
 
 # ------------------------------------------------------------------------------------ M5-M7
@@ -189,53 +195,106 @@ def batch_score(model, df: DataFrame, features: Sequence[str] | str, arch: str,
     return scored.select(*kept, clamp01(value).alias(out))
 
 
-def ensemble_wide_score(models: Sequence, df: DataFrame, features, arch: str, id_col: str = "id", tag: str = "") -> DataFrame:
+def ensemble_wide_score(models: Sequence, df: DataFrame, features, arch: str, id_col: str = "id", tag: str = "",
+                        decode: str | None = None) -> DataFrame:
     """M7 in one pass: every trial model adds its column ``trial_<tag><trial>`` to the same rows, without a shuffle.
 
-    ``features`` is one column list for all models or one list per model (fitted regression or class models)."""
-    per_model = features if features and not isinstance(features[0], str) else [features] * len(models)
+    ``features`` is one column list (for networks, or the name of one vector column) for all models, or one for each. MLP: a
+    layer list for each trial; AE: a pair of layer lists (reconstruction, target head), as in ``batch_score``."""
     names = [f"trial_{tag}{t}" for t in range(len(models))]
-    inputs = list(dict.fromkeys(c for fs in per_model for c in fs))
+    shared = isinstance(features, str) or all(isinstance(f, str) for f in features)
+    per_model = [features] * len(models) if shared else list(features)
+    inputs = list(dict.fromkeys(c for fs in per_model for c in ([fs] if isinstance(fs, str) else fs)))
     rows = df.select(id_col, *[c for c in inputs if c != id_col])
+    if arch in ("MLP", "AE"):
+        return _networks_wide(models, rows, per_model, arch, id_col, names, decode)
     for t, (m, name) in enumerate(zip(models, names)):
         if arch in TREES:
             scored, value = m.transform(rows), F.col(SCORE)
         elif arch in CLASSES:
             scored = m.transform(rows)
-            value = argmax_decode(vector_to_array("_probability"))
+            value = _decoded(vector_to_array("_probability"), decode or "argmax")
         else:
             raise ValueError(f"unknown architecture {arch!r}")
         rows = scored.select(*rows.columns, clamp01(value).alias(name))
     return rows.select(id_col, *names)
 
 
+def _networks_wide(models: Sequence, rows: DataFrame, per_model: list, arch: str, id_col: str, names: list[str], decode: str | None) -> DataFrame:
+    vectors = {}
+    for fs in per_model:
+        if isinstance(fs, str):
+            vectors.setdefault(fs, F.col(fs))
+        else:
+            vectors.setdefault(tuple(fs), F.array(*[F.col(c).cast("double") for c in fs]))
+    column = {key: f"__x{i}" for i, key in enumerate(vectors)}
+    given = rows.select(id_col, *[v.alias(column[key]) for key, v in vectors.items()])
+    nets = [(column[fs if isinstance(fs, str) else tuple(fs)], m[1] if arch == "AE" else m, f"__s{t}")
+            for t, (m, fs) in enumerate(zip(models, per_model, strict=True))]
+    scored = networks_score(given, nets, [id_col])
+    if arch == "AE":
+        heads = [F.struct(F.lit(None).cast("array<double>").alias("input"), F.col(o).alias("target")) for *_, o in nets]
+        values = [_decoded(autoencoder_output(h), decode or "first") for h in heads]
+    else:
+        values = [_decoded(F.col(o), decode or "argmax") for *_, o in nets]
+    return scored.select(id_col, *[clamp01(v).alias(n) for v, n in zip(values, names, strict=True)])
+
+
 def ensemble_score(models: Sequence, df: DataFrame, features, arch: str,
-                   id_col: str = "id") -> DataFrame:
+                   id_col: str = "id", decode: str | None = None) -> DataFrame:
     """M7: score every trial model; long ``(id, trial, dim, prediction)`` (pivot with J5). One scan: the models'
     columns are unfolded row by row."""
-    wide = ensemble_wide_score(models, df, features, arch, id_col)
+    wide = ensemble_wide_score(models, df, features, arch, id_col, decode=decode)
     each = F.array(*[F.struct(F.lit(t).alias("trial"), F.col(f"trial_{t}").alias("prediction")) for t in range(len(models))])
     return wide.select(id_col, F.explode(each).alias("_t")).select(
         id_col, F.col("_t.trial").alias("trial"), F.lit(0).alias("dim"), F.col("_t.prediction").alias("prediction"))
 
 
+def _walk_forward_ledger(df: DataFrame, features: Sequence[str], target: str, era: str, block: int, steps: int | None,
+                         tiebreak: Sequence[str], ledger: DataFrame | None) -> DataFrame:
+    """Least-squares walk-forward: a step's fit is the sum of its eras' ledger entries."""
+    from ..functions.stats import corr_strict
+    from . import ranking
+    from .sizing import broadcast_if_at_most
+
+    ledger = era_ledger(df, features, target, era) if ledger is None else ledger
+    block_of = F.floor(F.col(era) / F.lit(block)).cast("int")
+    windows = ledger.withColumn("step", block_of).where(F.col("step") >= 0)
+    if steps is not None:
+        windows = windows.where(F.col("step") < steps)
+    fits = solve_ledger(windows, "step", features).select("step", F.col("n").alias("n_train"), "beta")
+    n_eras = ranking.group_stats(df, [era])[1]  # as many steps at most
+    fits = broadcast_if_at_most(fits, n_eras, 64 + 8 * len(features))
+    valid = df.select(era, *tiebreak, target, *[c for c in features if c not in (era, target, *tiebreak)]).withColumn("step", block_of - 1)
+    scored = valid.join(fits, "step").select("step", "n_train", era, *tiebreak, target, linear_score(features, F.col("beta")).alias(SCORE))
+    ranked = ranking.rank_pct_first(scored, SCORE, ["step", era], list(tiebreak), out="_r")
+    per_era = ranked.groupBy("step", "n_train", era).agg(corr_strict("_r", target).alias("corr"), F.count(F.lit(1)).alias("n"))
+    per_step = per_era.groupBy("step", "n_train").agg(F.sum("n").alias("n_valid"), F.avg("corr").alias("valid_corr_mean"))
+    return per_step.select("step", "n_train", "n_valid", F.lit(1).alias("epoch"), "valid_corr_mean")
+
+
 def walk_forward_fit(df: DataFrame, features: Sequence[str], target: str = "target", era: str = "era",
                      block: int = 14, steps: int | None = None, fit=None, tiebreak: Sequence[str] = ("row_idx",),
-                     epochs: int = 1, parallel: int = 4) -> DataFrame:
+                     epochs: int = 1, parallel: int = 4, ledger: DataFrame | None = None) -> DataFrame:
     """M6: for each step, fit on the step's training eras, evaluate on the next block, keep the best epoch.
 
     The steps come from the data's own eras (``steps`` keeps the first so many). ``fit(train, epoch)`` -- or
     ``fit(train)`` where there is one epoch -- is called anew for every epoch number 1..epochs with the step's training rows; the
     epoch with the highest mean correlation wins, the earliest on ties. Up to ``parallel`` steps are fitted at a time, each a
     distributed job over era-filtered rows; one grouped evaluation then ranks and correlates the scores of all of them.
+
+    Without ``fit``, least squares: all steps are solved from the per-era ``ledger`` (``leastsquares.era_ledger``; made here in
+    one scan where None, so that a stored one leaves only the validation rows to read).
+
     Steps without training or validation rows are skipped. Returns ``(step, n_train, n_valid, epoch, valid_corr_mean)``."""
     from concurrent.futures import ThreadPoolExecutor
 
     from ..functions.stats import corr_strict
     from . import ranking, splits
 
+    if fit is None:
+        return _walk_forward_ledger(df, features, target, era, block, steps, tiebreak, ledger)
     spark = df.sparkSession
-    fit = fit or (lambda tr: regressor_fit(tr, features, target))
     sides = splits.era_walk_forward(df.select(era), era, block, steps).groupBy("step", "role").agg(
         F.count(F.lit(1)).alias("n")).collect()  # two rows per step
     count = {(r["step"], r["role"]): r["n"] for r in sides}

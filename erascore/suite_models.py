@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions import sqlgen
-from .operators import joins, models
+from .operators import joins, leastsquares, models
 from .session import scratch_path
 from .sources.fixtures import FEATURES, tourney, with_views
 from .sources.tables import read_table
@@ -133,10 +133,10 @@ def _rule_layers():
             models.DenseLayer(np.array(w2), np.array(b2), "softmax")]
 
 
-def _forward_sql_of(keys: str) -> str:
+def _forward_sql_of(keys: str, features: list[str] = FEATURES) -> str:
     """The rule-defined network's decoded class for every row, beside the columns ``keys``."""
     w1, b1, w2, b2 = _rule_weights()
-    hidden = [f"greatest({' + '.join(f'({w1[i][j]!r}e0) * {f}' for i, f in enumerate(FEATURES))} + ({b1[j]!r}e0), 0) AS h{j}"
+    hidden = [f"greatest({' + '.join(f'({w1[i][j]!r}e0) * {f}' for i, f in enumerate(features))} + ({b1[j]!r}e0), 0) AS h{j}"
               for j in range(_HIDDEN)]
     logits = [" + ".join(f"({w2[j][k]!r}e0) * h{j}" for j in range(_HIDDEN)) + f" + ({b2[k]!r}e0)" for k in range(_CLASSES)]
     arr = "[" + ", ".join(logits) + "]"
@@ -208,12 +208,49 @@ SELECT id, {', '.join(cols)} FROM tourney, s0, s1, s2 WHERE dataset = 'valid'"""
 
 @register("ensemble_score", _ensemble_sql())
 def q_ensemble_score(spark, sf):
-    """M7: three least-squares trial models, a column per trial, in one pass over the rows."""
+    """M7: three least-squares trial models fitted in one scan, a column per trial, scored in one pass over the rows."""
     train, valid = _train(spark, sf), _valid(spark, sf)
-    fitted = [models.regressor_fit(train, fs) for fs in _SUBSETS]
+    fitted = leastsquares.fit_subsets(train, _SUBSETS)
     return rounded(models.ensemble_wide_score(fitted, valid, _SUBSETS, "NR", tag="lr"))
 
 
+@register("ensemble_networks", with_views(f"""
+SELECT id, p.prediction AS trial_n0, p.prediction AS trial_n1, q.prediction AS trial_n2 FROM
+({_forward_sql_of('id')}) p JOIN ({_forward_sql_of('id', [FEATURES[1], FEATURES[0], *FEATURES[2:]])}) q USING (id)""", "tourney"))
+def q_ensemble_networks(spark, sf):
+    """M7 with networks: three trials in one pass over the rows, the last with two features exchanged."""
+    swapped = [FEATURES[1], FEATURES[0], *FEATURES[2:]]
+    return models.ensemble_wide_score([_rule_layers()] * 3, tourney(spark, sf), [FEATURES, FEATURES, swapped], "MLP", tag="n")
+
+
+@register("walk_forward_ledger", _WF_SQL)
+def q_walk_forward_ledger(spark, sf):
+    """M6 from a stored ledger that was written in two parts: the even eras, then the odd ones."""
+    t = tourney(spark, sf).select("id", "row_idx", "era", "target", *FEATURES)
+    path = scratch_path(spark, "eras")
+    for rest in (0, 1):
+        leastsquares.write_ledger(t.where(F.col("era") % 2 == rest), path, FEATURES)
+    return rounded(models.walk_forward_fit(t, FEATURES, ledger=leastsquares.read_ledger(spark, path)))
+
+
+_LEVELS = "floor(4 * example_preds + 6 * feature_hour) / 4e0"
+_SIXTHS = "least(cast(floor(feature_hour * 6) AS INTEGER), 5)"
+
+
+@register("regressor_fit_absolute", with_views(f"""
+WITH t AS (SELECT id, dataset, {_SIXTHS} AS g, {_LEVELS} AS y FROM tourney),
+m AS (SELECT g, median(y) AS prediction FROM t WHERE dataset <> 'live' GROUP BY g)
+SELECT id, {r6('prediction')} AS prediction FROM t JOIN m USING (g)""", "tourney"))
+def q_regressor_fit_absolute(spark, sf):
+    """M2 with mean absolute error over indicators of the day's sixths: the fit of each is the median of its rows."""
+    sixth = F.least(F.floor(F.col("feature_hour") * 6), F.lit(5))
+    y = F.floor(4 * F.col("example_preds") + 6 * F.col("feature_hour")) / 4
+    rows = tourney(spark, sf).select("id", "dataset", y.alias("y"), *[(sixth == g).cast("double").alias(f"in{g}") for g in range(6)])
+    names = [f"in{g}" for g in range(6)]
+    m = models.regressor_fit(rows.where("dataset <> 'live'"), names, "y", loss="absoluteError")
+    return rounded(m.transform(rows).select("id", F.col(models.SCORE).alias("prediction")))
+
+
 # ----------------------------------------------------------------------------- streaming
 
 _ROUND_SCHEMA = T.StructType([

@@ -269,3 +269,17 @@ def q_parse_spec(spark, sf):
     parsed = ev.select(F.col("event_id").alias("id"), vectors.spec_column(_spec_text()).alias("steps"))
     return (parsed.select("id", F.posexplode("steps").alias("step", "s"))
                   .select("id", "step", F.col("s.name").alias("name"), F.array_join("s.args", ",").alias("args")))
+
+
+@register("ensemble_spec", """
+SELECT id, CASE WHEN spec <> '-' THEN split_part(spec, ',', 1) END AS model, CASE WHEN spec <> '-' THEN split_part(spec, ',', 2) END AS arch,
+       CASE WHEN spec <> '-' THEN cast(split_part(spec, ',', 3) AS INTEGER) END AS version,
+       CASE WHEN spec <> '-' THEN split_part(spec, ',', 4) END AS predict, CASE WHEN spec <> '-' THEN split_part(spec, ',', 5) END AS transform
+FROM (SELECT event_id AS id, CASE WHEN event_id % 4 = 0 THEN '-' ELSE
+        event_type || ',MLP,' || cast(user_id % 9 AS VARCHAR) || ',p' || cast(event_id % 3 AS VARCHAR) || ',YX' END AS spec FROM events)""")
+def q_ensemble_spec(spark, sf):
+    """The members of ensembles, one spec for each event, none for every fourth."""
+    ev = read_table(spark, sf, "events")
+    spec = F.when(F.col("event_id") % 4 == 0, "-").otherwise(F.concat(
+        "event_type", F.lit(",MLP,"), (F.col("user_id") % 9).cast("string"), F.lit(",p"), (F.col("event_id") % 3).cast("string"), F.lit(",YX")))
+    return ev.select(F.col("event_id").alias("id"), vectors.member_column(spec).alias("m")).select("id", "m.*")

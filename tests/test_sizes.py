@@ -250,7 +250,16 @@ def test_ensemble_is_one_pass(spark):
     assert {(r["id"], r["trial"]): r["prediction"] for r in long.collect()} == {(r["id"], t): r[f"trial_{t}"] for r in out.collect() for t in range(3)}
 
 
-def test_run_plan_refuses_long_lists(spark, monkeypatch):
-    monkeypatch.setattr(joins, "MAX_RUN_MODELS", 1)
-    with pytest.raises(ValueError):
-        joins.model_run_plan(spark.createDataFrame([("a",), ("b",)], "model string"), spark.createDataFrame([("ab",)], "model string"))
+def test_run_plan_joins_by_prefix(spark):
+    names = spark.createDataFrame([("a",), ("ab",), (None,), ("abc",), ("zz",), ("",), ("ab",)], "model string")
+    config = spark.createDataFrame([("abd", 1), ("a", 2), (None, 3), ("z", 4), ("ab", 5)], "model string, _prefix int")
+    config = config.withColumnRenamed("_prefix", "n")
+    got = sorted((r["run_model"], r["n"]) for r in joins.model_run_plan(names, config).collect())
+    want = [(m, n) for (m,) in [tuple(r) for r in names.collect()] for c, n in [tuple(r) for r in config.collect()]
+            if m is not None and c is not None and c.startswith(m)]
+    assert got == sorted(want)
+    assert joins.model_run_plan(names.limit(0), config).count() == 0
+    many = spark.range(20_000).select(F.concat(F.lit("m"), "id").alias("model"))
+    plan = joins.model_run_plan(many, many.select("model", F.lit(1).alias("x")))
+    assert "NestedLoop" not in plan._jdf.queryExecution().toString()
+    assert plan.where("run_model = 'm1'").count() == 11111
