@@ -61,9 +61,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
 
 
+def write_finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` came to its end: its success marker is there (or, where the session's writers leave none, the
+    path itself)."""
+    marks = spark._jsc.hadoopConfiguration().getBoolean("mapreduce.fileoutputcommitter.marksuccessfuljobs", True)
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS" if marks else path)
+
+
 def write_if_absent(df: DataFrame, path: str, force: bool = False, fmt: str = "parquet") -> None:
-    """Write only when the target does not exist yet, or always with ``force``."""
-    df.write.mode("overwrite" if force else "ignore").format(fmt).save(path)
+    """Write only when the target is not there whole yet, or always with ``force``. What a killed write left is
+    written anew (``snapshots.publish_if_absent`` keeps readers from ever seeing such a state)."""
+    if force or not write_finished(df.sparkSession, path):
+        df.write.mode("overwrite").format(fmt).save(path)
 
 
 # ------------------------------------------------------------------------- S11: dataset catalog

@@ -32,10 +32,16 @@ def read_rounds(spark: SparkSession, folder: str, schema: T.StructType, max_file
     return reader.parquet(folder)
 
 
-def round_gate(batch: DataFrame, written: DataFrame | None, keys: Sequence[str] = ("round", "id")) -> DataFrame:
-    """The rows of a batch that were not delivered before: once per key, and none of ``written``."""
+def round_gate(batch: DataFrame, written: DataFrame | None, keys: Sequence[str] = ("round", "id"), order: Sequence[str] = ()) -> DataFrame:
+    """The rows of a batch that were not delivered before: once per key, and none of ``written``.
+
+    Of several deliveries of a key within a batch the first stays: by the columns ``order`` (of arrival), then by all other columns in
+    their order, so a replay takes the same one. The columns must be of orderable types (no maps)."""
     keys = list(keys)
-    once = batch.dropDuplicates(keys)
+    rest = [c for c in batch.columns if c not in keys]
+    first = [c for c in order if c in rest]
+    ranked = F.struct(*first, *[c for c in rest if c not in first])
+    once = batch.groupBy(*keys).agg(F.min(ranked).alias("_first")).select(*[c if c in keys else F.col(f"_first.`{c}`").alias(c) for c in batch.columns]) if rest else batch.distinct()
     return once if written is None else once.join(written.select(*keys), keys, "left_anti")
 
 
@@ -55,13 +61,13 @@ def _written(batch: DataFrame, folder: str, batch_id: int, keys: Sequence[str],
 
 
 def idempotent_sink(folder: str, score: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ("round",),
-                    keys: Sequence[str] | None = None, fmt: str = "parquet"):
+                    keys: Sequence[str] | None = None, fmt: str = "parquet", order: Sequence[str] = ()):
     """foreachBatch writer: gate the batch (where ``keys`` are given), score it, write it under
     ``batch=<id>`` (overwrite on replay). ``fmt="csv"`` writes submission files with a header."""
     folder = folder.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch if keys is None else round_gate(batch, _written(batch, folder, batch_id, keys, fmt), keys)
+        rows = batch if keys is None else round_gate(batch, _written(batch, folder, batch_id, keys, fmt), keys, order)
         out = score(rows).write.mode("overwrite").partitionBy(*partition_by)
         out = out.option("header", True) if fmt == "csv" else out
         out.format(fmt).save(f"{folder}/batch={batch_id}")
@@ -71,12 +77,12 @@ def idempotent_sink(folder: str, score: Callable[[DataFrame], DataFrame], partit
 def stream_score(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str,
                  score: Callable[[DataFrame], DataFrame], available_now: bool = True,
                  poll_seconds: int = POLL_SECONDS, keys: Sequence[str] | None = ("round", "id"), fmt: str = "parquet",
-                 max_files_per_trigger: int | None = None):
+                 max_files_per_trigger: int | None = None, order: Sequence[str] = ()):
     """Rounds -> gate -> score -> submission files. ``available_now`` processes what has arrived
     and stops (a scheduled run); otherwise it polls every ``poll_seconds`` and the running
     ``StreamingQuery`` is returned (``stop()`` it to end)."""
     writer = (read_rounds(spark, source, schema, max_files_per_trigger).writeStream
-              .foreachBatch(idempotent_sink(sink, score, keys=keys, fmt=fmt))
+              .foreachBatch(idempotent_sink(sink, score, keys=keys, fmt=fmt, order=order))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .operators import projections, splits
 from .session import scratch_path
-from .sources import sinks
+from .sources import sinks, snapshots
 from .sources import readers as src
 from .sources.fixtures import FEATURES, tourney, tourney_missing, vec, with_views
 from .sources.tables import read_table
@@ -392,6 +392,21 @@ def q_write_if_absent(spark, sf):
     return spark.read.parquet(path)
 
 
+@register("publish_snapshot", with_views("""
+SELECT 1 AS snapshot, id, era FROM tourney WHERE era <= 10 UNION ALL SELECT 2, id, era FROM tourney""", T))
+def q_publish_snapshot(spark, sf):
+    """S8 and S12 as snapshots: a first one, a write that never commits, an attempt that finds one present, and a second one by
+    era; both read back by their commits, checked against their manifests."""
+    path = scratch_path(spark, "snapshots")
+    t = _t(spark, sf).select("id", "era", "dataset")
+    snapshots.publish_if_absent(t.where(F.col("era") <= 10), path)
+    t.where(F.col("era") > 10).write.parquet(f"{path}/data/killed")
+    snapshots.publish_if_absent(t.where(F.col("era") > 10), path)
+    snapshots.publish(t, path, lambda rows, to: sinks.write_shards_by_era(rows, to, shard_rows=1000))
+    parts = [snapshots.read_snapshot(spark, path, n, verify=True).select(F.lit(n).alias("snapshot"), "id", F.col("era").cast("int").alias("era")) for n in (1, 2)]
+    return parts[0].unionByName(parts[1])
+
+
 @register("load_data", with_views("""
 SELECT id, dataset, coalesce(feature_user, 0.5) AS feature_user,
        CASE WHEN dataset = 'valid' THEN coalesce(target, 0.5) ELSE target END AS target
