@@ -4,8 +4,8 @@ Documents become pieces of at most ``capacity`` ids (a longer document is cut ev
 The histogram of piece lengths -- at most ``capacity`` rows, whatever the corpus -- is packed on the driver:
 lengths are placed longest first, each into the shortest packs that exist, many equal packs at a time,
 so that a pattern's count changes, not single packs. The slots that result are joined back to the pieces
-by (length, rank); ranks are dealt in salted buckets, so a length that holds a third of all pieces is
-ranked by many tasks.
+by (length, rank); a task ranks the pieces it tokenizes and the tasks before it shift its ranks, so a length that holds a third
+of all pieces is ranked by all of them.
 
 Defined cases: a null or empty text has only its end id; repeated rows and repeated ids are documents of
 their own; an empty table gives an empty result; further columns are ignored; a document of any length is
@@ -19,20 +19,23 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
+from zlib import crc32
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import shuffle_width, staged, text_or_empty
+from ..operators.sizing import broadcast_if_at_most
+from .common import staged, text_or_empty
 
 CAPACITY = 4096
 END_ID = 2
 #: ``ids`` are little-endian unsigned 32-bit numbers (``numpy.frombuffer(ids, "<u4")``).
-PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, piece_id long"
+PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, task long, own long"
 
 #: Character classes of Latin-1 as Unicode has them; fixed values of the tokenizer's split pattern.
 _LETTER, _NUMBER, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
@@ -54,7 +57,7 @@ class Remembered(dict):
         super().__init__()
         self.make, self.before = make, {}
 
-    def __missing__(self, key: str) -> tuple:
+    def __missing__(self, key: str):
         value = self.before.get(key)
         if value is None:
             value = self.make(key)
@@ -83,21 +86,27 @@ class WordIds:
 
         words = Remembered(word).__getitem__
         split = _WORDS.findall
-        self.stretches = Remembered(lambda stretch: tuple(chain.from_iterable(map(words, split(stretch)))))
+        self.stretches = Remembered(lambda stretch: _as_bytes(chain.from_iterable(map(words, split(stretch)))))
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> bytes:
+        """The text's ids, as little-endian unsigned 32-bit numbers."""
         try:
             text.encode("latin-1")
             plain = "<|" not in text
         except UnicodeEncodeError:
             plain = False
         if plain:
-            return list(chain.from_iterable(map(self.stretches.__getitem__, text.lower().replace("\n", " ").split(" "))))
-        out: list[int] = []
-        for stretch in text.replace("\n", " ").split(" "):
-            if stretch:
-                out += self.encode(stretch) if stretch.isascii() and "<|" not in stretch else self.tokenizer.encode(stretch, add_special_tokens=False).ids
-        return out
+            return b"".join(map(self.stretches.__getitem__, text.lower().replace("\n", " ").split(" ")))
+        return b"".join(self.encode(stretch) if stretch.isascii() and "<|" not in stretch
+                        else _as_bytes(self.tokenizer.encode(stretch, add_special_tokens=False).ids)
+                        for stretch in text.replace("\n", " ").split(" ") if stretch)
+
+
+def _as_bytes(ids: Iterable[int]) -> bytes:
+    raw = array("I", ids)
+    if sys.byteorder == "big":
+        raw.byteswap()
+    return raw.tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -107,30 +116,30 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Pieces of every document's ids: doc_id, start, length, ids, doc_tokens, piece_id (unique)."""
+def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = True) -> DataFrame:
+    """Pieces of every document's ids: doc_id, start, length, ids (null unless kept), ids_crc32, doc_tokens, and which of
+    its task's pieces of that length each is (task, own)."""
 
     def pieces(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        words, serial = word_ids(tokenizer), TaskContext.get().partitionId() << 40
-        schema = pa.schema([(n, pa.binary() if n == "ids" else pa.int64())
-                            for n in ("doc_id", "start", "length", "ids", "doc_tokens", "piece_id")])
+        words, task, end = word_ids(tokenizer), TaskContext.get().partitionId(), _as_bytes([end_id])
+        schema = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in (f.split()[0] for f in PIECE_SCHEMA.split(", "))])
+        seen: dict[int, int] = defaultdict(int)
         for batch in batches:
             rows, held = [[] for _ in schema], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = words.encode(text.as_py())
-                ids.append(end_id)
-                for start in range(0, len(ids), capacity):
-                    part = ids[start:start + capacity]
-                    raw = array("I", part)
-                    if sys.byteorder == "big":
-                        raw.byteswap()
-                    for col, value in zip(rows, (doc, start, len(part), raw.tobytes(), len(ids), serial), strict=True):
+                raw = words.encode(text.as_py()) + end
+                n = len(raw) // 4
+                for start in range(0, n, capacity):
+                    part = raw[4 * start:4 * (start + capacity)] if n > capacity else raw
+                    length = len(part) // 4
+                    piece = (doc, start, length, part if keep_ids else None, crc32(part), n, task, seen[length])
+                    seen[length] += 1
+                    for col, value in zip(rows, piece, strict=True):
                         col.append(value)
-                    serial += 1
-                held += len(ids)
+                held += n if keep_ids else 1
                 if held > 2_000_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
                     rows, held = [[] for _ in schema], 0
@@ -166,31 +175,31 @@ def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[
     return slots
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Every piece with its ids and place: doc_id, start, length, ids, doc_tokens, sequence_id, offset."""
-    spark = docs.sparkSession
-    pieces = staged(tokenized(docs, tokenizer, capacity, end_id), "packing-pieces", "zstd")
-    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    slots = shortest_pack_first(histogram, capacity)
-    # a bucket holds about as many pieces as a task's share, so the number of buckets is capacity + tasks at most
-    share = max(1, -(-sum(histogram.values()) // shuffle_width(spark)))
-    salts = spark.createDataFrame([(k, -(-n // share)) for k, n in histogram.items()] or [(0, 1)], "length long, salts long")
-    dealt = pieces.join(F.broadcast(salts), "length").withColumn("bucket", F.pmod(F.xxhash64("piece_id"), "salts"))
-    sizes = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    own = Window.partitionBy("length", "bucket").orderBy("piece_id")
-    ranked = dealt.withColumn("own", F.row_number().over(own) - 1).join(F.broadcast(bases), ["length", "bucket"])
+def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = True) -> DataFrame:
+    """Every piece and its place: doc_id, start, length, ids (where kept), ids_crc32, doc_tokens, sequence_id, offset.
+
+    A piece's rank among those of its length is its rank in its task and the number of such pieces in the tasks before; so no piece
+    is moved. The numbers, one for each task and length it has, are broadcast up to the session's limit, beyond which
+    they are joined."""
+    pieces = staged(tokenized(docs, tokenizer, capacity, end_id, keep_ids), "packing-pieces", "zstd")
+    sizes = staged(pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "packing-sizes")
+    histogram = {r["length"]: (r["n"], r["tasks"]) for r in
+                 sizes.groupBy("length").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("tasks")).collect()}
+    slots = shortest_pack_first({k: n for k, (n, _) in histogram.items()}, capacity)
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select(F.col("length").alias("in_length"), F.col("task").alias("in_task"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    bases = broadcast_if_at_most(bases, sum(tasks for _, tasks in histogram.values()), 48)
+    ranked = pieces.join(bases, (F.col("length") == F.col("in_length")) & (F.col("task") == F.col("in_task")))
     ranked = ranked.withColumn("rank", F.col("base") + F.col("own"))
-    places = spark.createDataFrame(slots or [(0, 0, 0, 0, 0)], "length long, first_rank long, n long, first_sequence long, used long")
-    placed = ranked.join(F.broadcast(places.withColumnRenamed("length", "slot_length")),
+    places = docs.sparkSession.createDataFrame(slots or [(0, 0, 0, 0, 0)], "slot_length long, first_rank long, n long, first_sequence long, used long")
+    placed = ranked.join(F.broadcast(places),  # a few rows for each length at most
                          (F.col("length") == F.col("slot_length")) & (F.col("rank") >= F.col("first_rank"))
                          & (F.col("rank") < F.col("first_rank") + F.col("n")))
-    return placed.select("doc_id", "start", "length", "ids", "doc_tokens",
+    return placed.select("doc_id", "start", "length", *["ids"] * keep_ids, "ids_crc32", "doc_tokens",
                          (F.col("first_sequence") + F.col("rank") - F.col("first_rank")).alias("sequence_id"),
                          F.col("used").alias("offset"))
 
 
 def with_crc(packed: DataFrame) -> DataFrame:
-    """The pieces with ``ids_crc32`` in place of their ids."""
-    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    """The pieces without their ids."""
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -80,7 +80,7 @@ def op1(spark, sf):
 
 @register("op2_packing")
 def op2(spark, sf):
-    return packing.with_crc(packing.pack(read_table(spark, sf, "documents").select("doc_id", "text"), tokenizer_path()))
+    return packing.with_crc(packing.pack(read_table(spark, sf, "documents").select("doc_id", "text"), tokenizer_path(), keep_ids=False))
 
 
 @register("op3_dartminhash")
