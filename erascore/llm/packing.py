@@ -15,6 +15,7 @@ cut, none is dropped.
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import re
 import sys
@@ -40,7 +41,8 @@ PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, ids_crc32 long
 #: Character classes of Latin-1 as Unicode has them; fixed values of the tokenizer's split pattern.
 _LETTER, _NUMBER, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
-_CACHED = 250_000  # in a memory, and as many from before
+_CACHED = 50_000  # in a memory, and as many from before
+_LONGEST = 500  # characters of a word that the library of ranks gets
 
 
 def _byte_letters() -> dict[int, int]:
@@ -69,10 +71,9 @@ class Remembered(dict):
 
 
 class WordIds:
-    """Ids of stretches between blanks, remembered; no token of the vocabulary spans a blank.
-
-    Latin-1 stretches are split into words here and each word is given to the tokenizer's model once;
-    anything else, and what may hold a special token, goes to the tokenizer whole. The memory is bounded."""
+    """Ids of texts. A Latin-1 text is split into words here and all its words are merged at once by the library that reads merges as
+    ranks; of any other text, stretches between blanks are taken one by one, since no token spans a blank, and what is not ASCII
+    or may hold a special token goes to the tokenizer whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -84,9 +85,32 @@ class WordIds:
             as_bytes = w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(letters)
             return tuple([t.id for t in model.tokenize(as_bytes)])
 
-        words = Remembered(word).__getitem__
-        split = _WORDS.findall
-        self.stretches = Remembered(lambda stretch: _as_bytes(chain.from_iterable(map(words, split(stretch)))))
+        self.words = Remembered(word)
+        self._read_ranks()
+
+    def _read_ranks(self) -> None:
+        """Merges as ranks. A word's last byte and the word's end are one symbol from the start: a zero byte stands for the end and
+        its merges come before all others."""
+        import numpy as np
+        import tiktoken
+
+        spec = json.loads(self.tokenizer.to_str())["model"]
+        to_byte = {chr(v): k for k, v in _byte_letters().items()}
+
+        def spelled(token: str) -> bytes:
+            inner = token.removesuffix(spec["end_of_word_suffix"])
+            return bytes(to_byte[c] for c in inner) + b"\0" * (inner != token)
+
+        letters, suffix = _byte_letters(), spec["end_of_word_suffix"]
+        order = [*[chr(letters[b]) + suffix for b in range(256)], *[chr(letters[b]) for b in range(256)],
+                 *["".join(m if isinstance(m, list) else m.split(" ")) for m in spec["merges"]]]
+        ranks: dict[bytes, int] = {}
+        ids = np.zeros(len(order), "<u4")
+        for rank, token in enumerate(order):
+            if spelled(token) not in ranks:
+                ranks[spelled(token)], ids[rank] = rank, spec["vocab"][token]
+        self.ids = ids
+        self.ranked = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
         """The text's ids, as little-endian unsigned 32-bit numbers."""
@@ -96,7 +120,12 @@ class WordIds:
         except UnicodeEncodeError:
             plain = False
         if plain:
-            return b"".join(map(self.stretches.__getitem__, text.lower().replace("\n", " ").split(" ")))
+            words = _WORDS.findall(text.lower())
+            if not words:
+                return b""
+            if "\0" in text or max(map(len, words)) > _LONGEST:
+                return _as_bytes(chain.from_iterable(map(self.words.__getitem__, words)))
+            return self.ids[self.ranked.encode_to_numpy("\0".join(words) + "\0", disallowed_special=())].tobytes()
         return b"".join(self.encode(stretch) if stretch.isascii() and "<|" not in stretch
                         else _as_bytes(self.tokenizer.encode(stretch, add_special_tokens=False).ids)
                         for stretch in text.replace("\n", " ").split(" ") if stretch)
