@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from .functions import sqlgen
 from .functions.decode import clamp01
-from .operators import joins, metrics, neutralize, ranking
+from .operators import joins, metrics, neutralize, ranking, scans, sketches
 from .plans import evaluation
+from .session import scratch_path
+from .sources import layout
 from .sources.fixtures import FEATURES, tourney, tourney_missing, vec, with_views
 from .suite import (_era_corr_sql, r6, register, rounded, sql_corr_pairwise, sql_corr_strict,
                     sql_rank_pct, sql_unif)
@@ -77,6 +79,35 @@ def q_rolling_max(spark, sf):
     return rounded(ranking.rolling_max(per_era, "cum_value", window=100).select("era", "cum_value", "rolling_max"))
 
 
+_MODELS = ["prediction", "example_preds", "feature_mix"]
+_SERIES_SQL = "WITH s AS (" + " UNION ALL ".join(f"""
+  SELECT '{m}' AS model, era, {sql_corr_strict('r', 'target')} AS corr FROM (
+    SELECT era, target, {sql_rank_pct(m)} AS r FROM tourney) GROUP BY era""" for m in _MODELS) + """),
+v AS (SELECT *, CASE WHEN corr IS NOT NULL THEN product(corr + 1) OVER (PARTITION BY model ORDER BY era) END AS cum_value FROM s)"""
+
+
+@register("cumulative_values", with_views(_SERIES_SQL + f"""
+SELECT model, era, {r6('cum_value')} AS cum_value,
+       {r6('max(cum_value) OVER (PARTITION BY model ORDER BY era ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)')} AS rolling_max FROM v""", "tourney"))
+def q_cumulative_values(spark, sf):
+    """W5 and W6 for the series of several models at once, in blocks of four and seven eras."""
+    t = tourney(spark, sf)
+    parts = [metrics.era_corr(t, pred=m).select(F.lit(m).alias("model"), "era", "corr") for m in _MODELS]
+    series = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    values = scans.cumulative_values(series, "corr", ["model"], block=4)
+    return rounded(scans.rolling_maxima(values, "cum_value", ["model"], window=7).select("model", "era", "cum_value", "rolling_max"))
+
+
+@register("era_table_corr", with_views(f"""
+SELECT era, {r6(sql_corr_strict('r', 'target'))} AS corr FROM (
+  SELECT era, target, {sql_rank_pct('prediction')} AS r FROM tourney) GROUP BY era""", "tourney"))
+def q_era_table_corr(spark, sf):
+    """A3 over a co-partitioned era table: written once, read without an exchange."""
+    t = tourney(spark, sf).select("id", "row_idx", "era", "target", "prediction")
+    table = layout.write_era_table(t, scratch_path(spark, "era_table"), order=["prediction", "row_idx"])
+    return rounded(metrics.era_corr(table))
+
+
 # ----------------------------------------------------------------------------- A: metrics
 
 @register("rank_corr", with_views(f"""
@@ -443,3 +474,24 @@ def q_era_corr_lineitem(spark, sf):
     """A3 over the lineitem view: one era per ship month, a four-column tie-break."""
     from .sources.fixtures import BIG_TIEBREAK, tourney_big
     return rounded(metrics.era_corr(tourney_big(spark, sf), tiebreak=BIG_TIEBREAK))
+
+
+@register("sketch_report", with_views("""
+SELECT dataset, count(*) AS n_rows, count(DISTINCT era) AS n_eras, count(prediction) AS count, round(avg(prediction), 6) + 0.0 AS mean,
+       round(stddev_samp(prediction), 6) + 0.0 AS std, round(min(prediction), 6) + 0.0 AS min, round(max(prediction), 6) + 0.0 AS max,
+       true AS ids_near, true AS p25_near, true AS p50_near, true AS p75_near
+FROM tourney WHERE era % 3 <> 0 GROUP BY dataset""", "tourney"))
+def q_sketch_report(spark, sf):
+    """A22 and A16 from stored sketches, of two eras in three: exact where the sketches are, and the estimates held against the rows --
+    ids within 4 %, and the share of rows below each quartile within 2 %."""
+    t = tourney(spark, sf)
+    path = scratch_path(spark, "sketches")
+    sketches.era_sketches(t).write.parquet(path)
+    told = sketches.describe_sketches(spark.read.parquet(path).where(F.col("era") % 3 != 0))
+    rows = t.where(F.col("era") % 3 != 0).join(F.broadcast(told.select("dataset", "p25", "p50", "p75")), "dataset")  # a row for each role
+    held = [F.avg((F.col("prediction") < F.col(q)).cast("double")).alias(f"{q}_lo") for q in ("p25", "p50", "p75")]
+    held += [F.avg((F.col("prediction") <= F.col(q)).cast("double")).alias(f"{q}_hi") for q in ("p25", "p50", "p75")]
+    true = rows.groupBy("dataset").agg(F.countDistinct("id").alias("_ids"), *held)
+    near = [((F.col(f"{q}_lo") <= p + 0.02) & (F.col(f"{q}_hi") >= p - 0.02)).alias(f"{q}_near") for q, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))]
+    return rounded(told.join(true, "dataset").select("dataset", "n_rows", "n_eras", "count", "mean", "std", "min", "max",
+                                                     (F.abs(F.col("n_ids") / F.col("_ids") - 1) < 0.04).alias("ids_near"), *near))
