@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions import sqlgen
-from .operators import joins, leastsquares, models
+from .operators import boosting, joins, leastsquares, models
 from .session import scratch_path
 from .sources.fixtures import FEATURES, tourney, with_views
 from .sources.tables import read_table
@@ -77,6 +77,42 @@ def q_gbt_fit(spark, sf):
     return rounded(m.transform(_valid(spark, sf)).select("id", F.col(models.SCORE).alias("prediction")))
 
 
+_BOOSTED = ["feature_hour", "feature_mix"]
+
+
+def _boosted_sql(n_trees: int, depth: int, rate: float) -> str:
+    """The trees level by level: sums by (node, feature, value), running sums, the best cut of each node, its children's values."""
+    steps = [f"""z0 AS MATERIALIZED (SELECT id, dataset, target AS y, {_BOOSTED[0]} AS x0, {_BOOSTED[1]} AS x1,
+  (SELECT avg(target) FROM tourney WHERE {TR}) AS f, 0 AS node, 0e0 AS val FROM tourney)"""]
+    last = "z0"
+    for t in range(n_trees):
+        for level in range(depth):
+            at = f"{t}_{level}"
+            steps.append(f"""h{at} AS (SELECT node, j, v, sum(y - f) AS s, count(*) AS c FROM (
+  SELECT node, y, f, 0 AS j, x0 AS v FROM {last} WHERE {TR} UNION ALL SELECT node, y, f, 1, x1 FROM {last} WHERE {TR}) GROUP BY node, j, v)""")
+            steps.append(f"""r{at} AS (SELECT *, sum(s) OVER w AS gl, sum(c) OVER w AS nl, sum(s) OVER a AS g, sum(c) OVER a AS n FROM h{at}
+  WINDOW w AS (PARTITION BY node, j ORDER BY v), a AS (PARTITION BY node, j))""")
+            steps.append(f"""b{at} AS MATERIALIZED (SELECT * FROM (SELECT *, gl * gl / (nl + 1) + (g - gl) * (g - gl) / (n - nl + 1) - g * g / (n + 1) AS gain FROM r{at} WHERE nl < n)
+  WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, j, v) = 1)""")
+            right = "CASE WHEN b.j = 0 THEN z.x0 > b.v ELSE z.x1 > b.v END"
+            steps.append(f"""z{at} AS MATERIALIZED (SELECT z.* REPLACE (CASE WHEN b.node IS NULL THEN -1 WHEN {right} THEN 2 * z.node + 2 ELSE 2 * z.node + 1 END AS node,
+  CASE WHEN b.node IS NULL THEN z.val WHEN {right} THEN (b.g - b.gl) / (b.n - b.nl + 1) ELSE b.gl / (b.nl + 1) END AS val)
+  FROM {last} z LEFT JOIN b{at} b ON b.node = z.node)""")
+            last = f"z{at}"
+        steps.append(f"z{t + 1} AS MATERIALIZED (SELECT * REPLACE (f + {rate}e0 * val AS f, 0 AS node, 0e0 AS val) FROM {last})")
+        last = f"z{t + 1}"
+    return with_views(f"WITH {', '.join(steps)} SELECT id, {r6('f')} AS prediction FROM {last} WHERE dataset = 'valid'", "tourney")
+
+
+@register("boosted_trees", _boosted_sql(3, 2, 0.5))
+def q_boosted_trees(spark, sf):
+    """M1 by gradient histograms: three trees of depth two over two features, the second call taking up the first one's ledger."""
+    train, ledger = _train(spark, sf), scratch_path(spark, "trees")
+    for n in (1, 3):
+        m = boosting.boost(train, _BOOSTED, n_trees=n, depth=2, rate=0.5, column_share=1.0, ledger=ledger)
+    return rounded(m.transform(_valid(spark, sf)).select("id", F.col(models.SCORE).alias("prediction")))
+
+
 def _sum(terms):
     out = terms[0]
     for t in terms[1:]:
