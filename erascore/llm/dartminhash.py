@@ -10,8 +10,8 @@ plus the darts, not their product.
 Bands of coordinates make buckets. Inside a bucket no pairs are enumerated: each round verifies the members
 of a few leaders against them, joins what is similar into components, and keeps only the buckets whose members still
 lie in several components, without the leaders that were tried. Rounds end when no bucket is left, so
-every pair of a bucket was either compared or found in one component: the components are those that all pairs
-would give.
+every pair of a bucket was either found in one component, ruled out by its signatures (``AGREE``) or compared: but for the
+2e-5 of the pairs at the threshold that signatures rule out, the components are those that all pairs would give.
 
 Words are ``\\w+`` of the lower-cased text; a text of one to four words is one shingle; a text without words
 equals only the same text. Equal texts are one node. Similarity of ``threshold`` or more, computed exactly,
@@ -35,9 +35,14 @@ from .common import connected_components, scratch, sized, staged, staged_with, t
 SHINGLE, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band with probability (1 - 0.8**5)**25 = 5e-5.
 BANDS, ROWS = 25, 5
-#: Pairs whose signatures agree less than this are not verified: 4.2 standard deviations below the threshold, which a
-#: pair at the threshold misses with probability 2e-5.
-AGREE = THRESHOLD - 4.2 * (THRESHOLD * (1 - THRESHOLD) / (BANDS * ROWS)) ** 0.5
+#: Coordinates of the signature, of which the bands take the first; four bits of each are kept to rule pairs out.
+COORDINATES = 256
+#: A pair at the threshold agrees in four bits of a coordinate with this probability.
+_EQUAL = THRESHOLD + (1 - THRESHOLD) / 16
+#: Pairs whose signatures agree in a smaller share are not verified: 4.2 standard deviations below what a pair at the threshold
+#: has, which such a pair misses with probability 2e-5.
+AGREE = _EQUAL - 4.2 * (_EQUAL * (1 - _EQUAL) / COORDINATES) ** 0.5
+_SLICE = 256  # members that are compared with their leaders at once
 _WORD = re.compile(r"\w+")
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -146,7 +151,7 @@ def bands(sig: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> np.ndarray
 
 
 def _signed(texts: DataFrame) -> DataFrame:
-    """(node, buckets, sig) from (node, text): the buckets of a text's bands, and a byte of each coordinate."""
+    """(node, buckets, sig) from (node, text): the buckets of a text's bands, and four bits of each coordinate."""
 
     def rows(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -154,10 +159,11 @@ def _signed(texts: DataFrame) -> DataFrame:
         words = Words()
 
         def out(names, sets):
-            sig = signatures(sets, BANDS * ROWS) if sets else np.empty((0, BANDS * ROWS), np.uint64)
+            sig = signatures(sets, COORDINATES) if sets else np.empty((0, COORDINATES), np.uint64)
             places = pa.array(np.arange(len(sig) + 1, dtype=np.int32) * BANDS)
-            buckets = pa.ListArray.from_arrays(places, pa.array(bands(sig).ravel() if sets else np.empty(0, np.int64)))
-            low = (sig & np.uint64(255)).astype(np.uint8)
+            buckets = pa.ListArray.from_arrays(places, pa.array(bands(sig[:, :BANDS * ROWS]).ravel() if sets else np.empty(0, np.int64)))
+            low = (sig & np.uint64(15)).astype(np.uint8)
+            low = low[:, ::2] << 4 | low[:, 1::2]
             return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), buckets, pa.array([x.tobytes() for x in low], pa.binary())], ["node", "buckets", "sig"])
 
         for batch in batches:
@@ -184,29 +190,31 @@ def _agreeing(at: DataFrame, agree: float = AGREE) -> DataFrame:
         import pyarrow as pa
 
         seen: set[tuple] = set()  # a pair shares several buckets: a task names it once, as far as its memory goes
-        for batch in batches:
-            out: list[tuple] = []
-            nodes, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            sigs, leads = batch.column(2), batch.column(3)
-            each = leads.flatten()
-            lead_nodes, lead_labels = each.field(0).to_pylist(), each.field(1).to_pylist()
-            lead_sigs = np.frombuffer(b"".join(each.field(2).to_pylist()), np.uint8).reshape(len(each), -1)
-            begin = 0
-            for i, n in enumerate(leads.value_lengths().to_pylist()):
-                own = np.frombuffer(sigs[i].as_py(), np.uint8)
-                close = (lead_sigs[begin:begin + n] == own).mean(axis=1) >= agree
-                for j in np.flatnonzero(close) + begin:
-                    if lead_labels[j] != labels[i]:
-                        pair = (nodes[i], lead_nodes[j], labels[i], lead_labels[j])
+        for whole in batches:
+            for start in range(0, whole.num_rows, _SLICE):  # each member has up to 64 leaders
+                batch = whole.slice(start, _SLICE)
+                leads = batch.column(3)
+                each, n = leads.flatten(), leads.value_lengths().to_numpy()
+                lead_nodes, lead_labels = each.field(0), each.field(1)
+                own = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+                led = np.frombuffer(b"".join(each.field(2).to_pylist()), np.uint8).reshape(len(each), -1)
+                member = np.repeat(np.arange(batch.num_rows), n)
+                differ = own[member] ^ led
+                equal = ((differ & 15) == 0).mean(axis=1) / 2 + ((differ & 240) == 0).mean(axis=1) / 2
+                out: list[tuple] = []
+                for j in np.flatnonzero(equal >= agree):
+                    i = int(member[j])
+                    la, lb = batch.column(1)[i].as_py(), lead_labels[int(j)].as_py()
+                    if la != lb:
+                        pair = (batch.column(0)[i].as_py(), lead_nodes[int(j)].as_py(), la, lb)
                         pair = pair if pair[0] < pair[1] else (pair[1], pair[0], pair[3], pair[2])
                         if pair not in seen:
                             if len(seen) >= 200_000:
                                 seen.clear()
                             seen.add(pair)
                             out.append(pair)
-                begin += n
-            cols = zip(*out, strict=True) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], ["a", "b", "la", "lb"])
+                cols = zip(*out, strict=True) if out else [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], ["a", "b", "la", "lb"])
 
     return at.select("node", "label", "sig", "leads").mapInArrow(rows, "a string, b string, la string, lb string")
 
