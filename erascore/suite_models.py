@@ -6,7 +6,8 @@ tree of depth one is checked against the best cut in SQL, networks against the s
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,6 +137,26 @@ def q_classifier_fit(spark, sf):
     return scored.join(own, "id").select("id", (F.col("prediction") == F.col("own")).alias("agrees"))
 
 
+@register("classifier_balance", with_views(f"""
+SELECT cast(round(target * 4) AS INTEGER) AS class, count(*) AS n, true AS balanced, true AS below_chance
+FROM tourney WHERE {TR} GROUP BY 1""", "tourney"))
+def q_classifier_balance(spark, sf):
+    """M3's fit: where the loss is least, its slope along the output biases is none, so the mean probability of each class is the
+    class's share (within a hundredth here), and the mean log loss lies below that of the shares alone."""
+    train = _train(spark, sf)
+    m = models.classifier_fit(train, FEATURES, hidden=(8,), max_iter=100)
+    label = F.round(F.col("target") * 4).cast("int")
+    scored = m.transform(train).select(label.alias("class"), vector_to_array("_probability").alias("p"))
+    n_all = F.sum("n").over(Window.partitionBy())  # five rows
+    sums = scored.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.sum(-F.log(F.element_at("p", F.col("class") + 1))).alias("loss"),
+                                       *[F.sum(F.element_at("p", k + 1)).alias(f"p{k}") for k in range(models.N_CLASSES)])
+    each = sums.select("class", "n", "loss", n_all.alias("all"), F.sum("loss").over(Window.partitionBy()).alias("whole"),
+                       F.array(*[F.sum(f"p{k}").over(Window.partitionBy()) for k in range(models.N_CLASSES)]).alias("mass"))
+    share, chance = F.col("n") / F.col("all"), F.sum(-F.col("n") * F.log(F.col("n") / F.col("all"))).over(Window.partitionBy())
+    return each.select("class", "n", (F.abs(F.element_at("mass", F.col("class") + 1) / F.col("all") - share) < 0.01).alias("balanced"),
+                       (F.col("whole") <= chance * (1 + 1e-9)).alias("below_chance"))
+
+
 _WF_SQL = with_views(f"""
 WITH tr AS (SELECT *, cast(floor(era / 14) AS INTEGER) AS step FROM tourney),
 g AS (SELECT step, count(*) AS n_train, {sqlgen.gram_sums(_OLS_COLS, 'target')} FROM tr GROUP BY step),
