@@ -144,7 +144,7 @@ def q_classifier_balance(spark, sf):
     """M3's fit: where the loss is least, its slope along the output biases is none, so the mean probability of each class is the
     class's share (within a hundredth here), and the mean log loss lies below that of the shares alone."""
     train = _train(spark, sf)
-    m = models.classifier_fit(train, FEATURES, hidden=(8,), max_iter=100)
+    m = models.classifier_fit(train, FEATURES, hidden=(8,), max_iter=500)
     label = F.round(F.col("target") * 4).cast("int")
     scored = m.transform(train).select(label.alias("class"), vector_to_array("_probability").alias("p"))
     n_all = F.sum("n").over(Window.partitionBy())  # five rows
