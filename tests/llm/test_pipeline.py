@@ -54,5 +54,5 @@ def test_entry_registers_all():
     import __spark_entry__ as entry
 
     got = set(entry.queries())
-    assert {"pipeline"} | {n for n in got if n.startswith("op")} >= {"pipeline"} and len([n for n in got if n.startswith("op")]) == 10
+    assert "pipeline" in got and sorted(int(n[2:].split("_")[0]) for n in got if n.startswith("op")) == list(range(1, 14))
     assert P.ORACLE_SQL is None and "pipeline" not in entry.oracle_sql()
