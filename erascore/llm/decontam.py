@@ -1,22 +1,23 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark passages form a TF-IDF matrix (document frequencies over all documents). Its leading right singular
-vectors are found by a randomised SVD on Spark: a range finder ``Y = A (A' A G)`` on distributed sparse rows, with
-only the small Gram matrices on the driver. Each word then has a latent vector. Documents are read as
-overlapping windows of about a passage's length. A candidate is every window that, with the words around it, has as many
-words in common with the passage (each as often as the passage has it) as verification asks for: no window that
-could be verified is left out, whichever words were changed. A candidate is verified on the document's words around the
-window: by the longest common subsequence with the passage (``copy`` of its words or more: a copy), or as a
-paraphrase (``paraphrase`` or more, and the passage's answer found whole and in order). The answer is what follows the
-last ``Answer:`` or ``A:``, else the last sentence. The cosine reported is the largest of the candidate windows to the
-passage in the latent space; it excludes none.
-
-The latent space is fitted on the benchmark's passages, in blocks of at most ``BLOCK`` items, so what is sent to the
-tasks is bounded; every word of every document is searched.
-
-Defined cases: null or wordless texts and items contain nothing; a passage of fewer than ``MIN_WORDS`` words is too
-unspecific and is never reported; repeated rows are reported once per doc_id; empty tables give an empty
-result; further columns are ignored.
+Benchmark passages form TF-IDF matrices (document frequencies over all documents, the root of the idf as weight), one for each
+block of passages. The leading right singular vectors are found by a randomised SVD on Spark: a range finder
+``Y = A (A' A G)`` on distributed sparse rows, with only the small Gram matrices on the driver. Each word then has a
+latent vector. Documents are read as overlapping windows a third longer than the passage, one from every ``STEP``-th word on.
+Candidates are the windows near the passage by the cosine in the latent space. The bound is each passage's own: a window that
+verification could accept holds ``PARAPHRASE`` of the passage's words, and shows at least as much of the passage as those of
+its words that weigh least; ``SLACK`` of that is asked for, as the dimensions left out blur it.
+
+A candidate is verified on the document's words around it: by the words in common, then by the longest common subsequence with
+the passage (``COPY`` of its words or more: a copy), or as a paraphrase (``PARAPHRASE`` or more, and the passage's answer found
+whole and in order). The answer is what follows the last ``Answer:`` or ``A:``, else the last sentence.
+
+A space is fitted on a block of at most ``BLOCK`` passages, and one scan of the documents serves the blocks of
+``SCAN_WORDS`` words of passages, so what is sent to the tasks is bounded; every word of every document is searched.
+
+Defined cases: null or wordless texts and items contain nothing; a passage of fewer than ``MIN_WORDS`` words is a copy where
+its words stand in a document in a row; repeated rows of the benchmark count once, of the documents once per doc_id; empty
+tables give an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -32,12 +34,17 @@ from pyspark.sql import functions as F
 
 from .common import scratch, staged, text_or_empty
 
-RANK, OVERSAMPLE, SEED = 256, 8, 7
+OVERSAMPLE, SEED = 8, 7
+#: Dimensions of a block's space: this share of its passages; all of them up to MIN_RANK passages.
+RANK_SHARE, MIN_RANK = 0.8, 64
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.9
-MIN_WORDS, BLOCK = 8, 256
-#: A window has as many blocks of STEP words as hold the passage wherever it begins.
+#: Passages of fewer words are sought word for word. BLOCK passages share a latent space, SCAN_WORDS words of passages a scan.
+MIN_WORDS, BLOCK, SCAN_WORDS = 8, 256, 100_000
+#: What a candidate must show of the least that a verified window would show were no dimension left out.
+SLACK = 0.85
+#: Windows begin at every STEP-th word.
 STEP = 8
-#: Blocks whose counts are held at a time.
+#: Blocks of STEP words whose windows are held at a time.
 SEGMENT = 4096
 _WORD = re.compile(r"\w+")
 
@@ -137,7 +144,7 @@ def _inverse_root(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return value, vec / np.sqrt(value)
 
 
-def randomised_svd(entries: DataFrame, rank: int = RANK, oversample: int = OVERSAMPLE, seed: int = SEED) -> tuple[DataFrame, np.ndarray]:
+def randomised_svd(entries: DataFrame, rank: int, oversample: int = OVERSAMPLE, seed: int = SEED) -> tuple[DataFrame, np.ndarray]:
     """Right singular vectors (word, vec) and singular values of the sparse matrix ``entries`` (row, word, value).
 
     One power iteration. Rows and word vectors stay distributed; the driver sees Gram matrices of the rank's size."""
@@ -171,65 +178,129 @@ def randomised_svd(entries: DataFrame, rank: int = RANK, oversample: int = OVERS
     return staged(_times(b, "word", right[:, :rank]), "svd-right"), np.sqrt(value[:rank])
 
 
-def overlaps(words: np.ndarray, texts: np.ndarray, holders: tuple, spans: np.ndarray, blocks: int) -> np.ndarray:
-    """(blocks, items): how many words of each passage, with their number in it, the span of blocks from each block on has.
-
-    words: numbers of the words laid in blocks of STEP, texts: the text of each block, holders: CSR rows word -> (item, times).
-    A word adds to the spans that begin behind its times-th last place before."""
-    start, item, times = holders
-    place = np.flatnonzero(start[words + 1] > start[words])
-    block = place // STEP
-    text, word = texts[block], words[place]
-    order = np.lexsort((place, word, text))
-    block, text, word = block[order], text[order], word[order]
-    many = start[word + 1] - start[word]
-    entry = np.repeat(np.arange(len(word)), many)
-    held = np.arange(len(entry)) - np.repeat(np.cumsum(many) - many, many) + start[word][entry]
-    owner, earlier = item[held], entry - times[held]
-    before = np.maximum(earlier, 0)
-    same = (earlier >= 0) & (word[before] == word[entry]) & (text[before] == text[entry])
-    last = block[entry]
-    begin = np.maximum(last - spans[owner] + 1, np.where(same, block[before] + 1, 0))
-    begin = np.maximum(begin, 0)
-    able = begin <= last
-    size = (blocks + 1) * len(spans)
-    change = np.bincount((begin * len(spans) + owner)[able], minlength=size) - np.bincount(((last + 1) * len(spans) + owner)[able], minlength=size)
-    return np.cumsum(change.reshape(blocks + 1, -1).astype(np.int32), axis=0)[:blocks]
-
-
-def candidates(at: list[np.ndarray], unknown: int, holders: tuple, shapes: np.ndarray) -> dict:
-    """(text, item) -> (passage words there at most, first word, end) of the windows found in texts given as word numbers.
-
-    shapes: (blocks of a window, blocks around on each side, words needed, words taken as found) of each item. Every window is found that has the
-    words needed, with what is around it: fewer words in common cannot make a longer common subsequence."""
-    window, around, need, given = shapes.T
-    spans, margin = window + 2 * around, int((window + 2 * around).max())
-    # what is around the first window begins before the text: unknown words there, and behind the last
-    lead = int(around.max())
-    sizes = np.array([-(-len(x) // STEP) + lead for x in at])
+class Space(NamedTuple):
+    """The latent space of a block of passages, and what verification asks of each."""
+
+    number: np.ndarray  # the row of each word sent to the tasks
+    matrix: np.ndarray  # weighted latent vectors of the words; the last row, of unknown words, is zero
+    unit: np.ndarray  # latent vectors of the passages, of length one
+    norm: np.ndarray  # their lengths before
+    least: np.ndarray  # the share of its length that a passage must show in a window
+    blocks: np.ndarray  # blocks of a window
+    need: np.ndarray  # words in common without which no window is verified
+    times: np.ndarray  # (passage, word): how often it has it
+    passages: list  # (item_id, words, answer)
+
+
+def space_of(items: list[tuple], known: dict[str, int], latent: dict[str, np.ndarray], weight: dict[str, float],
+             need_share: float, slack: float = SLACK) -> Space:
+    """The space of ``items`` (item_id, words, answer); ``latent``: word -> vector.
+
+    A window that is verified holds at least ``need_share`` of the passage's words. The least it then shows of the passage is
+    what the passage's lightest words show: that, times ``slack``, is asked of a candidate."""
+    names = sorted(latent)
+    own = {w: i for i, w in enumerate(names)}
+    number = np.full(len(known) + 1, len(names), np.int64)
+    number[[known[w] for w in names]] = np.arange(len(names))
+    rank = len(latent[names[0]])
+    matrix = np.array([latent[w] * weight[w] for w in names] + [np.zeros(rank)], np.float32)
+    vec, least, blocks, need = [], [], [], []
+    times = np.zeros((len(items), len(names) + 1), np.uint16)
+    for i, (_, words, _) in enumerate(items):
+        vec.append(matrix[[own[w] for w in words]].sum(axis=0))
+        for w, n in Counter(words).items():
+            times[i, own[w]] = min(n, 65_535)
+        need.append(next(n for n in range(len(words) + 1) if n / len(words) >= need_share))
+        light = sorted(words, key=lambda w: (weight[w], w))[:need[-1]]
+        square = max(float(vec[-1] @ vec[-1]), 1e-30)
+        least.append(slack * max(float(matrix[[own[w] for w in light]].sum(axis=0) @ vec[-1]) / square, 0.0))
+        blocks.append(-(-(len(words) + len(words) // 3 + STEP - 1) // STEP))
+    vec = np.array(vec, np.float32)
+    norm = np.maximum(np.sqrt((vec**2).sum(axis=1)), 1e-15)
+    return Space(number, matrix, vec / norm[:, None], norm, np.array(least, np.float32), np.array(blocks), np.array(need), times, items)
+
+
+def in_common(laid: np.ndarray, low: np.ndarray, high: np.ndarray, width: int, item: np.ndarray, space: Space) -> np.ndarray:
+    """How many words of its passage, with their number in it, each stretch [low, high) of at most ``width`` words has;
+    where even all places of such words are too few, their number."""
+    out = np.empty(len(item), np.int64)
+    unknown, step = len(space.matrix) - 1, max(1, 2_000_000 // width)
+    for at in range(0, len(item), step):
+        part = slice(at, at + step)
+        place = low[part, None] + np.arange(width)
+        words = np.where(place < high[part, None], laid[np.minimum(place, len(laid) - 1)], unknown)
+        held = space.times[item[part, None], words]
+        out[part] = (held > 0).sum(axis=1)
+        able = np.flatnonzero(out[part] >= space.need[item[part]])
+        key, count = np.unique((able[:, None] * (unknown + 1) + words[able])[held[able] > 0], return_counts=True)
+        who, word = np.divmod(key, unknown + 1)
+        kept = np.minimum(count, space.times[item[part][who], word])
+        out[at + able] = np.bincount(who, kept, minlength=len(words))[able].astype(np.int64)
+    return out
+
+
+def candidates(at: list[np.ndarray], space: Space) -> dict:
+    """(text, passage) -> (words in common, first word, end, cosine) of the windows near the passage in the latent space.
+
+    A window begins at each block of STEP words and is a third longer than the passage. It is a candidate where its
+    cosine to the passage, for a window longer than the passage taken as if it were as long, reaches ``least``; then where it
+    has, with half a passage around it, the words in common that a verdict needs."""
+    unknown = len(space.matrix) - 1
+    sizes = np.array([-(-len(x) // STEP) for x in at])
     first = np.cumsum(sizes) - sizes
-    laid = np.full((int(sizes.sum()) + margin) * STEP, unknown, np.int64)
-    for begin, x in zip((first + lead) * STEP, at, strict=True):
-        laid[begin:begin + len(x)] = x
+    total, longest = int(sizes.sum()), int(space.blocks.max())
+    laid = np.full(total * STEP, unknown, np.int64)
+    for begin, x in zip(first * STEP, at, strict=True):
+        laid[begin:begin + len(x)] = space.number[x]
     owner = np.repeat(np.arange(len(at)), sizes)
+    bound = (first + sizes)[owner]  # the block behind a block's text
     found: dict = {}
-    for lo in range(0, len(owner), SEGMENT):
-        hi = min(lo + SEGMENT, len(owner))
-        texts = np.concatenate([owner[lo:hi + margin], np.full(max(0, hi + margin - len(owner)), len(at))])
-        # a span that reaches into the next text counts its words too: that only makes more candidates
-        count = overlaps(laid[lo * STEP:(hi + margin) * STEP], texts, holders, spans, hi - lo + margin)[:hi - lo]
-        for s, i in zip(*np.nonzero(count >= need - given), strict=True):
-            text = int(owner[lo + s])
-            begin = int(lo + s + around[i] - first[text] - lead) * STEP
-            if 0 <= begin < len(at[text]):
-                found.setdefault((text, int(i)), []).append((int(count[s, i] + given[i]), begin, begin + int(window[i]) * STEP))
+    for lo in range(0, total, SEGMENT):
+        hi, top = min(lo + SEGMENT, total), min(lo + SEGMENT + longest, total)
+        sums = np.zeros((top - lo + 1, space.matrix.shape[1]), np.float32)
+        for some in range(lo, top, 512):
+            end = min(some + 512, top)
+            sums[some - lo + 1:end - lo + 1] = space.matrix[laid[some * STEP:end * STEP]].reshape(end - some, STEP, -1).sum(axis=1)
+        np.cumsum(sums, axis=0, out=sums)
+        start = np.arange(lo, hi)
+        for blocks in np.unique(space.blocks):
+            mine = np.flatnonzero(space.blocks == blocks)
+            end = np.minimum(start + blocks, bound[lo:hi])
+            window = sums[end - lo] - sums[:hi - lo]
+            length = np.sqrt(np.einsum("ij,ij->i", window, window))
+            shown = window @ space.unit[mine].T
+            near = shown >= space.least[mine] * np.maximum(length[:, None], space.norm[mine])
+            block, which = np.nonzero(near)
+            if not len(block):
+                continue
+            item, text = mine[which], owner[lo + block]
+            around = np.array([len(space.passages[i][1]) // 2 for i in mine])[which]
+            low = np.maximum((lo + block) * STEP - around, first[text] * STEP)
+            high = np.minimum(end[block] * STEP + around, bound[lo + block] * STEP)
+            common = in_common(laid, low, high, int((high - low).max()), item, space)
+            for j in np.flatnonzero(common >= space.need[item]):
+                begin = int(lo + block[j] - first[text[j]]) * STEP
+                cosine = float(shown[block[j], which[j]] / max(length[block[j]], 1e-15))
+                place = (int(common[j]), begin, begin + int(end[block[j]] - lo - block[j]) * STEP, cosine)
+                found.setdefault((int(text[j]), int(item[j])), []).append(place)
+    return found
+
+
+def verbatim(at: np.ndarray, anchors: dict) -> set:
+    """The short passages that a text holds word for word. anchors: a word of each -> (its place, the words, the passage)."""
+    found: set = set()
+    for place in np.flatnonzero(np.isin(at, list(anchors))) if anchors else ():
+        for before, words, item in anchors[int(at[place])]:
+            begin = int(place) - before
+            if item not in found and begin >= 0 and at[begin:begin + len(words)].tolist() == words:
+                found.add(item)
     return found
 
 
 def verdict(words: list[str], passage: list[str], reply: list[str], ranges: list, copy: float, paraphrase: float, answer: float) -> tuple | None:
     """The best (lcs, answer) of the windows that hold the passage; those with the most words in common are tried first."""
     best = None
-    for common, begin, end in sorted(ranges, reverse=True):
+    for common, begin, end, _ in sorted(ranges, reverse=True):
         if best and (common < best[0] * len(passage) or best[0] == 1 and best[1] == (1 if reply else 0)):
             break
         around = words[max(0, begin - len(passage) // 2):end + len(passage) // 2]
@@ -240,60 +311,34 @@ def verdict(words: list[str], passage: list[str], reply: list[str], ranges: list
     return best
 
 
-def nearest(at: np.ndarray, matrix: np.ndarray, vec: np.ndarray, ranges: list) -> float:
-    """The largest cosine of the windows to the passage's latent vector."""
-    best = 0.0
-    for _, begin, end in ranges:
-        win = matrix[at[max(0, begin):end]].sum(axis=0)
-        norm = float(np.linalg.norm(win))
-        best = max(best, float(win @ vec) / norm if norm > 0 else 0.0)
-    return best
-
-
-def search(docs: DataFrame, items: list[tuple], latent: dict[str, np.ndarray], idf: dict[str, float],
+def search(docs: DataFrame, spaces: list[Space], known: dict[str, int], short: list[tuple],
            copy: float = COPY, paraphrase: float = PARAPHRASE, answer: float = ANSWER) -> DataFrame:
     """(doc_id, item_id, cosine, lcs, answer, kind): the best verified window of each document and passage.
 
-    items: (item_id, text) of one block, latent: word -> vector; both are sent to the tasks."""
-    spark = docs.sparkSession
-    known = {w: i for i, w in enumerate(latent)}
-    matrix = np.array([latent[w] * idf[w] for w in known], np.float32).reshape(len(known), -1)
-    matrix = np.concatenate([matrix, np.zeros((1, matrix.shape[1]), np.float32)])  # the last: unknown words
-    passages, shapes, held = [], [], [[] for _ in range(len(known) + 1)]
-    for item_id, text in items:
-        words = words_of(text)
-        if len(words) >= MIN_WORDS:
-            vec = matrix[[known.get(w, len(known)) for w in words]].sum(axis=0)
-            blocks = -(-(len(words) + STEP - 1) // STEP)
-            # the least of words in common with which verdict() can agree
-            need = next(n for n in range(len(words) + 1) if n / len(words) >= min(copy, paraphrase))
-            # the commonest words are not counted but taken as found, up to half of the words needed: that loses none
-            given, counted = 0, Counter(words)
-            for w in sorted(counted, key=lambda w: (idf[w], w)):
-                if given + counted[w] <= need // 2:
-                    given += counted[w]
-                else:
-                    held[known[w]].append((len(passages), counted[w]))
-            shapes.append((blocks, -(-(len(words) // 2) // STEP), max(need, 1), given))
-            passages.append((item_id, words, answer_of(text), vec / max(float(np.linalg.norm(vec)), 1e-30)))
-    holders = (np.cumsum([0, *map(len, held)]), *(np.array([x[k] for h in held for x in h], np.int64) for k in (0, 1)))
-    sent = spark.sparkContext.broadcast((known, matrix, passages, np.array(shapes, np.int64).reshape(-1, 4), holders))
+    short: (item_id, words) of the passages sought word for word. All is sent to the tasks."""
+    anchors: dict = {}
+    for item_id, words in short:
+        place = max(range(len(words)), key=lambda i: (len(words[i]), -i))  # a long word is rarely a common one
+        anchors.setdefault(known[words[place]], []).append((place, [known[w] for w in words], item_id))
+    sent = docs.sparkSession.sparkContext.broadcast((known, spaces, anchors))
 
     def rows(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        known, matrix, passages, shapes, holders = sent.value
-        unknown = len(matrix) - 1
+        known, spaces, anchors = sent.value
+        unknown = len(known)
 
         def verified(texts: list[tuple]) -> pa.RecordBatch:
             out: list[tuple] = []
-            hits = candidates([x[2] for x in texts], unknown, holders, shapes) if texts and passages else {}
-            for (t, i), ranges in hits.items():
-                item_id, passage, reply, vec = passages[i]
-                best = verdict(texts[t][1], passage, reply, ranges, copy, paraphrase, answer)
-                if best:
-                    cos = nearest(texts[t][2], matrix, vec, ranges)
-                    out.append((texts[t][0], item_id, round(cos, 4), round(best[0], 4), round(best[1], 4), "copy" if best[0] >= copy else "paraphrase"))
+            for doc, _, at in texts:
+                out += [(doc, item_id, 1.0, 1.0, 1.0, "copy") for item_id in verbatim(at, anchors)]
+            for space in spaces if texts else ():
+                for (t, i), ranges in candidates([x[2] for x in texts], space).items():
+                    item_id, passage, reply = space.passages[i]
+                    best = verdict(texts[t][1], passage, reply, ranges, copy, paraphrase, answer)
+                    if best:
+                        kind = "copy" if best[0] >= copy else "paraphrase"
+                        out.append((texts[t][0], item_id, round(max(r[3] for r in ranges), 4), round(best[0], 4), round(best[1], 4), kind))
             cols = zip(*out, strict=True) if out else [[]] * 6
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.string())
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "item_id", "cosine", "lcs", "answer", "kind"])
@@ -302,7 +347,7 @@ def search(docs: DataFrame, items: list[tuple], latent: dict[str, np.ndarray], i
             held, size = [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 words = words_of(text.as_py())
-                if len(words) >= MIN_WORDS:
+                if words:
                     held.append((doc, words, np.fromiter(map(known.get, words, repeat(unknown)), np.int64, len(words))))
                     size += len(words)
                 if size > 40_000:
@@ -316,30 +361,49 @@ def search(docs: DataFrame, items: list[tuple], latent: dict[str, np.ndarray], i
     return hits.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.cosine", "best.lcs", "best.answer", "best.kind")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, block: int = BLOCK) -> DataFrame:
+def _groups(bench: DataFrame, words: int) -> Iterator[list[tuple]]:
+    """The passages (item_id, words, answer) that one scan of the documents serves: as many as ``words`` words, one at least."""
+    group, size = [], 0
+    for r in bench.toLocalIterator():
+        found = words_of(r["text"])
+        if group and size + len(found) > words:
+            yield group
+            group, size = [], 0
+        if found:
+            group.append((r["item_id"], found, answer_of(r["text"])))
+            size += len(found)
+    if group:
+        yield group
+
+
+def rank_for(items: int, share: float = RANK_SHARE, least: int = MIN_RANK) -> int:
+    return min(items, max(least, int(np.ceil(share * items))))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK, share: float = RANK_SHARE, least: int = MIN_RANK,
+                 scan_words: int = SCAN_WORDS) -> DataFrame:
     """(doc_id, item_id, cosine, lcs, answer, kind) of every document that holds a benchmark passage."""
     spark: SparkSession = docs.sparkSession
-    bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
-    blocks = -(-bench.count() // block)
+    bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")).distinct()
+    bench = staged(bench.orderBy("item_id", "text"), "decontam-passages")
     out = None
-    for b in range(blocks):
-        part = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        items = [tuple(r) for r in part.collect()]  # about `block` passages
-        vocabulary = spark.sparkContext.broadcast({w: None for _, t in items for w in words_of(t)})
-        if not vocabulary.value:
-            continue
-        counts = {r["word"]: r["docs"] for r in document_frequencies(docs, vocabulary).collect()}  # the block's words
+    for group in _groups(bench, scan_words):
+        known = {w: i for i, w in enumerate(dict.fromkeys(w for _, words, _ in group for w in words))}
+        vocabulary = spark.sparkContext.broadcast(dict.fromkeys(known))
+        counts = {r["word"]: r["docs"] for r in document_frequencies(docs, vocabulary).collect()}  # the group's words
         total = counts.get("", 0)
-        idf = {w: float(np.log((1 + total) / (1 + counts.get(w, 0)))) + 1e-3 for w in vocabulary.value}
-        tf: list[tuple] = []
-        for row, (_, text) in enumerate(items):
-            words = words_of(text)
-            tf += [(row, w, words.count(w) * idf[w]) for w in dict.fromkeys(words)]
-        with scratch(spark):
-            entries = staged(spark.createDataFrame(tf, "row long, word string, value double"), "svd-entries")
-            right, _ = randomised_svd(entries, min(rank, len(items)))
-            latent = {r["word"]: np.array(r["vec"]) for r in right.collect()}  # the block's words
-        hits = search(docs, items, latent, idf)
+        weight = {w: float(np.sqrt(np.log((1 + total) / (1 + counts.get(w, 0))) + 1e-3)) for w in known}
+        whole = [x for x in group if len(x[1]) >= MIN_WORDS]
+        spaces = []
+        for at in range(0, len(whole), block):
+            items = whole[at:at + block]
+            tf = [(row, w, n * weight[w]) for row, (_, words, _) in enumerate(items) for w, n in Counter(words).items()]
+            with scratch(spark):
+                entries = staged(spark.createDataFrame(tf, "row long, word string, value double"), "svd-entries")
+                right, _ = randomised_svd(entries, rank_for(len(items), share, least))
+                latent = {r["word"]: np.array(r["vec"]) for r in right.collect()}  # the block's words
+            spaces.append(space_of(items, known, latent, weight, min(COPY, PARAPHRASE)))
+        hits = search(docs, spaces, known, [x[:2] for x in group if len(x[1]) < MIN_WORDS])
         out = hits if out is None else out.unionByName(hits)
     if out is None:
         return spark.createDataFrame([], "doc_id long, item_id long, cosine double, lcs double, answer double, kind string")

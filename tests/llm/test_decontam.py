@@ -81,6 +81,8 @@ def test_copies_and_paraphrases_are_found_and_nothing_else(spark, sf_dir):
     assert len(want & got) >= 0.99 * len(want) and not got - want
     split = {(r["doc_id"], r["item_id"]) for r in D.contaminated(frame, bench, block=15).collect()}
     assert split == got  # the blocks a benchmark is taken in change nothing
+    scans = {(r["doc_id"], r["item_id"]) for r in D.contaminated(frame, bench, scan_words=900).collect()}
+    assert scans == got  # nor the scans
 
 
 def test_every_exact_copy_of_the_query(spark, sf_dir):
@@ -141,3 +143,58 @@ def test_long_passages_are_found_at_every_length(spark):
     found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(d, i) for i, _ in items for d in (i, -i)}
     assert all(r["lcs"] == 1 for r in found if r["doc_id"] > 0)
+
+
+def changed(items, often, seed):
+    """(passage, words) of each passage whole, and with 15 to 40 % of its words replaced, the rarest or any, spread or not."""
+    rnd = random.Random(seed)
+    for k, (_, passage) in enumerate(items):
+        words, reply = D.words_of(passage), len(D.answer_of(passage))
+        rare = sorted(range(len(words)), key=lambda i: (often[words[i]], i))
+        body = range(len(words) - reply)
+        for places in ([], rare[:int(0.2 * len(words))], rnd.sample(body, min(len(body), int(0.35 * len(words)))),
+                       [i for i in rare if i in body][:int(0.4 * len(words))]):
+            yield k, [f"other{k}" if i in places else w for i, w in enumerate(words)]
+
+
+def test_recall_with_dimensions_left_out(spark, sf_dir):
+    root = sf_dir.replace("sf0.001", "sf0.1")
+    hosts = [D.words_of(r["text"]) for r in spark.read.parquet(f"{root}/documents.parquet").orderBy("doc_id").limit(600).select("text").collect()]
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{root}/benchmark.parquet").orderBy("item_id").collect()]
+    assert D.rank_for(len(items)) < len(items)
+    often = Counter(w for words in hosts for w in set(words))
+    rnd, docs, want = random.Random(3), [], set()
+    for n, (k, words) in enumerate(changed(items, often, 12)):
+        host = hosts[n % len(hosts)][:400]
+        at = rnd.randrange(len(host) + 1)
+        docs.append((n, " ".join([*host[:at], *words, *host[at:]])))
+        lcs = D.common_words(D.words_of(items[k][1]), words) / len(words)
+        reply = D.answer_of(items[k][1])
+        if lcs >= D.COPY or lcs >= D.PARAPHRASE and reply and D.common_words(reply, words) >= D.ANSWER * len(reply):
+            want.add((n, items[k][0]))
+    docs += [(100_000 + i, " ".join(words)) for i, words in enumerate(hosts)]
+    found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in found}
+    recall = {c: np.mean([x in got for x in want if x[0] % 4 == c]) for c in range(4)}
+    print("recall whole, 20 % rarest, 35 % any, 40 % rarest:", recall)
+    assert len(want) > 0.9 * 4 * len(items)
+    assert recall[0] == 1 and min(recall.values()) >= 0.97
+
+
+def test_short_passages_are_found_word_for_word(spark):
+    items = [(1, "Blue whales sing."), (2, "whales"), (3, "sing blue whales"), (4, "a a a b")]
+    docs = [(1, "There blue, whales sing!"), (2, "sing"), (3, "a a a a b"), (4, "Blue whales"), (5, "a a b")]
+    found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 1), (1, 2), (4, 2), (3, 4)}
+
+
+def test_the_space_decides(spark):
+    """A window that shows nothing of a passage in the space is no candidate, whatever words they share."""
+    words = [f"w{i}" for i in range(12)]
+    items, known, weight = [(1, words, [])], {w: i for i, w in enumerate(words)}, dict.fromkeys(words, 1.0)
+    text = [np.array([*[12] * 30, *range(12), *[12] * 30])]
+    true = {w: np.array([1 / 12**0.5, 0.0]) for w in words}
+    assert set(D.candidates(text, D.space_of(items, known, true, weight, 0.6))) == {(0, 0)}
+    space = D.space_of(items, known, true, weight, 0.6)
+    other = space._replace(matrix=np.ascontiguousarray(space.matrix[:, ::-1]))
+    assert D.candidates(text, other) == {}
