@@ -47,10 +47,17 @@ STEP = 8
 #: Blocks of STEP words whose windows are held at a time.
 SEGMENT = 4096
 _WORD = re.compile(r"\w+")
+#: Latin-1 characters as they are in words, else a space.
+_LETTERS = bytes(c if _WORD.match(chr(c)) else 32 for c in range(256))
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    """``\\w+`` of the lower-cased text; Latin-1 texts, the most, are split without the pattern."""
+    text = (text or "").lower()
+    try:
+        return text.encode("latin-1").translate(_LETTERS).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return _WORD.findall(text)
 
 
 def answer_of(text: str | None) -> list[str]:
@@ -200,7 +207,7 @@ def space_of(items: list[tuple], known: dict[str, int], latent: dict[str, np.nda
     what the passage's lightest words show: that, times ``slack``, is asked of a candidate."""
     names = sorted(latent)
     own = {w: i for i, w in enumerate(names)}
-    number = np.full(len(known) + 1, len(names), np.int64)
+    number = np.full(len(known) + 1, len(names), np.int32)
     number[[known[w] for w in names]] = np.arange(len(names))
     rank = len(latent[names[0]])
     matrix = np.array([latent[w] * weight[w] for w in names] + [np.zeros(rank)], np.float32)
@@ -224,15 +231,16 @@ def in_common(laid: np.ndarray, low: np.ndarray, high: np.ndarray, width: int, i
     """How many words of its passage, with their number in it, each stretch [low, high) of at most ``width`` words has;
     where even all places of such words are too few, their number."""
     out = np.empty(len(item), np.int64)
-    unknown, step = len(space.matrix) - 1, max(1, 2_000_000 // width)
+    unknown, step = len(space.matrix) - 1, max(1, 500_000 // width)
+    times = space.times.ravel()
     for at in range(0, len(item), step):
         part = slice(at, at + step)
-        place = low[part, None] + np.arange(width)
-        words = np.where(place < high[part, None], laid[np.minimum(place, len(laid) - 1)], unknown)
-        held = space.times[item[part, None], words]
-        out[part] = (held > 0).sum(axis=1)
+        words = laid.take(low[part, None] + np.arange(width), mode="clip")
+        words[np.arange(width) >= (high - low)[part, None]] = unknown
+        held = times.take(words + item[part, None] * (unknown + 1)) > 0
+        out[part] = np.count_nonzero(held, axis=1)
         able = np.flatnonzero(out[part] >= space.need[item[part]])
-        key, count = np.unique((able[:, None] * (unknown + 1) + words[able])[held[able] > 0], return_counts=True)
+        key, count = np.unique((able[:, None] * (unknown + 1) + words[able])[held[able]], return_counts=True)
         who, word = np.divmod(key, unknown + 1)
         kept = np.minimum(count, space.times[item[part][who], word])
         out[at + able] = np.bincount(who, kept, minlength=len(words))[able].astype(np.int64)
@@ -249,18 +257,20 @@ def candidates(at: list[np.ndarray], space: Space) -> dict:
     sizes = np.array([-(-len(x) // STEP) for x in at])
     first = np.cumsum(sizes) - sizes
     total, longest = int(sizes.sum()), int(space.blocks.max())
-    laid = np.full(total * STEP, unknown, np.int64)
+    laid = np.full(total * STEP, unknown, np.int32)
     for begin, x in zip(first * STEP, at, strict=True):
         laid[begin:begin + len(x)] = space.number[x]
+    asked = space.least * space.norm
     owner = np.repeat(np.arange(len(at)), sizes)
     bound = (first + sizes)[owner]  # the block behind a block's text
     found: dict = {}
     for lo in range(0, total, SEGMENT):
         hi, top = min(lo + SEGMENT, total), min(lo + SEGMENT + longest, total)
         sums = np.zeros((top - lo + 1, space.matrix.shape[1]), np.float32)
-        for some in range(lo, top, 512):
-            end = min(some + 512, top)
-            sums[some - lo + 1:end - lo + 1] = space.matrix[laid[some * STEP:end * STEP]].reshape(end - some, STEP, -1).sum(axis=1)
+        for some in range(lo, top, 64):
+            end = min(some + 64, top)
+            vectors = space.matrix.take(laid[some * STEP:end * STEP], axis=0)
+            vectors.reshape(end - some, STEP, -1).sum(axis=1, out=sums[some - lo + 1:end - lo + 1])
         np.cumsum(sums, axis=0, out=sums)
         start = np.arange(lo, hi)
         for blocks in np.unique(space.blocks):
@@ -269,8 +279,9 @@ def candidates(at: list[np.ndarray], space: Space) -> dict:
             window = sums[end - lo] - sums[:hi - lo]
             length = np.sqrt(np.einsum("ij,ij->i", window, window))
             shown = window @ space.unit[mine].T
-            near = shown >= space.least[mine] * np.maximum(length[:, None], space.norm[mine])
-            block, which = np.nonzero(near)
+            block, which = np.divmod(np.flatnonzero(shown >= asked[mine]), len(mine))
+            near = shown[block, which] >= space.least[mine][which] * length[block]
+            block, which = block[near], which[near]
             if not len(block):
                 continue
             item, text = mine[which], owner[lo + block]
