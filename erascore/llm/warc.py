@@ -7,7 +7,9 @@ others revisit it.
 
 The reader checks each member (gzip checksum, WARC header, block digest). Where a check fails it searches for the next
 place at which a valid record begins -- a gzip member or, in plain archives, a version line -- goes on from there and
-logs the bytes between as a quarantined gap. One record at a time is held in memory.
+logs the bytes between as a quarantined gap. A member may hold several records: they are read one after another, each with the
+stretch of the file that was inflated for it. Of such a member that is cut off, those records stay whose block digest is right;
+of one whose bytes are wrong, none. One record at a time is held in memory, its header of any length.
 
 The shared folder is opened by ``pyarrow.fs`` in the tasks (file, hdfs, s3, gs and abfs paths).
 
@@ -42,6 +44,14 @@ class Damaged(Exception):
     """Why the bytes at a place are no valid record."""
 
 
+class Cut(Damaged):
+    """The bytes end too early."""
+
+
+class Unsound(Damaged):
+    """A member of several records that is cut off or whose bytes are wrong."""
+
+
 def _name(page_id: int | None) -> str:
     return f"<{PAGE}{'' if page_id is None else page_id}>"
 
@@ -148,50 +158,125 @@ def _checked(head: dict[str, str], block: bytes) -> tuple[dict[str, str], bytes]
     return head, block
 
 
-def _member_at(stream, at: int, chunk: int = 1 << 16) -> tuple[bytes, int]:
-    """The contents of the gzip member at ``at``, and where it ends."""
-    stream.seek(at)
-    inflate, parts, read = zlib.decompressobj(31), [], 0
-    while not inflate.eof:
-        data = stream.read(chunk)
-        if not data:
-            raise Damaged("member cut off")
-        read += len(data)
+class _Inflated:
+    """The contents of the gzip member at ``at``, read forwards, but nothing from ``stop`` on."""
+
+    def __init__(self, stream, at: int, stop: int | None = None):
+        self.stream, self.read, self.stop, self.inflate, self.tail, self.held = stream, at, stop, zlib.decompressobj(31), b"", bytearray()
+
+    def more(self, size: int = 1 << 16) -> bool:
+        """Up to ``size`` further bytes of contents; false where the member ends."""
+        if self.inflate.eof:
+            return False
+        if not self.tail:
+            self.stream.seek(self.read)
+            self.tail = self.stream.read(1 << 16 if self.stop is None else min(1 << 16, self.stop - self.read))
+            self.read += len(self.tail)
+        whole = bool(self.tail)
         try:
-            parts.append(inflate.decompress(data))
+            data = self.inflate.decompress(self.tail, size)
         except zlib.error as e:
             raise Damaged(f"gzip: {str(e)[:60]}") from None
-    return b"".join(parts), at + read - len(inflate.unused_data)
-
+        self.tail = self.inflate.unconsumed_tail
+        if not (whole or data or self.inflate.eof):
+            raise Cut("member cut off")
+        self.held += data
+        return True
 
-def _record_at(stream, at: int) -> tuple[dict[str, str], bytes, int]:
+    @property
+    def place(self) -> int:
+        """Where the bytes end that were inflated so far."""
+        return self.read - len(self.inflate.unused_data if self.inflate.eof else self.tail)
+
+    def until(self, mark: bytes) -> bytes:
+        """A header up to ``mark``, of any length."""
+        seen = 0
+        while (at := self.held.find(mark, max(0, seen - len(mark)))) < 0:
+            seen = len(self.held)
+            if seen >= 7 and not self.held.startswith(b"WARC/1."):
+                raise Damaged("no version line")
+            if not self.more():
+                raise Damaged("header cut off")
+        return self.take(at + len(mark))[:at]
+
+    def take(self, size: int) -> bytes:
+        while len(self.held) < size and self.more(max(1 << 16, size - len(self.held))):
+            pass
+        out = bytes(self.held[:size])
+        del self.held[:size]
+        return out
+
+    def ended(self) -> bool:
+        while not self.held and self.more():
+            pass
+        return not self.held
+
+
+def _sound(stream, at: int, stop: int | None = None) -> bool:
+    """Whether the member at ``at`` is there to its end; Damaged where its bytes are wrong."""
+    inner = _Inflated(stream, at, stop)
+    try:
+        while inner.more():
+            inner.held.clear()
+    except Cut:
+        return False
+    return True
+
+
+def _member_records(stream, at: int, stop: int | None = None) -> Iterator[tuple]:
+    """The records of the member at ``at``; where ``stop`` is given, of one known to be cut off there."""
+    inner, begin, first = _Inflated(stream, at, stop), at, True
+    if stop is not None:
+        _sound(stream, at, stop)
+    while True:
+        head = _headers(inner.until(b"\r\n\r\n"))
+        length = _length(head)
+        block = inner.take(length)
+        if len(block) < length or inner.take(4) != b"\r\n\r\n":
+            raise Damaged("record length differs")
+        _checked(head, block)
+        if stop is None:
+            last = inner.ended()
+            if first and not last:
+                try:
+                    whole = _sound(stream, at)
+                except Damaged as e:
+                    raise Unsound(str(e)) from None
+                if not whole:
+                    raise Unsound("member cut off")
+        elif "warc-block-digest" not in head:
+            raise Cut("member cut off")
+        else:
+            last = False
+        yield head, block, begin, inner.place
+        if last:
+            return
+        begin, first = inner.place, False
+
+
+def _records_at(stream, at: int) -> Iterator[tuple]:
+    """(headers, block, where it begins, where it ends) of the record at ``at``, or of all records of the member there."""
     stream.seek(at)
     begin = stream.read(5)
     if begin.startswith(b"\x1f\x8b\x08"):
-        data, end = _member_at(stream, at)
-        raw, sep, rest = data.partition(b"\r\n\r\n")
-        head = _headers(raw)
-        length = _length(head)
-        if not sep or rest[length:] != b"\r\n\r\n":
-            raise Damaged("record length differs")
-        return *_checked(head, rest[:length]), end
+        yield from _member_records(stream, at)
+        return
     if begin != b"WARC/":
         raise Damaged("no record here")
     stream.seek(at)
-    raw = b""
-    while b"\r\n\r\n" not in raw:
+    raw = bytearray()
+    while (found := raw.find(b"\r\n\r\n", max(0, len(raw) - 4096 - 3))) < 0:
         data = stream.read(4096)
-        if not data or len(raw) > 1 << 20:
+        if not data:
             raise Damaged("header cut off")
         raw += data
-    raw = raw.partition(b"\r\n\r\n")[0]
-    head = _headers(raw)
+    head = _headers(bytes(raw[:found]))
     length = _length(head)
-    stream.seek(at + len(raw) + 4)
+    stream.seek(at + found + 4)
     block = stream.read(length)
     if len(block) < length or stream.read(4) != b"\r\n\r\n":
         raise Damaged("record length differs")
-    return *_checked(head, block), at + len(raw) + 8 + length
+    yield *_checked(head, block), at, at + found + 8 + length
 
 
 def _next_start(stream, at: int, size: int, chunk: int = 1 << 20) -> int:
@@ -205,22 +290,47 @@ def _next_start(stream, at: int, size: int, chunk: int = 1 << 20) -> int:
     return size
 
 
+def _next_valid(stream, at: int, size: int) -> int:
+    """Where the next valid record begins, from ``at`` on."""
+    while (at := _next_start(stream, at, size)) < size:
+        try:
+            next(_records_at(stream, at))
+            return at
+        except Damaged:
+            at += 1
+    return size
+
+
+def _at(stream, at: int, size: int) -> Iterator[tuple]:
+    """The records at ``at``; then, if need be, ("gap", why, where the next may begin)."""
+    try:
+        yield from _records_at(stream, at)
+    except Unsound as e:
+        stop = _next_valid(stream, at + 1, size)
+        try:
+            yield from _member_records(stream, at, stop)
+        except Damaged:
+            yield "gap", str(e), stop
+    except Damaged as e:
+        yield "gap", str(e), _next_start(stream, at + 1, size)
+
+
 def salvage(stream, size: int) -> Iterator[tuple]:
     """("record", offset, length, headers, block) and ("gap", offset, length, reason) in the order of the file."""
     at, gap, reason = 0, None, ""
     while at < size:
-        try:
-            head, block, end = _record_at(stream, at)
-        except Damaged as e:
-            if gap is None:
-                gap, reason = at, str(e)
-            at = _next_start(stream, at + 1, size)
-            continue
-        if gap is not None:
-            yield "gap", gap, at - gap, reason
-            gap = None
-        yield "record", at, end - at, head, block
-        at = end
+        for found in _at(stream, at, size):
+            if found[0] == "gap":
+                if gap is None:
+                    gap, reason = at, found[1]
+                at = found[2]
+                continue
+            head, block, begin, end = found
+            if gap is not None:
+                yield "gap", gap, begin - gap, reason
+                gap = None
+            yield "record", begin, end - begin, head, block
+            at = end
     if gap is not None:
         yield "gap", gap, size - gap, reason
 

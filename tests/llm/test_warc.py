@@ -52,6 +52,30 @@ def test_plain_archives():
     assert read(plain[0] + plain[1][:90] + plain[2])[0] == ["0", "2"]
 
 
+def test_members_of_several_records():
+    plain = [gzip.decompress(member(i, 90_000 if i == 3 else 400)) for i in range(7)]
+    one = gzip.compress(b"".join(plain))
+    assert read(one) == ([str(i) for i in range(7)], [])
+    assert read(member(8) + one + member(9))[0] == ["8", *map(str, range(7)), "9"]
+    cut = one[:-60]  # the last record and the checksum are incomplete
+    got, gaps = read(cut)
+    assert got == [str(i) for i in range(6)] and len(gaps) == 1
+    got, gaps = read(cut + member(9))
+    assert got == [*map(str, range(6)), "9"] and len(gaps) == 1
+    wrong = bytearray(one)
+    wrong[-5] ^= 1  # the checksum differs: which record is wrong cannot be told
+    assert read(bytes(wrong) + member(9))[0] == ["9"]
+    bare = gzip.compress(b"".join(p.replace(b"WARC-Block-Digest", b"X-Digest") for p in plain))
+    assert read(bare)[0] == [str(i) for i in range(7)] and read(bare[:-60])[0] == []
+
+
+def test_headers_of_any_length():
+    long = gzip.decompress(member(1)).replace(b"http://h/1", b"http://h/" + b"x" * (3 << 20))
+    plain = [gzip.decompress(member(i)) for i in (0, 2)]
+    assert read(plain[0] + long + plain[1]) == (["0", "1", "2"], [])
+    assert read(member(0) + gzip.compress(long) + member(2)) == (["0", "1", "2"], [])
+
+
 def test_random_damage_loses_no_other_record():
     parts = [member(i) for i in range(8)]
     whole = b"".join(parts)
