@@ -1,7 +1,7 @@
 """Quality rules as a bitmask ledger.
 
-Every rule is evaluated once for each document; the ledger keeps the measurements and one bit per failed
-rule. A policy is a versioned set of rules: applying one, or asking what each of its rules alone rejects, reads only
+Every rule is evaluated once for each document; the ledger, a written table (``written_ledger``), keeps the measurements and one
+bit per failed rule. A policy is a versioned set of rules: applying one, or asking what each of its rules alone rejects, reads only
 the ledger's bits.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Measurements: n_words; word_chars (code points in words); n_symbols (characters of
@@ -15,14 +15,17 @@ gives an empty ledger; further columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from .common import staged
+
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_lower")
 WINDOW = 8
 #: Bit i of ``fail_bits`` is the i-th rule: its name, and when a document fails it (SQL over the measurements).
@@ -120,6 +123,17 @@ def ledger(docs: DataFrame) -> DataFrame:
     return measured(docs.select("doc_id", "text")).drop("text")
 
 
+def written_ledger(docs: DataFrame) -> DataFrame:
+    """The ledger as a table in the shared folder: each rule was evaluated once, whatever is asked of the bits afterwards."""
+    return staged(ledger(docs), "quality-ledger")
+
+
+def ablations(judged: DataFrame, policies: Sequence[Policy]) -> DataFrame:
+    """(policy, rule, failed, alone) of several policies over one ledger."""
+    each = [ablation(judged, p).select(F.lit(f"{p.name}/{p.version}").alias("policy"), "rule", "failed", "alone") for p in policies]
+    return reduce(DataFrame.unionByName, each)
+
+
 def kept_documents(docs: DataFrame, policy: Policy = STANDARD, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that a policy keeps, with all their columns."""
     judged = measured(docs, text, "__rule_")
@@ -149,6 +163,6 @@ def ablation(judged: DataFrame, policy: Policy = STANDARD) -> DataFrame:
 
 
 def quality_report(docs: DataFrame, policy: Policy = STANDARD) -> DataFrame:
-    judged = apply_policy(ledger(docs), policy)
+    judged = apply_policy(written_ledger(docs), policy)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          rejected(BASE).alias("base_failed"), "kept", "fail_bits")

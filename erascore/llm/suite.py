@@ -51,7 +51,7 @@ def control_example(spark: SparkSession) -> DataFrame:
 
 OP1_SQL = r"""
 WITH c AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
 ), e AS (
   SELECT *, length(regexp_replace(replace(text, '\', '\\'), '(<)(\||/?s>|</?SYS>>)|(\[)(/?INST\])', '\1\3\\\2\4', 'g'))
@@ -69,11 +69,12 @@ FROM e GROUP BY conv_id"""
 @register("op1_chat_formatting", OP1_SQL)
 def op1(spark, sf):
     rows = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(control_example(spark))
+    rows = rows.withColumn("conv_id", F.struct("conv_id"))  # rows without an id are one conversation too
     formatted = chat.format_trees(chat.chain_of_turns(rows), top=1)
     back = formatted.select("tree", "formatted", "loss_spans", chat.parse(F.col("formatted")).alias("turns"))
     back = back.withColumn("loss", chat.loss_text(F.col("formatted"), F.col("loss_spans")))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return back.select(F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+    return back.select(F.col("tree.conv_id").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
                        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
                        F.char_length("formatted").cast("long").alias("formatted_chars"))
 
@@ -139,6 +140,18 @@ def op6(spark, sf):
     return rules.quality_report(read_table(spark, sf, "documents").select("doc_id", "text"))
 
 
+_RULE_SQL = " UNION ALL ".join(
+    f"SELECT '{p.name}/{p.version}' AS policy, '{r}' AS rule, CAST(count(*) FILTER (WHERE fail_bits & {bit} <> 0) AS BIGINT) AS failed, "
+    f"CAST(count(*) FILTER (WHERE fail_bits & {p.mask} = {bit}) AS BIGINT) AS alone FROM q"
+    for p in (rules.BASE, rules.STANDARD, rules.STRICT) for r in p.rules for bit in [1 << [n for n, _ in rules.RULES].index(r)])
+
+
+@register("quality_ablation", f"WITH q AS ({OP6_SQL}) {_RULE_SQL}")
+def quality_ablation(spark, sf):
+    """What each rule of three policies rejects, and alone rejects, from one written ledger."""
+    return rules.ablations(rules.written_ledger(read_table(spark, sf, "documents").select("doc_id", "text")), (rules.BASE, rules.STANDARD, rules.STRICT))
+
+
 OP7_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
 d AS (SELECT page_id, payload_bytes, sha256(html) AS payload_digest FROM p),

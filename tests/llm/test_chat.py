@@ -83,3 +83,21 @@ def test_equal_turns_follow_role_and_text(spark):
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, msg string")
     got = read_back(chat.format_trees(chat.chain_of_turns(frame)))
     assert [t["text"] for r in got.values() for t in r["turns"]] == ["first", "a", "a", "b"]
+
+
+def test_rows_without_conversation_are_one_conversation(spark, tmp_path):
+    from erascore.llm import suite
+
+    rows = [(None, 1, "user", "hello"), (None, 2, "assistant", None), (5, 1, "assistant", "x" * 100_000), (None, 3, "assistant", "bye"), (None, None, None, None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in suite.QUERIES["op1_chat_formatting"](spark, str(tmp_path)).collect()}
+    assert got == {None: (4, 3), 5: (1, 100_000), -7: (2, 21)}
+
+
+def test_columns_that_clash_with_inner_names(spark):
+    rows = [("t", 1, None, "user", "a", 0.0), ("t", 2, 1, "assistant", "b", 1.0)]
+    plain = spark.createDataFrame(rows, "tree string, msg long, parent long, role string, text string, score double")
+    more = plain
+    for name in ("piece", "head", "body", "start", "end", "depth", "leaf", "branch", "anc", "span", "total"):
+        more = more.withColumn(name, F.lit(name))
+    assert chat.format_trees(more).collect() == chat.format_trees(plain).collect()

@@ -54,3 +54,13 @@ def test_ledger_policies_and_ablations(spark):
 def test_empty_table(spark):
     frame = documents(spark).limit(0)
     assert R.ledger(frame).collect() == [] == R.quality_report(frame).collect() == R.ablation(R.ledger(frame)).collect()
+
+
+def test_one_written_ledger_serves_every_policy(spark):
+    frame = documents(spark)
+    judged = R.written_ledger(frame)
+    assert "MapInArrow" not in judged._jdf.queryExecution().toString()  # nothing is measured again
+    got = {(r["policy"], r["rule"]): (r["failed"], r["alone"]) for r in R.ablations(judged, (R.BASE, R.STANDARD, R.STRICT)).collect()}
+    for p in (R.BASE, R.STANDARD, R.STRICT):
+        assert {k[1]: v for k, v in got.items() if k[0] == f"{p.name}/{p.version}"} == {
+            r["rule"]: (r["failed"], r["alone"]) for r in R.ablation(R.ledger(frame), p).collect()}
