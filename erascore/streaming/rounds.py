@@ -7,17 +7,22 @@ written. Rounds may come late, out of order or twice: no watermark is used, so a
 where the same ``(round, id)`` was written before, never because of its age. The state of that comparison is the
 sink itself, read for the batch's rounds only.
 
+``keyed_gate`` keeps that comparison in keyed state instead (one entry per ``(round, id)`` in RocksDB, checkpointed with the
+query): the sink is never read, and a row costs one state lookup whatever was written before.
+
 The writer is idempotent (one output folder per batch id, overwritten on replay, and never compared with
 itself), so a restarted query after an executor or driver failure does not duplicate output.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..sources.sinks import path_exists
 
@@ -45,6 +50,51 @@ def round_gate(batch: DataFrame, written: DataFrame | None, keys: Sequence[str]
     return once if written is None else once.join(written.select(*keys), keys, "left_anti")
 
 
+def _rank(value) -> tuple:
+    """Orders values as Spark does: nulls first, NaN last."""
+    if value is None:
+        return (0,)
+    if isinstance(value, float) and math.isnan(value):
+        return (2,)
+    return (1, tuple(map(_rank, value))) if isinstance(value, (list, tuple)) else (1, value)
+
+
+class _FirstDelivery(StatefulProcessor):
+    """Passes on the first delivery of a key, and remembers that it did."""
+
+    def __init__(self, order: Sequence[str], forget_after_ms: int | None):
+        self.order, self.forget_after_ms = list(order), forget_after_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", T.StructType([T.StructField("seen", T.BooleanType())]), self.forget_after_ms)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        best = min(rows, key=lambda r: tuple(_rank(r[c]) for c in self.order), default=None)
+        if best is not None and not self.seen.exists():
+            self.seen.update((True,))
+            yield best
+
+    def close(self) -> None:
+        pass
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keyed_gate(stream: DataFrame, keys: Sequence[str] = ("round", "id"), order: Sequence[str] = (), forget_after_ms: int | None = None) -> DataFrame:
+    """T2 as keyed state: the rows of a stream that were not delivered before, once per key.
+
+    The same row as ``round_gate`` takes of several deliveries. State is kept for ever, so no delivery is too late; with
+    ``forget_after_ms`` an entry is dropped that long after it was made, and a later delivery of the key counts as new. Sets the
+    session's state store to RocksDB, which this kind of state needs."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    rest = [c for c in stream.columns if c not in keys]
+    first = [c for c in order if c in rest]
+    processor = _FirstDelivery([*first, *[c for c in rest if c not in first]], forget_after_ms)
+    return stream.groupBy(*keys).transformWithState(
+        statefulProcessor=processor, outputStructType=stream.schema, outputMode="Append", timeMode="None" if forget_after_ms is None else "ProcessingTime")
+
+
 def _written(batch: DataFrame, folder: str, batch_id: int, keys: Sequence[str], fmt: str) -> DataFrame | None:
     """Keys that earlier batches wrote for the rounds of this one (partition-pruned by round)."""
     spark = batch.sparkSession
@@ -77,11 +127,14 @@ def idempotent_sink(folder: str, score: Callable[[DataFrame], DataFrame], partit
 def stream_score(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str,
                  score: Callable[[DataFrame], DataFrame], available_now: bool = True,
                  poll_seconds: int = POLL_SECONDS, keys: Sequence[str] | None = ("round", "id"), fmt: str = "parquet",
-                 max_files_per_trigger: int | None = None, order: Sequence[str] = ()):
-    """Rounds -> gate -> score -> submission files. ``available_now`` processes what has arrived
+                 max_files_per_trigger: int | None = None, order: Sequence[str] = (), keyed: bool = False):
+    """Rounds -> gate -> score -> submission files; ``keyed`` gates by state instead of by what the sink holds. ``available_now`` processes what has arrived
     and stops (a scheduled run); otherwise it polls every ``poll_seconds`` and the running
     ``StreamingQuery`` is returned (``stop()`` it to end)."""
-    writer = (read_rounds(spark, source, schema, max_files_per_trigger).writeStream
+    stream = read_rounds(spark, source, schema, max_files_per_trigger)
+    if keyed and keys is not None:
+        stream, keys = keyed_gate(stream, keys, order), None
+    writer = (stream.writeStream
               .foreachBatch(idempotent_sink(sink, score, keys=keys, fmt=fmt, order=order))
               .option("checkpointLocation", checkpoint))
     if available_now:

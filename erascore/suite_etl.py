@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .operators import projections, splits
 from .session import scratch_path
-from .sources import sinks, snapshots
+from .sources import releases, sinks, snapshots
 from .sources import readers as src
 from .sources.fixtures import FEATURES, tourney, tourney_missing, vec, with_views
 from .sources.tables import read_table
@@ -422,3 +422,18 @@ def q_load_data(spark, sf):
     train, valid, live = pipelines.load_tournament(spark, base)
     cols = ["id", "dataset", "feature_user", "target"]
     return train.select(*cols).unionByName(valid.select(*cols)).unionByName(live.select(*cols))
+
+
+@register("read_release", with_views("""
+SELECT id, era, dataset, feature_hour FROM (SELECT id, era, CASE dataset WHEN 'valid' THEN 'validation' ELSE dataset END AS dataset, feature_hour FROM tourney)
+WHERE era >= 4 AND era <= 29""", T))
+def q_read_release(spark, sf):
+    """S1 and S11 as a data source: a release of era folders and plain files, read with the filter on the era pushed down."""
+    path = scratch_path(spark, "release")
+    rows = _t(spark, sf).select("id", "era", "dataset", "feature_hour")
+    for role, own in (("train", "train"), ("validation", "valid"), ("live", "live")):
+        part = rows.where(F.col("dataset") == own).drop("dataset").write
+        (part if role == "live" else part.partitionBy("era")).parquet(f"{path}/v5/{role}.parquet")
+    releases.register(spark)
+    read = spark.read.format(releases.NAME).option("version", "v5").load(path)
+    return read.where("era >= 4 AND era <= 29").select("id", "era", "dataset", "feature_hour")

@@ -329,11 +329,11 @@ def _round_files(spark, sf) -> str:
     return folder
 
 
-def _run_stream(spark, sf, score, gate: bool = True, fmt: str = "parquet") -> str:
+def _run_stream(spark, sf, score, gate: bool = True, fmt: str = "parquet", keyed: bool = False) -> str:
     """The sink after several micro-batches of a few files each."""
     source, sink = _round_files(spark, sf), scratch_path(spark, "round_sink")
     rounds.stream_score(spark, source, _ROUND_SCHEMA, sink, scratch_path(spark, "round_ckpt"), score,
-                        keys=("round", "id") if gate else None, fmt=fmt, max_files_per_trigger=20)
+                        keys=("round", "id") if gate else None, fmt=fmt, max_files_per_trigger=20, keyed=keyed)
     return sink
 
 
@@ -355,6 +355,12 @@ def q_round_gate(spark, sf):
     return _sink_rows(spark, _run_stream(spark, sf, lambda b: b.select("round", "id"))).select("round", "id")
 
 
+@register("round_gate_keyed", with_views("SELECT era AS round, id FROM tourney", "tourney"))
+def q_round_gate_keyed(spark, sf):
+    """T2 by keyed state: the same rows, without reading the sink."""
+    return _sink_rows(spark, _run_stream(spark, sf, lambda b: b.select("round", "id"), keyed=True)).select("round", "id")
+
+
 _CHAIN = "NaN,0.5,0.5|Slice,0,4|Sparse,5,0"
 
 
