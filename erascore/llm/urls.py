@@ -15,6 +15,7 @@ repeated rows are judged each; an empty table gives an empty result; further col
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -46,23 +47,41 @@ RULES = (
 _AFTER = r"(?s)^.*?://"
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it: a column that is put into an expression several times is
+    copied there each time, and copies of copies make plans and generated code too large for the driver."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def after_scheme(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), F.regexp_replace(url, _AFTER, "")).otherwise(F.lit(""))
 
 
+def _host(rest: Column) -> Column:
+    return F.coalesce(F.translate(F.regexp_extract(rest, r"^[^/?#]*", 0), UPPER, LOWER), F.lit(""))
+
+
+def _path(rest: Column) -> Column:
+    return F.coalesce(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
+
+
 def host_of(url: Column) -> Column:
-    return F.coalesce(F.translate(F.regexp_extract(after_scheme(url), r"^[^/?#]*", 0), UPPER, LOWER), F.lit(""))
+    return _host(after_scheme(url))
 
 
 def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(after_scheme(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
+    return _path(after_scheme(url))
 
 
 def node_of(url: Column) -> Column:
     """The url without its fragment, scheme and host lower-cased; null where it has no host."""
-    rest = F.regexp_extract(after_scheme(url), r"^[^/?#]*([^#]*)", 1)
-    scheme = F.translate(F.regexp_extract(url, r"(?s)^(.*?)://", 1), UPPER, LOWER)
-    return F.when(host_of(url) != "", F.concat(scheme, F.lit("://"), host_of(url), F.when(rest == "", "/").otherwise(rest)))
+
+    def node(u: Column) -> Column:
+        scheme = F.translate(F.regexp_extract(u, r"(?s)^(.*?)://", 1), UPPER, LOWER)
+        return bound(after_scheme(u), lambda rest: bound(_host(rest), lambda host: F.when(host != "", F.concat(
+            scheme, F.lit("://"), host, bound(F.regexp_extract(rest, r"^[^/?#]*([^#]*)", 1), lambda tail: F.when(tail == "", "/").otherwise(tail))))))
+
+    return bound(url, node)
 
 
 def rule_of(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -76,40 +95,53 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Colu
 
 def resolved(target: Column, base: Column) -> Column:
     """The url that ``target`` names on a page at ``base``; null where it is empty or of a scheme without ``://``."""
+    return bound(target, lambda t: bound(base, lambda b: _resolved(t, b)))
+
+
+def _resolved(target: Column, base: Column) -> Column:
     scheme, host = F.regexp_extract(base, r"(?s)^(.*?)://", 1), F.regexp_extract(after_scheme(base), r"^[^/?#]*", 0)
-    path, tail = F.regexp_extract(target, r"^[^?#]*", 0), F.regexp_extract(target, r"^[^?#]*(.*)$", 1)
-    full = F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.regexp_extract(F.concat(F.lit("/"), F.regexp_replace(path_of(base), "^/", "")), "^.*/", 0), path))
-    # a last . or .. stands for a folder
-    parts = F.split(F.regexp_replace(F.substr(full, F.lit(2)), r"(^|/)(\.\.?)$", "$1$2/"), "/")
-    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc).when(
-        x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(x))))
     origin = F.concat(scheme, F.lit("://"), host)
+    tail = F.regexp_extract(target, r"^[^?#]*(.*)$", 1)
+
+    def on_path(path: Column) -> Column:
+        full = F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.regexp_extract(F.concat(F.lit("/"), F.regexp_replace(path_of(base), "^/", "")), "^.*/", 0), path))
+        # a last . or .. stands for a folder
+        parts = F.split(F.regexp_replace(F.substr(full, F.lit(2)), r"(^|/)(\.\.?)$", "$1$2/"), "/")
+        kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc).when(
+            x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(x))))
+        return F.when(path == "", F.concat(origin, path_of(base), tail)).otherwise(F.concat(origin, F.lit("/"), F.array_join(kept, "/"), tail))
+
     return (F.when((target == "") | (host_of(base) == "") & ~F.rlike(target, F.lit("^[A-Za-z][A-Za-z0-9+.-]*://")), F.lit(None).cast("string"))
             .when(F.rlike(target, F.lit("^[A-Za-z][A-Za-z0-9+.-]*://")), target)
             .when(F.rlike(target, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:")), F.lit(None).cast("string"))
             .when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target))
             .when(F.startswith(target, F.lit("#")), base)
-            .when(path == "", F.concat(origin, path_of(base), tail))
-            .otherwise(F.concat(origin, F.lit("/"), F.array_join(kept, "/"), tail)))
+            .otherwise(bound(F.regexp_extract(target, r"^[^?#]*", 0), on_path)))
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
     """(a, b): the node of each page and the nodes that its canonical links and refresh redirects name."""
     quoted = r"\"(?:[^\">]*\s)?canonical(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'"
     tag = rf"(?is)<(?:link\b[^>]*\brel\s*=\s*(?:{quoted}|canonical(?=[\s/>]))[^>]*|meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*)>"
-    html = F.col("html").cast("string")
-    low = F.lower(html)
-    tags = F.when(F.contains(low, F.lit("canonical")) | F.contains(low, F.lit("http-equiv")), F.regexp_extract_all(html, F.lit(tag), F.lit(0)))
-    base = F.when(F.contains(low, F.lit("<base")), F.regexp_extract(html, r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)", 1)).otherwise("")
-    found = pages.select(F.col("url"), base.alias("base"), F.explode(tags).alias("tag"))
     # a refresh may leave out url=
     delay = r"\bcontent\s*=\s*[\"']?\s*[\d.]+\s*[;,]\s*[\"']?\s*(?!url\s*=|[\"'\s])"
-    refresh = F.regexp_extract("tag", rf"(?is)(?:\burl\s*=\s*[\"']?\s*|{delay})([^\"'\s>]+)", 1)
-    href = F.regexp_extract("tag", r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)", 1)
-    named = found.select("url", F.coalesce(resolved(F.col("base"), F.col("url")), F.col("url")).alias("base"),
-                         F.when(F.rlike("tag", F.lit("(?i)^<link")), href).otherwise(refresh).alias("target"))
-    ends = named.select(node_of(F.col("url")).alias("a"), node_of(resolved(F.col("target"), F.col("base"))).alias("b"))
-    return ends.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    html, url = F.col("html").cast("string"), F.col("url")
+    low = F.lower(html)
+    tags = F.when(F.contains(low, F.lit("canonical")) | F.contains(low, F.lit("http-equiv")), F.regexp_extract_all(html, F.lit(tag), F.lit(0)))
+    based = F.when(F.contains(low, F.lit("<base")), F.regexp_extract(html, r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)", 1)).otherwise("")
+
+    def named(found: Column) -> Column:
+        refresh = F.regexp_extract(found, rf"(?is)(?:\burl\s*=\s*[\"']?\s*|{delay})([^\"'\s>]+)", 1)
+        href = F.regexp_extract(found, r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)", 1)
+        return F.when(F.rlike(found, F.lit("(?i)^<link")), href).otherwise(refresh)
+
+    def ends(found: Column) -> Column:
+        base = F.coalesce(resolved(based, url), url)
+        targets = bound(base, lambda b: F.transform(found, lambda t: node_of(resolved(named(t), b))))
+        return bound(node_of(url), lambda a: F.transform(F.filter(targets, lambda b: a.isNotNull() & b.isNotNull() & (a != b)), lambda b: F.struct(a.alias("a"), b.alias("b"))))
+
+    # outer: a filter on the rows generated stays above them, where one on the array would compute it once more
+    return pages.select(F.inline_outer(bound(tags, lambda found: F.when(F.size(found) > 0, ends(found))))).where("a IS NOT NULL")
 
 
 def judge(urls: DataFrame, edges: DataFrame, rules: tuple[Rule, ...] = RULES, default: str = "allow") -> DataFrame:
@@ -131,4 +163,5 @@ def judge(urls: DataFrame, edges: DataFrame, rules: tuple[Rule, ...] = RULES, de
 
 def url_report(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id"), F.col("url").cast("string").alias("url"), F.col("html"))
-    return judge(rows.select("page_id", "url"), link_edges(rows).distinct())
+    # written, as components read their edges more than once
+    return judge(rows.select("page_id", "url"), staged(link_edges(rows).distinct(), "url-links"))

@@ -68,3 +68,16 @@ def test_relative_redirects_spread_decisions(spark):
     rows = [(1, "http://s.net/", '<meta http-equiv="refresh" content="0; url=\'//x.com/de/1\'">'), (2, "http://x.com/start", '<link rel="alternate canonical" href="/de/1">')]
     got = {r["page_id"]: r["verdict"] for r in U.url_report(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {1: "block", 2: "block"}
+
+
+def test_plans_stay_small(spark):
+    pages = spark.createDataFrame([(1, "http://s.net/", "")], "page_id long, url string, html string")
+    assert len(U.link_edges(pages)._jdf.queryExecution().optimizedPlan().toString()) < 50_000  # once 1,069,427: parts of parts were copied in
+
+
+def test_edges_equal_those_of_plain_rows(spark):
+    """A page with several tags, bases and repeated rows; null urls and texts name no edge."""
+    html = "<base href='//b.net/w/'><link rel=canonical href=x><link rel=canonical href='x#f'><meta http-equiv=refresh content='1; /y'>"
+    rows = [(1, "http://s.net/p", html), (1, "http://s.net/p", html), (2, None, html), (3, "http://s.net/p", None), (4, "HTTP://b.net/w/x", html)]
+    got = U.link_edges(spark.createDataFrame(rows, "page_id long, url string, html string")).distinct().collect()
+    assert sorted(map(tuple, got)) == [("http://b.net/w/x", "http://b.net/y"), ("http://s.net/p", "http://b.net/w/x"), ("http://s.net/p", "http://b.net/y")]
