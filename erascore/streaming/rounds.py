@@ -8,7 +8,8 @@ where the same ``(round, id)`` was written before, never because of its age. The
 sink itself, read for the batch's rounds only.
 
 ``keyed_gate`` keeps that comparison in keyed state instead (one entry per ``(round, id)`` in RocksDB, checkpointed with the
-query): the sink is never read, and a row costs one state lookup whatever was written before.
+query): the sink is never read, and a row costs one state lookup whatever was written before. The lookup is Spark's own
+(``dropDuplicates``); which of a batch's deliveries stays is settled before it, by hashed slices of the keys.
 
 The writer is idempotent (one output folder per batch id, overwritten on replay, and never compared with
 itself), so a restarted query after an executor or driver failure does not duplicate output.
@@ -19,6 +20,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,9 +59,40 @@ def _rank(value) -> tuple:
         return (0,)
     if isinstance(value, float) and math.isnan(value):
         return (2,)
+    if isinstance(value, dict):  # a struct, as Arrow gives it
+        value = tuple(value.values())
     return (1, tuple(map(_rank, value))) if isinstance(value, (list, tuple)) else (1, value)
 
 
+SLICES = 1024  # hashed slices of the keys; one holds its part of a batch's different keys at a time
+_HASH = "__gate_hash"
+
+
+def _first_of_batch(stream: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first delivery of each key within a micro-batch, by the columns ``order``, nulls first and NaN last."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if kept is None else pa.concat_tables([kept, table])
+            _, place, count = np.unique(table.column(_HASH).to_numpy(), return_inverse=True, return_counts=True)
+            several = count[place] > 1  # the same key, or as seldom as not keys of one hash
+            best: dict[tuple, tuple] = {}
+            at = np.flatnonzero(several)
+            for i, row in zip(at.tolist(), table.take(at).to_pylist() if len(at) else [], strict=True):
+                key, rank = tuple(_rank(row[c]) for c in keys), tuple(_rank(row[c]) for c in order)
+                if key not in best or rank < best[key][0]:
+                    best[key] = (rank, i)
+            several[[i for _, i in best.values()]] = False
+            kept = table.take(np.flatnonzero(~several))
+        if kept is not None:
+            yield from kept.drop_columns([_HASH, "__gate_slice"]).to_batches()
+
+    hashed = stream.withColumn(_HASH, F.xxhash64(*keys))
+    return hashed.withColumn("__gate_slice", F.pmod(_HASH, F.lit(SLICES))).groupBy("__gate_slice").applyInArrow(rows, stream.schema)
+
+
 class _FirstDelivery(StatefulProcessor):
     """Passes on the first delivery of a key, and remembers that it did."""
 
@@ -85,14 +119,16 @@ def keyed_gate(stream: DataFrame, keys: Sequence[str] = ("round", "id"), order:
     """T2 as keyed state: the rows of a stream that were not delivered before, once per key.
 
     The same row as ``round_gate`` takes of several deliveries. State is kept for ever, so no delivery is too late; with
-    ``forget_after_ms`` an entry is dropped that long after it was made, and a later delivery of the key counts as new. Sets the
-    session's state store to RocksDB, which this kind of state needs."""
+    ``forget_after_ms`` an entry is dropped that long after it was made, and a later delivery of the key counts as new: such entries
+    are kept by a stateful processor in Python, at two calls to the state a key. Sets the session's state store to RocksDB."""
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     rest = [c for c in stream.columns if c not in keys]
     first = [c for c in order if c in rest]
-    processor = _FirstDelivery([*first, *[c for c in rest if c not in first]], forget_after_ms)
+    ranked = [*first, *[c for c in rest if c not in first]]
+    if forget_after_ms is None:
+        return (_first_of_batch(stream, keys, ranked) if rest else stream).dropDuplicates(list(keys))
     return stream.groupBy(*keys).transformWithState(
-        statefulProcessor=processor, outputStructType=stream.schema, outputMode="Append", timeMode="None" if forget_after_ms is None else "ProcessingTime")
+        statefulProcessor=_FirstDelivery(ranked, forget_after_ms), outputStructType=stream.schema, outputMode="Append", timeMode="ProcessingTime")
 
 
 def _written(batch: DataFrame, folder: str, batch_id: int, keys: Sequence[str], fmt: str) -> DataFrame | None:

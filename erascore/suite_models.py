@@ -324,8 +324,9 @@ def _round_files(spark, sf) -> str:
     folder = scratch_path(spark, "rounds")
     ev = read_table(spark, sf, "events").select(F.col("event_id").cast("string").alias("id"), F.col("ts").alias("arrival"))
     rows = tourney(spark, sf).join(ev, "id").select("id", "arrival", *FEATURES, F.col("era").alias("round"))
+    half = F.pmod(F.xxhash64("id"), F.lit(2))  # two files a round; the join before keeps its width
     for part in (F.col("round") >= LATE, F.col("round") < LATE, F.col("round").isin(*TWICE)):
-        rows.where(part).coalesce(2).write.mode("append").partitionBy("round").parquet(folder)
+        rows.where(part).repartition("round", half).write.mode("append").partitionBy("round").parquet(folder)
     return folder
 
 

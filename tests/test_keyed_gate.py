@@ -40,3 +40,28 @@ def test_the_gate_reads_no_sink(spark):
     out = spark.read.parquet(sink)
     assert out.count() == 60 == out.select("round", "id").distinct().count()
     assert out.where(F.col("at") != F.col("id").cast("long")).count() == 0
+
+
+def test_keys_are_looked_up_without_python(spark):
+    """The state is Spark's own: at two calls from Python a key, a million keys were not done after 110 seconds."""
+    source = scratch_path(spark, "src")
+    _deliver(spark, source, [(1, "a", 1, 0.0)])
+    plan = rounds.keyed_gate(rounds.read_rounds(spark, source, spark.read.parquet(source).schema))._jdf.queryExecution().analyzed().toString()
+    assert "Deduplicate" in plan and "TransformWithState" not in plan
+
+
+def test_first_of_a_batch_among_many(spark):
+    """Thousands of conflicting deliveries in one batch, nulls, NaN, structs and null keys among them."""
+    source, sink = scratch_path(spark, "src"), scratch_path(spark, "sink")
+    at = F.when(F.col("i") % 11 == 0, None).otherwise(F.hash("i") % 50)
+    v = F.when(F.col("i") % 7 == 0, float("nan")).when(F.col("i") % 5 == 0, None).otherwise((F.hash("i", F.lit(1)) % 9).cast("double"))
+    rows = spark.range(6000).withColumnRenamed("id", "i").select(
+        F.when(F.col("i") % 13 > 0, F.col("i") % 3).cast("int").alias("round"), (F.col("i") % 997).cast("string").alias("id"),
+        at.alias("at"), v.alias("v"), F.struct(v.alias("x"), F.array(at).alias("y")).alias("s"))
+    rows.write.parquet(source)
+    q = rounds.keyed_gate(rounds.read_rounds(spark, source, rows.schema), order=["at"]).writeStream.format("parquet").option("path", sink) \
+        .option("checkpointLocation", scratch_path(spark, "state")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted(repr(r) for r in spark.read.parquet(sink).collect())
+    assert got == sorted(repr(r) for r in rounds.round_gate(rows, None, order=["at"]).collect())
+    assert len(got) > 3000
