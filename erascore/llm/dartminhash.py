@@ -10,8 +10,9 @@ plus the darts, not their product.
 Bands of coordinates make buckets. Inside a bucket no pairs are enumerated: each round verifies the members
 of a few leaders against them, joins what is similar into components, and keeps only the buckets whose members still
 lie in several components, without the leaders that were tried. Rounds end when no bucket is left, so
-every pair of a bucket was either found in one component, ruled out by its signatures (``AGREE``) or compared: but for the
-2e-5 of the pairs at the threshold that signatures rule out, the components are those that all pairs would give.
+every pair of a bucket was either found in one component, ruled out by its summaries or compared. Summaries of texts of up to
+``BINNED`` shingles count these by bins, which bounds what two texts share from above and rules out no pair at the threshold; longer ones
+are ruled out by their signatures (``AGREE``): but for 2e-5 of those at the threshold, the components are those that all pairs would give.
 
 Words are ``\\w+`` of the lower-cased text; a text of one to four words is one shingle; a text without words
 equals only the same text. Equal texts are one node. Similarity of ``threshold`` or more, computed exactly,
@@ -38,6 +39,8 @@ BANDS, ROWS = 25, 5
 #: Pairs whose signatures agree less than this are not verified: 4.2 standard deviations below the threshold, which a
 #: pair at the threshold misses with probability 2e-5.
 AGREE = THRESHOLD - 4.2 * (THRESHOLD * (1 - THRESHOLD) / (BANDS * ROWS)) ** 0.5
+#: Texts of up to so many shingles (repeats included) are compared by counts in bins, longer ones by signatures.
+BINNED, _BINS = 640, 256
 _SLICE = 256  # members that are compared with their leaders at once
 _WORD = re.compile(r"\w+")
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -146,8 +149,45 @@ def bands(sig: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> np.ndarray
     return out.view(np.int64)
 
 
-def _signed(texts: DataFrame) -> DataFrame:
-    """(node, buckets, sig) from (node, text): the buckets of a text's bands, and a byte of each coordinate."""
+def summaries(sets: list[tuple[np.ndarray, np.ndarray]], sig: np.ndarray, threshold: float = THRESHOLD) -> list[bytes]:
+    """What each set's pairs are ruled out by: its size, what its bins could not hold, then counts of up to 15 in bins (two a byte; sizes
+    up to ``BINNED``), then a byte of each coordinate (sizes that may be similar to some beyond ``BINNED``)."""
+    sizes = np.array([int(w.sum()) for _, w in sets])
+    owner = np.repeat(np.arange(len(sets)), [len(e) for e, _ in sets])
+    at = (np.concatenate([e for e, _ in sets]) % np.uint64(_BINS)).astype(np.int64)
+    counts = np.bincount(owner * _BINS + at, np.concatenate([w for _, w in sets]), len(sets) * _BINS).astype(np.int64).reshape(-1, _BINS)
+    held = np.minimum(counts, 15).astype(np.uint8)
+    head = np.stack([sizes, sizes - held.sum(axis=1)], axis=1).astype("<u4")
+    packed, low = held[:, ::2] << 4 | held[:, 1::2], (sig & np.uint64(255)).astype(np.uint8)
+    return [h.tobytes() + (p.tobytes() if n <= BINNED else b"") + (c.tobytes() if n >= threshold * BINNED else b"")
+            for h, p, c, n in zip(head, packed, low, sizes.tolist(), strict=True)]
+
+
+def _opened(found: list[bytes], threshold: float) -> tuple[np.ndarray, ...]:
+    """Sizes, what bins could not hold, bins and coordinates of summaries; zeros where one has none."""
+    head = np.frombuffer(b"".join([x[:8] for x in found]), "<u4").astype(np.int64).reshape(-1, 2)
+    bins, low = np.zeros((len(found), _BINS), np.uint8), np.zeros((len(found), BANDS * ROWS), np.uint8)
+    has, long = np.flatnonzero(head[:, 0] <= BINNED), np.flatnonzero(head[:, 0] >= threshold * BINNED)
+    packed = np.frombuffer(b"".join([found[i][8:8 + _BINS // 2] for i in has]), np.uint8).reshape(-1, _BINS // 2)
+    bins[has, ::2], bins[has, 1::2] = packed >> 4, packed & 15
+    low[long] = np.frombuffer(b"".join([found[i][-BANDS * ROWS:] for i in long]), np.uint8).reshape(-1, BANDS * ROWS)
+    return head[:, 0], head[:, 1], bins, low
+
+
+def may_link(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...], i: np.ndarray, j: np.ndarray, threshold: float = THRESHOLD, agree: float = AGREE) -> np.ndarray:
+    """Which pairs (``i`` of ``left``, ``j`` of ``right``, as opened) may be similar. Neither sizes nor bins rule out a pair that is."""
+    a, b = left[0][i], right[0][j]
+    out = np.minimum(a, b) >= threshold * np.maximum(a, b) - 1e-6
+    short = np.flatnonzero(out & (np.maximum(a, b) <= BINNED))
+    both = np.minimum(left[2][i[short]], right[2][j[short]]).sum(axis=1, dtype=np.int64) + np.minimum(left[1][i[short]], right[1][j[short]])
+    out[short] = both >= threshold * (a[short] + b[short] - both) - 1e-6
+    long = np.flatnonzero(out & (np.maximum(a, b) > BINNED))
+    out[long] = (left[3][i[long]] == right[3][j[long]]).mean(axis=1) >= agree
+    return out
+
+
+def _signed(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(node, buckets, sig) from (node, text): the buckets of a text's bands, and its summary."""
 
     def rows(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -158,8 +198,7 @@ def _signed(texts: DataFrame) -> DataFrame:
             sig = signatures(sets, BANDS * ROWS) if sets else np.empty((0, BANDS * ROWS), np.uint64)
             places = pa.array(np.arange(len(sig) + 1, dtype=np.int32) * BANDS)
             buckets = pa.ListArray.from_arrays(places, pa.array(bands(sig).ravel() if sets else np.empty(0, np.int64)))
-            low = (sig & np.uint64(255)).astype(np.uint8)
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), buckets, pa.array([x.tobytes() for x in low], pa.binary())], ["node", "buckets", "sig"])
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), buckets, pa.array(summaries(sets, sig, threshold) if sets else [], pa.binary())], ["node", "buckets", "sig"])
 
         for batch in batches:
             names, sets, held = [], [], 0
@@ -177,9 +216,9 @@ def _signed(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(rows, "node string, buckets array<long>, sig binary")
 
 
-def _agreeing(at: DataFrame, agree: float = AGREE) -> DataFrame:
+def _agreeing(at: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b, la, lb): a bucket's members (node, label, sig) with those of its leaders (leads) that are of another
-    class and whose signatures agree well enough. Pairs that do not are never made into rows."""
+    class and may be similar. Pairs that may not are never made into rows."""
 
     def rows(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -190,23 +229,28 @@ def _agreeing(at: DataFrame, agree: float = AGREE) -> DataFrame:
                 batch = whole.slice(start, _SLICE)
                 leads = batch.column(3)
                 each, n = leads.flatten(), leads.value_lengths().to_numpy()
-                lead_nodes, lead_labels = each.field(0), each.field(1)
-                own = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                led = np.frombuffer(b"".join(each.field(2).to_pylist()), np.uint8).reshape(len(each), -1)
+                # members of a bucket have the same leaders: each is opened once
+                named = each.field(0).dictionary_encode()
+                lead = named.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                once = np.unique(lead, return_index=True)[1]
+                nodes, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                lead_nodes, lead_labels = named.dictionary.to_pylist(), each.field(1).take(pa.array(once)).to_pylist()
+                codes: dict[str, int] = {}
+                own_code, led_code = (np.array([codes.setdefault(x, len(codes)) for x in y], np.int64) for y in (labels, lead_labels))
                 member = np.repeat(np.arange(batch.num_rows), n)
-                equal = (own[member] == led).mean(axis=1)
+                other = own_code[member] != led_code[lead]
+                member, lead = member[other], lead[other]
+                own, led = _opened(batch.column(2).to_pylist(), threshold), _opened(each.field(2).take(pa.array(once)).to_pylist(), threshold)
+                near = may_link(own, led, member, lead, threshold)
                 out: list[tuple] = []
-                for j in np.flatnonzero(equal >= agree):
-                    i = int(member[j])
-                    la, lb = batch.column(1)[i].as_py(), lead_labels[int(j)].as_py()
-                    if la != lb:
-                        pair = (batch.column(0)[i].as_py(), lead_nodes[int(j)].as_py(), la, lb)
-                        pair = pair if pair[0] < pair[1] else (pair[1], pair[0], pair[3], pair[2])
-                        if pair not in seen:
-                            if len(seen) >= 200_000:
-                                seen.clear()
-                            seen.add(pair)
-                            out.append(pair)
+                for i, j in zip(member[near].tolist(), lead[near].tolist(), strict=True):
+                    pair = (nodes[i], lead_nodes[j], labels[i], lead_labels[j])
+                    pair = pair if pair[0] < pair[1] else (pair[1], pair[0], pair[3], pair[2])
+                    if pair not in seen:
+                        if len(seen) >= 200_000:
+                            seen.clear()
+                        seen.add(pair)
+                        out.append(pair)
                 cols = zip(*out, strict=True) if out else [[]] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], ["a", "b", "la", "lb"])
 
@@ -245,7 +289,7 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     not listed is a class of its own."""
     with scratch(docs.sparkSession):
         rows = docs.select(text_or_empty().alias("text")).withColumn("node", text_node())
-        signed = staged(_signed(rows), "near-signatures")
+        signed = staged(_signed(rows, threshold), "near-signatures")
         buckets = signed.select("node", F.explode("buckets").alias("bucket"))
         shared = buckets.groupBy("bucket").agg(F.min(F.xxhash64("node")).alias("low"), F.max(F.xxhash64("node")).alias("high"))
         found = buckets.join(shared.where("low <> high").select("bucket"), "bucket", "left_semi").distinct()
@@ -266,7 +310,7 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             at = sized(live.join(mixed, "bucket"), size["n"])
             # a leader is compared with all of its bucket: it needs no further round there
             rest = at.where(~F.exists("leads", lambda x: x["node"] == F.col("node"))).select("bucket", "node", "label", "sig")
-            pairs = _agreeing(at)
+            pairs = _agreeing(at, threshold)
             pairs = sized(pairs.distinct(), size["n"])
             if tried is not None:
                 pairs = sized(pairs.join(tried, ["a", "b"], "left_anti"), size["n"])
@@ -312,6 +356,7 @@ def _width(step: int) -> int:
 
 
 def _leaders(step: int) -> list:
-    """The leaders of a bucket: its smallest node, and those smallest by other hashes, the same order in every bucket."""
-    lead = F.struct("node", "label", "sig")
-    return [F.min_by(lead, F.col("node") if i == 0 else F.xxhash64("node", F.lit(i))).alias(f"lead_{i}") for i in range(_width(step))]
+    """The leaders of a bucket: its smallest node, and those smallest by other hashes, the same order in every bucket. Nodes of no class yet
+    come first: once all of them were leaders, what is left of a bucket of one large class and many loose texts is that class."""
+    lead, merged = F.struct("node", "label", "sig"), F.col("label") != F.col("node")
+    return [F.min_by(lead, F.struct(merged, F.col("node") if i == 0 else F.xxhash64("node", F.lit(i)))).alias(f"lead_{i}") for i in range(_width(step))]

@@ -88,3 +88,39 @@ def test_heads_keep_one_of_each_class_and_all_columns(spark):
     texts = [r["text"] or "" for r in kept.collect()]
     assert len(texts) == len(set(texts)) and "other text, same id" in texts and "no id" in texts
     assert len(texts) >= classes
+
+
+def _edited(rng, base, n):
+    out = list(base)
+    for at in rng.sample(range(len(out)), n):
+        out[at] = f"new{rng.random()}"
+    return " ".join(out)
+
+
+def test_summaries_lose_no_link_and_leave_few_others():
+    """Copies of one text whose similarity lies around the threshold: signatures alone let nearly all of them through."""
+    rng, words = random.Random(5), D.Words()
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    texts = [_edited(rng, base, rng.randrange(1, 9)) for _ in range(120)]
+    texts += [_edited(rng, [f"w{i % 7}" for i in range(n)], 2) for n in (40, 300, 600)] + ["a " * n for n in (3, 100, 560, 650, 700, 900)]
+    long = [f"v{rng.randrange(10**6)}" for _ in range(760)]
+    texts += [_edited(rng, long[:n], 3) for n in (500, 520, 560, 630, 644, 645, 650, 700, 760)]
+    sets = [D.shingles(t, words) for t in texts]
+    sig = np.concatenate([D.signatures([s], D.BANDS * D.ROWS) for s in sets])
+    opened = D._opened(D.summaries(sets, sig), D.THRESHOLD)
+    i, j = np.triu_indices(len(sets), 1)
+    near = D.may_link(opened, opened, i, j)
+    exact = np.array([D.weighted_jaccard(sets[a], sets[b]) for a, b in zip(i, j, strict=True)])
+    assert near[exact >= D.THRESHOLD].all()
+    loose = (exact < D.THRESHOLD) & (exact > 0.65)
+    agreeing = (sig[i] == sig[j]).mean(axis=1) >= D.AGREE
+    assert near[loose].sum() < 0.2 * agreeing[loose].sum()
+
+
+def test_group_of_copies_around_the_threshold(spark):
+    """Hundreds of copies that are mostly not similar to one another: classes equal those of all pairs."""
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    rows = [(i, _edited(rng, base, rng.randrange(1, 12))) for i in range(300)]
+    got = D.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r["doc_id"], r["class_id"]) for r in got), key=repr) == brute_classes(rows)
