@@ -8,8 +8,9 @@ coordinate with the probability of their weighted Jaccard similarity. The work i
 plus the darts, not their product.
 
 Bands of coordinates make buckets. Inside a bucket no pairs are enumerated: each round verifies the members
-of a few leaders against them, joins what is similar into components, and keeps only the buckets whose members still
-lie in several components, without the leaders that were tried. Rounds end when no bucket is left, so
+against a few leaders, joins what is similar into components, and keeps only the buckets whose members still
+lie in several components, without the leaders that were tried. Of the pairs of two components a few are named, as one
+link joins them; where that does not, their leaders stay and more are named. Rounds end when no bucket is left, so
 every pair of a bucket was either found in one component, ruled out by its summaries or compared. Summaries of texts of up to
 ``BINNED`` shingles count these by bins, which bounds what two texts share from above and rules out no pair at the threshold; longer ones
 are ruled out by their signatures (``AGREE``): but for 2e-5 of those at the threshold, the components are those that all pairs would give.
@@ -25,10 +26,10 @@ come back as often as they came in; an empty table gives an empty result; furthe
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import connected_components, scratch, sized, staged, staged_with, text_or_empty
@@ -39,9 +40,13 @@ BANDS, ROWS = 25, 5
 #: Pairs whose signatures agree less than this are not verified: 4.2 standard deviations below the threshold, which a
 #: pair at the threshold misses with probability 2e-5.
 AGREE = THRESHOLD - 4.2 * (THRESHOLD * (1 - THRESHOLD) / (BANDS * ROWS)) ** 0.5
-#: Texts of up to so many shingles (repeats included) are compared by counts in bins, longer ones by signatures.
-BINNED, _BINS = 640, 256
-_SLICE = 256  # members that are compared with their leaders at once
+#: Texts of up to so many shingles (repeats included) are compared by counts in coarse, then in fine bins, longer ones by signatures.
+BINNED, _BINS = 2048, (256, 2048)
+_GATHERED = 4096  # pairs whose bins are held at once
+_PAIRS = 2**16  # pairs that are compared at once
+_BLOCK = 1024  # members of a bucket that meet its leaders in one task
+#: Pairs of the same two classes that a task names in a round.
+_TRIES = 8
 _WORD = re.compile(r"\w+")
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -150,39 +155,43 @@ def bands(sig: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> np.ndarray
 
 
 def summaries(sets: list[tuple[np.ndarray, np.ndarray]], sig: np.ndarray, threshold: float = THRESHOLD) -> list[bytes]:
-    """What each set's pairs are ruled out by: its size, what its bins could not hold, then counts of up to 15 in bins (two a byte; sizes
-    up to ``BINNED``), then a byte of each coordinate (sizes that may be similar to some beyond ``BINNED``)."""
-    sizes = np.array([int(w.sum()) for _, w in sets])
-    owner = np.repeat(np.arange(len(sets)), [len(e) for e, _ in sets])
-    at = (np.concatenate([e for e, _ in sets]) % np.uint64(_BINS)).astype(np.int64)
-    counts = np.bincount(owner * _BINS + at, np.concatenate([w for _, w in sets]), len(sets) * _BINS).astype(np.int64).reshape(-1, _BINS)
-    held = np.minimum(counts, 15).astype(np.uint8)
-    head = np.stack([sizes, sizes - held.sum(axis=1)], axis=1).astype("<u4")
-    packed, low = held[:, ::2] << 4 | held[:, 1::2], (sig & np.uint64(255)).astype(np.uint8)
-    return [h.tobytes() + (p.tobytes() if n <= BINNED else b"") + (c.tobytes() if n >= threshold * BINNED else b"")
-            for h, p, c, n in zip(head, packed, low, sizes.tolist(), strict=True)]
+    """What each set's pairs are ruled out by: its size, then two bytes of each shingle's hash, repeats included (sizes up to
+    ``BINNED``), then a byte of each coordinate (sizes that may be similar to some beyond ``BINNED``)."""
+    low, out = (sig & np.uint64(255)).astype(np.uint8), []
+    for (elements, weights), c in zip(sets, low, strict=True):
+        n = int(weights.sum())
+        hashes = np.repeat(elements >> np.uint64(48), weights).astype("<u2").tobytes() if n <= BINNED else b""
+        out.append(n.to_bytes(4, "little") + hashes + (c.tobytes() if n >= threshold * BINNED else b""))
+    return out
 
 
 def _opened(found: list[bytes], threshold: float) -> tuple[np.ndarray, ...]:
-    """Sizes, what bins could not hold, bins and coordinates of summaries; zeros where one has none."""
-    head = np.frombuffer(b"".join([x[:8] for x in found]), "<u4").astype(np.int64).reshape(-1, 2)
-    bins, low = np.zeros((len(found), _BINS), np.uint8), np.zeros((len(found), BANDS * ROWS), np.uint8)
-    has, long = np.flatnonzero(head[:, 0] <= BINNED), np.flatnonzero(head[:, 0] >= threshold * BINNED)
-    packed = np.frombuffer(b"".join([found[i][8:8 + _BINS // 2] for i in has]), np.uint8).reshape(-1, _BINS // 2)
-    bins[has, ::2], bins[has, 1::2] = packed >> 4, packed & 15
+    """Sizes, shingle counts in ``_BINS`` coarse and fine bins and what these could not hold, and coordinates of summaries; zeros where one has none."""
+    sizes = np.frombuffer(b"".join([x[:4] for x in found]), "<u4").astype(np.int64)
+    coarse, fine = _BINS
+    counts, low = np.zeros((len(found), fine), np.uint8), np.zeros((len(found), BANDS * ROWS), np.uint8)
+    has, long = np.flatnonzero(sizes <= BINNED), np.flatnonzero(sizes >= threshold * BINNED)
+    for part in np.split(has, np.flatnonzero(np.diff(np.cumsum(sizes[has]) // 2**20)) + 1):  # so many hashes at once
+        hashes = np.frombuffer(b"".join([found[i][4:4 + 2 * n] for i, n in zip(part, sizes[part].tolist(), strict=True)]), "<u2")
+        at, n = np.unique(np.repeat(part, sizes[part]) * fine + hashes.astype(np.int64) % fine, return_counts=True)
+        counts.reshape(-1)[at] = np.minimum(n, 255)
+    few = np.minimum(counts.reshape(-1, fine // coarse, coarse).sum(axis=1, dtype=np.uint16), 255).astype(np.uint8)
     low[long] = np.frombuffer(b"".join([found[i][-BANDS * ROWS:] for i in long]), np.uint8).reshape(-1, BANDS * ROWS)
-    return head[:, 0], head[:, 1], bins, low
+    return sizes, few, sizes - few.sum(axis=1, dtype=np.int64), counts, sizes - counts.sum(axis=1, dtype=np.int64), low
 
 
 def may_link(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...], i: np.ndarray, j: np.ndarray, threshold: float = THRESHOLD, agree: float = AGREE) -> np.ndarray:
     """Which pairs (``i`` of ``left``, ``j`` of ``right``, as opened) may be similar. Neither sizes nor bins rule out a pair that is."""
     a, b = left[0][i], right[0][j]
     out = np.minimum(a, b) >= threshold * np.maximum(a, b) - 1e-6
-    short = np.flatnonzero(out & (np.maximum(a, b) <= BINNED))
-    both = np.minimum(left[2][i[short]], right[2][j[short]]).sum(axis=1, dtype=np.int64) + np.minimum(left[1][i[short]], right[1][j[short]])
-    out[short] = both >= threshold * (a[short] + b[short] - both) - 1e-6
+    for counts, lost in ((1, 2), (3, 4)):  # coarse bins, then fine ones
+        short = np.flatnonzero(out & (np.maximum(a, b) <= BINNED))
+        for part in np.split(short, range(_GATHERED, len(short), _GATHERED)):
+            x, y = i[part], j[part]
+            both = np.minimum(left[counts][x], right[counts][y]).sum(axis=1, dtype=np.int64) + np.minimum(left[lost][x], right[lost][y])
+            out[part] = both >= threshold * (a[part] + b[part] - both) - 1e-6
     long = np.flatnonzero(out & (np.maximum(a, b) > BINNED))
-    out[long] = (left[3][i[long]] == right[3][j[long]]).mean(axis=1) >= agree
+    out[long] = (left[5][i[long]] == right[5][j[long]]).mean(axis=1) >= agree
     return out
 
 
@@ -216,45 +225,72 @@ def _signed(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return texts.select("node", "text").mapInArrow(rows, "node string, buckets array<long>, sig binary")
 
 
-def _agreeing(at: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, la, lb): a bucket's members (node, label, sig) with those of its leaders (leads) that are of another
-    class and may be similar. Pairs that may not are never made into rows."""
+def _compared(at: DataFrame, sized_rows: Callable[[DataFrame], DataFrame], threshold: float = THRESHOLD, tries: int = _TRIES) -> DataFrame:
+    """(a, b, la, lb): pairs of a member and a leader of a bucket (at: bucket, blocks, lead, node, label, sig) that are of different
+    classes and may be similar. Pairs that may not are never made into rows. A task names up to ``tries`` pairs of the same two
+    classes, as one link joins them; where it holds others back, a row without a and b says so."""
+    # leaders are sent to each block of their bucket, before its other members
+    blocks = F.when(F.col("lead"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    each = at.select("bucket", F.explode(blocks).alias("block"), "lead", "node", "label", "sig")
+    each = sized_rows(each.repartition("bucket", "block").sortWithinPartitions("bucket", "block", F.desc("lead")))
 
     def rows(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         seen: set[tuple] = set()  # a pair shares several buckets: a task names it once, as far as its memory goes
-        for whole in batches:
-            for start in range(0, whole.num_rows, _SLICE):  # each member has up to 64 leaders
-                batch = whole.slice(start, _SLICE)
-                leads = batch.column(3)
-                each, n = leads.flatten(), leads.value_lengths().to_numpy()
-                # members of a bucket have the same leaders: each is opened once
-                named = each.field(0).dictionary_encode()
-                lead = named.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                once = np.unique(lead, return_index=True)[1]
-                nodes, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                lead_nodes, lead_labels = named.dictionary.to_pylist(), each.field(1).take(pa.array(once)).to_pylist()
-                codes: dict[str, int] = {}
-                own_code, led_code = (np.array([codes.setdefault(x, len(codes)) for x in y], np.int64) for y in (labels, lead_labels))
-                member = np.repeat(np.arange(batch.num_rows), n)
-                other = own_code[member] != led_code[lead]
-                member, lead = member[other], lead[other]
-                own, led = _opened(batch.column(2).to_pylist(), threshold), _opened(each.field(2).take(pa.array(once)).to_pylist(), threshold)
-                near = may_link(own, led, member, lead, threshold)
+        named: dict[tuple, int] = {}  # pairs named of two classes; -1: others were held back, which is said
+        kept: list[list] = [[] for _ in range(6)]  # the leaders of the last block, whose members may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            again = len(kept[0])
+            cols = [k + c.to_pylist() for k, c in zip(kept, batch.columns, strict=True)]
+            nodes, labels = cols[3], cols[4]
+            bucket, block, lead = (np.array(c) for c in cols[:3])
+            first = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])))
+            run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(bucket))))
+            n_leads = np.bincount(run, lead, len(first)).astype(np.int64)
+            kept = [c[first[-1]:first[-1] + n_leads[-1]] for c in cols]
+            (_, node_code), (_, code) = (np.unique(np.array(c), return_inverse=True) for c in (nodes, labels))
+            opened = _opened(cols[5], threshold)
+            # leaders are compared with one another in the first block, when they come
+            member = np.flatnonzero(~lead | ((block == 0) & (np.arange(len(lead)) >= again)))
+            pairs_before = np.cumsum(n_leads[run[member]])
+            for part in np.split(member, np.flatnonzero(np.diff(pairs_before // _PAIRS)) + 1):
+                n = n_leads[run[part]]
+                i = np.repeat(part, n)
+                j = np.repeat(first[run[part]], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                other = code[i] != code[j]
+                i, j = i[other], j[other]
+                near = may_link(opened, opened, i, j, threshold)
+                i, j = i[near], j[near]
+                once = np.unique(np.minimum(node_code[i], node_code[j]) * len(nodes) + np.maximum(node_code[i], node_code[j]), return_index=True)[1]
+                i, j = i[once], j[once]
+                classes = np.minimum(code[i], code[j]) * len(nodes) + np.maximum(code[i], code[j])
+                order = np.argsort(classes, kind="stable")
+                _, begin, size = np.unique(classes[order], return_index=True, return_counts=True)
+                nth = np.arange(len(order)) - np.repeat(begin, size)
                 out: list[tuple] = []
-                for i, j in zip(member[near].tolist(), lead[near].tolist(), strict=True):
-                    pair = (nodes[i], lead_nodes[j], labels[i], lead_labels[j])
+                if len(seen) >= 200_000:
+                    seen.clear()
+                    named.clear()
+                for x, y, k in zip(i[order][nth <= tries].tolist(), j[order][nth <= tries].tolist(), nth[nth <= tries].tolist(), strict=True):
+                    pair = (nodes[x], nodes[y], labels[x], labels[y])
                     pair = pair if pair[0] < pair[1] else (pair[1], pair[0], pair[3], pair[2])
-                    if pair not in seen:
-                        if len(seen) >= 200_000:
-                            seen.clear()
-                        seen.add(pair)
-                        out.append(pair)
-                cols = zip(*out, strict=True) if out else [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], ["a", "b", "la", "lb"])
-
-    return at.select("node", "label", "sig", "leads").mapInArrow(rows, "a string, b string, la string, lb string")
+                    two = (min(pair[2:]), max(pair[2:]))
+                    count = named.get(two, 0)
+                    if k < tries and (pair in seen or 0 <= count < tries):
+                        if pair not in seen:
+                            seen.add(pair)
+                            named[two] = count + 1
+                            out.append(pair)
+                    elif count >= 0:
+                        named[two] = -1
+                        out.append((None, None, *two))
+                cols_out = zip(*out, strict=True) if out else [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols_out], ["a", "b", "la", "lb"])
+
+    return each.mapInArrow(rows, "a string, b string, la string, lb string")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
@@ -294,35 +330,51 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         shared = buckets.groupBy("bucket").agg(F.min(F.xxhash64("node")).alias("low"), F.max(F.xxhash64("node")).alias("high"))
         found = buckets.join(shared.where("low <> high").select("bucket"), "bucket", "left_semi").distinct()
         found = staged(found, "near-buckets")
-        sigs = signed.join(found.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("sig").alias("sig"))
-        live, size = staged_with(found.join(sigs, "node").select("bucket", "node", F.col("node").alias("label"), "sig"), "near-live", n=F.count(F.lit(1)))
+        live, size = staged_with(found.select("bucket", "node", F.col("node").alias("label")), "near-live", n=F.count(F.lit(1)))
         wanted = live.select("node").distinct()
+        sigs = staged(signed.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("sig").alias("sig")).select("node", "sig"), "near-sigs")
         texts = staged(rows.select("node", "text").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
         labels = staged(sized(wanted, size["n"]).select("node", F.col("node").alias("label")), "near-labels")
-        tried, step = None, 0
+        tried, step, tries = None, 0, _TRIES
         while size["n"]:
-            # buckets whose members lie in several classes, with the leaders to try
-            spread = live.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), *_leaders(step))
-            leads = F.array_distinct(F.array(*[f"lead_{i}" for i in range(_width(step))])).alias("leads")
-            mixed, found = staged_with(sized(spread, size["n"]).where("low <> high").select("bucket", leads), "near-leaders", n=F.count(F.lit(1)))
-            if not found["n"]:
+            # buckets whose members lie in several classes, and the leaders to try
+            spread = live.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias("blocks"))
+            mixed = sized(spread, size["n"]).where("low <> high").select("bucket", "blocks")
+            at, size = staged_with(sized(live.join(mixed, "bucket"), size["n"]).select("bucket", "blocks", "node", "label"), "near-mixed", n=F.count(F.lit(1)))
+            if not size["n"]:
                 break
-            at = sized(live.join(mixed, "bucket"), size["n"])
-            # a leader is compared with all of its bucket: it needs no further round there
-            rest = at.where(~F.exists("leads", lambda x: x["node"] == F.col("node"))).select("bucket", "node", "label", "sig")
-            pairs = _agreeing(at, threshold)
+            leads = _leaders(at, _width(step)).select("bucket", "node", F.lit(True).alias("lead"))
+            at = staged(sized(at.join(leads, ["bucket", "node"], "left").withColumn("lead", F.coalesce("lead", F.lit(False))), size["n"]), "near-leaders")
+            per_task = min(50_000, 1_000_000 // _width(step))  # rows that make so many comparisons
+            pairs = _compared(at.join(sigs, "node"), lambda df, n=size["n"], each=per_task: sized(df, n, each), threshold, tries)
             pairs = sized(pairs.distinct(), size["n"])
             if tried is not None:
                 pairs = sized(pairs.join(tried, ["a", "b"], "left_anti"), size["n"])
-            pairs, found = staged_with(pairs, "near-pairs", n=F.count(F.lit(1)))
+            pairs, found = staged_with(pairs, "near-pairs", n=F.count("a"), held=F.count_if(F.col("a").isNull()))
+            held, pairs = pairs.where("a IS NULL").select("la", "lb"), pairs.where("a IS NOT NULL")
             tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
             links = _similar(pairs, texts, threshold, found["n"]).distinct()
-            links, found = staged_with(sized(links, found["n"]), "near-links", n=F.count(F.lit(1)))
-            if found["n"]:
-                merged = staged(sized(connected_components(links), 2 * found["n"]), "near-merged").select(F.col("node").alias("label"), F.col("label").alias("merged"))
+            links, linked = staged_with(sized(links, found["n"]), "near-links", n=F.count(F.lit(1)))
+            if linked["n"]:
+                merged = staged(sized(connected_components(links), 2 * linked["n"]), "near-merged").select(F.col("node").alias("label"), F.col("label").alias("merged"))
                 new = F.coalesce("merged", "label").alias("label")
                 labels = staged(labels.join(merged, "label", "left").select("node", new), "near-labels")
-                rest = rest.join(merged, "label", "left").select("bucket", "node", new, "sig")
+            if found["held"]:
+                # two classes that are still two, with pairs held back: their leaders stay, and more pairs are named
+                if linked["n"]:
+                    for c in ("la", "lb"):
+                        held = held.join(merged.toDF(c, f"new_{c}"), c, "left")
+                    held = held.where("coalesce(new_la, la) <> coalesce(new_lb, lb)")
+                stuck = held.select(F.explode(F.array("la", "lb")).alias("label")).distinct()
+                stuck, waiting = staged_with(sized(stuck, found["held"]), "near-waiting", n=F.count(F.lit(1)))
+                tries = 4 * tries if waiting["n"] else tries
+            # a leader is compared with all of its bucket: it needs no further round there
+            rest = at.where(~F.col("lead"))
+            if found["held"]:
+                rest = rest.union(at.where("lead").join(stuck, "label", "left_semi").select(at.columns))
+            rest = rest.select("bucket", "node", "label")
+            if linked["n"]:
+                rest = rest.join(merged, "label", "left").select("bucket", "node", new)
             live, size = staged_with(sized(rest, size["n"]), "near-live", n=F.count(F.lit(1)))
             step += 1
         labels = staged(labels, "near-labels")
@@ -352,11 +404,11 @@ def class_heads(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def _width(step: int) -> int:
     """Leaders tried at once: few at first, as most buckets are one class or a handful of texts; then more."""
-    return min(4 ** (step + 1), 64)
+    return min(4 * 16**step, 256)
 
 
-def _leaders(step: int) -> list:
-    """The leaders of a bucket: its smallest node, and those smallest by other hashes, the same order in every bucket. Nodes of no class yet
-    come first: once all of them were leaders, what is left of a bucket of one large class and many loose texts is that class."""
-    lead, merged = F.struct("node", "label", "sig"), F.col("label") != F.col("node")
-    return [F.min_by(lead, F.struct(merged, F.col("node") if i == 0 else F.xxhash64("node", F.lit(i)))).alias(f"lead_{i}") for i in range(_width(step))]
+def _leaders(at: DataFrame, width: int) -> DataFrame:
+    """The leaders of each bucket, in the same order in every bucket. Nodes of no class yet come first: once all of them were
+    leaders, what is left of a bucket of one large class and many loose texts is that class."""
+    order = Window.partitionBy("bucket").orderBy(F.col("label") != F.col("node"), F.xxhash64("node"), "node")
+    return at.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= width).drop("nth")

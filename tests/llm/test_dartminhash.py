@@ -124,3 +124,49 @@ def test_group_of_copies_around_the_threshold(spark):
     rows = [(i, _edited(rng, base, rng.randrange(1, 12))) for i in range(300)]
     got = D.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r["doc_id"], r["class_id"]) for r in got), key=repr) == brute_classes(rows)
+
+
+def _named(monkeypatch):
+    """What each round's pairs were counted at."""
+    seen, real = [], D.staged_with
+
+    def watched(df, name, **metrics):
+        out, found = real(df, name, **metrics)
+        if name == "near-pairs":
+            seen.append(found)
+        return out, found
+
+    monkeypatch.setattr(D, "staged_with", watched)
+    return seen
+
+
+def test_pairs_grow_with_the_texts(spark, monkeypatch):
+    """A group of copies around the threshold and one of long texts below it: after the first round, each text is named in a few pairs
+    with a class, not with all of its members, and texts that are not similar in hardly any."""
+    rng, seen = random.Random(8), _named(monkeypatch)
+    base, long = ([f"w{rng.randrange(10**6)}" for _ in range(n)] for n in (150, 800))
+    texts = [_edited(rng, base, rng.randrange(1, 8)) for _ in range(200)] + [_edited(rng, long, rng.randrange(10, 15)) for _ in range(100)]
+    rows = list(enumerate(texts))
+    got = D.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r["doc_id"], r["class_id"]) for r in got), key=repr) == brute_classes(rows)
+    assert sum(x["n"] for x in seen) < 6 * len(rows)
+
+
+def test_held_back_pairs_are_named_later(spark, monkeypatch):
+    """One pair of two classes at a time, which signatures often name wrongly in long texts; leaders in many blocks and batches."""
+    rng, seen = random.Random(3), _named(monkeypatch)
+    monkeypatch.setattr(D, "_TRIES", 1)
+    monkeypatch.setattr(D, "_BLOCK", 5)
+    monkeypatch.setattr(D, "_PAIRS", 16)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(2300)]
+    rows = [(i, _edited(rng, long, rng.randrange(10, 100))) for i in range(60)]
+    base = [f"v{rng.randrange(10**6)}" for _ in range(90)]
+    rows += [(100 + i, _edited(rng, base, rng.randrange(1, 6))) for i in range(60)]
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = D.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert sorted(((r["doc_id"], r["class_id"]) for r in got), key=repr) == brute_classes(rows)
+    assert sum(x["held"] for x in seen) > 0
